@@ -1,4 +1,4 @@
 """Registered queries (stand-ins on the driver's tables) and end-to-end plans."""
 
-from . import key_queries, share_queries  # noqa: F401  (registers queries)
+from . import key_queries, series_queries, share_queries  # noqa: F401  (registers queries)
 from .registry import QUERIES, register, table  # noqa: F401

@@ -154,7 +154,7 @@ def q_pivot_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(pivot_wide(flag_price(spark, sf_dir), "ship_day", "flag", "price", list(FLAG_NAMES), FLAG_NAMES))
 
 
-@register("rolling_signals", "W4,W5,W6", sql=f"""
+ROLLING_SQL = f"""
 WITH s AS ({SEGMENT_SHARE_SQL}),
 cal AS (SELECT order_day, row_number() OVER (ORDER BY order_day) AS cal_idx FROM (SELECT DISTINCT order_day FROM s) d),
 x AS (SELECT s.*, cal.cal_idx FROM s JOIN cal USING (order_day)),
@@ -166,17 +166,19 @@ f AS (
          LAST_VALUE(market_share_pct IGNORE NULLS) OVER (PARTITION BY segment ORDER BY cal_idx
              RANGE BETWEEN UNBOUNDED PRECEDING AND 7 PRECEDING) AS then_v
   FROM x
-  WINDOW w7 AS (PARTITION BY segment ORDER BY cal_idx RANGE BETWEEN 6 PRECEDING AND CURRENT ROW)),
-g AS (
-  SELECT segment, order_day, total_volume, market_share_pct,
-         CASE WHEN n7 = 7 THEN m7 END AS ma7,
-         CASE WHEN then_v <> 0 THEN now_v / then_v - 1 END AS roc7,
-         CASE WHEN n7 = 7 AND s7 <> 0 THEN (market_share_pct - m7) / s7 END AS zscore
-  FROM f)
+  WINDOW w7 AS (PARTITION BY segment ORDER BY cal_idx RANGE BETWEEN 6 PRECEDING AND CURRENT ROW))
+SELECT segment, order_day, total_volume, market_share_pct,
+       CASE WHEN n7 = 7 THEN m7 END AS ma7,
+       CASE WHEN then_v <> 0 THEN now_v / then_v - 1 END AS roc7,
+       CASE WHEN n7 = 7 AND s7 <> 0 THEN (market_share_pct - m7) / s7 END AS zscore
+FROM f"""
+
+
+@register("rolling_signals", "W4,W5,W6", sql=f"""
 SELECT segment, order_day, total_volume, ROUND(market_share_pct, 6) AS market_share_pct,
        ROUND(ma7, 6) AS ma7, ROUND(roc7, 6) AS roc7, ROUND(zscore, 6) AS zscore,
        CAST(sign(zscore) AS DOUBLE) AS zscore_sign
-FROM g""")
+FROM ({ROLLING_SQL}) g""")
 def q_rolling_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = segment_share(spark, sf_dir)
     return _r(rolling_features(s, "segment", "order_day", "market_share_pct", window=7))

@@ -11,12 +11,11 @@ ties) with depth 0; a label with no edge, or only a self-loop, owns itself.
 It is computed set-wise, never per label:
 
 1. roots are the nodes with no outgoing edge (a self-loop counts as one);
-2. one multi-source BFS *down* from all roots at once over reversed edges
-   gives, for every ``(root, node)``, the shortest distance -- the state is
-   one row per pair actually reachable, never labels x nodes;
-3. each label keeps ``min((depth, root))``;
-4. only labels that reached no root get a forward BFS of their own, for the
-   furthest-node rule.
+2. one multi-source BFS *down* from all roots at once over reversed edges;
+3. each node keeps only ``min((depth, root))`` -- the BFS state is one row
+   per node, never labels x nodes nor (root, node) pairs;
+4. only labels that reached no root get a forward BFS of their own (one row
+   per reachable (label, node) pair), for the furthest-node rule.
 
 ``walk_paths`` (SQL-model semantics, G7/W2): depth-limited walk from every
 label with bag semantics (parallel edges multiply rows), a ``a > b > c``
@@ -122,23 +121,54 @@ def _bfs(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
     return out
 
 
+def _nearest_source(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
+    """Multi-source BFS keeping one row per node: ``(node, src, depth)`` with the
+    shortest depth to any seed and, among seeds at that depth, the smallest.
+
+    Correct because a node first reached at level d takes the minimum over its
+    parents of level d-1, and each parent already holds the minimum of its
+    own seeds at d-1: the minimum of minima is the minimum.  State is O(nodes),
+    not O(pairs).
+    """
+    step = broadcast_if_bounded(step, EDGE_BROADCAST_ROWS)
+    frontier = cut_lineage(seeds.select("node", "src", F.lit(0).alias("depth")))
+    levels = [frontier]
+    depth = 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
+        visited = levels[0].select("node")
+        for lv in levels[1:]:
+            visited = visited.unionByName(lv.select("node"))
+        nxt = (frontier.select(F.col("node").alias("frm"), "src").join(step, "frm")
+               .groupBy(F.col("to").alias("node")).agg(F.min("src").alias("src"))
+               .join(visited, "node", "left_anti")
+               .withColumn("depth", F.lit(depth)))
+        nxt = cut_lineage(nxt)
+        if nxt.isEmpty():
+            break
+        levels.append(nxt)
+        frontier = nxt
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
+
+
 def resolve_owners(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     """``(label_id, ultimate_id, depth)`` for every node with an outgoing edge
     other than a self-loop (G2-G5).  Labels absent from the result own
     themselves at depth 0."""
-    e = edges.select("o", "p")
+    # the edge set feeds every level of both walks: materialise it once
+    e = cut_lineage(edges.select("o", "p"))
     walk = e.where(F.col("o") != F.col("p"))
     owned = e.select(F.col("o").alias("node")).distinct()
     nodes = e.select(F.col("o").alias("node")).union(e.select(F.col("p").alias("node"))).distinct()
     roots = nodes.join(owned, "node", "left_anti")
-    # 2. down from every root at once over reversed edges
-    down = _bfs(roots.select(F.col("node").alias("src"), "node"),
-                walk.select(F.col("p").alias("frm"), F.col("o").alias("to")), max_depth)
-    # 3. nearest root, smallest id on ties
+    # 2-3. down from every root at once over reversed edges, one row per node
+    down = _nearest_source(roots.select("node", F.col("node").alias("src")),
+                           walk.select(F.col("p").alias("frm"), F.col("o").alias("to")), max_depth)
     best = (down.where(F.col("depth") > 0)
-            .groupBy(F.col("node").alias("label_id"))
-            .agg(F.min(F.struct("depth", F.col("src").alias("root"))).alias("b"))
-            .select("label_id", F.col("b.root").alias("ultimate_id"), F.col("b.depth").alias("depth")))
+            .select(F.col("node").alias("label_id"), F.col("src").alias("ultimate_id"), "depth"))
     # 4. labels with a real owner but no root above: furthest node, depth 0
     movers = walk.select(F.col("o").alias("label_id")).distinct()
     stuck = movers.join(best.select("label_id"), "label_id", "left_anti")
@@ -182,10 +212,10 @@ def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int = MAX_WALK_DE
     ``edges`` carry ``owned_label_id, owner_label_id, owner_label_name``;
     parallel edges multiply rows as ``UNION ALL`` recursion does.
     """
-    e = broadcast_if_bounded(
+    e = broadcast_if_bounded(cut_lineage(
         edges.select(F.col("owned_label_id").alias("current_id"),
                      F.col("owner_label_id").alias("next_id"),
-                     F.col("owner_label_name").alias("next_name")),
+                     F.col("owner_label_name").alias("next_name"))),
         EDGE_BROADCAST_ROWS)
     level = labels.select(F.col(id_col).alias("label_id"), F.col(name_col).alias("label_name"),
                           F.col(id_col).alias("current_id"), F.col(name_col).alias("current_name"),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_binary
 from ..operators.quantiles import describe
 from ..operators.series import (
     date_join,
@@ -34,7 +35,7 @@ FLAG_NAMES = {"A": "accepted", "N": "pending", "R": "returned"}
 
 def _r(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (hash-stable comparison with the twin)."""
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[round_binary(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 # ---------------------------------------------------------------- stand-in series

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_binary
 from ..operators.staging import map_keys
 from .tables import snake_case_columns
 
@@ -33,7 +34,7 @@ def price_summary(prices: DataFrame) -> DataFrame:
     return (prices.groupBy("ticker", "company_name").agg(
         F.min("date").alias("first_date"), F.max("date").alias("last_date"),
         F.count(F.lit(1)).alias("trading_days"),
-        F.round(F.avg("close"), 2).alias("avg_close"),
-        F.round(F.min("close"), 2).alias("min_close"),
-        F.round(F.max("close"), 2).alias("max_close"))
+        round_binary(F.avg("close"), 2).alias("avg_close"),
+        round_binary(F.min("close"), 2).alias("min_close"),
+        round_binary(F.max("close"), 2).alias("max_close"))
         .orderBy("ticker"))

@@ -23,6 +23,9 @@ LABEL_SUFFIXES = (
 
 _SUFFIX_PATTERN = r"\s*(" + "|".join(LABEL_SUFFIXES) + r")\s*$"
 
+# Unicode space separators (category Zs), trimmed from chart titles
+_ZS = "\u0020\u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u202f\u205f\u3000"
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -30,7 +33,7 @@ def _col(c: str | Column) -> Column:
 
 def unicode_trim(c: str | Column) -> Column:
     """Trim every Unicode space separator (NBSP included) on both ends."""
-    return F.regexp_replace(_col(c), r"^\p{Zs}+|\p{Zs}+$", "")
+    return F.btrim(_col(c), F.lit(_ZS))
 
 
 def split_title(c: str | Column, sep: str = TITLE_SEPARATOR) -> tuple[Column, Column]:
@@ -49,8 +52,8 @@ def normalize_text(c: str | Column) -> Column:
     """lower(trim) -> keep [a-z0-9 ] -> collapse spaces -> trim."""
     x = F.lower(F.trim(_col(c)))
     x = F.regexp_replace(x, "[^a-z0-9 ]", "")
-    x = F.regexp_replace(x, " +", " ")
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    # only U+0020 can be left as whitespace here, so a plain trim is exact
+    return F.trim(F.regexp_replace(x, " +", " "))
 
 
 def normalize_label(c: str | Column) -> Column:
@@ -63,4 +66,4 @@ def normalize_label(c: str | Column) -> Column:
     x = F.regexp_replace(x, "[^a-z0-9 ]", "")
     x = F.regexp_replace(x, " +", " ")
     x = F.regexp_replace(x, _SUFFIX_PATTERN, "")
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.trim(x)

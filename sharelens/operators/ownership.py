@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.rules import RuleTable, OWNER_RULES, PATH_OWNER_RULES, owner_group, path_owner_group
-from ..session import broadcast_if_bounded, cut_lineage
+from ..session import broadcast_if_bounded, cut_lineage, cut_lineage_counted
 
 # --- fixed values: relation filters of the reference ------------------------
 OWNERSHIP_TYPES = ("label ownership", "imprint")
@@ -110,8 +110,8 @@ def _bfs(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
                .join(step, "frm").select("src", F.col("to").alias("node")).distinct()
                .join(visited, ["src", "node"], "left_anti")
                .withColumn("depth", F.lit(depth)))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        nxt, n = cut_lineage_counted(nxt)
+        if n == 0:
             break
         levels.append(nxt)
         frontier = nxt
@@ -143,8 +143,8 @@ def _nearest_source(seeds: DataFrame, step: DataFrame, max_depth: int | None) ->
                .groupBy(F.col("to").alias("node")).agg(F.min("src").alias("src"))
                .join(visited, "node", "left_anti")
                .withColumn("depth", F.lit(depth)))
-        nxt = cut_lineage(nxt)
-        if nxt.isEmpty():
+        nxt, n = cut_lineage_counted(nxt)
+        if n == 0:
             break
         levels.append(nxt)
         frontier = nxt
@@ -226,8 +226,8 @@ def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int = MAX_WALK_DE
                  .select("label_id", "label_name", F.col("next_id").alias("current_id"),
                          F.col("next_name").alias("current_name"), F.lit(d).alias("depth"),
                          F.concat(F.col("path"), F.lit(PATH_SEPARATOR), F.col("next_name")).alias("path")))
-        level = cut_lineage(level)
-        if level.isEmpty():
+        level, n = cut_lineage_counted(level)
+        if n == 0:
             break
         levels.append(level)
     out = levels[0]

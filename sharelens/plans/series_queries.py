@@ -286,3 +286,22 @@ FROM p GROUP BY segment, lag"""
 def q_lead_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = combined(spark, sf_dir)
     return _r(lead_lag(c, c, "segment", "order_day", "ms_change", "log_return", max_lag=10))
+
+
+@register("ordered_union", "O1,O3,O4", sql="""
+SELECT user_id, arg_max(event_id, ts) AS last_event_id, MAX(ts) AS last_ts, COUNT(*) AS n_events
+FROM (SELECT event_id, user_id, ts FROM events WHERE event_type IN ('view', 'click')
+      UNION ALL
+      SELECT event_id, user_id, ts FROM events WHERE event_type NOT IN ('view', 'click')) u
+GROUP BY user_id""")
+def q_ordered_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two event batches (browse and other) as a bag union (O4), the latest
+    event per user by ``max_by`` (O3), ordered by user desc, time asc (O1)."""
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    browse = e.where(F.col("event_type").isin("view", "click")).drop("event_type")
+    other = e.where(~F.col("event_type").isin("view", "click")).drop("event_type")
+    both = browse.unionByName(other)
+    return (both.groupBy("user_id")
+            .agg(F.max_by("event_id", "ts").alias("last_event_id"), F.max("ts").alias("last_ts"),
+                 F.count(F.lit(1)).alias("n_events"))
+            .orderBy(F.col("user_id").desc(), F.col("last_ts").asc()))

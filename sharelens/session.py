@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -67,6 +67,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_lineage_counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``cut_lineage`` that also returns the row count, observed during the
+    checkpoint job itself (no second job)."""
+    obs = Observation()
+    out = cut_lineage(df.observe(obs, F.count(F.lit(1)).alias("n")))
+    return out, int(obs.get["n"])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, next to the shared checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")

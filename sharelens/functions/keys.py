@@ -1,7 +1,8 @@
 """Name keys as Column expressions.
 
-All three stay JVM-side (``regexp_replace``/``split_part``), so they run inside
-whole-stage codegen and can be used in any ``select``/``join`` condition.
+All three stay JVM-side (``regexp_replace``/``substring_index``/``btrim``), so
+they run inside whole-stage codegen and can be used in any ``select``/``join``
+condition.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def split_title(c: str | Column, sep: str = TITLE_SEPARATOR) -> tuple[Column, Co
     there is none); title = trimmed rest ('' when there is no separator).
     """
     text = _col(c)
-    head = F.split_part(text, F.lit(sep), F.lit(1))
+    head = F.substring_index(text, sep, 1)      # = split_part(text, sep, 1), one indexOf
     rest = F.substr(text, F.length(head) + F.lit(len(sep) + 1))
     return unicode_trim(head), unicode_trim(rest)
 

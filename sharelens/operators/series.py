@@ -9,9 +9,8 @@ missing positions behave as the wide frame's NULLs without materialising a
 dates x series grid.
 
 Calendar modes:
-* ``"observed"``: union of the dates present (the reference's pivot index).
-  The calendar holds one row per distinct date, bounded by the span in days,
-  and is numbered in one small task.
+* ``"observed"``: union of the dates present (the reference's pivot index),
+  numbered by a distributed sequence index (``indexing.sequence_index``).
 * ``"daily"``: every calendar day; the position is ``datediff(date, epoch)``,
   so no calendar is built at all.
 """
@@ -23,15 +22,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .indexing import sequence_index
+
 CAL = "cal_idx"
 
 
 def calendar(df: DataFrame, date_col: str) -> DataFrame:
-    """Distinct dates of ``df`` numbered 1..n in date order."""
+    """Distinct dates of ``df`` numbered 1..n in date order (distributed)."""
     dates = df.select(date_col).where(F.col(date_col).isNotNull()).distinct()
-    # one row per distinct day: the only un-partitioned window in the library,
-    # over a frame bounded by the number of days, not by the data
-    return dates.withColumn(CAL, F.row_number().over(Window.orderBy(date_col)))
+    return sequence_index(dates, date_col, CAL)
 
 
 def with_calendar(df: DataFrame, date_col: str, mode: str = "observed") -> DataFrame:

@@ -8,6 +8,12 @@ frames are RANGE frames over that position, partitioned by series -- so the
 missing positions behave as the wide frame's NULLs without materialising a
 dates x series grid.
 
+Input contract: at most one row per (series, date) -- a daily series, as the
+share fact and the price table are.  A window partitioned by series then
+holds one row per day of that series, bounded by the calendar, never by the
+raw volume behind it; aggregate first (``daily_share``) when starting from
+raw rows.
+
 Calendar modes:
 * ``"observed"``: union of the dates present (the reference's pivot index),
   numbered by a distributed sequence index (``indexing.sequence_index``).

@@ -58,3 +58,25 @@ def parse_entities(lines: DataFrame, text_col: str = "value", strict: bool = Tru
 def load_entities(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """Read NDJSON files (a file, folder or glob) as entities."""
     return parse_entities(spark.read.text(path), strict=strict)
+
+
+def load_dump_once(spark: SparkSession, dump_path: str, marker_dir: str, name: str, base_path: str,
+                   ledger_name: str, ledger_base: str, dataset: str) -> bool:
+    """Load an entity dump into catalog table ``name`` unless the ledger says
+    this dump was the last one loaded (S2 + S6 + S7).
+
+    The markers come from ``marker_dir``; an unchanged dump is skipped; the
+    table is replaced atomically (a failed parse leaves the old version); the
+    ledger row is appended only after the replace succeeded.  Returns whether
+    a load happened.
+    """
+    from .tables import (LEDGER_SCHEMA, append_rows, ensure_table, ledger_decision, ledger_row,
+                         read_markers, replace_table)
+
+    seq, ts = read_markers(spark, marker_dir)
+    ledger = ensure_table(spark, ledger_name, LEDGER_SCHEMA, ledger_base)
+    if ledger_decision(ledger, dataset, seq, ts).first()["skip"]:
+        return False
+    replace_table(load_entities(spark, dump_path), name, base_path)
+    append_rows(ledger_row(spark, dataset, seq, ts), ledger_name)
+    return True

@@ -193,3 +193,21 @@ def test_missing_keys_include_null_labels(spark):
     assert got == [("t2", "a"), ("t3", "b")]     # t2 has a NULL-label row too
     df = spark.createDataFrame([("k", 1, 3), ("k", 2, 3), ("j", 1, None)], "k string, id int, ts int")
     assert [tuple(r) for r in latest_per_key(df, ["k"], "ts", ["id"]).orderBy("k").collect()] == [("j", 1, None), ("k", 1, 3)]
+
+
+def test_load_dump_once_skips_unchanged(spark):
+    from sharelens.sources.ndjson import load_dump_once
+    d = _local(spark, "dump")
+    _write_bytes(f"{d}/mbdump/label", b'{"id": "a", "name": "A"}\n{"id": "b", "name": "B"}\n')
+    _write_bytes(f"{d}/REPLICATION_SEQUENCE", b"7\n")
+    names = dict(name=f"lab_{uuid.uuid4().hex[:8]}", base_path=scratch_path(spark, "lab"),
+                 ledger_name=f"led_{uuid.uuid4().hex[:8]}", ledger_base=scratch_path(spark, "led"),
+                 dataset="label")
+    assert load_dump_once(spark, f"{d}/mbdump/label", d, **names) is True
+    assert load_dump_once(spark, f"{d}/mbdump/label", d, **names) is False     # same markers (ts NULL = NULL)
+    _write_bytes(f"{d}/mbdump/label", b'{"id": "a", "name": "A"}\n{broken\n')
+    _write_bytes(f"{d}/REPLICATION_SEQUENCE", b"8\n")
+    with pytest.raises(Exception):
+        load_dump_once(spark, f"{d}/mbdump/label", d, **names)
+    assert spark.table(names["name"]).count() == 2                               # old version kept
+    assert spark.table(names["ledger_name"]).count() == 1                        # failed load not recorded

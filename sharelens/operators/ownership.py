@@ -236,6 +236,21 @@ def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int = MAX_WALK_DE
     return out
 
 
+def ownership_paths(labels: DataFrame, edges: DataFrame, rules: RuleTable = PATH_OWNER_RULES,
+                    max_depth: int = MAX_WALK_DEPTH, id_col: str = "label_id",
+                    name_col: str = "label_name") -> DataFrame:
+    """G7 result: deepest path per label with its owner group.
+
+    Identical parallel edges (the same relation listed on both of its ends)
+    only repeat walk rows -- 2^k copies after k such steps around a cycle --
+    and copies cannot change which row ranks first.  They are dropped before
+    the walk, so the rows per level stay linear in the depth while the result
+    equals the bag walk's.
+    """
+    e = edges.dropDuplicates(["owned_label_id", "owner_label_id", "owner_label_name"])
+    return deepest_path(walk_paths(labels, e, max_depth, id_col, name_col), rules)
+
+
 def deepest_path(walk: DataFrame, rules: RuleTable = PATH_OWNER_RULES) -> DataFrame:
     """Deepest walk row per label, ties by owner id then path (W2), and the
     owner group by rules B (G7 result)."""

@@ -22,11 +22,10 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import INDEPENDENT_OTHER, INDEPENDENT_UNKNOWN
 from ..operators.ownership import (
-    deepest_path,
     flatten_relations,
     label_dimension,
     orient_edges,
-    walk_paths,
+    ownership_paths,
 )
 from ..session import scratch_path
 from ..sources.ndjson import load_entities
@@ -250,7 +249,7 @@ def q_ownership_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ownership_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     ents = label_entities(spark, sf_dir)
     edges = orient_edges(flatten_relations(ents))
-    return deepest_path(walk_paths(ents, edges), STANDIN_PATH_RULES)
+    return ownership_paths(ents, edges, STANDIN_PATH_RULES)
 
 
 @register("load_ndjson", "S2", sql="""

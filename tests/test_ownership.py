@@ -132,3 +132,13 @@ def test_flatten_and_orient(spark):
     assert flat.count() == 4
     edges = {(r.owned_label_id, r.owner_label_id) for r in orient_edges(flat).collect()}
     assert edges == {("k", "me"), ("me", "p")}
+
+
+def test_ownership_paths_equals_bag_walk(spark):
+    from sharelens.operators.ownership import ownership_paths
+    rows = [("a", "b", "A", "B"), ("a", "b", "A", "B"), ("b", "a", "B", "A"), ("b", "a", "B", "A"),
+            ("b", "c", "B", "C"), ("c", "b", "C", "B"), ("c", "b", "C", "Bee")]
+    e = spark.createDataFrame(rows, EDGE_SCHEMA)
+    lab = spark.createDataFrame([(k, k.upper()) for k in "abc"], "label_id string, label_name string")
+    bag = sorted(tuple(r) for r in deepest_path(walk_paths(lab, e)).collect())
+    assert sorted(tuple(r) for r in ownership_paths(lab, e).collect()) == bag

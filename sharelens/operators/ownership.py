@@ -90,35 +90,45 @@ def edge_set(edges: DataFrame, owned: str = "owned_label_id", owner: str = "owne
             .select(F.col(owned).alias("o"), F.col(owner).alias("p")).distinct())
 
 
-def _bfs(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
-    """Multi-source BFS.  ``seeds``: (src, node) at depth 0; ``step``: (frm, to).
-    Returns (src, node, depth) with the shortest depth of every reachable pair.
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
 
-    Each level is checkpointed once; the visited set is the union of the
-    checkpointed levels, so no level is ever rewritten.
+def _bfs_levels(seeds: DataFrame, step: DataFrame, keys: list[str], expand, max_depth: int | None) -> DataFrame:
+    """Level-synchronous BFS driver shared by both walks.
+
+    ``expand(frontier, step)`` returns the candidate rows of the next level;
+    rows whose ``keys`` were already visited are dropped.  Each level is one
+    reliable checkpoint (its row count observed in the same job); the visited
+    set is the union of the checkpointed levels, so no level is rewritten.
     """
     step = broadcast_if_bounded(step, EDGE_BROADCAST_ROWS)
-    frontier = cut_lineage(seeds.select("src", "node", F.lit(0).alias("depth")))
+    frontier = cut_lineage(seeds.withColumn("depth", F.lit(0)))
     levels = [frontier]
     depth = 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        visited = levels[0].select("src", "node")
-        for lv in levels[1:]:
-            visited = visited.unionByName(lv.select("src", "node"))
-        nxt = (frontier.select("src", F.col("node").alias("frm"))
-               .join(step, "frm").select("src", F.col("to").alias("node")).distinct()
-               .join(visited, ["src", "node"], "left_anti")
-               .withColumn("depth", F.lit(depth)))
+        visited = _union([lv.select(*keys) for lv in levels])
+        nxt = expand(frontier, step).join(visited, keys, "left_anti").withColumn("depth", F.lit(depth))
         nxt, n = cut_lineage_counted(nxt)
         if n == 0:
             break
         levels.append(nxt)
         frontier = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    return _union(levels)
+
+
+def _bfs(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
+    """Per-source BFS.  ``seeds``: (src, node); ``step``: (frm, to).
+    Returns (src, node, depth) with the shortest depth of every reachable pair."""
+    def expand(frontier: DataFrame, e: DataFrame) -> DataFrame:
+        return (frontier.select("src", F.col("node").alias("frm")).join(e, "frm")
+                .select("src", F.col("to").alias("node")).distinct())
+
+    return _bfs_levels(seeds.select("src", "node"), step, ["src", "node"], expand, max_depth)
 
 
 def _nearest_source(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
@@ -130,28 +140,11 @@ def _nearest_source(seeds: DataFrame, step: DataFrame, max_depth: int | None) ->
     own seeds at d-1: the minimum of minima is the minimum.  State is O(nodes),
     not O(pairs).
     """
-    step = broadcast_if_bounded(step, EDGE_BROADCAST_ROWS)
-    frontier = cut_lineage(seeds.select("node", "src", F.lit(0).alias("depth")))
-    levels = [frontier]
-    depth = 0
-    while max_depth is None or depth < max_depth:
-        depth += 1
-        visited = levels[0].select("node")
-        for lv in levels[1:]:
-            visited = visited.unionByName(lv.select("node"))
-        nxt = (frontier.select(F.col("node").alias("frm"), "src").join(step, "frm")
-               .groupBy(F.col("to").alias("node")).agg(F.min("src").alias("src"))
-               .join(visited, "node", "left_anti")
-               .withColumn("depth", F.lit(depth)))
-        nxt, n = cut_lineage_counted(nxt)
-        if n == 0:
-            break
-        levels.append(nxt)
-        frontier = nxt
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    def expand(frontier: DataFrame, e: DataFrame) -> DataFrame:
+        return (frontier.select(F.col("node").alias("frm"), "src").join(e, "frm")
+                .groupBy(F.col("to").alias("node")).agg(F.min("src").alias("src")))
+
+    return _bfs_levels(seeds.select("node", "src"), step, ["node"], expand, max_depth)
 
 
 def resolve_owners(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
@@ -230,10 +223,7 @@ def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int = MAX_WALK_DE
         if n == 0:
             break
         levels.append(level)
-    out = levels[0]
-    for lv in levels[1:]:
-        out = out.unionByName(lv)
-    return out
+    return _union(levels)
 
 
 def ownership_paths(labels: DataFrame, edges: DataFrame, rules: RuleTable = PATH_OWNER_RULES,

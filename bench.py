@@ -25,6 +25,7 @@ HEADLINE = [
     "e2e_signals",        # E3: share series -> features -> returns join
     "incremental_share",  # E4 / S9
     "ownership_path",     # G7 walk
+    "ownership_orders",   # G2-G6 with every order as a label (166k labels at sf0.1)
     "link_tracks",        # J1 + W1
     "rolling_signals",    # W4-W6
     "lead_lag",           # W9

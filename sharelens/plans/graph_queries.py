@@ -172,10 +172,11 @@ LABELS_SQL = """
 
 _BOUND = 16   # longer than any shortest path in the stand-in graph
 
-DIMENSION_SQL = f"""
+def dimension_sql(labels_sql: str, edges_sql: str) -> str:
+    return f"""
 WITH RECURSIVE
-labels AS ({LABELS_SQL}),
-e AS (SELECT DISTINCT owned_label_id AS o, owner_label_id AS p FROM ({EDGES_SQL}) x
+labels AS ({labels_sql}),
+e AS (SELECT DISTINCT owned_label_id AS o, owner_label_id AS p FROM ({edges_sql}) x
       WHERE owned_label_id IS NOT NULL AND owner_label_id IS NOT NULL),
 w AS (SELECT * FROM e WHERE o <> p),
 nodes AS (SELECT o AS id FROM e UNION SELECT p FROM e),
@@ -207,6 +208,9 @@ SELECT label_id, label_name, ultimate_id, ultimate_parent_name,
        CAST(hierarchy_depth AS INTEGER) AS hierarchy_depth
 FROM named"""
 
+
+DIMENSION_SQL = dimension_sql(LABELS_SQL, EDGES_SQL)
+
 WALK_SQL = f"""
 WITH RECURSIVE
 labels AS ({LABELS_SQL}),
@@ -274,3 +278,32 @@ def q_e2e_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = orient_edges(flatten_relations(ents))
     return label_dimension(ents, edges, STANDIN_OWNER_RULES)
 
+
+
+# ---------------------------------------------------------------- a large table as labels
+ORDER_LABELS_SQL = f"""{LABELS_SQL}
+  UNION ALL SELECT 'o' || CAST(o_orderkey AS VARCHAR), o_orderpriority || ' order' FROM orders"""
+
+ORDER_EDGES_SQL = f"""{EDGES_SQL}
+  UNION ALL
+  SELECT 'o' || CAST(o.o_orderkey AS VARCHAR), 'c' || CAST(c.c_custkey AS VARCHAR),
+         o.o_orderpriority || ' order', c.c_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+
+
+@register("ownership_orders", "G1-G6 (orders as labels)", sql=dimension_sql(ORDER_LABELS_SQL, ORDER_EDGES_SQL))
+def q_ownership_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label dimension with every order added as a label owned by its
+    customer: the graph grows with the largest table but one, four levels
+    deep, with the stand-in's cycles above a share of it."""
+    ents = label_entities(spark, sf_dir)
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    order_name = F.concat(F.col("o_orderpriority"), F.lit(" order"))
+    order_edges = o.join(c, o.o_custkey == c.c_custkey).select(
+        _id("o", "o_orderkey").alias("owned_label_id"), _id("c", "c_custkey").alias("owner_label_id"),
+        order_name.alias("owned_label_name"), F.col("c_name").alias("owner_label_name"))
+    edges = orient_edges(flatten_relations(ents)).unionByName(order_edges)
+    labels = ents.select("label_id", "label_name").unionByName(
+        o.select(_id("o", "o_orderkey").alias("label_id"), order_name.alias("label_name")))
+    return label_dimension(labels, edges, STANDIN_OWNER_RULES)

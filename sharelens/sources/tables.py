@@ -15,6 +15,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -144,13 +145,17 @@ def upsert_range(batch: DataFrame, name: str, base_path: str, date_col: str,
 
 
 # ------------------------------------------------------------------ S9
+def _missing_path(exc: AnalysisException) -> bool:
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def high_water_mark(spark: SparkSession, path: str, date_col: str = "chart_date",
                     floor: str = "1900-01-01") -> _dt.date:
     """``coalesce(max(date), floor)`` of the table at ``path`` (missing table -> floor)."""
     try:
         got = spark.read.parquet(path).agg(F.max(date_col)).first()[0]
-    except Exception as exc:  # noqa: BLE001 - a missing path is the empty-table case
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+    except AnalysisException as exc:   # a missing table is the empty-table case
+        if not _missing_path(exc):
             raise
         got = None
     return got or _dt.date.fromisoformat(floor)
@@ -163,8 +168,8 @@ def read_markers(spark: SparkSession, folder: str) -> tuple[int | None, str | No
     def first_line(name: str) -> str | None:
         try:
             rows = spark.read.text(f"{folder.rstrip('/')}/{name}").limit(1).collect()
-        except Exception as exc:  # noqa: BLE001 - missing marker file
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        except AnalysisException as exc:   # a missing marker file reads as None
+            if not _missing_path(exc):
                 raise
             return None
         text = rows[0][0].strip() if rows else ""

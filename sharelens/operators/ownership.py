@@ -15,7 +15,9 @@ It is computed set-wise, never per label:
 3. each node keeps only ``min((depth, root))`` -- the BFS state is one row
    per node, never labels x nodes nor (root, node) pairs;
 4. only labels that reached no root get a forward BFS of their own (one row
-   per reachable (label, node) pair), for the furthest-node rule.
+   per reachable (label, node) pair), for the furthest-node rule -- and of
+   those, leaves (no incoming edge, one outgoing) take their successor's
+   answer by one join instead.
 
 ``walk_paths`` (SQL-model semantics, G7/W2): depth-limited walk from every
 label with bag semantics (parallel edges multiply rows), a ``a > b > c``
@@ -165,12 +167,28 @@ def resolve_owners(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     # 4. labels with a real owner but no root above: furthest node, depth 0
     movers = walk.select(F.col("o").alias("label_id")).distinct()
     stuck = movers.join(best.select("label_id"), "label_id", "left_anti")
-    up = _bfs(stuck.select(F.col("label_id").alias("src"), F.col("label_id").alias("node")),
+    # A stuck leaf -- no incoming edge, exactly one outgoing edge to s -- is on
+    # no cycle, so its reachable set is {s} + reach(s): its furthest node is
+    # s's (same candidates, same tie-break), or s itself when s has only a
+    # self-loop.  Leaves are most labels of an ownership graph; only the rest
+    # needs a BFS of its own.
+    has_in = walk.select(F.col("p").alias("label_id")).distinct()
+    single = (walk.groupBy(F.col("o").alias("label_id"))
+              .agg(F.count(F.lit(1)).alias("_deg"), F.min("p").alias("_succ"))
+              .where(F.col("_deg") == 1))
+    leaves = (stuck.join(has_in, "label_id", "left_anti").join(single, "label_id")
+              .select("label_id", "_succ"))
+    core = stuck.join(leaves.select("label_id"), "label_id", "left_anti")
+    up = _bfs(core.select(F.col("label_id").alias("src"), F.col("label_id").alias("node")),
               walk.select(F.col("o").alias("frm"), F.col("p").alias("to")), max_depth)
-    far = (up.where(F.col("depth") > 0)
-           .groupBy(F.col("src").alias("label_id"))
-           .agg(F.min(F.struct((-F.col("depth")).alias("nd"), F.col("node").alias("n"))).alias("f"))
-           .select("label_id", F.col("f.n").alias("ultimate_id"), F.lit(0).alias("depth")))
+    far_core = (up.where(F.col("depth") > 0)
+                .groupBy(F.col("src").alias("label_id"))
+                .agg(F.min(F.struct((-F.col("depth")).alias("nd"), F.col("node").alias("n"))).alias("f"))
+                .select("label_id", F.col("f.n").alias("ultimate_id"), F.lit(0).alias("depth")))
+    far_leaf = (leaves.join(far_core.select(F.col("label_id").alias("_succ"), F.col("ultimate_id").alias("_u")),
+                            "_succ", "left")
+                .select("label_id", F.coalesce("_u", "_succ").alias("ultimate_id"), F.lit(0).alias("depth")))
+    far = far_core.unionByName(far_leaf)
     return best.unionByName(far)
 
 

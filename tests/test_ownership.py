@@ -86,7 +86,7 @@ def test_crafted_edge_cases(spark):
     assert (got["lonely"].ultimate_id, got["lonely"].hierarchy_depth) == ("lonely", 0)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4, 5, 6])
 def test_random_graphs_match_plain_bfs(spark, seed):
     rnd = random.Random(seed)
     n = 45
@@ -96,6 +96,11 @@ def test_random_graphs_match_plain_bfs(spark, seed):
         for _ in range(rnd.choice([0, 1, 1, 2])):
             j = rnd.randrange(n) if rnd.random() < 0.3 else rnd.randrange(i, n)
             edges.append((ids[i], ids[j]))
+    # leaves hanging off the graph: one owner each (some into exit-less cycles)
+    for k in range(15):
+        edges.append((f"leaf{k:02d}", ids[rnd.randrange(n)]))
+    edges += [("cy1", "cy2"), ("cy2", "cy1"), ("leafc", "cy1"), ("leafs", "selfy"), ("selfy", "selfy")]
+    ids = ids + [f"leaf{k:02d}" for k in range(15)] + ["cy1", "cy2", "leafc", "leafs", "selfy"]
     labels = ids + ["extra"]
     got = resolve_owners(edge_set(spark.createDataFrame([(o, p, None, None) for o, p in edges], EDGE_SCHEMA)))
     got = {r.label_id: (r.ultimate_id, r.depth) for r in got.collect()}

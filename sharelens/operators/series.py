@@ -28,6 +28,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .indexing import sequence_index
 
 CAL = "cal_idx"
@@ -40,12 +41,18 @@ def calendar(df: DataFrame, date_col: str) -> DataFrame:
 
 
 def with_calendar(df: DataFrame, date_col: str, mode: str = "observed") -> DataFrame:
-    """Add ``cal_idx``: the row's position on the union calendar."""
+    """Add ``cal_idx``: the row's position on the union calendar.
+
+    The observed calendar reads ``df`` twice (rows and distinct dates), so the
+    series frame -- one row per (series, day), small by contract -- is
+    checkpointed first: the plan that produced it runs once, not per branch.
+    """
     if mode == "daily":
         return df.withColumn(CAL, F.datediff(F.col(date_col), F.lit("1970-01-01").cast("date")))
     if mode != "observed":
         raise ValueError(f"unknown calendar mode {mode!r}")
-    return df.join(calendar(df, date_col), date_col)
+    x = cut_lineage(df)
+    return x.join(calendar(x, date_col), date_col)
 
 
 def _frame(series_col: str | Sequence[str]) -> Window:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -44,31 +44,24 @@ Rule = NotNull | AcceptedValues | Expression | Unique
 
 def check(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     spark = df.sparkSession
-    labels: list[tuple[str, str]] = []
-    counts = []
-    for i, r in enumerate(rules):
+    row_rules: list[tuple[str, str, Column]] = []     # (rule, column, failing-row condition)
+    for r in rules:
         if isinstance(r, NotNull):
-            cond = F.col(r.column).isNull()
-            labels.append(("not_null", r.column))
+            row_rules.append(("not_null", r.column, F.col(r.column).isNull()))
         elif isinstance(r, AcceptedValues):
             # NULLs are not_null's business, as in the reference's test
-            cond = F.col(r.column).isNotNull() & ~F.col(r.column).isin(list(r.values))
-            labels.append(("accepted_values", r.column))
+            row_rules.append(("accepted_values", r.column,
+                              F.col(r.column).isNotNull() & ~F.col(r.column).isin(list(r.values))))
         elif isinstance(r, Expression):
-            ok = F.expr(r.expr)
             scope = F.expr(r.where) if r.where else F.lit(True)
-            cond = scope & ~F.coalesce(ok, F.lit(False))
-            labels.append(("expression_is_true", r.name))
-        else:
-            continue
-        counts.append(F.count(F.when(cond, 1)).alias(f"r{i}"))
+            row_rules.append(("expression_is_true", r.name, scope & ~F.coalesce(F.expr(r.expr), F.lit(False))))
     parts = []
-    if counts:
-        row = df.agg(*counts)
+    if row_rules:
+        # every row-level rule in one global aggregate: one scan, map-side combined
+        row = df.agg(*[F.count(F.when(cond, 1)).alias(f"r{i}") for i, (_, _, cond) in enumerate(row_rules)])
         pairs = [F.struct(F.lit(rule).alias("rule"), F.lit(col).alias("column"),
                           F.col(f"r{i}").cast("bigint").alias("failed_rows"))
-                 for (rule, col), i in zip(labels, [j for j, r in enumerate(rules)
-                                                      if not isinstance(r, Unique)])]
+                 for i, (rule, col, _) in enumerate(row_rules)]
         parts.append(row.select(F.explode(F.array(*pairs)).alias("p")).select("p.*"))
     for r in rules:
         if isinstance(r, Unique):

@@ -38,15 +38,24 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_col: str,
 
 def link_tracks(charts: DataFrame, metadata: DataFrame) -> DataFrame:
     """Charts with normalised keys, left-joined to the latest metadata row per
-    key for its track id (J1 + W1; int_charts_with_track_id)."""
-    c = charts.withColumns({
-        "normalized_track_name": normalize_text("track_name"),
-        "normalized_artist_name": normalize_text("artist_name"),
-    })
+    key for its track id (J1 + W1; int_charts_with_track_id).
+
+    Keys depend only on the (track, artist) title, and a title repeats on
+    every day it charts: the regex work and the metadata match run once per
+    distinct title (map-side distinct first), then one null-safe join hangs
+    the result on the chart rows -- still a single shuffle of chart rows, or
+    none when AQE finds the title map small enough to broadcast.
+    """
     keys = ["normalized_track_name", "normalized_artist_name"]
+    titles = (charts.select("track_name", "artist_name").distinct()
+              .withColumns({"normalized_track_name": normalize_text("track_name"),
+                            "normalized_artist_name": normalize_text("artist_name")}))
     m = latest_per_key(metadata.select(*keys, "spotify_track_id", "updated_at"), keys, "updated_at",
                        ["spotify_track_id"]).select(*keys, "spotify_track_id")
-    return c.join(m, keys, "left")
+    title_map = titles.join(m, keys, "left").select(
+        F.col("track_name").alias("_t"), F.col("artist_name").alias("_a"), *keys, "spotify_track_id")
+    on = charts["track_name"].eqNullSafe(title_map["_t"]) & charts["artist_name"].eqNullSafe(title_map["_a"])
+    return charts.join(title_map, on, "left").drop("_t", "_a")
 
 
 def track_labels(linked: DataFrame, metadata: DataFrame, strict: bool = True) -> DataFrame:

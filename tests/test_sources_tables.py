@@ -211,3 +211,17 @@ def test_load_dump_once_skips_unchanged(spark):
         load_dump_once(spark, f"{d}/mbdump/label", d, **names)
     assert spark.table(names["name"]).count() == 2                               # old version kept
     assert spark.table(names["ledger_name"]).count() == 1                        # failed load not recorded
+
+
+def test_link_tracks_per_title_null_safe(spark):
+    from sharelens.operators.linkage import link_tracks
+    from sharelens.operators.staging import stage_metadata
+    charts = spark.createDataFrame([("Song!", "Band", 1), ("song", "BAND ", 2), (None, "Band", 3), ("Other", None, 4)],
+                                   "track_name string, artist_name string, s int")
+    meta = stage_metadata(spark.createDataFrame(
+        [("song", "band", "L", "T1", dt.datetime(2024, 1, 1)), ("SONG", "Band", "L", "T2", dt.datetime(2024, 2, 1))],
+        "track_name string, artist_name string, spotify_label string, spotify_track_id string, updated_at timestamp"))
+    got = {r.s: (r.normalized_track_name, r.normalized_artist_name, r.spotify_track_id)
+           for r in link_tracks(charts, meta).collect()}
+    assert got == {1: ("song", "band", "T2"), 2: ("song", "band", "T2"), 3: (None, "band", None),
+                   4: ("other", None, None)}

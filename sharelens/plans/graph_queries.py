@@ -17,6 +17,8 @@ them:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from ..operators.ownership import (
 )
 from ..session import scratch_path
 from ..sources.ndjson import load_entities
+from ..sources.tables import replace_table
 from .registry import register, table
 from .sqlgen import case_sql
 
@@ -272,14 +275,16 @@ def q_load_ndjson(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("e2e_ownership", "E2", sql=DIMENSION_SQL)
 def q_e2e_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dump file -> entities -> relations -> edges -> label dimension."""
-    ents = load_entities(spark, write_dump(spark, sf_dir)).select(
-        F.col("mb_id").alias("label_id"), F.col("name").alias("label_name"), "relations")
+    """Dump file -> parsed once into a stored table (atomic replace) ->
+    relations -> edges -> label dimension, as the load-then-model flow does."""
+    name = f"sl_labels_{uuid.uuid4().hex[:10]}"
+    replace_table(load_entities(spark, write_dump(spark, sf_dir)), name, scratch_path(spark, "labels"))
+    ents = spark.table(name).select(F.col("mb_id").alias("label_id"), F.col("name").alias("label_name"),
+                                    "relations")
     edges = orient_edges(flatten_relations(ents))
     return label_dimension(ents, edges, STANDIN_OWNER_RULES)
 
 
-
 # ---------------------------------------------------------------- a large table as labels
 ORDER_LABELS_SQL = f"""{LABELS_SQL}
   UNION ALL SELECT 'o' || CAST(o_orderkey AS VARCHAR), o_orderpriority || ' order' FROM orders"""

@@ -168,6 +168,30 @@ def date_join(left: DataFrame, right: DataFrame, keys: Sequence[str], ffill: boo
     return filled.join(right, list(keys))
 
 
+def align_calendars(left: DataFrame, right: DataFrame, series_col: str, date_col: str) -> DataFrame:
+    """Long-form twin of inner-joining two *wide* frames on their date index
+    (J6 as the reference does it): the joined calendar is the dates of
+    ``left`` (any series) that are also dates of ``right`` (any series); on
+    those dates every (series, date) present on either side is a row, the
+    other side's columns NULL where that series has no value -- the NaN cells
+    of the wide join.  No grid: rows exist only where a value exists.
+    """
+    common = left.select(date_col).distinct().join(right.select(date_col).distinct(), date_col)
+    lft = left.join(common, date_col, "left_semi")
+    rgt = right.join(common, date_col, "left_semi")
+    return lft.join(rgt, [series_col, date_col], "full")
+
+
+def calendar_difference(df: DataFrame, series_col: str, date_col: str, value_col: str,
+                        out: str | None = None) -> DataFrame:
+    """``x - x_prev`` where ``x_prev`` is the series' value at the previous
+    position of the frame's own union calendar (W8 on a wide frame): a
+    missing or NULL previous cell gives NULL, as ``diff`` does on NaN."""
+    x = with_calendar(df, date_col)
+    prev = F.first(value_col).over(_frame(series_col).rangeBetween(-1, -1))
+    return x.select(*df.columns, (F.col(value_col) - prev).alias(out or f"{value_col}_change"))
+
+
 def paired(df: DataFrame, x: str, y: str) -> tuple[Column, Column]:
     """``x``/``y`` with each NULL where the other is NULL (pairwise deletion, J7)."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()

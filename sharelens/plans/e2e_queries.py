@@ -6,28 +6,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
-from ..operators.series import date_join, first_difference, rolling_features
+from ..operators.series import align_calendars, calendar_difference, rolling_features
 from ..operators.share import daily_share
 from ..session import scratch_path
 from ..sources.tables import write_partitions
 from ..streaming.incremental import run_to_end, stream_daily_fact
 from .registry import register, table
-from .series_queries import PRICE_RETURNS_SQL, ROLLING_SQL, _r, price_returns, segment_share
+from .series_queries import (
+    _PRICED,
+    PRICE_RETURNS_SQL,
+    SEGMENT_SHARE_SQL,
+    _r,
+    price_returns,
+    rolling_sql,
+    share_series,
+)
 
 
-@register("e2e_signals", "E3,A7,A8,W4,W5,W6,W7,W8,J6", sql=f"""
-SELECT segment, order_day, ROUND(market_share_pct, 6) AS market_share_pct, ROUND(ma7, 6) AS ma7,
+_PRICED_SHARE_SQL = f"SELECT * FROM ({SEGMENT_SHARE_SQL}) a WHERE segment IN ({_PRICED})"
+
+
+@register("e2e_signals", "E3,P12,A7,A8,W4,W5,W6,W7,W8,J6", sql=f"""
+WITH g AS ({rolling_sql(_PRICED_SHARE_SQL)}),
+r AS ({PRICE_RETURNS_SQL}),
+k AS (SELECT DISTINCT order_day FROM g INTERSECT SELECT DISTINCT order_day FROM r),
+cal AS (SELECT order_day, row_number() OVER (ORDER BY order_day) AS cal_idx FROM k),
+f AS (SELECT COALESCE(g.segment, r.segment) AS segment, COALESCE(g.order_day, r.order_day) AS order_day,
+             g.market_share_pct, g.ma7, g.roc7, g.zscore, r.log_return
+      FROM (SELECT * FROM g WHERE order_day IN (SELECT order_day FROM k)) g
+      FULL OUTER JOIN (SELECT * FROM r WHERE order_day IN (SELECT order_day FROM k)) r
+        ON g.segment = r.segment AND g.order_day = r.order_day)
+SELECT f.segment, f.order_day, ROUND(market_share_pct, 6) AS market_share_pct, ROUND(ma7, 6) AS ma7,
        ROUND(roc7, 6) AS roc7, ROUND(zscore, 6) AS zscore, ROUND(log_return, 6) AS log_return,
-       ROUND(market_share_pct - LAG(market_share_pct) OVER (PARTITION BY segment ORDER BY order_day), 6) AS ms_change
-FROM (SELECT g.*, r.log_return FROM ({ROLLING_SQL}) g
-      JOIN ({PRICE_RETURNS_SQL}) r ON g.segment = r.segment AND g.order_day = r.order_day) j""")
+       ROUND(market_share_pct - FIRST_VALUE(market_share_pct) OVER (PARTITION BY f.segment ORDER BY cal.cal_idx
+             RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING), 6) AS ms_change
+FROM f JOIN cal ON cal.order_day = f.order_day""")
 def q_e2e_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share series -> rolling momentum features -> joined with price returns
-    on trading days -> share change over the joined rows."""
-    feats = rolling_features(segment_share(spark, sf_dir), "segment", "order_day", "market_share_pct", window=7)
-    j = date_join(feats.select("segment", "order_day", "market_share_pct", "ma7", "roc7", "zscore"),
-                  price_returns(spark, sf_dir), ["segment", "order_day"])
-    return _r(first_difference(j, "segment", "order_day", "market_share_pct", out="ms_change"))
+    """Priced share series -> rolling momentum features on their own union
+    calendar -> aligned with price returns on the common calendar (the wide
+    inner join) -> share change over that calendar."""
+    feats = rolling_features(share_series(spark, sf_dir), "segment", "order_day", "market_share_pct", window=7)
+    j = align_calendars(feats.select("segment", "order_day", "market_share_pct", "ma7", "roc7", "zscore"),
+                        price_returns(spark, sf_dir), "segment", "order_day")
+    return _r(calendar_difference(j, "segment", "order_day", "market_share_pct", out="ms_change"))
 
 
 EVENT_CHART_SCHEMA = StructType([

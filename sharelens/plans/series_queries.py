@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from ..functions.numeric import round_binary
 from ..operators.quantiles import describe
 from ..operators.series import (
+    align_calendars,
+    calendar_difference,
     date_join,
-    first_difference,
     latest_k,
     log_returns,
     pivot_wide,
@@ -23,7 +24,7 @@ from ..operators.series import (
     series_profile,
 )
 from ..operators.share import daily_share
-from ..operators.staging import map_keys
+from ..operators.staging import in_groups, map_keys
 from ..operators.stats import corr_matrix, lead_lag, pearson_by_group, pearson_significance
 from .registry import register, table
 
@@ -102,20 +103,39 @@ PRICE_RETURNS_SQL = f"""
               FROM (SELECT DISTINCT ship_day FROM ({FLAG_PRICE_SQL}) q) d) c USING (ship_day)) x"""
 
 
+def share_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share series of the groups that have a price series (P12 IN-list,
+    as the reference keeps only the priced groups before pivoting)."""
+    s = segment_share(spark, sf_dir).select("segment", "order_day", "market_share_pct")
+    return s.where(in_groups("segment", sorted(FLAG_TO_SEGMENT.values())))
+
+
 def combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share series joined with returns on (segment, day) and the share change
-    over the joined rows (J6 + W8)."""
-    j = date_join(segment_share(spark, sf_dir).select("segment", "order_day", "market_share_pct"),
-                  price_returns(spark, sf_dir), ["segment", "order_day"])
-    return first_difference(j, "segment", "order_day", "market_share_pct", out="ms_change")
+    """Share series and returns aligned on the common calendar (J6 on wide
+    frames) with the share change over that calendar (W8)."""
+    j = align_calendars(share_series(spark, sf_dir), price_returns(spark, sf_dir), "segment", "order_day")
+    return calendar_difference(j, "segment", "order_day", "market_share_pct", out="ms_change")
 
 
+_PRICED = ", ".join(f"'{v}'" for v in sorted(FLAG_TO_SEGMENT.values()))
+
 COMBINED_SQL = f"""
-  SELECT segment, order_day, market_share_pct, log_return,
-         market_share_pct - LAG(market_share_pct) OVER (PARTITION BY segment ORDER BY order_day) AS ms_change
-  FROM (SELECT s.segment, s.order_day, s.market_share_pct, r.log_return
-        FROM ({SEGMENT_SHARE_SQL}) s JOIN ({PRICE_RETURNS_SQL}) r
-          ON s.segment = r.segment AND s.order_day = r.order_day) j"""
+  SELECT f.segment, f.order_day, f.market_share_pct, f.log_return,
+         f.market_share_pct - FIRST_VALUE(f.market_share_pct) OVER (PARTITION BY f.segment ORDER BY cal.cal_idx
+             RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING) AS ms_change
+  FROM (SELECT COALESCE(s.segment, r.segment) AS segment, COALESCE(s.order_day, r.order_day) AS order_day,
+               s.market_share_pct, r.log_return
+        FROM (SELECT segment, order_day, market_share_pct FROM ({SEGMENT_SHARE_SQL}) a
+              WHERE segment IN ({_PRICED})
+                AND order_day IN (SELECT order_day FROM ({PRICE_RETURNS_SQL}) q)) s
+        FULL OUTER JOIN
+             (SELECT segment, order_day, log_return FROM ({PRICE_RETURNS_SQL}) b
+              WHERE order_day IN (SELECT order_day FROM ({SEGMENT_SHARE_SQL}) c WHERE segment IN ({_PRICED}))) r
+          ON s.segment = r.segment AND s.order_day = r.order_day) f
+  JOIN (SELECT order_day, row_number() OVER (ORDER BY order_day) AS cal_idx
+        FROM (SELECT DISTINCT order_day FROM ({SEGMENT_SHARE_SQL}) d WHERE segment IN ({_PRICED})
+              INTERSECT SELECT DISTINCT order_day FROM ({PRICE_RETURNS_SQL}) e) k) cal
+    ON cal.order_day = f.order_day"""
 
 
 # ---------------------------------------------------------------- queries
@@ -155,8 +175,9 @@ def q_pivot_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(pivot_wide(flag_price(spark, sf_dir), "ship_day", "flag", "price", list(FLAG_NAMES), FLAG_NAMES))
 
 
-ROLLING_SQL = f"""
-WITH s AS ({SEGMENT_SHARE_SQL}),
+def rolling_sql(series_sql: str) -> str:
+    return f"""
+WITH s AS ({series_sql}),
 cal AS (SELECT order_day, row_number() OVER (ORDER BY order_day) AS cal_idx FROM (SELECT DISTINCT order_day FROM s) d),
 x AS (SELECT s.*, cal.cal_idx FROM s JOIN cal USING (order_day)),
 f AS (
@@ -175,6 +196,9 @@ SELECT segment, order_day, total_volume, market_share_pct,
 FROM f"""
 
 
+ROLLING_SQL = rolling_sql(SEGMENT_SHARE_SQL)
+
+
 @register("rolling_signals", "W4,W5,W6", sql=f"""
 SELECT segment, order_day, total_volume, ROUND(market_share_pct, 6) AS market_share_pct,
        ROUND(ma7, 6) AS ma7, ROUND(roc7, 6) AS roc7, ROUND(zscore, 6) AS zscore,

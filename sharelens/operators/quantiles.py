@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import round_binary
+
 _PID = "_pid"
 
 
@@ -66,9 +68,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 
 
 def describe(df: DataFrame, group_col: str, value_col: str, scale: float = 1.0,
-             probs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+             probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int | None = None) -> DataFrame:
     """Per group: count, mean, std (n-1), min, quantiles, max of ``value * scale``
-    (pandas ``describe``; the quantile columns are named ``p25``, ``p50``...)."""
+    (pandas ``describe``; the quantile columns are named ``p25``, ``p50``...),
+    rounded to ``digits`` when given (the reference shows x100, 2 digits)."""
     x = df.select(group_col, (F.col(value_col) * F.lit(scale)).alias("_x"))
     stats = x.groupBy(group_col).agg(
         F.count("_x").alias("count"),
@@ -82,4 +85,7 @@ def describe(df: DataFrame, group_col: str, value_col: str, scale: float = 1.0,
     wide = q.groupBy(group_col).pivot("q", list(names)).agg(F.first("quantile"))
     for p, name in names.items():
         wide = wide.withColumnRenamed(str(p), name)
-    return stats.join(wide, group_col, "left")
+    out = stats.join(wide, group_col, "left")
+    if digits is None:
+        return out
+    return out.select(*[round_binary(c, digits).alias(c) if t == "double" else F.col(c) for c, t in out.dtypes])

@@ -121,13 +121,22 @@ def first_difference(df: DataFrame, series_col: str, order_col: str, value_col:
     return df.withColumn(out or f"{value_col}_change", F.col(value_col) - F.lag(value_col, 1).over(w))
 
 
-def latest_k(df: DataFrame, series_col: str, order_col: str, k: int = 5) -> DataFrame:
-    """Last ``k`` rows per series (W10); ties broken by the other columns'
-    order are not needed because ``order_col`` is unique per series."""
-    w = Window.partitionBy(series_col).orderBy(F.col(order_col).desc())
-    # rank filter: Spark plans a WindowGroupLimit, so each task keeps k rows
-    # per series before the shuffle
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+def latest_k(df: DataFrame, series_col: str, order_col: str, k: int = 5, per_series: bool = False) -> DataFrame:
+    """Rows of the last ``k`` dates.
+
+    Default: ``tail(k)`` of the wide frame -- the ``k`` latest dates of the
+    union calendar, every series' rows on them (a series missing there simply
+    has no row).  The date list is a distributed top-k of the distinct dates
+    (at most ``k`` rows, broadcast).  ``per_series=True`` keeps each series'
+    own last ``k`` rows instead (a rank filter planned as a WindowGroupLimit,
+    so each task keeps ``k`` rows per series before the shuffle).
+    """
+    if per_series:
+        w = Window.partitionBy(series_col).orderBy(F.col(order_col).desc())
+        return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    last = df.select(order_col).where(F.col(order_col).isNotNull()).distinct() \
+        .orderBy(F.col(order_col).desc()).limit(k)
+    return df.join(F.broadcast(last), order_col, "left_semi")
 
 
 def series_profile(df: DataFrame, series_col: str, date_col: str,

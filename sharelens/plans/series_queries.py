@@ -218,7 +218,7 @@ def q_log_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("latest_k", "W10", sql=f"""
 SELECT segment, order_day, ROUND(market_share_pct, 4) AS market_share_pct
 FROM ({SEGMENT_SHARE_SQL}) s
-QUALIFY row_number() OVER (PARTITION BY segment ORDER BY order_day DESC) <= 5""")
+WHERE order_day IN (SELECT DISTINCT order_day FROM ({SEGMENT_SHARE_SQL}) t ORDER BY order_day DESC LIMIT 5)""")
 def q_latest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = segment_share(spark, sf_dir).select("segment", "order_day", "market_share_pct")
     return _r(latest_k(s, "segment", "order_day", 5), 4)

@@ -12,13 +12,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 _PID = "_seq_pid"
 
 
 def sequence_index(df: DataFrame, order_col: str, out: str = "idx") -> DataFrame:
     """Add ``out`` = 1-based position of each row in ``order_col`` order
     (ties get distinct, arbitrary positions; pass distinct values)."""
-    ranged = df.repartitionByRange(F.col(order_col).asc_nulls_first()).withColumn(_PID, F.spark_partition_id())
+    # the partition id is read by two branches; a range exchange evaluated twice
+    # may sample different bounds, so the assignment is checkpointed once
+    ranged = cut_lineage(df.repartitionByRange(F.col(order_col).asc_nulls_first())
+                         .withColumn(_PID, F.spark_partition_id()))
     local = ranged.withColumn("_seq_ln", F.row_number().over(Window.partitionBy(_PID).orderBy(order_col)))
     sizes = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("_seq_n"))
     # one row per partition: the only un-partitioned window, bounded by the partition count

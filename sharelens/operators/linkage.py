@@ -77,7 +77,9 @@ def hierarchy_groups(joined: DataFrame, labels: DataFrame, strict: bool = True)
                         "ultimate_parent_name", "label_id")
     if strict:
         lab = lab.where(F.col("_k") != F.lit(""))
-        w = Window.partitionBy("_k").orderBy(F.col("label_id").asc_nulls_last())
+        w = Window.partitionBy("_k").orderBy(F.col("label_id").asc_nulls_last(),
+                                             F.col("hierarchy_group").asc_nulls_last(),
+                                             F.col("ultimate_parent_name").asc_nulls_last())
         lab = lab.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
     lab = lab.drop("label_id")
     return joined.join(lab, joined["normalized_label"] == lab["_k"], "left").drop("_k")

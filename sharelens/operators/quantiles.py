@@ -5,7 +5,8 @@ in one task; a group holding a third of the data would not fit.  Instead:
 
 1. count rows per ``(group, value)`` (map-side combine);
 2. range-partition those counts by ``(group, value)``: the sampler splits a
-   hot group over many partitions by value;
+   hot group over many partitions by value; the assignment is checkpointed
+   once so every later branch sees the same partition of each row;
 3. running count within each ``(partition, group)`` slice -- bounded by the
    partition size, so no slice is hot;
 4. prefix sums of the slice totals per group give each slice's offset (a
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import round_binary
+from ..session import cut_lineage
 
 _PID = "_pid"
 
@@ -37,7 +39,10 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     order = [F.col(c).asc_nulls_first() for c in g] + [F.col(v).asc()]
     ranged = (counts.repartitionByRange(num_partitions, *order) if num_partitions
               else counts.repartitionByRange(*order))
-    ranged = ranged.withColumn(_PID, F.spark_partition_id())
+    # The partition id feeds two branches (slice counts and slice totals).  Two
+    # evaluations of a range exchange may sample different bounds, so the
+    # assignment is checkpointed once and both branches read the same one.
+    ranged = cut_lineage(ranged.withColumn(_PID, F.spark_partition_id()))
     # 3. running count inside each (partition, group) slice
     slice_w = Window.partitionBy(_PID, *g).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
     local = ranged.withColumn("_lc", F.sum("_c").over(slice_w))

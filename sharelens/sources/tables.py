@@ -99,18 +99,33 @@ def append_rows(df: DataFrame, name: str) -> None:
     df.write.mode("append").insertInto(name)
 
 
-def materialize(df: DataFrame, name: str, kind: str = "view", base_path: str | None = None) -> DataFrame:
-    """``view`` (temp view, inlined at query time) or ``table`` (stored).
-    Incremental materialisation is ``incremental_share`` in plans."""
+def materialize(df, name: str, kind: str = "view", base_path: str | None = None,
+                date_col: str = "chart_date") -> DataFrame:
+    """Materialise a model as ``view`` (temp view, inlined at query time),
+    ``table`` (stored, atomic replace) or ``incremental`` (S12).
+
+    For ``incremental`` pass ``build(since) -> DataFrame`` instead of a
+    DataFrame: only dates after the table's high-water mark are computed and
+    their partitions written (``incremental_append``); the catalog table over
+    ``base_path`` is created once and its partitions recovered after each run.
+    """
     if kind == "view":
         df.createOrReplaceTempView(name)
-    elif kind == "table":
-        if base_path is None:
-            raise ValueError("table materialisation needs base_path")
+        return df.sparkSession.table(name)
+    if base_path is None:
+        raise ValueError(f"{kind} materialisation needs base_path")
+    if kind == "table":
         replace_table(df, name, base_path)
-    else:
-        raise ValueError(f"unknown materialisation {kind!r}")
-    return df.sparkSession.table(name)
+        return df.sparkSession.table(name)
+    if kind == "incremental":
+        spark = SparkSession.getActiveSession()
+        incremental_append(df, base_path, date_col)
+        if not spark.catalog.tableExists(name):
+            spark.catalog.createTable(name, path=base_path, source="parquet")
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
+    raise ValueError(f"unknown materialisation {kind!r}")
 
 
 # ------------------------------------------------------------------ S8

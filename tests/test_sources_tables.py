@@ -225,3 +225,19 @@ def test_link_tracks_per_title_null_safe(spark):
            for r in link_tracks(charts, meta).collect()}
     assert got == {1: ("song", "band", "T2"), 2: ("song", "band", "T2"), 3: (None, "band", None),
                    4: ("other", None, None)}
+
+
+def test_materialize_incremental(spark):
+    from sharelens.sources.tables import materialize
+    name, base = f"inc_{uuid.uuid4().hex[:8]}", scratch_path(spark, "inc-table")
+    rows = [(dt.date(2024, 1, d), d) for d in range(1, 7)]
+    src = spark.createDataFrame(rows, "chart_date date, v long")
+
+    def build(data):
+        return lambda since: data.where(F.col("chart_date") > since).groupBy("chart_date").agg(F.sum("v").alias("t"))
+
+    assert materialize(build(src.where("chart_date <= date'2024-01-03'")), name, "incremental", base).count() == 3
+    out = materialize(build(src), name, "incremental", base)
+    assert sorted((r.chart_date.day, r.t) for r in out.collect()) == [(d, d) for d in range(1, 7)]
+    view = materialize(src, f"v_{uuid.uuid4().hex[:8]}", "view")
+    assert view.count() == 6

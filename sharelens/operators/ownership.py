@@ -21,7 +21,9 @@ It is computed set-wise, never per label:
 
 ``walk_paths`` (SQL-model semantics, G7/W2): depth-limited walk from every
 label with bag semantics (parallel edges multiply rows), a ``a > b > c``
-path, and the deepest row per label.
+path, and the deepest row per label.  ``ownership_paths`` returns that
+result with identical parallel edges dropped first (same answer, rows per
+level linear in the depth instead of doubling around a cycle).
 
 Every BFS level is cut from its lineage with a reliable checkpoint, so a
 lost executor recomputes one level, not the whole walk.  The edge side of

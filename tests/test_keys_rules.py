@@ -85,3 +85,26 @@ def test_classify_custom_table(spark):
     rules = (("g1", ("x",)), ("g2", ("y", "x")))
     got = _one(spark, ["XY", "y", "z"], lambda c: classify(c, rules, default="none"))
     assert got == ["g1", "g2", "none"]
+
+
+TRICKY = [" Drake - Song", "  Artist - Title　", "Tab\t - \tTitle", "A -B - C",
+          " - leading", "trailing - ", "no sep", "", "Beyoncé - Halo", "ＡＢＣ - ｘｙｚ", "x  -  y",
+          "Mötley Crüe Records", "Warner Bros. Records Inc.", "  many   spaces  group ", "Disco-Co", "SA",
+          "\u00a0NBSP Artist\u00a0 - Song\u00a0", "\u2009thin\u2009 - x", "Ünï\u00a0Côde\u00a0Records"]
+
+
+def test_keys_equal_duckdb_on_tricky_strings(spark):
+    import duckdb
+
+    from sharelens.plans.sqlgen import normalize_label_sql, normalize_text_sql, split_title_sql
+
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(TRICKY)], "i int, t string")
+    a, t = split_title("t")
+    ours = [tuple(r) for r in df.select("i", a, t, normalize_text("t"), normalize_label("t")).orderBy("i").collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE x (i INTEGER, t VARCHAR)")
+    con.executemany("INSERT INTO x VALUES (?, ?)", list(enumerate(TRICKY)))
+    sa, st = split_title_sql("t")
+    theirs = con.execute(f"SELECT i, {sa}, {st}, {normalize_text_sql('t')}, {normalize_label_sql('t')} "
+                         f"FROM x ORDER BY i").fetchall()
+    assert ours == [tuple(r) for r in theirs]

@@ -23,17 +23,30 @@ def resolved_rows(charts: DataFrame, metadata: DataFrame, labels: DataFrame,
                   since: Column | None = None) -> DataFrame:
     """One row per chart row (per match when ``strict=False``) with its
     ``parent_group``.  ``since`` filters chart dates before any join, so the
-    predicate reaches the chart scan."""
+    predicate reaches the chart scan.
+
+    Every lookup (J1 keys, J2 label, J3 group, rules) depends only on the
+    (track, artist) title, so they all run on the distinct titles -- a small
+    frame -- and the chart rows, the big side, take part in one join only.
+    Fan-out is preserved: a title with several matches has several rows.
+    """
     staged = stage_charts(charts)
     if since is not None:
         staged = staged.where(F.col("chart_date") > since)
     meta = stage_metadata(metadata)
-    linked = link_tracks(staged, meta)
+    titles = staged.select("track_name", "artist_name").distinct()
+    linked = link_tracks(titles, meta)
     with_label = track_labels(linked, meta, strict)
     joined = hierarchy_groups(with_label, labels, strict)
     direct = label_string_group("original_label", rules)
-    return joined.select("chart_date", "track_name", "artist_name", "daily_streams", "spotify_track_id",
-                         resolve_group(direct, "hierarchy_group").alias("parent_group"))
+    title_groups = joined.select(F.col("track_name").alias("_t"), F.col("artist_name").alias("_a"),
+                                 "spotify_track_id",
+                                 resolve_group(direct, "hierarchy_group").alias("parent_group"))
+    on = (staged["track_name"].eqNullSafe(title_groups["_t"])
+          & staged["artist_name"].eqNullSafe(title_groups["_a"]))
+    return (staged.join(title_groups, on, "left")
+            .select("chart_date", "track_name", "artist_name", "daily_streams", "spotify_track_id",
+                    "parent_group"))
 
 
 def share_fact(charts: DataFrame, metadata: DataFrame, labels: DataFrame,

@@ -241,3 +241,24 @@ def test_materialize_incremental(spark):
     assert sorted((r.chart_date.day, r.t) for r in out.collect()) == [(d, d) for d in range(1, 7)]
     view = materialize(src, f"v_{uuid.uuid4().hex[:8]}", "view")
     assert view.count() == 6
+
+
+def test_stream_merges_late_file(spark):
+    from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+
+    from sharelens.streaming.incremental import run_to_end, stream_daily_fact
+    schema = StructType([StructField("g", StringType()), StructField("v", LongType()),
+                         StructField("chart_date", DateType())])
+    src, out, ckpt = scratch_path(spark, "s-src"), scratch_path(spark, "s-out"), scratch_path(spark, "s-ckpt")
+    first = spark.createDataFrame([("x", 1, dt.date(2024, 1, d)) for d in (1, 2, 3)], schema)
+    first.write.partitionBy("chart_date").parquet(src)
+
+    def build(rows):
+        return rows.groupBy("chart_date").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+
+    run_to_end(stream_daily_fact(spark, src, schema, build, out, checkpoint=ckpt))
+    late = spark.createDataFrame([("y", 10, dt.date(2024, 1, 2))], schema)
+    late.write.mode("append").partitionBy("chart_date").parquet(src)
+    run_to_end(stream_daily_fact(spark, src, schema, build, out, checkpoint=ckpt))
+    got = {r.chart_date.day: (r.total, r.n) for r in spark.read.parquet(out).collect()}
+    assert got == {1: (1, 1), 2: (11, 2), 3: (1, 1)}

@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 from sharelens.plans.registry import TABLES
-from tools.check_oracle import digest
+from tools.check_oracle import digest, type_diff
 
 from .conftest import SF_SMALL
 
@@ -45,5 +45,6 @@ def test_query_matches_twin(spark, duck, name):
     ocols = [d[0] for d in rel.description]
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert not type_diff(df.dtypes, duck, sql)
     assert len(rows) == len(orows)
     assert digest(df.columns, rows)[0] == digest(ocols, orows)[0]

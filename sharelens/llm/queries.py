@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality_rules, url_filter
-from .frames import read
+from . import (
+    bpe,
+    decontaminate,
+    language_id,
+    license_scan,
+    line_dedup,
+    near_dedup,
+    ngram_lm,
+    quality_classifier,
+    quality_rules,
+    url_filter,
+)
+from .frames import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +35,23 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+@query("op1_line_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    done = line_dedup.dedup_lines(docs)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s[1] - s[0])
+    return done.select("row.doc_id", "text", "spans", removed.alias("bytes_removed"))
+
+
+@query("op2_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    members, nodes = near_dedup.classes(docs)
+    return members.join(nodes, "key").select(
+        F.col("own_id").alias("doc_id"), F.col("first.id").alias("class_id"), "n_links",
+        (F.col("own_id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))).alias("kept"))
+
+
 @query("op3_bpe")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,6 +60,32 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("bpe.decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    posterior, weights = quality_classifier.learn(docs)
+    return quality_classifier.score(docs, posterior, weights).select("row.doc_id", "c.*")
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    dictionaries = language_id.learn(docs.where(~held_out))
+    return language_id.predict(docs.select("doc_id", "text", held_out.alias("held_out")), dictionaries).select(
+        "row.doc_id", "row.held_out", F.col("lid.lang").alias("lang_pred"), "lid.score", "lid.rejected")
+
+
+@query("op6_ngram_lm")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    model = ngram_lm.train(docs.where(~held_out))
+    return ngram_lm.score(docs.select("doc_id", "text", held_out.alias("held_out")), model).select(
+        "row.doc_id", "row.held_out", "lm.n_tokens", "lm.n_known", F.lit(model["total"]).cast("long").alias("train_tokens"),
+        "lm.base_score", "lm.score", "lm.perplexity")
+
+
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -39,6 +93,35 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, ratio).select("row.doc_id", "q.*")
 
 
+def _op8_sql() -> str:
+    low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    plain = "trim(regexp_replace(replace(body, '&', ' and '), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' ')"
+    for old, new in license_scan.EQUIVALENT:
+        plain = f"replace({plain}, '{old}', '{new}')"
+    known = ", ".join(f"('{d}', '{name}')" for d, name in license_scan.known_digests())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split({low}, chr(10)) AS lines FROM documents),
+known(digest, license) AS (VALUES {known}),
+units AS (
+  SELECT r, true AS whole, array_to_string([x FOR x IN lines IF NOT regexp_matches(x, '^[ \t]*(copyright|\(c\)|©)')], ' ') AS body FROM d
+  UNION ALL
+  SELECT r, false, CASE WHEN regexp_matches(x, '^[ \t]*(copyright|\(c\)|©)') THEN '' ELSE x END
+  FROM (SELECT r, unnest(lines) AS x FROM d)),
+hits AS (SELECT r, whole, license FROM units JOIN known ON sha256({plain}) = digest)
+SELECT doc_id, max(CASE WHEN whole THEN license END) AS whole_license,
+       coalesce(string_agg(DISTINCT license, ',' ORDER BY license), '') AS licenses,
+       CAST(count(CASE WHEN NOT whole THEN 1 END) AS BIGINT) AS n_notices
+FROM d LEFT JOIN hits USING (r) GROUP BY r, doc_id
+"""
+
+
+@query("op8_license_scan", _op8_sql())
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).select(
+        F.col("id").alias("doc_id"), "whole_license", F.concat_ws(",", "licenses").alias("licenses"), "n_notices")
+
+
 @query("op9_url_filter")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")

@@ -32,7 +32,7 @@ ROLL = 32
 #: a chunk has about so many bytes on average
 MEAN_CHUNK = 1024
 MAX_CHUNK = 1 << 16
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 24 << 20
 
 
 def default_vocabulary() -> str:
@@ -141,16 +141,15 @@ class Codec:
 
 def chunk_cuts(buf: np.ndarray, offsets: np.ndarray, mean: int = MEAN_CHUNK) -> list[np.ndarray]:
     """For each text the places of its chunk borders, 0 and its length included."""
-    n = len(buf)
-    if n > ROLL:
-        p, q = T._power_table(n)
-        prefix = np.zeros(n + 1, T.U64)
-        np.cumsum(T._BYTE[buf] * p[:n], out=prefix[1:])
-        ends = np.arange(ROLL, n, dtype=np.int64)
-        rolled = T.mix((prefix[ROLL:n] - prefix[:n - ROLL]) * q[:n - ROLL])
-        ends = ends[(rolled % T.U64(mean) == 0) & T.LEAD[buf[ROLL:]]]
-    else:
-        ends = np.zeros(0, np.int64)
+    ends = [np.zeros(0, np.int64)]
+    for at in range(0, max(len(buf) - ROLL, 0), T.BATCH_BYTES):  # in blocks, each with the ROLL bytes before it
+        block = buf[at:at + T.BATCH_BYTES + ROLL]
+        p, q = T._power_table(len(block))
+        prefix = np.zeros(len(block) + 1, T.U64)
+        np.cumsum(T._BYTE[block] * p[:len(block)], out=prefix[1:])
+        rolled = T.mix((prefix[ROLL:-1] - prefix[:-ROLL - 1]) * q[:len(block) - ROLL])
+        ends.append(np.flatnonzero((rolled % T.U64(mean) == 0) & T.LEAD[block[ROLL:]]) + at + ROLL)
+    ends = np.concatenate(ends)
     out = []
     for a, b in zip(offsets[:-1], offsets[1:], strict=True):
         own = ends[np.searchsorted(ends, a + ROLL, "left"):np.searchsorted(ends, b, "left")] - a

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def text_of(df: DataFrame, name: str) -> Column:
 def text_udf(fn: Callable[[list], dict], schema: str, make: Callable[[], object] | None = None):
     """A vectorised function of a text column that returns a struct of ``schema``.
 
-    ``fn(texts[, state])`` gets slices of about 8 MB (or one longer text) and
+    ``fn(texts[, state])`` gets slices of about 1 MB (or one longer text) and
     returns one list or array for each field; ``make`` builds the state once
     for each Python worker task.
     """
@@ -47,12 +48,11 @@ def text_udf(fn: Callable[[list], dict], schema: str, make: Callable[[], object]
         state = [make()] if make else []
         for batch in batches:
             batch = batch.cast(pa.string()) if not pa.types.is_string(batch.type) else batch
-            out = []
-            sizes = batch.fill_null("").cast(pa.binary()).to_pylist()
-            for i, j in groups_of_bytes([len(x) for x in sizes]):
+            sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
+            if not len(sizes):
+                yield pa.array([], arrow)
+            for i, j in groups_of_bytes(sizes.tolist()):  # a result for each slice: no more is held at once
                 got = fn(batch.slice(i, j - i).to_pylist(), *state)
-                out.append(pa.StructArray.from_arrays(
-                    [pa.array(got[f.name], f.type) for f in arrow], fields=list(arrow)))
-            yield pa.concat_arrays(out) if out else pa.array([], arrow)
+                yield pa.StructArray.from_arrays([pa.array(got[f.name], f.type) for f in arrow], fields=list(arrow))
 
     return run

@@ -35,7 +35,7 @@ from . import textarrays as T
 from .frames import packed, text_of, text_udf
 
 #: a block is deleted when it has so many words
-MIN_WORDS = 40
+MIN_WORDS = 25
 LAST_ID = (1 << 63) - 1
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[list(b".!?")] = True

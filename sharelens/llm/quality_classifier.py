@@ -25,7 +25,7 @@ from . import textarrays as T
 from .frames import packed, text_of, text_udf
 from .quality_rules import base_columns
 
-LABELLERS = ("length", "symbols", "repeats", "capitals", "exclamations", "word_length", "sentences", "duplicate_lines")
+LABELLERS = ("length", "symbols", "repeats", "capitals", "exclamations", "sentences", "duplicate_lines", "plain_prose")
 PATTERNS = 3 ** len(LABELLERS)
 FEATURES = 1 << 14
 SAMPLE_DOCS = 6_000
@@ -52,18 +52,20 @@ def votes(texts) -> np.ndarray:
     repeats = base["n_repeat_words"] / n_words
     dup = base["n_dup_lines"] / lines
 
-    def vote(bad, good):
+    def vote(bad, good=False):
         return np.where(bad, -1, np.where(good, 1, 0))
 
+    # the absence of one fault says little about the others: all but the last vote bad or abstain
+    plain = (symbols < 0.05) & (caps < 0.3) & (bangs < 0.05) & (repeats < 0.2) & (dup < 0.25) & (mean < 15)
     out = np.stack([
-        vote(base["n_words"] < 10, base["n_words"] >= 50),
-        vote(symbols > 0.2, symbols < 0.02),
-        vote(repeats > 0.3, repeats < 0.05),
-        vote(caps > 0.4, caps < 0.15),
-        vote(bangs > 0.1, bangs < 0.01),
-        vote((mean < 2.5) | (mean > 12), (mean > 3.5) & (mean < 8)),
-        vote(stops < 0.01, (stops > 0.03) & (stops < 0.5)),
-        vote(dup > 0.3, dup < 0.1)], axis=1)
+        vote(base["n_words"] < 2),
+        vote(symbols > 0.1),
+        vote(repeats > 0.25),
+        vote(caps > 0.4),
+        vote(bangs > 0.1),
+        vote((stops < 0.02) | (stops > 0.5)),
+        vote(dup > 0.3),
+        vote((mean < 1.5) | (mean > 25), plain)], axis=1)
     out[base["n_words"] == 0] = -1
     return out
 

@@ -15,7 +15,7 @@ import numpy as np
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

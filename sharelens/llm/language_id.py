@@ -3,8 +3,8 @@
 For each language a raw-content zstandard dictionary of at most ``DICT_BYTES``
 is filled with whole training texts: up to ``SAMPLE_DOCS`` rows, those of at
 most ``SAMPLE_CHARS`` characters first, in the order of a hash.  Every text is
-compressed whole, in pieces of ``PIECE`` bytes, with each dictionary; the
-smallest total wins (on a tie the first language in natural order).  The score
+lower-cased and compressed whole, in pieces of ``PIECE`` bytes, with each
+dictionary; the smallest total wins (on a tie the first language in natural order).  The score
 is the relative margin to the second; where it is under ``MIN_MARGIN`` the
 answer is marked ``rejected``.
 
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from .frames import packed, text_of, text_udf
 
-DICT_BYTES = 1 << 16
-SAMPLE_DOCS = 96
+DICT_BYTES = 1 << 17
+SAMPLE_DOCS = 300
+LEVEL = 9
 SAMPLE_CHARS = 4096
 PIECE = 2048
 MIN_MARGIN = 0.01
@@ -44,7 +45,7 @@ def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> d
               .groupBy("lang", "h").agg(F.max(F.left("text", F.lit(DICT_BYTES))).alias("text")))
     parts: dict[str, list[bytes]] = {}
     for r in picked.orderBy("lang", "h").collect():
-        parts.setdefault(r["lang"], []).append(r["text"].encode("utf-8", "replace"))
+        parts.setdefault(r["lang"], []).append(r["text"].lower().encode("utf-8", "replace"))
     return {lang: b"\n".join(x)[-DICT_BYTES:] for lang, x in sorted(parts.items())}
 
 
@@ -57,13 +58,13 @@ class Sizes:
         for lang in self.langs:
             d = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             params = zstandard.ZstdCompressionParameters.from_level(
-                3, source_size=PIECE, dict_size=len(dictionaries[lang]), write_content_size=False, write_dict_id=False,
+                LEVEL, source_size=PIECE, dict_size=len(dictionaries[lang]), write_content_size=False, write_dict_id=False,
                 format=zstandard.FORMAT_ZSTD1_MAGICLESS)
             d.precompute_compress(compression_params=params)
             self._compressors.append(zstandard.ZstdCompressor(dict_data=d, compression_params=params))
 
     def of(self, text: str) -> list[int]:
-        data = text.encode("utf-8", "replace")
+        data = text.lower().encode("utf-8", "replace")
         pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
         return [sum(len(c.compress(p)) for p in pieces) for c in self._compressors]
 

@@ -103,9 +103,9 @@ def _op8_sql() -> str:
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split({low}, chr(10)) AS lines FROM documents),
 known(digest, license) AS (VALUES {known}),
 units AS (
-  SELECT r, true AS whole, array_to_string([x FOR x IN lines IF NOT regexp_matches(x, '^[ \t]*(copyright|\(c\)|©)')], ' ') AS body FROM d
+  SELECT r, true AS whole, array_to_string([x FOR x IN lines IF NOT regexp_matches(x, '{license_scan.COPYRIGHT}')], ' ') AS body FROM d
   UNION ALL
-  SELECT r, false, CASE WHEN regexp_matches(x, '^[ \t]*(copyright|\(c\)|©)') THEN '' ELSE x END
+  SELECT r, false, CASE WHEN regexp_matches(x, '{license_scan.COPYRIGHT}') THEN '' ELSE x END
   FROM (SELECT r, unnest(lines) AS x FROM d)),
 hits AS (SELECT r, whole, license FROM units JOIN known ON sha256({plain}) = digest)
 SELECT doc_id, max(CASE WHEN whole THEN license END) AS whole_license,

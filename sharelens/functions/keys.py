@@ -20,9 +20,11 @@ LABEL_SUFFIXES = (
     "entertainment", "recordings", "recording", "records", "limited", "company",
     "music", "group", "gmbh", "inc", "llc", "ltd", "plc", "co", "sa", "bv", "ab",
 )
+# Replacements that make a text key out of lower-cased text, in order.
+TEXT_STEPS = (("[^a-z0-9 ]", ""), (" +", " "))
 # ---------------------------------------------------------------------------
 
-_SUFFIX_PATTERN = r"\s*(" + "|".join(LABEL_SUFFIXES) + r")\s*$"
+LABEL_STEPS = (*TEXT_STEPS, (r"\s*(" + "|".join(LABEL_SUFFIXES) + r")\s*$", ""))
 
 # Unicode space separators (category Zs), trimmed from chart titles
 _ZS = "\u0020\u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u202f\u205f\u3000"
@@ -49,12 +51,17 @@ def split_title(c: str | Column, sep: str = TITLE_SEPARATOR) -> tuple[Column, Co
     return unicode_trim(head), unicode_trim(rest)
 
 
-def normalize_text(c: str | Column) -> Column:
-    """lower(trim) -> keep [a-z0-9 ] -> collapse spaces -> trim."""
+def _key(c: str | Column, steps: tuple[tuple[str, str], ...]) -> Column:
     x = F.lower(F.trim(_col(c)))
-    x = F.regexp_replace(x, "[^a-z0-9 ]", "")
+    for pattern, replacement in steps:
+        x = F.regexp_replace(x, pattern, replacement)
     # only U+0020 can be left as whitespace here, so a plain trim is exact
-    return F.trim(F.regexp_replace(x, " +", " "))
+    return F.trim(x)
+
+
+def normalize_text(c: str | Column) -> Column:
+    """lower(trim) -> keep [a-z0-9 ] -> collapse spaces -> trim."""
+    return _key(c, TEXT_STEPS)
 
 
 def normalize_label(c: str | Column) -> Column:
@@ -63,8 +70,4 @@ def normalize_label(c: str | Column) -> Column:
     The suffix match has no word boundary ('disco' -> 'dis'), exactly one
     suffix goes, and a name that is only a suffix becomes ''.
     """
-    x = F.lower(F.trim(_col(c)))
-    x = F.regexp_replace(x, "[^a-z0-9 ]", "")
-    x = F.regexp_replace(x, " +", " ")
-    x = F.regexp_replace(x, _SUFFIX_PATTERN, "")
-    return F.trim(x)
+    return _key(c, LABEL_STEPS)

@@ -107,14 +107,6 @@ def label_string_group(c: str | Column, rules: RuleTable = LABEL_STRING_RULES) -
     return classify(c, rules, default=None)
 
 
-def resolve_group(
-    direct: str | Column,
-    hierarchy: str | Column,
-    weak: str = INDEPENDENT_OTHER,
-    unmapped: str = INDEPENDENT_UNMAPPED,
-) -> Column:
-    """Direct match, else a hierarchy group that is not ``weak``, else the hierarchy
-    group, else ``unmapped`` (P11).  The middle step is kept for clarity; it
-    never changes the result."""
-    h = _col(hierarchy)
-    return F.coalesce(_col(direct), F.when(h != F.lit(weak), h), h, F.lit(unmapped))
+def resolve_group(direct: str | Column, hierarchy: str | Column, unmapped: str = INDEPENDENT_UNMAPPED) -> Column:
+    """Direct match, else the hierarchy group, else ``unmapped``."""
+    return F.coalesce(_col(direct), _col(hierarchy), F.lit(unmapped))

@@ -14,21 +14,21 @@ It is computed set-wise, never per label:
 2. one multi-source BFS *down* from all roots at once over reversed edges;
 3. each node keeps only ``min((depth, root))`` -- the BFS state is one row
    per node, never labels x nodes nor (root, node) pairs;
-4. only labels that reached no root get a forward BFS of their own (one row
-   per reachable (label, node) pair), for the furthest-node rule -- and of
-   those, leaves (no incoming edge, one outgoing) take their successor's
-   answer by one join instead.
+4. only labels that reached no root are left; of those, a label that nothing
+   owned by it leads back to and that has one owner takes that owner's answer,
+   so such labels are peeled off round by round, and only what remains (the
+   cycles and what branches into them) gets a forward BFS of its own.
 
 ``walk_paths`` (SQL-model semantics, G7/W2): depth-limited walk from every
-label with bag semantics (parallel edges multiply rows), a ``a > b > c``
-path, and the deepest row per label.  ``ownership_paths`` returns that
-result with identical parallel edges dropped first (same answer, rows per
-level linear in the depth instead of doubling around a cycle).
+label with an ``a > b > c`` path, and the deepest row per label.  The reference
+keeps a row for every walk; here a row stands for all walks of a label that end
+in the same node at the same depth, and holds the smallest of their paths, so
+the rows are linear in the depth however many owners a label has.  A path is
+an array of names, whose order survives appending.
 
 Every BFS level is cut from its lineage with a reliable checkpoint, so a
-lost executor recomputes one level, not the whole walk.  The edge side of
-each level's join is broadcast only when a size check proves it small;
-otherwise AQE's skew-join splits a hub owner's partition.
+lost executor recomputes one level, not the whole walk.  Joins carry no hint:
+AQE broadcasts a side by its bytes or splits a hub owner's partition.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.rules import RuleTable, OWNER_RULES, PATH_OWNER_RULES, owner_group, path_owner_group
-from ..session import broadcast_if_bounded, cut_lineage, cut_lineage_counted
+from ..session import cut_lineage, cut_lineage_counted
 
 # --- fixed values: relation filters of the reference ------------------------
 OWNERSHIP_TYPES = ("label ownership", "imprint")
@@ -48,7 +48,6 @@ FORWARD = "forward"
 LABEL_TARGET = "label"
 UNKNOWN_NAME = "Unknown"
 PATH_SEPARATOR = " > "
-MAX_WALK_DEPTH = 10
 # ---------------------------------------------------------------------------
 
 RELATION_SCHEMA = ArrayType(StructType([
@@ -58,7 +57,8 @@ RELATION_SCHEMA = ArrayType(StructType([
     StructField("label", StructType([StructField("id", StringType()), StructField("name", StringType())])),
 ]))
 
-EDGE_BROADCAST_ROWS = 2_000_000
+# visited frames are merged into one when there are so many
+MERGE_AFTER = 5
 
 
 def flatten_relations(labels: DataFrame, id_col: str = "label_id", name_col: str = "label_name",
@@ -101,41 +101,42 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _bfs_levels(seeds: DataFrame, step: DataFrame, keys: list[str], expand, max_depth: int | None) -> DataFrame:
+def _bfs_levels(seeds: DataFrame, step: DataFrame, keys: list[str], expand) -> DataFrame:
     """Level-synchronous BFS driver shared by both walks.
 
     ``expand(frontier, step)`` returns the candidate rows of the next level;
     rows whose ``keys`` were already visited are dropped.  Each level is one
-    reliable checkpoint (its row count observed in the same job); the visited
-    set is the union of the checkpointed levels, so no level is rewritten.
+    reliable checkpoint (its row count observed in the same job).  The visited
+    keys are a few frames, merged into one every few levels.  The visited set
+    ends the loop; there is no depth bound.
     """
-    step = broadcast_if_bounded(step, EDGE_BROADCAST_ROWS)
     frontier = cut_lineage(seeds.withColumn("depth", F.lit(0)))
     levels = [frontier]
+    visited = [frontier.select(*keys)]
     depth = 0
-    while max_depth is None or depth < max_depth:
+    while True:
         depth += 1
-        visited = _union([lv.select(*keys) for lv in levels])
-        nxt = expand(frontier, step).join(visited, keys, "left_anti").withColumn("depth", F.lit(depth))
-        nxt, n = cut_lineage_counted(nxt)
+        nxt = expand(frontier, step).join(_union(visited), keys, "left_anti").withColumn("depth", F.lit(depth))
+        frontier, n = cut_lineage_counted(nxt)
         if n == 0:
-            break
-        levels.append(nxt)
-        frontier = nxt
-    return _union(levels)
+            return _union(levels)
+        levels.append(frontier)
+        visited.append(frontier.select(*keys))
+        if len(visited) >= MERGE_AFTER:
+            visited = [cut_lineage(_union(visited))]
 
 
-def _bfs(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
+def _bfs(seeds: DataFrame, step: DataFrame) -> DataFrame:
     """Per-source BFS.  ``seeds``: (src, node); ``step``: (frm, to).
     Returns (src, node, depth) with the shortest depth of every reachable pair."""
     def expand(frontier: DataFrame, e: DataFrame) -> DataFrame:
         return (frontier.select("src", F.col("node").alias("frm")).join(e, "frm")
                 .select("src", F.col("to").alias("node")).distinct())
 
-    return _bfs_levels(seeds.select("src", "node"), step, ["src", "node"], expand, max_depth)
+    return _bfs_levels(seeds.select("src", "node"), step, ["src", "node"], expand)
 
 
-def _nearest_source(seeds: DataFrame, step: DataFrame, max_depth: int | None) -> DataFrame:
+def _nearest_source(seeds: DataFrame, step: DataFrame) -> DataFrame:
     """Multi-source BFS keeping one row per node: ``(node, src, depth)`` with the
     shortest depth to any seed and, among seeds at that depth, the smallest.
 
@@ -148,10 +149,26 @@ def _nearest_source(seeds: DataFrame, step: DataFrame, max_depth: int | None) ->
         return (frontier.select(F.col("node").alias("frm"), "src").join(e, "frm")
                 .groupBy(F.col("to").alias("node")).agg(F.min("src").alias("src")))
 
-    return _bfs_levels(seeds.select("node", "src"), step, ["node"], expand, max_depth)
+    return _bfs_levels(seeds.select("node", "src"), step, ["node"], expand)
+
+
+def _peel(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Layers ``(label_id, succ)`` of labels without an incoming and with one
+    outgoing edge, peeled off until none is left, and the edges that remain.
+    A peeled label is on no cycle; the successor of a layer's label is in a
+    later layer or among what remains."""
+    layers: list[DataFrame] = []
+    while True:
+        single = edges.groupBy(F.col("o").alias("label_id")).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("succ")).where("n = 1")
+        owner = edges.select(F.col("p").alias("label_id")).distinct()
+        layer, n = cut_lineage_counted(single.join(owner, "label_id", "left_anti").select("label_id", "succ"))
+        if n == 0:
+            return layers, edges
+        layers.append(layer)
+        edges = cut_lineage(edges.join(layer.select(F.col("label_id").alias("o")), "o", "left_anti"))
 
 
-def resolve_owners(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
+def resolve_owners(edges: DataFrame) -> DataFrame:
     """``(label_id, ultimate_id, depth)`` for every node with an outgoing edge
     other than a self-loop (G2-G5).  Labels absent from the result own
     themselves at depth 0."""
@@ -163,102 +180,83 @@ def resolve_owners(edges: DataFrame, max_depth: int | None = None) -> DataFrame:
     roots = nodes.join(owned, "node", "left_anti")
     # 2-3. down from every root at once over reversed edges, one row per node
     down = _nearest_source(roots.select("node", F.col("node").alias("src")),
-                           walk.select(F.col("p").alias("frm"), F.col("o").alias("to")), max_depth)
+                           walk.select(F.col("p").alias("frm"), F.col("o").alias("to")))
     best = (down.where(F.col("depth") > 0)
             .select(F.col("node").alias("label_id"), F.col("src").alias("ultimate_id"), "depth"))
-    # 4. labels with a real owner but no root above: furthest node, depth 0
-    movers = walk.select(F.col("o").alias("label_id")).distinct()
-    stuck = movers.join(best.select("label_id"), "label_id", "left_anti")
-    # A stuck leaf -- no incoming edge, exactly one outgoing edge to s -- is on
-    # no cycle, so its reachable set is {s} + reach(s): its furthest node is
-    # s's (same candidates, same tie-break), or s itself when s has only a
-    # self-loop.  Leaves are most labels of an ownership graph; only the rest
-    # needs a BFS of its own.
-    has_in = walk.select(F.col("p").alias("label_id")).distinct()
-    single = (walk.groupBy(F.col("o").alias("label_id"))
-              .agg(F.count(F.lit(1)).alias("_deg"), F.min("p").alias("_succ"))
-              .where(F.col("_deg") == 1))
-    leaves = (stuck.join(has_in, "label_id", "left_anti").join(single, "label_id")
-              .select("label_id", "_succ"))
-    core = stuck.join(leaves.select("label_id"), "label_id", "left_anti")
-    up = _bfs(core.select(F.col("label_id").alias("src"), F.col("label_id").alias("node")),
-              walk.select(F.col("o").alias("frm"), F.col("p").alias("to")), max_depth)
-    far_core = (up.where(F.col("depth") > 0)
-                .groupBy(F.col("src").alias("label_id"))
-                .agg(F.min(F.struct((-F.col("depth")).alias("nd"), F.col("node").alias("n"))).alias("f"))
-                .select("label_id", F.col("f.n").alias("ultimate_id"), F.lit(0).alias("depth")))
-    far_leaf = (leaves.join(far_core.select(F.col("label_id").alias("_succ"), F.col("ultimate_id").alias("_u")),
-                            "_succ", "left")
-                .select("label_id", F.coalesce("_u", "_succ").alias("ultimate_id"), F.lit(0).alias("depth")))
-    far = far_core.unionByName(far_leaf)
-    return best.unionByName(far)
+    # 4. labels with a real owner but no root above: furthest node, depth 0.
+    # A peeled label reaches its successor and what that reaches, so its
+    # furthest node is the successor's (same candidates, same tie-break), or
+    # the successor itself where that has only a self-loop.
+    stuck = cut_lineage(walk.join(best.select(F.col("label_id").alias("o")), "o", "left_anti"))
+    layers, core = _peel(stuck)
+    sources = core.select(F.col("o").alias("src")).distinct()
+    up = _bfs(sources.select("src", F.col("src").alias("node")), core.select(F.col("o").alias("frm"), F.col("p").alias("to")))
+    far = cut_lineage(up.where(F.col("depth") > 0)
+                      .groupBy(F.col("src").alias("label_id"))
+                      .agg(F.min(F.struct((-F.col("depth")).alias("nd"), F.col("node").alias("n"))).alias("f"))
+                      .select("label_id", F.col("f.n").alias("ultimate_id")))
+    for layer in reversed(layers):
+        answer = far.select(F.col("label_id").alias("succ"), "ultimate_id")
+        own = layer.join(answer, "succ", "left").select("label_id", F.coalesce("ultimate_id", "succ").alias("ultimate_id"))
+        far = far.unionByName(cut_lineage(own))
+    return best.unionByName(far.withColumn("depth", F.lit(0)))
 
 
 def label_dimension(labels: DataFrame, edges: DataFrame, rules: RuleTable = OWNER_RULES,
-                    id_col: str = "label_id", name_col: str = "label_name",
-                    max_depth: int | None = None) -> DataFrame:
+                    id_col: str = "label_id", name_col: str = "label_name") -> DataFrame:
     """Every label with its ultimate owner's name, group and depth.
 
     Owner names come from the label table; an owner id missing from it is
     named 'Unknown'; an existing label with a NULL name stays NULL (and is
-    grouped 'Independent / Unknown').
+    grouped 'Independent / Unknown').  Names are looked up for the distinct
+    owners, few as they are, before they meet the labels.
     """
     lab = labels.select(F.col(id_col).alias("label_id"), F.col(name_col).alias("label_name"))
-    owners = resolve_owners(edge_set(edges), max_depth)
-    names = (lab.groupBy(F.col("label_id").alias("ultimate_id"))
-             .agg(F.min("label_name").alias("_uname"), F.lit(True).alias("_known")))
-    x = (lab.join(owners, "label_id", "left")
-         .withColumn("ultimate_id", F.coalesce("ultimate_id", "label_id"))
-         .withColumn("hierarchy_depth", F.coalesce("depth", F.lit(0)))
-         .join(names, "ultimate_id", "left"))
-    parent = F.when(F.col("_known"), F.col("_uname")).otherwise(F.lit(UNKNOWN_NAME))
-    return x.select("label_id", "label_name", "ultimate_id",
-                    parent.alias("ultimate_parent_name"),
-                    owner_group(parent, rules).alias("market_share_group"),
-                    "hierarchy_depth")
-
-
-def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int = MAX_WALK_DEPTH,
+    owners = cut_lineage(resolve_owners(edge_set(edges)))
+    known = lab.select(F.col("label_id").alias("ultimate_id"), F.col("label_name").alias("_n"))
+    names = (owners.select("ultimate_id").distinct().join(known.withColumn("_there", F.lit(True)), "ultimate_id", "left")
+             .groupBy("ultimate_id").agg(F.min("_n").alias("_n"), F.max("_there").alias("_there")))
+    names = names.select("ultimate_id", F.when(F.col("_there"), F.col("_n")).otherwise(F.lit(UNKNOWN_NAME)).alias("_uname"))
+    x = lab.join(owners, "label_id", "left").join(names, "ultimate_id", "left")
+    parent = F.when(F.col("ultimate_id").isNull(), F.col("label_name")).otherwise(F.col("_uname"))
+    return x.select("label_id", "label_name", F.coalesce("ultimate_id", "label_id").alias("ultimate_id"),
+                    parent.alias("ultimate_parent_name"), owner_group(parent, rules).alias("market_share_group"),
+                    F.coalesce("depth", F.lit(0)).alias("hierarchy_depth"))
+
+
+def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int,
                id_col: str = "label_id", name_col: str = "label_name") -> DataFrame:
-    """Bag-semantics upward walk from every label, depth 0..max_depth (G7 body).
+    """Upward walk from every label, depth 0..max_depth (G7 body): a row for each
+    (label, node, depth) with the smallest path, an array of names, or NULL
+    once an owner on it has no name.
 
-    ``edges`` carry ``owned_label_id, owner_label_id, owner_label_name``;
-    parallel edges multiply rows as ``UNION ALL`` recursion does.
+    ``edges`` carry ``owned_label_id, owner_label_id, owner_label_name``.
+    ``stopped_at_bound`` marks a row of the last depth whose node has owners.
     """
-    e = broadcast_if_bounded(cut_lineage(
-        edges.select(F.col("owned_label_id").alias("current_id"),
-                     F.col("owner_label_id").alias("next_id"),
-                     F.col("owner_label_name").alias("next_name"))),
-        EDGE_BROADCAST_ROWS)
+    e = cut_lineage(edges.select(F.col("owned_label_id").alias("current_id"), F.col("owner_label_id").alias("next_id"),
+                                 F.col("owner_label_name").alias("next_name")).distinct())
     level = labels.select(F.col(id_col).alias("label_id"), F.col(name_col).alias("label_name"),
                           F.col(id_col).alias("current_id"), F.col(name_col).alias("current_name"),
-                          F.lit(0).alias("depth"), F.col(name_col).alias("path"))
+                          F.lit(0).alias("depth"), F.when(F.col(name_col).isNotNull(), F.array(name_col)).alias("path"))
     levels = [level]
     for d in range(1, max_depth + 1):
-        level = (level.join(e, "current_id")
-                 .select("label_id", "label_name", F.col("next_id").alias("current_id"),
-                         F.col("next_name").alias("current_name"), F.lit(d).alias("depth"),
-                         F.concat(F.col("path"), F.lit(PATH_SEPARATOR), F.col("next_name")).alias("path")))
-        level, n = cut_lineage_counted(level)
+        path = F.when(F.col("next_name").isNotNull(), F.concat(F.col("path"), F.array("next_name")))
+        step = level.join(e, "current_id").groupBy("label_id", "label_name", F.col("next_id").alias("current_id")).agg(
+            F.min(F.struct(path.alias("path"), F.col("next_name").alias("name"))).alias("w"))
+        level, n = cut_lineage_counted(step.select("label_id", "label_name", "current_id", F.col("w.name").alias("current_name"),
+                                                   F.lit(d).alias("depth"), F.col("w.path").alias("path")))
         if n == 0:
             break
         levels.append(level)
-    return _union(levels)
-
+    owned = e.select("current_id", F.lit(True).alias("_owned")).distinct()
+    stopped = (F.col("depth") == max_depth) & F.coalesce("_owned", F.lit(False))
+    return _union(levels).join(owned, "current_id", "left").withColumn("stopped_at_bound", stopped).drop("_owned")
 
-def ownership_paths(labels: DataFrame, edges: DataFrame, rules: RuleTable = PATH_OWNER_RULES,
-                    max_depth: int = MAX_WALK_DEPTH, id_col: str = "label_id",
-                    name_col: str = "label_name") -> DataFrame:
-    """G7 result: deepest path per label with its owner group.
 
-    Identical parallel edges (the same relation listed on both of its ends)
-    only repeat walk rows -- 2^k copies after k such steps around a cycle --
-    and copies cannot change which row ranks first.  They are dropped before
-    the walk, so the rows per level stay linear in the depth while the result
-    equals the bag walk's.
-    """
-    e = edges.dropDuplicates(["owned_label_id", "owner_label_id", "owner_label_name"])
-    return deepest_path(walk_paths(labels, e, max_depth, id_col, name_col), rules)
+def ownership_paths(labels: DataFrame, edges: DataFrame, max_depth: int, rules: RuleTable = PATH_OWNER_RULES,
+                    id_col: str = "label_id", name_col: str = "label_name") -> DataFrame:
+    """G7 result: deepest path per label within ``max_depth``, with its owner group."""
+    return deepest_path(walk_paths(labels, edges, max_depth, id_col, name_col), rules)
 
 
 def deepest_path(walk: DataFrame, rules: RuleTable = PATH_OWNER_RULES) -> DataFrame:
@@ -269,6 +267,6 @@ def deepest_path(walk: DataFrame, rules: RuleTable = PATH_OWNER_RULES) -> DataFr
     top = walk.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return top.select("label_id", "label_name",
                       F.col("current_name").alias("ultimate_parent_name"),
-                      F.col("path").alias("ownership_path"),
+                      F.array_join("path", PATH_SEPARATOR).alias("ownership_path"),
                       path_owner_group("current_name", rules).alias("market_share_group"),
-                      "depth")
+                      "depth", "stopped_at_bound")

@@ -11,9 +11,9 @@ in one task; a group holding a third of the data would not fit.  Instead:
    partition size, so no slice is hot;
 4. prefix sums of the slice totals per group give each slice's offset (a
    table of at most partitions x groups rows);
-5. the rows covering the ranks ``floor/ceil((n-1) q)`` are picked with a
-   join on the group plus a range condition, and interpolated linearly
-   (pandas / DuckDB ``quantile_cont`` definition).
+5. each row knows the ranks it covers, so it takes the probabilities whose
+   ranks ``floor/ceil((n-1) q)`` are among them -- no join -- and the values
+   are interpolated linearly (pandas / DuckDB ``quantile_cont`` definition).
 """
 
 from __future__ import annotations
@@ -55,19 +55,15 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
              .select(*g, v, "_n",
                      (F.col("_off") + F.col("_lc") - F.col("_c")).alias("_lo"),   # first rank (0-based)
                      (F.col("_off") + F.col("_lc")).alias("_hi")))                # one past last rank
-    # 5. the two ranks each q needs
-    qs = F.array(*[F.lit(float(q)) for q in probs])
-    need = (offsets.select(*g, "_n").distinct()
-            .select(*g, "_n", F.explode(qs).alias("q"))
-            .withColumn("_h", (F.col("_n") - 1) * F.col("q"))
-            .withColumn("_r0", F.floor("_h"))
-            .withColumn("_r1", F.ceil("_h")))
-    hit = ranks.join(need.drop("_n"), g).where(
-        ((F.col("_r0") >= F.col("_lo")) & (F.col("_r0") < F.col("_hi")))
-        | ((F.col("_r1") >= F.col("_lo")) & (F.col("_r1") < F.col("_hi"))))
+    # 5. each row takes the probabilities whose lower or upper rank it covers
+    h = lambda q: (F.col("_n") - 1) * q
+    covers = lambda r: (r >= F.col("_lo")) & (r < F.col("_hi"))
+    mine = F.filter(F.array(*[F.lit(float(q)) for q in probs]), lambda q: covers(F.floor(h(q))) | covers(F.ceil(h(q))))
+    hit = (ranks.withColumn("q", F.explode(mine)).withColumn("_h", h(F.col("q")))
+           .withColumns({"_r0": F.floor("_h"), "_r1": F.ceil("_h")}))
     picked = hit.groupBy(*g, "q", "_h", "_r0").agg(
-        F.max(F.when((F.col("_r0") >= F.col("_lo")) & (F.col("_r0") < F.col("_hi")), F.col(v))).alias("_v0"),
-        F.max(F.when((F.col("_r1") >= F.col("_lo")) & (F.col("_r1") < F.col("_hi")), F.col(v))).alias("_v1"))
+        F.max(F.when(covers(F.col("_r0")), F.col(v))).alias("_v0"),
+        F.max(F.when(covers(F.col("_r1")), F.col(v))).alias("_v1"))
     frac = F.col("_h") - F.col("_r0")
     return picked.select(*g, "q", (F.col("_v0") + frac * (F.col("_v1") - F.col("_v0"))).alias("quantile"))
 
@@ -75,7 +71,7 @@ def exact_quantiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
 def describe(df: DataFrame, group_col: str, value_col: str, scale: float = 1.0,
              probs: Sequence[float] = (0.25, 0.5, 0.75), digits: int | None = None) -> DataFrame:
     """Per group: count, mean, std (n-1), min, quantiles, max of ``value * scale``
-    (pandas ``describe``; the quantile columns are named ``p25``, ``p50``...),
+    (pandas ``describe``; the quantile columns are named ``p25``, ``p50``, ``p0_1`` for 0.001...),
     rounded to ``digits`` when given (the reference shows x100, 2 digits)."""
     x = df.select(group_col, (F.col(value_col) * F.lit(scale)).alias("_x"))
     stats = x.groupBy(group_col).agg(
@@ -86,7 +82,7 @@ def describe(df: DataFrame, group_col: str, value_col: str, scale: float = 1.0,
         F.max("_x").alias("max"),
     )
     q = exact_quantiles(x, [group_col], "_x", probs)
-    names = {float(p): f"p{round(p * 100):d}" for p in probs}
+    names = {float(p): "p" + f"{p * 100:.10g}".replace(".", "_") for p in probs}
     wide = q.groupBy(group_col).pivot("q", list(names)).agg(F.first("quantile"))
     for p, name in names.items():
         wide = wide.withColumnRenamed(str(p), name)

@@ -113,14 +113,6 @@ def log_returns(df: DataFrame, series_col: str, date_col: str, price_col: str,
     return x.select(*df.columns, F.when(ratio > 0, F.ln(ratio)).alias(out))
 
 
-def first_difference(df: DataFrame, series_col: str, order_col: str, value_col: str,
-                     out: str | None = None) -> DataFrame:
-    """``x - x_prev`` over the rows present, per series (W8): after an inner
-    join, Friday -> Monday is one step."""
-    w = Window.partitionBy(series_col).orderBy(order_col)
-    return df.withColumn(out or f"{value_col}_change", F.col(value_col) - F.lag(value_col, 1).over(w))
-
-
 def latest_k(df: DataFrame, series_col: str, order_col: str, k: int = 5, per_series: bool = False) -> DataFrame:
     """Rows of the last ``k`` dates.
 

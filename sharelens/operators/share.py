@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def share_of_total(total: str | Column, partition_by: Sequence[str]) -> Column:
     """``total / sum(total) over (partition_by)``; NULL for a zero-total partition."""
@@ -59,18 +61,20 @@ def share_table(
     subtotal_name: str,
     total_name: str = "total",
     share_name: str = "share_pct",
+    kind_name: str = "row_kind",
 ) -> DataFrame:
     """Total and share of the grand total per group, plus one subtotal row over
     ``subtotal_groups`` (A4: the "Big 3 total" line).
 
-    One aggregation pass: per-group totals, then a tiny union with the
-    conditional subtotal; shares divide by the grand total of the groups.
+    ``kind_name`` tells a ``group`` row from the ``subtotal`` row, so a group
+    that is named like the subtotal, or NULL, is a group like any other.  The
+    per-group totals are computed once; their two sums (one row) are literals.
     """
-    per_group = df.groupBy(group_col).agg(F.sum(value_col).alias(total_name))
-    subtotal = (per_group.where(F.col(group_col).isin(list(subtotal_groups)))
-                .agg(F.sum(total_name).alias(total_name))
-                .select(F.lit(subtotal_name).alias(group_col), total_name))
-    grand = F.sum(F.when(F.col(group_col) != F.lit(subtotal_name), F.col(total_name))).over(Window.partitionBy())
-    rows = per_group.unionByName(subtotal)
-    # the window runs over (#groups + 1) aggregated rows only
-    return rows.withColumn(share_name, F.try_divide(F.col(total_name).cast("double"), grand.cast("double")))
+    per_group = cut_lineage(df.groupBy(group_col).agg(F.sum(value_col).alias(total_name)))
+    kind = per_group.schema[total_name].dataType
+    picked = F.when(F.col(group_col).isin(list(subtotal_groups)), F.col(total_name))
+    grand, sub = per_group.agg(F.sum(total_name), F.sum(picked)).first()
+    one = df.sparkSession.range(1).select(F.lit(subtotal_name).alias(group_col), F.lit(sub).cast(kind).alias(total_name),
+                                          F.lit("subtotal").alias(kind_name))
+    rows = per_group.select(group_col, total_name, F.lit("group").alias(kind_name)).unionByName(one)
+    return rows.withColumn(share_name, F.try_divide(F.col(total_name).cast("double"), F.lit(grand).cast("double")))

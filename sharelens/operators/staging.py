@@ -51,11 +51,12 @@ def stage_charts(charts: DataFrame, title_col: str = "artist_and_title",
     )
 
 
-def stage_metadata(meta: DataFrame) -> DataFrame:
+def stage_metadata(meta: DataFrame, track: str = "track_name", artist: str = "artist_name",
+                   track_id: str = "track_id", label: str = "label") -> DataFrame:
     """Track metadata with normalised keys, rows without a track id dropped (P5)."""
-    return (meta.where(F.col("spotify_track_id").isNotNull())
+    return (meta.where(F.col(track_id).isNotNull())
             .withColumns({
-                "normalized_track_name": normalize_text("track_name"),
-                "normalized_artist_name": normalize_text("artist_name"),
-                "normalized_label": normalize_label("spotify_label"),
+                "normalized_track_name": normalize_text(track),
+                "normalized_artist_name": normalize_text(artist),
+                "normalized_label": normalize_label(label),
             }))

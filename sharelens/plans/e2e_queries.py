@@ -6,21 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
-from ..operators.series import align_calendars, calendar_difference, rolling_features
+from ..operators.series import align_calendars, calendar_difference, pivot_wide, rolling_features
 from ..operators.share import daily_share
-from ..session import scratch_path
+from ..operators.stats import corr_matrix, lead_lag, pearson_significance
+from ..session import cut_lineage, scratch_path
 from ..sources.tables import write_partitions
 from ..streaming.incremental import run_to_end, stream_daily_fact
 from .registry import register, table
 from .series_queries import (
     _PRICED,
+    COMBINED_SQL,
+    FLAG_TO_SEGMENT,
     PRICE_RETURNS_SQL,
+    PVALUE_SQL,
     SEGMENT_SHARE_SQL,
+    _corr_sql,
+    _lead_lag_sql,
     _r,
+    combined,
     price_returns,
     rolling_sql,
     share_series,
 )
+from .sqlgen import share_sql
 
 
 _PRICED_SHARE_SQL = f"SELECT * FROM ({SEGMENT_SHARE_SQL}) a WHERE segment IN ({_PRICED})"
@@ -51,15 +59,54 @@ def q_e2e_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(calendar_difference(j, "segment", "order_day", "market_share_pct", out="ms_change"))
 
 
+_SEGMENTS = sorted(FLAG_TO_SEGMENT.values())
+_SIGNALS = [f"{s.lower()}_{kind}" for kind in ("change", "return") for s in _SEGMENTS]
+_WIDE_SQL = "SELECT order_day, " + ", ".join(
+    f"MAX(CASE WHEN segment = '{s}' THEN {col} END) AS {s.lower()}_{kind}"
+    for kind, col in (("change", "ms_change"), ("return", "log_return")) for s in _SEGMENTS
+) + f" FROM ({COMBINED_SQL}) c GROUP BY order_day"
+
+
+@register("e2e_signals_corr", "E3,A9,A10,W9", sql=f"""
+WITH w AS MATERIALIZED ({_WIDE_SQL}),
+m AS ({" UNION ALL ".join(f"SELECT '{a}' AS series_a, '{b}' AS series_b, {_corr_sql(a, b)} AS v FROM w" for a in _SIGNALS for b in _SIGNALS)})
+SELECT 'matrix' AS step, series_a, series_b, CAST(NULL AS INTEGER) AS lag, CAST(NULL AS BIGINT) AS n, ROUND(v, 6) AS value,
+       CAST(NULL AS DOUBLE) AS p_value FROM m
+UNION ALL
+SELECT 'test', lower(segment) || '_change', lower(segment) || '_return', NULL, n, ROUND(r, 6), ROUND(p_value, 6)
+FROM ({PVALUE_SQL}) p
+UNION ALL
+SELECT 'lag', lower(segment) || '_change', lower(segment) || '_return', lag, n_pairs, correlation, NULL
+FROM ({_lead_lag_sql()}) l""")
+def q_e2e_signals_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole chain from the share fact: changes and returns on the common
+    calendar -> matrix of all six (missing days stay NULL, so pairs are
+    deleted pairwise), significance of each change with its return, lag profile."""
+    c = cut_lineage(combined(spark, sf_dir))
+    pivots = [pivot_wide(c, "order_day", "segment", col, _SEGMENTS, {s: f"{s.lower()}_{kind}" for s in _SEGMENTS})
+              for kind, col in (("change", "ms_change"), ("return", "log_return"))]
+    matrix = corr_matrix(pivots[0].join(pivots[1], "order_day"), _SIGNALS, out="value")
+    names = [F.concat(F.lower("segment"), F.lit(f"_{kind}")).alias(f"series_{x}") for x, kind in (("a", "change"), ("b", "return"))]
+    none = lambda kind: F.lit(None).cast(kind)
+    test = pearson_significance(c, ["segment"], "ms_change", "log_return")
+    lag = lead_lag(c, c, "segment", "order_day", "ms_change", "log_return", max_lag=10)
+    rows = (matrix.select(F.lit("matrix").alias("step"), "series_a", "series_b", none("int").alias("lag"), none("bigint").alias("n"),
+                          "value", none("double").alias("p_value"))
+            .unionByName(test.select(F.lit("test").alias("step"), *names, none("int").alias("lag"), "n", F.col("r").alias("value"), "p_value"))
+            .unionByName(lag.select(F.lit("lag").alias("step"), *names, "lag", F.col("n_pairs").alias("n"),
+                                    F.col("correlation").alias("value"), none("double").alias("p_value"))))
+    return _r(rows)
+
+
 EVENT_CHART_SCHEMA = StructType([
     StructField("event_type", StringType()), StructField("user_id", LongType()),
     StructField("value", DoubleType()), StructField("chart_date", DateType()),
 ])
 
 
-@register("stream_share", "S1,S9 (stream)", sql="""
+@register("stream_share", "S1,S9 (stream)", sql=f"""
 SELECT chart_date, event_type AS parent_group, total_streams, track_count, row_count,
-       total_streams::DOUBLE / NULLIF(SUM(total_streams) OVER (PARTITION BY chart_date), 0) AS market_share_pct
+       {share_sql('total_streams', 'chart_date')} AS market_share_pct
 FROM (SELECT CAST(ts AS DATE) AS chart_date, event_type, CAST(SUM(CAST(ROUND(value * 100) AS BIGINT)) AS BIGINT) AS total_streams,
              COUNT(DISTINCT user_id) AS track_count, COUNT(*) AS row_count
       FROM events GROUP BY 1, 2) a""")

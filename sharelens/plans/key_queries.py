@@ -89,8 +89,7 @@ WITH c AS (
          {case_sql('name', LABEL_STRING_RULES, None)} AS label_group
   FROM ({NAMES_SQL}) t)
 SELECT id, owner_group, path_group, label_group,
-       coalesce(label_group, CASE WHEN owner_group = {lit(INDEPENDENT_OTHER)} THEN NULL ELSE owner_group END,
-                owner_group, 'Independent / Unmapped') AS parent_group
+       coalesce(label_group, owner_group, 'Independent / Unmapped') AS parent_group
 FROM c""")
 def q_classify_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _names(spark, sf_dir).select(

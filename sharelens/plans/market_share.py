@@ -1,8 +1,12 @@
 """End-to-end share fact (E1) and its incremental form.
 
-charts -> split title (P1) -> keys (P2) -> latest metadata per key (W1, J1)
--> label string (J2) -> label dimension (J3) -> direct rules (P10) ->
-resolution (P11) -> day x group aggregate and share (A1, W3).
+charts -> (day, title) sums -> split title (P1) -> keys (P2) -> latest
+metadata per key (W1, J1) -> label string (J2) -> label dimension (J3) ->
+direct rules (P10) -> resolution (P11) -> day x group aggregate, share (A1, W3).
+
+Chart rows are added up to (day, title) first, map-side combined; what follows
+reads that result.  Every lookup depends only on the title, so all of them run
+once for each distinct title.
 """
 
 from __future__ import annotations
@@ -10,50 +14,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import split_title
 from ..functions.rules import LABEL_STRING_RULES, RuleTable, label_string_group, resolve_group
-from ..operators.linkage import hierarchy_groups, link_tracks, track_labels
-from ..operators.share import daily_share
-from ..operators.staging import stage_charts, stage_metadata
+from ..operators.linkage import hierarchy_groups, title_tracks, track_labels
+from ..operators.share import share_of_total
+from ..operators.staging import stage_metadata
+from ..session import cut_lineage
 
 FACT_COLUMNS = ["chart_date", "parent_group", "total_streams", "track_count", "row_count", "market_share_pct"]
 
 
-def resolved_rows(charts: DataFrame, metadata: DataFrame, labels: DataFrame,
-                  rules: RuleTable = LABEL_STRING_RULES, strict: bool = True,
-                  since: Column | None = None) -> DataFrame:
-    """One row per chart row (per match when ``strict=False``) with its
-    ``parent_group``.  ``since`` filters chart dates before any join, so the
-    predicate reaches the chart scan.
-
-    Every lookup (J1 keys, J2 label, J3 group, rules) depends only on the
-    (track, artist) title, so they all run on the distinct titles -- a small
-    frame -- and the chart rows, the big side, take part in one join only.
-    Fan-out is preserved: a title with several matches has several rows.
-    """
-    staged = stage_charts(charts)
-    if since is not None:
-        staged = staged.where(F.col("chart_date") > since)
-    meta = stage_metadata(metadata)
-    titles = staged.select("track_name", "artist_name").distinct()
-    linked = link_tracks(titles, meta)
-    with_label = track_labels(linked, meta, strict)
-    joined = hierarchy_groups(with_label, labels, strict)
-    direct = label_string_group("original_label", rules)
-    title_groups = joined.select(F.col("track_name").alias("_t"), F.col("artist_name").alias("_a"),
-                                 "spotify_track_id",
-                                 resolve_group(direct, "hierarchy_group").alias("parent_group"))
-    on = (staged["track_name"].eqNullSafe(title_groups["_t"])
-          & staged["artist_name"].eqNullSafe(title_groups["_a"]))
-    return (staged.join(title_groups, on, "left")
-            .select("chart_date", "track_name", "artist_name", "daily_streams", "spotify_track_id",
-                    "parent_group"))
+def title_groups(titles: DataFrame, metadata: DataFrame, labels: DataFrame, rules: RuleTable = LABEL_STRING_RULES,
+                 strict: bool = True, title_col: str = "artist_and_title") -> DataFrame:
+    """Each distinct title with its track, label, hierarchy group and parent
+    group; ``matches`` counts the joined rows it stands for (always 1 in
+    strict mode).  ``metadata`` is staged."""
+    artist, track = split_title(title_col)
+    named = titles.select(title_col, artist.alias("artist_name"), track.alias("track_name"))
+    linked = title_tracks(named, metadata, strict=strict)
+    joined = hierarchy_groups(track_labels(linked, metadata, strict=strict), labels, strict=strict)
+    group = resolve_group(label_string_group("original_label", rules), "hierarchy_group")
+    return joined.select(title_col, "track_id", F.col("original_label").alias("label"), "hierarchy_group",
+                         group.alias("parent_group"), (F.col("label_matches") * F.col("group_matches")).alias("matches"))
 
 
 def share_fact(charts: DataFrame, metadata: DataFrame, labels: DataFrame,
                rules: RuleTable = LABEL_STRING_RULES, strict: bool = True,
                since: Column | None = None) -> DataFrame:
     """``chart_date, parent_group, total_streams, track_count, row_count,
-    market_share_pct`` (fact_market_share)."""
-    rows = resolved_rows(charts, metadata, labels, rules, strict, since)
-    fact = daily_share(rows, "chart_date", "parent_group", "daily_streams", "spotify_track_id")
-    return fact.select(*FACT_COLUMNS)
+    market_share_pct``.  ``since`` filters chart dates at the chart scan.
+
+    ``strict=False`` reproduces the fan-out: a title's sums count once for
+    each of its joined rows."""
+    if since is not None:
+        charts = charts.where(F.col("chart_date") > since)
+    daily = cut_lineage(charts.groupBy("chart_date", "artist_and_title").agg(
+        F.sum("streams").alias("_streams"), F.count(F.lit(1)).alias("_rows")))
+    meta = cut_lineage(stage_metadata(metadata))
+    groups = title_groups(daily.select("artist_and_title").distinct(), meta, labels, rules, strict)
+    groups = groups.groupBy(F.col("artist_and_title").alias("_title"), "track_id", "parent_group").agg(
+        F.sum("matches").alias("_m"))
+    x = daily.join(groups, daily["artist_and_title"].eqNullSafe(groups["_title"]), "left")
+    fact = x.groupBy("chart_date", "parent_group").agg(
+        F.sum(F.col("_streams") * F.col("_m")).alias("total_streams"), F.count_distinct("track_id").alias("track_count"),
+        F.sum(F.col("_rows") * F.col("_m")).alias("row_count"))
+    return fact.withColumn("market_share_pct", share_of_total("total_streams", ["chart_date"])).select(*FACT_COLUMNS)

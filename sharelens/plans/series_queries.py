@@ -27,6 +27,7 @@ from ..operators.share import daily_share
 from ..operators.staging import in_groups, map_keys
 from ..operators.stats import corr_matrix, lead_lag, pearson_by_group, pearson_significance
 from .registry import register, table
+from .sqlgen import share_sql
 
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 # price series key -> share series key, matched by name
@@ -51,9 +52,9 @@ def segment_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return share.select("segment", "order_day", F.col("total_streams").alias("total_volume"), "market_share_pct")
 
 
-SEGMENT_SHARE_SQL = """
+SEGMENT_SHARE_SQL = f"""
   SELECT segment, order_day, total_volume,
-         total_volume::DOUBLE / NULLIF(SUM(total_volume) OVER (PARTITION BY order_day), 0) AS market_share_pct
+         {share_sql('total_volume', 'order_day')} AS market_share_pct
   FROM (SELECT c.c_mktsegment AS segment, CAST(o.o_orderdate AS DATE) AS order_day,
                CAST(SUM(FLOOR(o.o_totalprice)) AS BIGINT) AS total_volume
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -159,7 +160,7 @@ def q_series_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("pivot_share", "A7", sql=f"""
 SELECT day, {', '.join(f"ROUND(MAX(CASE WHEN event_type = '{t}' THEN share END), 6) AS {t}" for t in EVENT_TYPES)}
-FROM (SELECT event_type, day, total_value / NULLIF(SUM(total_value) OVER (PARTITION BY day), 0) AS share
+FROM (SELECT event_type, day, {share_sql('total_value', 'day')} AS share
       FROM ({EVENT_DAILY_SQL}) d) s
 GROUP BY day""")
 def q_pivot_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,9 +277,29 @@ def q_corr_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(pearson_by_group(combined(spark, sf_dir), ["segment"], "ms_change", "log_return"))
 
 
-@register("corr_pvalue", "A10")
+# the distribution of t with an integer number of degrees of freedom as a sum of gamma-function terms
+PVALUE_SQL = f"""
+  SELECT segment, n, r, CASE WHEN n > 2 AND 1 - r * r <> 0 THEN r * sqrt((n - 2)::DOUBLE / (1 - r * r)) END AS t,
+         CASE WHEN r IS NULL OR n < 2 THEN NULL WHEN n = 2 THEN 1.0 WHEN abs(r) >= 1 THEN 0.0
+              WHEN n % 2 = 0 THEN greatest(0.0, 1 - abs(r) * total / sqrt(pi()))
+              ELSE greatest(0.0, 1 - 2 / pi() * (asin(abs(r)) + abs(r) * sqrt(1 - r * r) * COALESCE(total, 0) * sqrt(pi()) / 2)) END
+           AS p_value
+  FROM (SELECT segment, COUNT({_PAIR.format(1)}) AS n, {_corr_sql('ms_change', 'log_return')} AS r
+        FROM ({COMBINED_SQL}) c GROUP BY segment) a
+  LEFT JOIN (
+    SELECT segment, SUM(exp(k * ln(1 - r * r) + CASE WHEN n % 2 = 0 THEN lgamma(k + 0.5) - lgamma(k + 1.0)
+                                                     ELSE lgamma(k + 1.0) - lgamma(k + 1.5) END)) AS total
+    FROM (SELECT segment, n, r, unnest(range(0, (n - 2) // 2)) AS k
+          FROM (SELECT segment, COUNT({_PAIR.format(1)}) AS n, {_corr_sql('ms_change', 'log_return')} AS r
+                FROM ({COMBINED_SQL}) c GROUP BY segment) b WHERE n > 2 AND abs(r) < 1) t GROUP BY segment) s
+  USING (segment)"""
+
+
+@register("corr_pvalue", "A10", sql=f"""
+SELECT segment, n, ROUND(r, 6) AS r, ROUND(t, 6) AS t, ROUND(p_value, 6) AS p_value, p_value < 0.05 AS significant
+FROM ({PVALUE_SQL}) p""")
 def q_corr_pvalue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """r, n, t, two-sided p-value and 5 % flag; p has no SQL twin (unit-tested)."""
+    """r, n, t, two-sided p-value and 5 % flag."""
     return _r(pearson_significance(combined(spark, sf_dir), ["segment"], "ms_change", "log_return"))
 
 
@@ -313,19 +334,22 @@ def q_lead_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("ordered_union", "O1,O3,O4", sql="""
-SELECT user_id, arg_max(event_id, ts) AS last_event_id, MAX(ts) AS last_ts, COUNT(*) AS n_events
-FROM (SELECT event_id, user_id, ts FROM events WHERE event_type IN ('view', 'click')
-      UNION ALL
-      SELECT event_id, user_id, ts FROM events WHERE event_type NOT IN ('view', 'click')) u
-GROUP BY user_id""")
+WITH u AS (SELECT event_id, user_id, ts FROM events WHERE event_type IN ('view', 'click')
+           UNION ALL
+           SELECT event_id, user_id, ts FROM events WHERE event_type NOT IN ('view', 'click')),
+last AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)
+SELECT user_id, event_id AS last_event_id, ts AS last_ts, n_events
+FROM last JOIN (SELECT user_id, COUNT(*) AS n_events FROM u GROUP BY user_id) n USING (user_id)
+ORDER BY last_ts DESC, user_id""")
 def q_ordered_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two event batches (browse and other) as a bag union (O4), the latest
-    event per user by ``max_by`` (O3), ordered by user desc, time asc (O1)."""
+    event per user, of two at one time the larger id (O3), ordered by time
+    descending and user ascending (O1)."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
     browse = e.where(F.col("event_type").isin("view", "click")).drop("event_type")
     other = e.where(~F.col("event_type").isin("view", "click")).drop("event_type")
     both = browse.unionByName(other)
     return (both.groupBy("user_id")
-            .agg(F.max_by("event_id", "ts").alias("last_event_id"), F.max("ts").alias("last_ts"),
+            .agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("last_event_id"), F.max("ts").alias("last_ts"),
                  F.count(F.lit(1)).alias("n_events"))
-            .orderBy(F.col("user_id").desc(), F.col("last_ts").asc()))
+            .orderBy(F.col("last_ts").desc(), F.col("user_id").asc()))

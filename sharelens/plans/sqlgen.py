@@ -3,7 +3,7 @@ Spark side uses (as the reference generates its CASE from a pattern list)."""
 
 from __future__ import annotations
 
-from ..functions.keys import LABEL_SUFFIXES
+from ..functions.keys import LABEL_STEPS, TEXT_STEPS
 from ..functions.rules import RuleTable
 
 
@@ -24,15 +24,24 @@ def case_sql(expr: str, rules: RuleTable, default: str | None, empty: str | None
     return "".join(parts)
 
 
+def _key_sql(expr: str, steps) -> str:
+    out = f"lower(trim({expr}))"
+    for pattern, replacement in steps:
+        out = f"regexp_replace({out}, {lit(pattern)}, {lit(replacement)}, 'g')"
+    return f"trim({out})"
+
+
 def normalize_text_sql(expr: str) -> str:
-    return (f"regexp_replace(regexp_replace(regexp_replace(lower(trim({expr})), "
-            f"'[^a-z0-9 ]', '', 'g'), ' +', ' ', 'g'), '^\\s+|\\s+$', '', 'g')")
+    return _key_sql(expr, TEXT_STEPS)
 
 
 def normalize_label_sql(expr: str) -> str:
-    suffix = "\\s*(" + "|".join(LABEL_SUFFIXES) + ")\\s*$"
-    return (f"regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim({expr})), "
-            f"'[^a-z0-9 ]', '', 'g'), ' +', ' ', 'g'), '{suffix}', '', 'g'), '^\\s+|\\s+$', '', 'g')")
+    return _key_sql(expr, LABEL_STEPS)
+
+
+def share_sql(total: str, by: str) -> str:
+    """Share of the total of its ``by`` group, NULL where that total is 0."""
+    return f"{total}::DOUBLE / NULLIF(SUM({total}) OVER (PARTITION BY {by}), 0)"
 
 
 def split_title_sql(expr: str, sep: str = " - ") -> tuple[str, str]:

@@ -79,13 +79,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables, next to the shared checkpoints."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/sharelens-tables/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint only behind a size check; otherwise leave the choice to AQE."""
-    return F.broadcast(df) if bounded(df, max_rows) else df

@@ -1,52 +1,63 @@
 """First HTML table of each page as rows (S3), over a column of raw pages.
 
-Native regular expressions only: the first ``<table>`` block, its ``<tr>``
-rows, their ``<th>/<td>`` cells; tags stripped and the common entities
-decoded.  The first row supplies the column names, snake-cased (S5).  Output
-is long -- ``(page key, row_idx, column_name, value)`` -- because pages may
-carry different headers; pivot per page family when the header is known.
-Nested tables are out of scope.  Pages without a table give no rows, or an
-error with ``require_table=True`` (the scraper's "no tables found").
+Native functions only: the first ``<table>`` block, its ``<tr>`` rows, their
+``<th>/<td>`` cells; tags stripped, entities decoded.  The first row supplies
+the column names, snake-cased (S5); it stays on the page's own row, so a page
+is read and parsed once, nothing is shuffled, and pages that share a key keep
+their own headers.  Output is long -- ``(page key, row_idx, col_idx,
+column_name, value)`` -- because pages may carry different headers; pivot per
+page family when the header is known.  Nested tables are out of scope.  Pages
+without a table give no rows, or an error with ``require_table=True`` (the
+scraper's "no tables found").
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# --- fixed values: entities decoded in cell text ----------------------------
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-# ---------------------------------------------------------------------------
+LAST_CODE_POINT = 0x10FFFF
+
+
+def _character(code: Column) -> Column:
+    """The character with this code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _entity(part: Column) -> Column:
+    """Text after an ``&`` with its entity decoded; without one, the ``&`` is put back."""
+    decimal = F.regexp_extract(part, r"^#([0-9]{1,7});", 1)
+    hexadecimal = F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
+    name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
+    named = F.create_map(*[F.lit(x) for kv in sorted({**name2codepoint, "apos": 39}.items()) for x in kv])
+    code = (F.when(decimal != "", decimal.cast("int"))
+            .when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("int"))
+            .when(F.map_contains_key(named, name), F.element_at(named, name)))
+    legal = code.between(1, LAST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
+    return F.when(legal, F.concat(_character(code), F.regexp_replace(part, r"^[^;]*;", ""))).otherwise(F.concat(F.lit("&"), part))
 
 
 def cell_text(c: Column) -> Column:
-    x = F.regexp_replace(c, r"(?s)<[^>]*>", "")
-    for ent, ch in ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    x = F.regexp_replace(x, r"\s+", " ")
-    return F.regexp_replace(x, r"^\s+|\s+$", "")
+    """Tags stripped, entities decoded once, white space (no-break space too) collapsed and trimmed."""
+    parts = F.split(F.regexp_replace(c, r"(?s)<[^>]*>", ""), "&")
+    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _entity)
+    x = F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
+    return F.trim(F.regexp_replace(x, r"[\s ]+", " "))
 
 
 def html_table_rows(pages: DataFrame, html_col: str, keys: Sequence[str],
                     require_table: bool = False) -> DataFrame:
     table = F.regexp_extract(F.col(html_col), r"(?is)<table\b.*?</table>", 0)
-    x = pages.select(*keys, table.alias("_t"))
     if require_table:
-        x = x.withColumn("_t", F.when(F.col("_t") == F.lit(""), F.raise_error(F.lit("No tables found on the page")))
-                         .otherwise(F.col("_t")))
-    x = x.where(F.col("_t") != F.lit(""))
-    rows = x.select(*keys, F.posexplode(F.regexp_extract_all("_t", F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0)))
-                    .alias("row_idx", "_tr"))
-    cells = rows.select(*keys, "row_idx",
-                        F.regexp_extract_all("_tr", F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1)).alias("_c"))
-    cells = cells.select(*keys, "row_idx", F.transform("_c", cell_text).alias("_c"))
-    header = (cells.where(F.col("row_idx") == 0)
-              .select(*keys, F.transform("_c", lambda h: F.regexp_replace(F.lower(h), " ", "_")).alias("_h")))
-    body = cells.where(F.col("row_idx") > 0)
-    # one header row per page: the join is 1:n on the page key
-    joined = body.join(header, list(keys))
-    out = joined.select(*keys, "row_idx", F.posexplode(F.arrays_zip("_h", "_c")).alias("col_idx", "_z"))
-    return out.select(*keys, "row_idx", "col_idx", F.col("_z._h").alias("column_name"),
-                      F.col("_z._c").alias("value"))
+        table = F.when(table == "", F.raise_error(F.lit("No tables found on the page"))).otherwise(table)
+    cells = lambda tr: F.transform(
+        F.regexp_extract_all(tr, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1)), cell_text)
+    rows = F.transform(F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0)), cells)
+    x = pages.select(*keys, rows.alias("_rows"))
+    body = x.select(*keys, F.col("_rows")[0].alias("_h"), F.posexplode_outer("_rows").alias("row_idx", "_c")).where("row_idx > 0")
+    header = F.transform("_h", lambda h: F.regexp_replace(F.lower(h), " ", "_"))
+    out = body.select(*keys, "row_idx", F.posexplode(F.arrays_zip(header.alias("h"), F.col("_c").alias("c"))).alias("col_idx", "_z"))
+    return out.select(*keys, "row_idx", "col_idx", F.col("_z.h").alias("column_name"), F.col("_z.c").alias("value"))

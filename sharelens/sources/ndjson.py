@@ -1,7 +1,7 @@
 """Entity dump loader: one JSON object per line.
 
-Each line is parsed once into a VARIANT (``try_parse_json``); fields are
-read from it.  Rules:
+Each object line is parsed once by its fields, as a lenient JSON reader does:
+the last of repeated keys wins, and ``NaN`` is a number.  Rules:
 
 * blank lines are skipped; a line that is not valid JSON fails the job with
   the file name and the line text;
@@ -35,23 +35,28 @@ def _lenient_int(v: Column) -> Column:
             .when(t == F.lit("STRING"), F.when(as_text != F.lit(""), as_text.try_cast("int"))))
 
 
+_FIELDS = "id string, name string, `label-code` variant, label_code variant, relations string, _corrupt string"
+
+
 def parse_entities(lines: DataFrame, text_col: str = "value", strict: bool = True) -> DataFrame:
     """Parse a column of NDJSON lines into ``mb_id, name, label_code, relations``."""
     raw = F.regexp_replace(F.col(text_col), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     x = lines.select(raw.alias("_raw"), F.input_file_name().alias("_file")).where(F.col("_raw") != F.lit(""))
-    x = x.withColumn("_v", F.try_parse_json("_raw"))
+    fields = F.from_json("_raw", _FIELDS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    x = x.withColumn("_o", F.when(F.col("_raw").startswith("{"), fields))
+    good = F.when(F.col("_o").isNotNull(), F.col("_o._corrupt").isNull()).otherwise(F.try_parse_json("_raw").isNotNull())
+    x = x.withColumn("_ok", good)
     if strict:
         bad = F.concat(F.lit("Invalid JSON in "), F.col("_file"), F.lit(": "), F.substring("_raw", 1, 200))
-        x = x.withColumn("_v", F.when(F.col("_v").isNull(), F.raise_error(bad)).otherwise(F.col("_v")))
-    x = x.where(F.col("_v").isNotNull() & F.schema_of_variant("_v").startswith("OBJECT"))
-    code = F.try_variant_get("_v", "$['label-code']", "variant")
-    code = F.when(code.isNull() | (F.schema_of_variant(code) == F.lit("VOID")),
-                  F.try_variant_get("_v", "$.label_code", "variant")).otherwise(code)
+        x = x.withColumn("_ok", F.when(F.col("_ok"), True).otherwise(F.raise_error(bad).cast("boolean")))
+    x = x.where(F.col("_ok") & F.col("_o").isNotNull())
+    code = F.col("_o.`label-code`")
+    code = F.when(code.isNull() | (F.schema_of_variant(code) == F.lit("VOID")), F.col("_o.label_code")).otherwise(code)
     return x.select(
-        F.try_variant_get("_v", "$.id", "string").alias("mb_id"),
-        F.try_variant_get("_v", "$.name", "string").alias("name"),
+        F.col("_o.id").alias("mb_id"),
+        F.col("_o.name").alias("name"),
         _lenient_int(code).alias("label_code"),
-        F.try_variant_get("_v", "$.relations", "string").alias("relations"),
+        F.col("_o.relations").alias("relations"),
     )
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from ..functions.numeric import round_binary
 from ..operators.staging import map_keys
@@ -16,14 +17,25 @@ PRICE_COLUMNS = ("date", "ticker", "company_name", "open", "high", "low", "close
 # ---------------------------------------------------------------------------
 
 
-def shape_quotes(raw: DataFrame, ticker: str | Column, companies: Mapping[str, str]) -> DataFrame:
+def shape_quotes(raw: DataFrame, ticker: str | Column, companies: Mapping[str, str],
+                 zones: Mapping[str, str] | None = None) -> DataFrame:
     """Vendor quotes -> ``date, ticker, company_name, open, high, low, close,
     volume``: ticker and company (by name from ``companies``) added, headers
-    snake-cased, time zone dropped to a date, empty rows dropped."""
+    snake-cased, time zone dropped to a date, empty rows dropped.
+
+    Where ``date`` is an instant, its date is the one on the wall of the
+    ticker's exchange: ``zones`` maps a ticker to its time zone, and a ticker
+    without one keeps the session's.  A date or a timestamp without a zone is
+    local already."""
     t = F.col(ticker) if isinstance(ticker, str) else ticker
     x = snake_case_columns(raw.withColumn("ticker", t))
     x = x.withColumn("company_name", map_keys("ticker", companies))
-    x = x.withColumn("date", F.to_date(F.col("date")))
+    day = F.col("date")
+    if x.schema["date"].dataType == TimestampType() and zones:
+        wall = day.cast("timestamp_ntz")
+        zone = map_keys("ticker", zones)
+        day = F.when(zone.isNull(), wall).otherwise(F.convert_timezone(F.current_timezone(), zone, wall))
+    x = x.withColumn("date", F.to_date(day))
     x = x.select(*PRICE_COLUMNS)
     return x.where(F.col("date").isNotNull() & F.col("ticker").isNotNull())
 

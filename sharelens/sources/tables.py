@@ -15,11 +15,12 @@ import datetime as _dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from ..session import cut_lineage
+
 LEDGER_SCHEMA = StructType([
     StructField("dataset", StringType()),
     StructField("replication_sequence", LongType()),
@@ -28,6 +29,34 @@ LEDGER_SCHEMA = StructType([
 ])
 
 
+# ------------------------------------------------------------------ file system
+def _folder(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path on it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _folder(spark, path)
+    return fs.exists(p)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _folder(spark, path)
+    return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _partition_values(spark: SparkSession, path: str, col: str) -> list[str]:
+    """Values of the first partition column, from the folder names; no file is opened."""
+    mark = f"{col}="
+    return [x.removeprefix(mark) for x in _children(spark, path) if x.startswith(mark) and "__HIVE_DEFAULT" not in x]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _folder(spark, path)
+    fs.delete(p, True)
+
+
 # ------------------------------------------------------------------ S4 / S5
 def stamp_chart_date(df: DataFrame, extraction_date: _dt.date | Column | None = None,
                      extracted_at: _dt.datetime | Column | None = None) -> DataFrame:
@@ -40,8 +69,10 @@ def stamp_chart_date(df: DataFrame, extraction_date: _dt.date | Column | None =
 
 def write_partitions(df: DataFrame, path: str, partition_col: str = "chart_date") -> None:
     """Write one folder per ``partition_col`` value; a re-run replaces only the
-    partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    partitions present in ``df`` (dynamic partition overwrite).  Rows are
+    clustered by the value first, so a folder gets few files; a hot value is
+    still split over several tasks (rebalance, not repartition)."""
+    (df.hint("rebalance", partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
@@ -50,12 +81,12 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
 
 
-def read_charts(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_charts(spark: SparkSession, path: str, schema: StructType | None = None, merge_schema: bool = False) -> DataFrame:
     """Scan a glob or partitioned folder of daily chart files (S1).  Filters on
-    ``chart_date`` prune folders when the layout is partitioned by it."""
-    reader = spark.read.option("mergeSchema", "true")
-    if schema is not None:
-        reader = reader.schema(schema)
+    ``chart_date`` prune folders when the layout is partitioned by it.
+    ``merge_schema`` reads the footer of every file to find columns that only
+    some have; a given ``schema`` needs no footer."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", str(merge_schema).lower())
     return reader.parquet(path)
 
 
@@ -73,10 +104,12 @@ def replace_table(df: DataFrame, name: str, base_path: str,
     a complete write repoints the table.  Returns the new location."""
     spark = df.sparkSession
     loc = _new_version(base_path)
-    w = df.write.mode("errorifexists")
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(loc)
+    if partition_by and spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {name}")   # its partitions are listed with the old location; the files stay
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
         spark.catalog.refreshTable(name)
@@ -87,6 +120,22 @@ def replace_table(df: DataFrame, name: str, base_path: str,
     return loc
 
 
+def table_location(spark: SparkSession, name: str) -> str:
+    """The folder that catalog table ``name`` reads."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def drop_old_versions(spark: SparkSession, name: str, base_path: str) -> list[str]:
+    """Delete the version folders under ``base_path`` that ``name`` no longer
+    reads; returns their names.  Call it once no running query reads them."""
+    current = table_location(spark, name).rstrip("/").rpartition("/")[2]
+    old = [x for x in _children(spark, base_path) if x.startswith("v=") and x != current]
+    for x in old:
+        _delete(spark, f"{base_path.rstrip('/')}/{x}")
+    return old
+
+
 def ensure_table(spark: SparkSession, name: str, schema: StructType, base_path: str) -> DataFrame:
     """Create an empty table with ``schema`` unless it exists."""
     if not spark.catalog.tableExists(name):
@@ -95,8 +144,12 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, base_path:
 
 
 def append_rows(df: DataFrame, name: str) -> None:
-    """Append to an existing catalog table."""
-    df.write.mode("append").insertInto(name)
+    """Append to an existing catalog table, column by name (S10); a missing or
+    an unknown column is an error."""
+    want = df.sparkSession.table(name).columns
+    if sorted(want) != sorted(df.columns):
+        raise ValueError(f"{name} has columns {want}, the rows have {df.columns}")
+    df.select(*want).write.mode("append").insertInto(name)
 
 
 def materialize(df, name: str, kind: str = "view", base_path: str | None = None,
@@ -150,59 +203,65 @@ def range_replace(target: DataFrame, batch: DataFrame, date_col: str,
     return keep.unionByName(batch.select(*target.columns))
 
 
-def upsert_range(batch: DataFrame, name: str, base_path: str, date_col: str,
-                 scope_keys: Sequence[str] = ()) -> str:
-    """Range-replace into catalog table ``name`` as one atomic new version."""
+def upsert_range(batch: DataFrame, name: str, date_col: str, scope_keys: Sequence[str] = ()) -> None:
+    """Range-replace into catalog table ``name``, which is partitioned by ``date_col``.
+
+    Only the partitions inside the batch's date range are read and written;
+    the others are not touched.  The new rows of the range are complete in a
+    checkpoint before any folder is replaced, so a failed batch leaves the
+    table as it was, and a repeated one gives the same table."""
     spark = batch.sparkSession
     target = spark.table(name)
-    new = range_replace(target, batch, date_col, scope_keys)
-    return replace_table(new, name, base_path)
+    loc = table_location(spark, name)
+    batch = cut_lineage(batch.select(*target.columns))
+    lo, hi = batch.agg(F.min(date_col), F.max(date_col)).first()
+    if lo is None:
+        return
+    inside = target.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+    new = cut_lineage(range_replace(inside, batch, date_col, scope_keys))
+    write_partitions(new, loc, date_col)
+    kept = {str(r[0]) for r in new.select(date_col).distinct().collect()}       # one row for each day of the range
+    for day in _partition_values(spark, loc, date_col):
+        if str(lo) <= day <= str(hi) and day not in kept:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({date_col} = '{day}')")
+            _delete(spark, f"{loc}/{date_col}={day}")
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
 
 
 # ------------------------------------------------------------------ S9
-def _missing_path(exc: AnalysisException) -> bool:
-    return exc.getCondition() == "PATH_NOT_FOUND"
-
-
 def high_water_mark(spark: SparkSession, path: str, date_col: str = "chart_date",
                     floor: str = "1900-01-01") -> _dt.date:
-    """``coalesce(max(date), floor)`` of the table at ``path`` (missing table -> floor)."""
-    try:
-        got = spark.read.parquet(path).agg(F.max(date_col)).first()[0]
-    except AnalysisException as exc:   # a missing table is the empty-table case
-        if not _missing_path(exc):
-            raise
-        got = None
+    """``coalesce(max(date), floor)`` of the table at ``path`` (missing table ->
+    floor).  Where ``date_col`` is the partition column the folder names tell
+    it, and no file is opened."""
+    days = _partition_values(spark, path, date_col)
+    if days:
+        return _dt.date.fromisoformat(max(days))
+    got = spark.read.parquet(path).agg(F.max(date_col)).first()[0] if _children(spark, path) and any(
+        x.endswith(".parquet") for x in _children(spark, path)) else None
     return got or _dt.date.fromisoformat(floor)
 
 
 # ------------------------------------------------------------------ S6
 def read_markers(spark: SparkSession, folder: str) -> tuple[int | None, str | None]:
-    """Dump markers from the text files REPLICATION_SEQUENCE and TIMESTAMP;
-    a missing or blank file gives None, a bad number gives None."""
-    def first_line(name: str) -> str | None:
-        try:
-            rows = spark.read.text(f"{folder.rstrip('/')}/{name}").limit(1).collect()
-        except AnalysisException as exc:   # a missing marker file reads as None
-            if not _missing_path(exc):
-                raise
-            return None
-        text = rows[0][0].strip() if rows else ""
-        return text or None
-
-    seq_text = first_line("REPLICATION_SEQUENCE")
-    try:
-        seq = int(seq_text) if seq_text is not None else None
-    except ValueError:
-        seq = None
-    return seq, first_line("TIMESTAMP")
-
-
-def latest_ledger_row(ledger: DataFrame, dataset: str) -> DataFrame:
-    """The latest ``(replication_sequence, dump_timestamp)`` of ``dataset`` (O3)."""
-    return (ledger.where(F.col("dataset") == F.lit(dataset))
-            .agg(F.max_by(F.struct("replication_sequence", "dump_timestamp"), "loaded_at").alias("m"))
-            .select("m.replication_sequence", "m.dump_timestamp"))
+    """Dump markers: the whole stripped text of the files REPLICATION_SEQUENCE
+    and TIMESTAMP.  A missing or blank file gives None, a bad number gives None."""
+    def text(name: str) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}"
+        if not path_exists(spark, path):
+            return spark.range(1).select(F.lit(None).cast("string").alias("t"))
+        trimmed = F.regexp_replace("value", r"^\s+|\s+$", "")
+        return spark.read.text(path, wholetext=True).agg(F.nullif(F.max(trimmed), F.lit("")).alias("t"))
+
+    number = text("REPLICATION_SEQUENCE").select(F.col("t").try_cast("bigint")).first()[0]
+    return number, text("TIMESTAMP").first()[0]
+
+
+def _latest_markers() -> Column:
+    """Markers of the last load; of two at the same time, the larger ones."""
+    markers = F.struct("replication_sequence", "dump_timestamp")
+    return F.max_by(markers, F.struct("loaded_at", "replication_sequence", "dump_timestamp"))
 
 
 def ledger_decision(ledger: DataFrame, dataset: str, seq: int | None, ts: str | None) -> DataFrame:
@@ -211,7 +270,7 @@ def ledger_decision(ledger: DataFrame, dataset: str, seq: int | None, ts: str |
     A single global aggregate: count and latest row together."""
     rows = ledger.where(F.col("dataset") == F.lit(dataset))
     agg = rows.agg(F.count(F.lit(1)).alias("n"),
-                   F.max_by(F.struct("replication_sequence", "dump_timestamp"), "loaded_at").alias("m"))
+                   _latest_markers().alias("m"))
     eq = (F.col("m.replication_sequence").eqNullSafe(F.lit(seq).cast("bigint"))
           & F.col("m.dump_timestamp").eqNullSafe(F.lit(ts).cast("string")))
     return agg.select(((F.col("n") > 0) & eq).alias("skip"))
@@ -221,7 +280,7 @@ def ledger_decisions(ledger: DataFrame, incoming: DataFrame) -> DataFrame:
     """Batch form of ``ledger_decision``: ``incoming`` holds ``dataset,
     replication_sequence, dump_timestamp``; returns ``dataset, skip``."""
     last = (ledger.groupBy("dataset")
-            .agg(F.max_by(F.struct("replication_sequence", "dump_timestamp"), "loaded_at").alias("m")))
+            .agg(_latest_markers().alias("m")))
     x = incoming.join(last, "dataset", "left")
     eq = (F.col("m").isNotNull()
           & F.col("m.replication_sequence").eqNullSafe(F.col("replication_sequence"))
@@ -230,14 +289,15 @@ def ledger_decisions(ledger: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def incremental_append(build, path: str, date_col: str = "chart_date",
-                       reprocess_from: _dt.date | None = None) -> DataFrame:
+                       reprocess_from: _dt.date | None = None, new_columns: bool = False) -> DataFrame:
     """Incremental materialisation with a high-water mark.
 
     ``build(since)`` returns the fact for dates ``> since`` (``since`` is a
     date literal Column, so the filter prunes the source scan).  The result
     replaces exactly the date partitions it contains, so a re-run, or
-    ``reprocess_from`` for late corrections, upserts on (date, key); new
-    columns are appended because the table is read with ``mergeSchema``.
+    ``reprocess_from`` for late corrections, upserts on (date, key).  With
+    ``new_columns`` the table is read with the columns of all its files, so
+    those that later partitions added are there.
     """
     spark = SparkSession.getActiveSession()
     since = high_water_mark(spark, path, date_col)
@@ -245,7 +305,7 @@ def incremental_append(build, path: str, date_col: str = "chart_date",
         since = min(since, reprocess_from - _dt.timedelta(days=1))
     fresh = build(F.lit(since))
     write_partitions(fresh, path, date_col)
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    return read_charts(spark, path, merge_schema=new_columns)
 
 
 def ledger_row(spark: SparkSession, dataset: str, seq: int | None, ts: str | None,

@@ -57,8 +57,9 @@ def stream_daily_fact(
             .start())
 
 
-def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> None:
-    """Wait for an ``availableNow`` query to drain its input."""
+def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> None:
+    """Wait for an ``availableNow`` query to drain its input, however long it
+    takes; with ``timeout_s``, stop it then and raise."""
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
@@ -66,7 +67,3 @@ def run_to_end(query: StreamingQuery, timeout_s: float = 600.0) -> None:
     if query.exception() is not None:
         raise query.exception()
 
-
-def touched_dates(batch: DataFrame, date_col: str = "chart_date") -> DataFrame:
-    """Dates present in a micro-batch (helper for custom sinks)."""
-    return batch.select(F.col(date_col)).distinct()

@@ -35,16 +35,18 @@ def _lenient_int(v: Column) -> Column:
             .when(t == F.lit("STRING"), F.when(as_text != F.lit(""), as_text.try_cast("int"))))
 
 
-_FIELDS = "id string, name string, `label-code` variant, label_code variant, relations string, _corrupt string"
+_FIELDS = "array<struct<id: string, name: string, `label-code`: variant, label_code: variant, relations: string>>"
 
 
 def parse_entities(lines: DataFrame, text_col: str = "value", strict: bool = True) -> DataFrame:
     """Parse a column of NDJSON lines into ``mb_id, name, label_code, relations``."""
     raw = F.regexp_replace(F.col(text_col), r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
     x = lines.select(raw.alias("_raw"), F.input_file_name().alias("_file")).where(F.col("_raw") != F.lit(""))
-    fields = F.from_json("_raw", _FIELDS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
-    x = x.withColumn("_o", F.when(F.col("_raw").startswith("{"), fields))
-    good = F.when(F.col("_o").isNotNull(), F.col("_o._corrupt").isNull()).otherwise(F.try_parse_json("_raw").isNotNull())
+    # as the only element of an array: what follows the object makes the array invalid, or longer
+    alone = F.from_json(F.concat(F.lit("["), F.col("_raw"), F.lit("]")), _FIELDS)
+    x = x.withColumn("_a", F.when(F.col("_raw").startswith("{"), alone))
+    x = x.withColumn("_o", F.when(F.size("_a") == 1, F.col("_a")[0]))
+    good = F.when(F.col("_raw").startswith("{"), F.col("_o").isNotNull()).otherwise(F.try_parse_json("_raw").isNotNull())
     x = x.withColumn("_ok", good)
     if strict:
         bad = F.concat(F.lit("Invalid JSON in "), F.col("_file"), F.lit(": "), F.substring("_raw", 1, 200))

@@ -36,6 +36,8 @@ def duck():
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_twin(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     rows = [tuple(r) for r in df.collect()]
     sql = entry.oracle_sql().get(name)
     if sql is None:

@@ -13,6 +13,7 @@ from sharelens.operators.ownership import (
     flatten_relations,
     label_dimension,
     orient_edges,
+    ownership_paths,
     resolve_owners,
     walk_paths,
 )
@@ -109,22 +110,63 @@ def test_random_graphs_match_plain_bfs(spark, seed):
         assert got.get(lab, (lab, 0)) == ref[lab], lab
 
 
-def test_walk_paths_bag_semantics_and_cycles(spark):
-    rows = [("a", "b", "A", "B"), ("a", "b", "A", "B"),    # parallel edge doubles rows
+def test_walk_paths_and_cycles(spark):
+    rows = [("a", "b", "A", "B"), ("a", "b", "A", "B"),    # a parallel edge is one edge
             ("b", "c", "B", "C"),
             ("x", "y", "X", "Y"), ("y", "x", "Y", "X"),
             ("n", "z", "N", None)]                         # NULL owner name -> NULL path
     e = spark.createDataFrame(rows, EDGE_SCHEMA)
     lab = spark.createDataFrame([(k, k.upper()) for k in ["a", "b", "c", "x", "n"]], "label_id string, label_name string")
     walk = walk_paths(lab, e, max_depth=10)
-    assert walk.where(F.col("label_id") == "a").count() == 1 + 2 + 2
+    assert walk.where(F.col("label_id") == "a").count() == 3
     deep = {r.label_id: r for r in deepest_path(walk).collect()}
-    assert deep["a"].ownership_path == "A > B > C" and deep["a"].depth == 2
-    assert deep["x"].depth == 10 and deep["x"].ultimate_parent_name == "X"
+    assert deep["a"].ownership_path == "A > B > C" and deep["a"].depth == 2 and not deep["a"].stopped_at_bound
+    assert deep["x"].depth == 10 and deep["x"].ultimate_parent_name == "X" and deep["x"].stopped_at_bound
     assert deep["n"].ownership_path is None and deep["n"].depth == 1
     assert deep["c"].depth == 0 and deep["c"].ownership_path == "C"
 
 
+def test_walk_rows_stay_linear_with_three_owners(spark):
+    """Every node has three owners: 3^depth walks, but a row for each node and depth."""
+    n = 30
+    rows = [(f"k{i:02d}", f"k{(i + d) % n:02d}", f"K{i}", f"K{(i + d) % n}") for i in range(n) for d in (1, 2, 3)]
+    e = spark.createDataFrame(rows, EDGE_SCHEMA)
+    lab = spark.createDataFrame([(f"k{i:02d}", f"K{i}") for i in range(n)], "label_id string, label_name string")
+    walk = walk_paths(lab, e, max_depth=8)
+    assert walk.count() <= n * (1 + 8 * n)
+    walks = {(0, 0): ["K0"]}                                  # smallest path of label k00 by plain enumeration
+    for depth in range(1, 5):
+        for i in range(n):
+            ways = [walks[j, depth - 1] + [f"K{i}"] for j in range(n) if (j, depth - 1) in walks and (i - j) % n in (1, 2, 3)]
+            if ways:
+                walks[i, depth] = min(ways)
+    got = {(int(r.current_id[1:]), r.depth): r.path for r in walk.where("label_id = 'k00' and depth < 5").collect()}
+    assert got == walks
+
+
+def test_walk_path_order_survives_appending(spark):
+    """"A" sorts before "A !" as a name, but not once " > x" is appended to the strings."""
+    rows = [("s", "p", "S", "A"), ("s", "q", "S", "A !"), ("p", "t", "A", "T"), ("q", "t", "A !", "T")]
+    e = spark.createDataFrame(rows, EDGE_SCHEMA)
+    lab = spark.createDataFrame([("s", "S")], "label_id string, label_name string")
+    assert deepest_path(walk_paths(lab, e, 5)).first().ownership_path == "S > A > T"
+
+
+def test_long_chain_has_no_depth_bound(spark):
+    ids = [f"c{i:02d}" for i in range(14)]
+    edges = list(zip(ids, ids[1:], strict=False))
+    got = resolve_owners(edge_set(spark.createDataFrame([(o, p, None, None) for o, p in edges], EDGE_SCHEMA)))
+    assert {r.label_id: (r.ultimate_id, r.depth) for r in got.collect()} == {x: ("c13", 13 - i) for i, x in enumerate(ids[:-1])}
+
+
+def test_peeled_chain_above_an_exitless_cycle(spark):
+    edges = [("l3", "l2"), ("l2", "l1"), ("l1", "cy1"), ("m1", "l1"), ("cy1", "cy2"), ("cy2", "cy1"), ("two", "l1"), ("two", "cy2")]
+    got = resolve_owners(edge_set(spark.createDataFrame([(o, p, None, None) for o, p in edges], EDGE_SCHEMA)))
+    labels = sorted({x for e in edges for x in e})
+    ref = reference_resolve(edges, labels)
+    assert {r.label_id: (r.ultimate_id, r.depth) for r in got.collect()} == ref
+
+
 def test_flatten_and_orient(spark):
     rel = ('[{"type":"label ownership","direction":"forward","target-type":"label","label":{"id":"k","name":"Kid"}},'
            '{"type":"imprint","direction":"backward","target-type":"label","label":{"id":"p","name":"Parent"}},'
@@ -139,11 +181,10 @@ def test_flatten_and_orient(spark):
     assert edges == {("k", "me"), ("me", "p")}
 
 
-def test_ownership_paths_equals_bag_walk(spark):
-    from sharelens.operators.ownership import ownership_paths
-    rows = [("a", "b", "A", "B"), ("a", "b", "A", "B"), ("b", "a", "B", "A"), ("b", "a", "B", "A"),
-            ("b", "c", "B", "C"), ("c", "b", "C", "B"), ("c", "b", "C", "Bee")]
+def test_ownership_paths(spark):
+    rows = [("a", "b", "A", "B"), ("b", "a", "B", "A"), ("b", "c", "B", "C"), ("c", "b", "C", "B"), ("c", "b", "C", "Bee")]
     e = spark.createDataFrame(rows, EDGE_SCHEMA)
     lab = spark.createDataFrame([(k, k.upper()) for k in "abc"], "label_id string, label_name string")
-    bag = sorted(tuple(r) for r in deepest_path(walk_paths(lab, e)).collect())
-    assert sorted(tuple(r) for r in ownership_paths(lab, e).collect()) == bag
+    got = {r.label_id: r for r in ownership_paths(lab, e, 3).collect()}
+    assert {k: (r.ownership_path, r.depth, r.stopped_at_bound) for k, r in got.items()} == {
+        "a": ("A > B > A > B", 3, True), "b": ("B > A > B > A", 3, True), "c": ("C > B > A > B", 3, True)}

@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from sharelens.operators.linkage import (
+    count_missing,
     hierarchy_groups,
     latest_per_key,
+    lookup_counts,
     missing_keys,
     track_labels,
 )
@@ -17,13 +19,19 @@ from sharelens.operators.quality import AcceptedValues, Expression, NotNull, Uni
 from sharelens.session import scratch_path
 from sharelens.sources.html import html_table_rows
 from sharelens.sources.ndjson import load_entities
+from sharelens.sources.prices import shape_quotes
 from sharelens.sources.tables import (
+    append_rows,
+    drop_old_versions,
+    ensure_table,
+    high_water_mark,
     incremental_append,
     ledger_decision,
     ledger_row,
     range_replace,
     read_markers,
     replace_table,
+    upsert_range,
     write_partitions,
 )
 
@@ -81,6 +89,10 @@ def test_markers_and_ledger(spark):
     d2 = _local(spark, "markers2")
     _write_bytes(f"{d2}/REPLICATION_SEQUENCE", b"abc")
     assert read_markers(spark, d2) == (None, None)
+    d3 = _local(spark, "markers3")
+    _write_bytes(f"{d3}/REPLICATION_SEQUENCE", b"\n42\n")
+    _write_bytes(f"{d3}/TIMESTAMP", b"2024-01-01\n12:00\n")
+    assert read_markers(spark, d3) == (42, "2024-01-01\n12:00")
     empty = ledger_row(spark, "ds", 1, "t").where(F.lit(False))
     assert ledger_decision(empty, "ds", 1, "t").first().skip is False
     led = (ledger_row(spark, "ds", 1, "t", dt.datetime(2024, 1, 1))
@@ -88,6 +100,115 @@ def test_markers_and_ledger(spark):
     assert ledger_decision(led, "ds", None, None).first().skip is True       # NULL = NULL counts as equal
     assert ledger_decision(led, "ds", 1, "t").first().skip is False          # not the latest row
     assert ledger_decision(led, "other", None, None).first().skip is False
+    tie = (ledger_row(spark, "ds", 1, "t", dt.datetime(2024, 1, 1))
+           .unionByName(ledger_row(spark, "ds", 2, "s", dt.datetime(2024, 1, 1))))
+    for order in (tie, tie.orderBy(F.col("replication_sequence").desc())):
+        assert ledger_decision(order, "ds", 2, "s").first().skip is True         # of two at one time, the larger
+
+
+def test_ndjson_repeated_key_and_nan(spark):
+    d = _local(spark, "nd-lenient")
+    _write_bytes(f"{d}/label", b'{"id":"a","id":"b","name":"N"}\n{"id":"c","label-code":NaN}\n'
+                               b'{"id":"d","relations":[{"type":"x","type":"y"}]}\n[1]\n')
+    got = {r.mb_id: r for r in load_entities(spark, f"{d}/label").collect()}
+    assert sorted(got) == ["b", "c", "d"] and got["b"].name == "N"
+    assert got["c"].label_code is None and '"y"' in got["d"].relations
+    for bad in (b'{"id": "a"', b'{"id": "a"} x', b'[1', b'{"id": a}', b'{"id": "a"}{"id": "b"}', b'{"id": "a"}, {"id": "b"}'):
+        e = _local(spark, "nd-broken")
+        _write_bytes(f"{e}/label", bad + b"\n")
+        with pytest.raises(Exception, match="Invalid JSON"):
+            load_entities(spark, f"{e}/label").collect()
+
+
+def test_append_by_name(spark):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    ensure_table(spark, name, spark.createDataFrame([], "a string, b string").schema, scratch_path(spark, "append"))
+    append_rows(spark.createDataFrame([("B", "A")], "b string, a string"), name)
+    assert [tuple(r) for r in spark.table(name).select("a", "b").collect()] == [("A", "B")]
+    for wrong in ("a string", "a string, c string"):
+        with pytest.raises(ValueError, match="has columns"):
+            append_rows(spark.createDataFrame([], wrong), name)
+
+
+def test_upsert_touches_only_the_range(spark):
+    name, base = f"p_{uuid.uuid4().hex[:8]}", scratch_path(spark, "prices")
+    rows = [(dt.date(2024, 1, d), t, 1.0) for d in range(1, 7) for t in ("A", "B")]
+    replace_table(spark.createDataFrame(rows, "date date, ticker string, close double"), name, base, partition_by=["date"])
+    files = lambda: {r[0]: r[1] for r in spark.table(name).select("date", F.input_file_name()).distinct().collect()}
+    before = files()
+    batch = spark.createDataFrame([(dt.date(2024, 1, 2), "A", 9.0), (dt.date(2024, 1, 4), "A", 9.0)], "date date, ticker string, close double")
+    upsert_range(batch, name, "date", ["ticker"])
+    got = {(r.date.day, r.ticker): r.close for r in spark.table(name).collect()}
+    assert got[(3, "B")] == 1.0 and (3, "A") not in got and got[(4, "A")] == 9.0 and len(got) == 11
+    after = files()
+    assert all(before[dt.date(2024, 1, d)] == after[dt.date(2024, 1, d)] for d in (1, 5, 6))
+    upsert_range(batch, name, "date")                               # without scope the whole range is replaced
+    got = {(r.date.day, r.ticker): r.close for r in spark.table(name).collect()}
+    assert sorted(got) == [(1, "A"), (1, "B"), (2, "A"), (4, "A"), (5, "A"), (5, "B"), (6, "A"), (6, "B")]
+
+
+def test_old_versions_are_dropped(spark):
+    name, base = f"v_{uuid.uuid4().hex[:8]}", scratch_path(spark, "versions")
+    for n in (1, 2, 3):
+        replace_table(spark.range(n), name, base)
+    assert len(drop_old_versions(spark, name, base)) == 2 and spark.table(name).count() == 3
+    assert drop_old_versions(spark, name, base) == []
+
+
+def test_high_water_mark_reads_folder_names(spark):
+    path = scratch_path(spark, "marks")
+    assert high_water_mark(spark, path) == dt.date(1900, 1, 1)
+    df = spark.createDataFrame([(dt.date(2024, 1, d), d) for d in (1, 12, 3)], "chart_date date, v int")
+    write_partitions(df.repartition(5), path)
+    assert high_water_mark(spark, path) == dt.date(2024, 1, 12)
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() == 3      # a file for each day
+    plain = scratch_path(spark, "marks-plain")
+    df.write.parquet(plain)
+    assert high_water_mark(spark, plain) == dt.date(2024, 1, 12)
+
+
+def test_quotes_keep_the_exchange_day(spark):
+    df = spark.sql("SELECT t AS Ticker, TIMESTAMP '2024-01-01 23:00:00' AS Date, 1.0 AS Open, 1.0 AS High, 1.0 AS Low, "
+                   "1.0 AS Close, 1 AS Volume FROM VALUES ('UMG.AS'), ('WMG'), ('OTHER') AS x(t)")
+    zones = {"UMG.AS": "Europe/Amsterdam", "WMG": "America/New_York"}
+    got = {r.ticker: r.date.day for r in shape_quotes(df, "Ticker", {}, zones).collect()}
+    assert got == {"UMG.AS": 2, "WMG": 1, "OTHER": 1}
+    local = df.withColumn("Date", F.col("Date").cast("timestamp_ntz"))
+    assert {r.date.day for r in shape_quotes(local, "Ticker", {}, zones).collect()} == {1}
+
+
+def test_html_entities_and_shared_keys(spark):
+    page = lambda h, c: f"<table><tr><th>{h}</th></tr><tr><td>{c}</td></tr></table>"
+    df = spark.createDataFrame([("k", page("One", "&#233;&eacute;&#x1F600; &amp;lt; &nope; & &#0; a&lt;b")), ("k", page("Two", "x"))],
+                               "k string, html string")
+    got = sorted((r.column_name, r.value) for r in html_table_rows(df, "html", ["k"]).collect())
+    assert got == [("one", "éé😀 &lt; &nope; & &#0; a<b"), ("two", "x")]
+    plan = html_table_rows(df, "html", ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_strict_link_sends_no_empty_key(spark):
+    from sharelens.operators.linkage import link_tracks
+    from sharelens.operators.staging import stage_metadata
+    charts = spark.createDataFrame([("夜に駆ける", "歌手"), ("Song", "歌手")], "track_name string, artist_name string")
+    meta = stage_metadata(spark.createDataFrame([("別の曲", "別の人", "L", "T1", dt.datetime(2024, 1, 1))],
+                                                "track_name string, artist_name string, label string, track_id string, updated_at timestamp"))
+    assert {r.track_id for r in link_tracks(charts, meta).collect()} == {None}
+    assert {r.track_name: r.track_id for r in link_tracks(charts, meta, strict=False).collect()} == {"夜に駆ける": "T1", "Song": None}
+
+
+def test_fanout_counts_matches(spark):
+    from sharelens.plans.market_share import share_fact
+    day = dt.date(2024, 1, 1)
+    charts = spark.createDataFrame([("Band - Song", 5, day)] * 2, "artist_and_title string, streams long, chart_date date")
+    meta = spark.createDataFrame([("Song", "Band", "Kona", "T1", dt.datetime(2024, 1, d)) for d in (1, 2, 3)],
+                                 "track_name string, artist_name string, label string, track_id string, updated_at timestamp")
+    dim = spark.createDataFrame([("kona", "G", "P", "l1"), ("kona", "G", "P", "l2")],
+                                "normalized_label string, market_share_group string, ultimate_parent_name string, label_id string")
+    fan = share_fact(charts, meta, dim, (), strict=False).collect()
+    assert [(r.parent_group, r.total_streams, r.track_count, r.row_count) for r in fan] == [("G", 60, 1, 12)]
+    strict = share_fact(charts, meta, dim, ()).collect()
+    assert [(r.parent_group, r.total_streams, r.track_count, r.row_count) for r in strict] == [("G", 10, 1, 2)]
 
 
 def test_replace_table_is_atomic(spark):
@@ -162,24 +283,24 @@ def test_quality_rules_on_broken_fact(spark):
         Unique(["chart_date", "parent_group"])]).collect()}
     assert got == {("not_null", "chart_date"): 1, ("not_null", "parent_group"): 1,
                    ("accepted_values", "parent_group"): 1, ("expression_is_true", "share_range"): 1,
-                   ("unique", "chart_date || parent_group"): 2}
+                   ("unique", "chart_date || parent_group"): 1}
 
 
 def test_linkage_strict_vs_fanout(spark):
     meta = spark.createDataFrame([
         ("T1", "lab", "Lab One", dt.datetime(2024, 1, 1)), ("T1", "lab", "Lab Two", dt.datetime(2024, 1, 2)),
         ("T2", "", "Records", dt.datetime(2024, 1, 1))],
-        "spotify_track_id string, normalized_label string, spotify_label string, updated_at timestamp")
-    charts = spark.createDataFrame([("T1", 10), ("T2", 5), (None, 1)], "spotify_track_id string, s int")
+        "track_id string, normalized_label string, label string, updated_at timestamp")
+    charts = spark.createDataFrame([("T1", 10), ("T2", 5), (None, 1)], "track_id string, s int")
     fan = track_labels(charts, meta, strict=False)
     assert fan.count() == 4
-    strict = {r.spotify_track_id: r.original_label for r in track_labels(charts, meta).collect()}
+    strict = {r.track_id: r.original_label for r in track_labels(charts, meta).collect()}
     assert strict["T1"] == "Lab Two"
     dim = spark.createDataFrame([("", "G1", "P", "l1"), ("", "G2", "P", "l2"), ("lab", "G3", "P", "l3")],
                                 "normalized_label string, market_share_group string, ultimate_parent_name string, "
                                 "label_id string")
     j = hierarchy_groups(track_labels(charts, meta), dim)
-    got = {r.spotify_track_id: r.hierarchy_group for r in j.collect()}
+    got = {r.track_id: r.hierarchy_group for r in j.collect()}
     assert got["T1"] == "G3" and got["T2"] is None            # '' key dropped in strict mode
     assert hierarchy_groups(track_labels(charts, meta), dim, strict=False).count() == 4
 
@@ -188,9 +309,13 @@ def test_missing_keys_include_null_labels(spark):
     charts = spark.createDataFrame([("t1", "a"), ("t2", "a"), ("t3", "b"), ("t3", "b")],
                                    "track_name string, artist_name string")
     meta = spark.createDataFrame([("t1", "a", "L"), ("t2", "a", None), ("t2", "a", "L2")],
-                                 "track_name string, artist_name string, spotify_label string")
+                                 "track_name string, artist_name string, label string")
     got = sorted(tuple(r) for r in missing_keys(charts, meta).collect())
     assert got == [("t2", "a"), ("t3", "b")]     # t2 has a NULL-label row too
+    assert [tuple(r) for r in missing_keys(charts, meta, limit=1).collect()] == [("t2", "a")]
+    assert count_missing(charts, meta).first()[0] == 3
+    counts = lookup_counts(missing_keys(charts, meta), meta.where("label is null")).first()
+    assert tuple(counts) == (2, 0, 1, 1)
     df = spark.createDataFrame([("k", 1, 3), ("k", 2, 3), ("j", 1, None)], "k string, id int, ts int")
     assert [tuple(r) for r in latest_per_key(df, ["k"], "ts", ["id"]).orderBy("k").collect()] == [("j", 1, None), ("k", 1, 3)]
 
@@ -220,8 +345,8 @@ def test_link_tracks_per_title_null_safe(spark):
                                    "track_name string, artist_name string, s int")
     meta = stage_metadata(spark.createDataFrame(
         [("song", "band", "L", "T1", dt.datetime(2024, 1, 1)), ("SONG", "Band", "L", "T2", dt.datetime(2024, 2, 1))],
-        "track_name string, artist_name string, spotify_label string, spotify_track_id string, updated_at timestamp"))
-    got = {r.s: (r.normalized_track_name, r.normalized_artist_name, r.spotify_track_id)
+        "track_name string, artist_name string, label string, track_id string, updated_at timestamp"))
+    got = {r.s: (r.normalized_track_name, r.normalized_artist_name, r.track_id)
            for r in link_tracks(charts, meta).collect()}
     assert got == {1: ("song", "band", "T2"), 2: ("song", "band", "T2"), 3: (None, "band", None),
                    4: ("other", None, None)}

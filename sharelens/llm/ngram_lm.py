@@ -43,7 +43,7 @@ from .frames import packed, text_of, text_udf
 U64 = np.uint64
 END, START = T.mix(np.array([0xE0D, 0xB05], U64))
 FP_BITS = 40
-FLUSH_TOKENS = 4_000_000
+FLUSH_TOKENS = 2_500_000
 SHARD_BYTES = 64 << 20
 MIN_SHARDS = 48
 BLOB = "shard int, a binary, b binary, c binary, d binary"

@@ -3,11 +3,11 @@
 Lines are cut at newlines and, since passages are often pasted into running
 text, also after a word that ends a sentence and before a capitalised word; a
 line's hash is over its words, so white space does not matter.  The first
-document (by id) that holds a line owns it.  A later document whose repeated
-lines form a run of ``MIN_WORDS`` words or more is paired with the owners of
-the rarest lines of that run (the fewest documents first, until every line of
-the run has its owner among the pairs), never with all documents that share a
-line: the number of pairs follows the number of lines, however common one is.
+document (by id) that holds a line owns it.  Rare are the lines that a document
+does not have alone, and of interest the runs of them with ``MIN_WORDS`` words
+or more: each run is paired with the owners of its lines, never with all
+documents that share a line, so the number of pairs follows the number of
+lines, however common one is.
 Each pair is aligned with patience diff (common head and tail, lines that are
 unique on both sides in their longest increasing order, then the gaps between
 them).  Aligned lines that make a run of ``MIN_WORDS`` words in the later
@@ -26,6 +26,7 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,12 +51,14 @@ def split_lines(texts):
         return e.astype(T.U64), e, e, e, e
     h = T.span_hashes(buf, start, end)
     newline = np.concatenate([[0], np.cumsum(buf == 10)])
-    first = buf[start]
     second = buf[np.minimum(start + 1, len(buf) - 1)]
+    first = buf[start]
     capital = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+    last, before = buf[end - 1], buf[np.maximum(end - 2, 0)]
+    stop = _SENTENCE_END[last] & ~(_SENTENCE_END[before] & (end - start > 1))   # not after "!!" or "..."
     begins = np.ones(len(start), bool)
     begins[1:] = ((text[1:] != text[:-1]) | (newline[start[1:]] != newline[end[:-1]])
-                  | _SENTENCE_END[buf[end[:-1] - 1]] | capital[1:])
+                  | stop[:-1] | (capital[1:] & ~capital[:-1]))
     at = np.flatnonzero(begins)
     stop = np.concatenate([at[1:], [len(start)]])
     p, q = T._power_table(len(h))
@@ -128,66 +131,90 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def _runs(places, n_words: dict, least: int):
-    """Runs of consecutive places with at least so many words, as (first, last)."""
-    out, run = [], []
-    for p in [*sorted(places), None]:
-        if run and p != run[-1] + 1 if p is not None else run:
-            if sum(n_words[x] for x in run) >= least:
-                out.append((run[0], run[-1]))
-            run = []
-        if p is not None:
-            run.append(p)
-    return out
+# ---- the Spark job -----------------------------------------------------------
 
+def _batch(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in columns.values()], list(columns))
 
-# ---- the Spark job -----------------------------------------------------------
 
-def _line_rows(docs: DataFrame, text_col: str) -> DataFrame:
-    """(hash, ord, key, at, words): a row for each line."""
-    fields = [("hash", pa.int64()), ("ord", pa.int64()), ("key", pa.int64()), ("at", pa.int32()), ("words", pa.int32())]
+_INTS = pa.list_(pa.int64())
+
+
+def _line_rows(docs: DataFrame) -> DataFrame:
+    """(hash, ord, key, place): a row for each line; ``place`` is its number and its words, packed."""
 
     def explode(batches):
         for batch in batches:
-            ords, keys, texts = (batch.column(i) for i in range(3))
-            texts = texts.to_pylist()
-            ords, keys = ords.to_numpy(zero_copy_only=False), keys.to_numpy(zero_copy_only=False)
-            for i, j in T.groups_of_bytes([len(t or "") for t in texts]):
-                h, _, _, words, own = split_lines(texts[i:j])
-                place = np.arange(len(own)) - np.searchsorted(own, own, "left")
-                arrays = [h.astype(np.int64), ords[i:j][own], keys[i:j][own], place, words]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, (_, t) in zip(arrays, fields, strict=True)], [n for n, _ in fields])
+            ords, keys = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            texts = batch.column(2)
+            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+            for i, j in T.groups_of_bytes(sizes):
+                h, _, _, words, own = split_lines(texts.slice(i, j - i).to_pylist())
+                at = np.arange(len(own)) - np.searchsorted(own, own, "left")
+                yield _batch({"hash": (h.astype(np.int64), pa.int64()), "ord": (ords[i:j][own], pa.int64()),
+                              "key": (keys[i:j][own], pa.int64()), "place": ((at << 32) | words, pa.int64())})
 
-    return docs.select("ord", "key", "text").mapInArrow(explode, "hash long, ord long, key long, at int, words int")
+    return docs.select("ord", "key", "text").mapInArrow(explode, "hash long, ord long, key long, place long")
 
 
-def _choose(batches, min_words: int):
-    """For each document the owners it is compared with: those of the rarest lines first, until all lines of its runs are covered."""
-    for batch in batches:
-        out = []
-        for order, key, lines in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-            later = {x["at"]: x for x in lines if x["owner"] < order}
-            n_words = {p: x["words"] for p, x in later.items()}
-            for a, b in _runs(later, n_words, min_words):
-                owners = set()
-                for x in sorted((later[p] for p in range(a, b + 1)), key=lambda x: (x["docs"], x["owner"])):
-                    if x["owner"] not in owners:
-                        owners.add(x["owner"])
-                        out.append((order, key, x["owner"]))
-        out = sorted(set(out))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(3)], ["ord", "key", "owner"])
-
-
-def _align(batches, block_words: int):
-    """Aligned places of the later document, for each pair of documents."""
+def _slices(column: pa.ListArray, *fields: str):
+    """For each row of a list-of-struct column, its fields as arrays."""
+    offsets = column.offsets.to_numpy()
+    arrays = [column.values.field(f).to_numpy(zero_copy_only=False) for f in fields]
+    for i, j in zip(offsets[:-1], offsets[1:], strict=True):
+        yield [a[i:j] for a in arrays]
+
+
+def _long_runs(place: np.ndarray, min_words: int):
+    """Slices of the sorted packed places that are consecutive lines with so many words in all."""
+    at, words = place >> 32, place & 0xFFFFFFFF
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1] + 1]))
+    total = np.add.reduceat(words, first)
+    edges = np.concatenate([first, [len(at)]])
+    return [(edges[k], edges[k + 1]) for k in np.flatnonzero(total >= min_words)]
+
+
+def _pair(batches, min_words: int):
+    """For each run of repeated lines of a document, its lines once for each owner of one of them."""
     for batch in batches:
         rows = []
-        for order, key, later, earlier in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
-            later, earlier = (sorted({x["at"]: x for x in s}.values(), key=lambda x: x["at"]) for s in (later, earlier))
-            pairs = patience([x["hash"] for x in earlier], [x["hash"] for x in later])
-            rows.append((order, key, [later[j]["at"] for _, j in pairs], [later[j]["words"] for _, j in pairs]))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["ord", "key", "at", "words"])
+        for order, key, (place, hashes, owner) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                                       _slices(batch.column(2), "place", "hash", "owner"), strict=True):
+            place, at = np.unique(place, return_index=True)
+            hashes, owner = hashes[at], owner[at]
+            later = owner < order
+            place, hashes, owner = place[later], hashes[later], owner[later]
+            if len(place):
+                for i, j in _long_runs(place, min_words):
+                    rows += [(order, key, o, place[i:j], hashes[i:j]) for o in np.unique(owner[i:j]).tolist()]
+                if len(rows) > 2000:
+                    yield _pairs(rows)
+                    rows = []
+        yield _pairs(rows)
+
+
+def _pairs(rows) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
+    kinds = [("ord", pa.int64()), ("key", pa.int64()), ("owner", pa.int64()), ("place", _INTS), ("hash", _INTS)]
+    return _batch({name: (list(c), t) for c, (name, t) in zip(cols, kinds, strict=True)})
+
+
+def _align(batches):
+    """Aligned places of the later document's run, for each run and owner."""
+    for batch in batches:
+        orders, keys = batch.column(0), batch.column(1)
+        out = []
+        later = zip(*[_rows_of(batch.column(i)) for i in (2, 3)], strict=True)
+        for (place, hashes), (theirs, mine) in zip(later, _slices(batch.column(4), "place", "hash"), strict=True):
+            theirs, first = np.unique(theirs, return_index=True)
+            pairs = patience(mine[first].tolist(), hashes.tolist())
+            out.append(place[[j for _, j in pairs]])
+        yield _batch({"ord": (orders, pa.int64()), "key": (keys, pa.int64()), "place": (out, _INTS)})
+
+
+def _rows_of(column: pa.ListArray):
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+    return [values[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -199,36 +226,27 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(ord, key, places): the lines of each document to delete; documents without any have no row."""
-    keyed = _keyed(docs, id_col, text_col)
-    lines = _line_rows(keyed, "text")
-    owners = lines.groupBy("hash").agg(F.min("ord").alias("owner"), F.max("ord").alias("last"), F.count(F.lit(1)).alias("docs"))
-    owners = owners.where("owner < last").select("hash", "owner", "docs")
-    item = F.struct("at", "hash", "words", "owner", "docs")
-    held = cut_lineage(lines.join(owners, "hash").groupBy("ord", "key").agg(F.collect_list(item).alias("lines")))
-    pairs = held.mapInArrow(lambda b: _choose(b, min_words), "ord long, key long, owner long")
-    later = held.select(F.col("ord").alias("o"), F.col("key").alias("k"), F.col("lines").alias("later"))
-    earlier = held.select(F.col("ord").alias("owner"), F.col("lines").alias("earlier"))
-    both = (pairs.join(later, (F.col("ord") == F.col("o")) & (F.col("key") == F.col("k")))
-            .join(earlier, "owner").select("ord", "key", _bare("later"), _bare("earlier")))
-    aligned = both.mapInArrow(lambda b: _align(b, 0), "ord long, key long, at array<int>, words array<int>")
-    merged = aligned.groupBy("ord", "key").agg(F.flatten(F.collect_list(F.arrays_zip("at", "words"))).alias("x"))
-
-    def long_runs(batches):
+    lines = _line_rows(_keyed(docs, id_col, text_col))
+    owners = lines.groupBy("hash").agg(F.min("ord").alias("owner"), F.max("ord").alias("last"))
+    owners = owners.where("owner < last").select("hash", "owner")
+    held = cut_lineage(lines.join(owners, "hash").groupBy("ord", "key").agg(
+        F.collect_list(F.struct("place", "hash", "owner")).alias("lines")))
+    pairs = held.mapInArrow(lambda b: _pair(b, min_words), "ord long, key long, owner long, place array<long>, hash array<long>")
+    earlier = held.select(F.col("ord").alias("owner"), F.transform("lines", lambda x: F.struct(
+        x["place"].alias("place"), x["hash"].alias("hash"))).alias("earlier"))
+    both = pairs.join(earlier, "owner").select("ord", "key", "place", "hash", "earlier")
+    aligned = both.mapInArrow(_align, "ord long, key long, place array<long>")
+    merged = aligned.groupBy("ord", "key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("place")))).alias("place"))
+
+    def kept(batches):
         for batch in batches:
-            rows = []
-            for order, key, x in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                n_words = {y["at"]: y["words"] for y in x}
-                keep = [p for a, b in _runs(n_words, n_words, min_words) for p in range(a, b + 1)]
-                if keep:
-                    rows.append((order, key, keep))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], ["ord", "key", "places"])
-
-    return merged.mapInArrow(long_runs, "ord long, key long, places array<int>")
-
+            out = []
+            for place in _rows_of(batch.column(2)):
+                runs = _long_runs(place, min_words) if len(place) else []
+                out.append(np.concatenate([place[i:j] >> 32 for i, j in runs]) if runs else place[:0])
+            yield _batch({"ord": (batch.column(0), pa.int64()), "key": (batch.column(1), pa.int64()), "places": (out, _INTS)})
 
-def _bare(name: str):
-    return F.transform(name, lambda x: F.struct(x["at"].alias("at"), x["hash"].alias("hash"), x["words"].alias("words"))).alias(name)
+    return merged.mapInArrow(kept, "ord long, key long, places array<long>").where(F.size("places") > 0)
 
 
 def without(text: str, places) -> tuple[str, list[tuple[int, int]], int]:

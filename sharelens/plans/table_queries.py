@@ -158,12 +158,12 @@ def q_range_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     the scoped range-replace keeps the third ticker's 1998 rows, and only the
     partitions of 1998 are written."""
     name, base = _name("prices"), scratch_path(spark, "prices")
-    p = prices(spark, sf_dir)
-    replace_table(p, name, base, partition_by=["date"])
+    p = prices(spark, sf_dir).withColumn("month", F.date_format("date", "yyyyMM"))
+    replace_table(p, name, base, partition_by=["month"])
     in_1998 = F.col("date").between(F.lit("1998-01-01").cast("date"), F.lit("1998-12-31").cast("date"))
     batch = p.where(in_1998 & F.col("ticker").isin("A", "R")).withColumn("close", F.col("close") * 2)
-    upsert_range(batch, name, "date", scope_keys=["ticker"])
-    return spark.table(name)
+    upsert_range(batch, name, "date", scope_keys=["ticker"], partition_col="month")
+    return spark.table(name).drop("month")
 
 
 # ---------------------------------------------------------------- S6
@@ -255,18 +255,19 @@ def q_materialize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("materialize_incremental", "S12,S9", sql="""
-SELECT CAST(o_orderdate AS DATE) AS chart_date, o_orderstatus, COUNT(*) AS n_orders FROM orders GROUP BY ALL""")
+SELECT CAST(ts AS DATE) AS chart_date, event_type, COUNT(*) AS n_events, COUNT(DISTINCT user_id) AS n_users
+FROM events GROUP BY ALL""")
 def q_materialize_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by day and status as an incremental table, in two runs."""
-    name, base = _name("daily_orders"), scratch_path(spark, "daily-orders")
-    orders = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("chart_date"), "o_orderstatus")
+    """Events by day and type as an incremental table, in two runs."""
+    name, base = _name("daily_events"), scratch_path(spark, "daily-events")
+    events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("chart_date"), "event_type", "user_id")
 
     def build(arrived: DataFrame):
-        return lambda since: arrived.where(F.col("chart_date") > since).groupBy("chart_date", "o_orderstatus").agg(
-            F.count(F.lit(1)).alias("n_orders"))
+        return lambda since: arrived.where(F.col("chart_date") > since).groupBy("chart_date", "event_type").agg(
+            F.count(F.lit(1)).alias("n_events"), F.count_distinct("user_id").alias("n_users"))
 
-    materialize(build(orders.where(F.col("chart_date") <= F.lit(dt.date(1995, 6, 30)))), name, "incremental", base)
-    return materialize(build(orders), name, "incremental", base)
+    materialize(build(events.where(F.col("chart_date") <= F.lit(dt.date(2024, 1, 15)))), name, "incremental", base)
+    return materialize(build(events), name, "incremental", base)
 
 
 # ---------------------------------------------------------------- S9, E4

@@ -203,28 +203,31 @@ def range_replace(target: DataFrame, batch: DataFrame, date_col: str,
     return keep.unionByName(batch.select(*target.columns))
 
 
-def upsert_range(batch: DataFrame, name: str, date_col: str, scope_keys: Sequence[str] = ()) -> None:
-    """Range-replace into catalog table ``name``, which is partitioned by ``date_col``.
+def upsert_range(batch: DataFrame, name: str, date_col: str, scope_keys: Sequence[str] = (),
+                 partition_col: str | None = None) -> None:
+    """Range-replace into catalog table ``name``, partitioned by ``date_col`` or by
+    ``partition_col``, a coarser column that grows with the date (a month).
 
-    Only the partitions inside the batch's date range are read and written;
-    the others are not touched.  The new rows of the range are complete in a
+    Only the partitions of the batch's range are read and written; the others
+    are not touched.  The new rows of these partitions are complete in a
     checkpoint before any folder is replaced, so a failed batch leaves the
     table as it was, and a repeated one gives the same table."""
     spark = batch.sparkSession
+    folder = partition_col or date_col
     target = spark.table(name)
     loc = table_location(spark, name)
     batch = cut_lineage(batch.select(*target.columns))
-    lo, hi = batch.agg(F.min(date_col), F.max(date_col)).first()
+    lo, hi = batch.agg(F.min(folder), F.max(folder)).first()
     if lo is None:
         return
-    inside = target.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
+    inside = target.where(F.col(folder).between(F.lit(lo), F.lit(hi)))
     new = cut_lineage(range_replace(inside, batch, date_col, scope_keys))
-    write_partitions(new, loc, date_col)
-    kept = {str(r[0]) for r in new.select(date_col).distinct().collect()}       # one row for each day of the range
-    for day in _partition_values(spark, loc, date_col):
-        if str(lo) <= day <= str(hi) and day not in kept:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({date_col} = '{day}')")
-            _delete(spark, f"{loc}/{date_col}={day}")
+    write_partitions(new, loc, folder)
+    kept = {str(r[0]) for r in new.select(folder).distinct().collect()}       # one row for each folder of the range
+    for value in _partition_values(spark, loc, folder):
+        if str(lo) <= value <= str(hi) and value not in kept:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({folder} = '{value}')")
+            _delete(spark, f"{loc}/{folder}={value}")
     spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
 

@@ -26,6 +26,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -153,13 +155,13 @@ def links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float) -
     both = with_b.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
 
     def compare(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            a, b, x, y = (batch.column(i).to_pylist() for i in range(4))
-            sims = [jaccard(x[i:j], y[i:j]) for i, j in T.groups_of_bytes([len(s) + len(t) for s, t in zip(x, y, strict=True)])]
-            ok = np.flatnonzero(np.concatenate(sims) >= similarity) if sims else []
-            yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in ok], pa.binary()), pa.array([b[i] for i in ok], pa.binary())], ["u", "v"])
+            size = pc.add(pc.binary_length(batch.column(2)), pc.binary_length(batch.column(3))).to_pylist()
+            for i, j in T.groups_of_bytes(size):
+                part = batch.slice(i, j - i)
+                sims = jaccard(part.column(2).to_pylist(), part.column(3).to_pylist())
+                ok = pa.array(sims >= similarity)
+                yield pa.RecordBatch.from_arrays([pc.filter(part.column(k), ok) for k in (0, 1)], ["u", "v"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "u binary, v binary")
 
@@ -196,10 +198,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class, its first document, with the columns of ``docs`` as they are."""
     _, nodes = classes(docs, id_col, text_col, similarity)
-    winners = nodes.where(F.col("key") == F.col("first.key")).select(F.col("key").alias("win"), F.col("first.id").alias("win_id"))
+    winners = nodes.where(F.col("key") == F.col("first.key")).select(F.col("key").alias("win"))
     rows = packed(docs)
     text = text_of(rows, text_col)
-    keyed = rows.select("row", rows["row"].getField(id_col).alias("own_id"),
+    own_id = rows["row"].getField(id_col)
+    keyed = rows.select("row", F.struct(own_id.isNull().alias("none"), own_id.alias("id"), text.alias("text")).alias("order"),
                         text_udf(lambda texts: {"key": _digests(texts)}, "key binary")(text)["key"].alias("key"))
-    kept = keyed.join(winners, (F.col("key") == F.col("win")) & F.col("own_id").eqNullSafe(F.col("win_id")), "left_semi")
-    return kept.groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    # the winner among rows with the same words is chosen in each task first, then once for each key
+    one = keyed.groupBy("key").agg(F.min_by("row", "order").alias("row"))
+    return one.join(winners, F.col("key") == F.col("win"), "left_semi").select("row.*")

@@ -61,7 +61,7 @@ def q_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitions(stamped.drop("ts"), path)
     rerun = stamped.where(F.col("chart_date") >= F.lit("2024-01-25").cast("date"))
     write_partitions(rerun.withColumn("value", F.col("value") * 2).drop("ts"), path)
-    back = snake_case_columns(read_charts(spark, path))
+    back = snake_case_columns(read_charts(spark, f"{path}/chart_date=*", base_path=path))
     return (back.groupBy("chart_date", "event_type")
             .agg(F.count(F.lit(1)).alias("n_rows"),
                  F.sum(F.round(F.col("value") * 100).cast("bigint")).alias("cents")))

@@ -81,13 +81,15 @@ def snake_case_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower().replace(" ", "_") for c in df.columns])
 
 
-def read_charts(spark: SparkSession, path: str, schema: StructType | None = None, merge_schema: bool = False) -> DataFrame:
+def read_charts(spark: SparkSession, path: str, schema: StructType | None = None, merge_schema: bool = False,
+                base_path: str | None = None) -> DataFrame:
     """Scan a glob or partitioned folder of daily chart files (S1).  Filters on
     ``chart_date`` prune folders when the layout is partitioned by it.
     ``merge_schema`` reads the footer of every file to find columns that only
-    some have; a given ``schema`` needs no footer."""
+    some have; a given ``schema`` needs no footer.  For a glob below a
+    partitioned folder, ``base_path`` is that folder, so its columns are kept."""
     reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", str(merge_schema).lower())
-    return reader.parquet(path)
+    return (reader.option("basePath", base_path) if base_path else reader).parquet(path)
 
 
 # ------------------------------------------------------------------ S7 / S11 / S12

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -30,6 +31,26 @@ def text_of(df: DataFrame, name: str) -> Column:
     return df["row"].getField(name)
 
 
+def release_memory() -> None:
+    """Give what a finished task has freed back to the system: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc
+    if trim:
+        trim(0)
+
+
+def releasing(fn):
+    """A function of a task's batches that gives its memory back at the end."""
+
+    def run(batches):
+        try:
+            yield from fn(batches)
+        finally:
+            release_memory()
+
+    return run
+
+
 def text_udf(fn: Callable[[list], dict], schema: str, make: Callable[[], object] | None = None):
     """A vectorised function of a text column that returns a struct of ``schema``.
 
@@ -46,13 +67,17 @@ def text_udf(fn: Callable[[list], dict], schema: str, make: Callable[[], object]
     @F.arrow_udf(kind)
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         state = [make()] if make else []
-        for batch in batches:
-            batch = batch.cast(pa.string()) if not pa.types.is_string(batch.type) else batch
-            sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
-            if not len(sizes):
-                yield pa.array([], arrow)
-            for i, j in groups_of_bytes(sizes.tolist()):  # a result for each slice: no more is held at once
-                got = fn(batch.slice(i, j - i).to_pylist(), *state)
-                yield pa.StructArray.from_arrays([pa.array(got[f.name], f.type) for f in arrow], fields=list(arrow))
+        try:
+            for batch in batches:
+                batch = batch.cast(pa.string()) if not pa.types.is_string(batch.type) else batch
+                sizes = pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False)
+                if not len(sizes):
+                    yield pa.array([], arrow)
+                for i, j in groups_of_bytes(sizes.tolist()):  # a result for each slice: no more is held at once
+                    got = fn(batch.slice(i, j - i).to_pylist(), *state)
+                    yield pa.StructArray.from_arrays([pa.array(got[f.name], f.type) for f in arrow], fields=list(arrow))
+        finally:
+            state.clear()
+            release_memory()
 
     return run

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from sharelens.session import cut_lineage
 
 from . import textarrays as T
-from .frames import packed, text_of, text_udf
+from .frames import packed, releasing, text_of, text_udf
 
 #: a block is deleted when it has so many words
 MIN_WORDS = 25
@@ -154,7 +154,7 @@ def _line_rows(docs: DataFrame) -> DataFrame:
                 yield _batch({"hash": (h.astype(np.int64), pa.int64()), "ord": (ords[i:j][own], pa.int64()),
                               "key": (keys[i:j][own], pa.int64()), "place": ((at << 32) | words, pa.int64())})
 
-    return docs.select("ord", "key", "text").mapInArrow(explode, "hash long, ord long, key long, place long")
+    return docs.select("ord", "key", "text").mapInArrow(releasing(explode), "hash long, ord long, key long, place long")
 
 
 def _slices(column: pa.ListArray, *fields: str):
@@ -231,11 +231,11 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     owners = owners.where("owner < last").select("hash", "owner")
     held = cut_lineage(lines.join(owners, "hash").groupBy("ord", "key").agg(
         F.collect_list(F.struct("place", "hash", "owner")).alias("lines")))
-    pairs = held.mapInArrow(lambda b: _pair(b, min_words), "ord long, key long, owner long, place array<long>, hash array<long>")
+    pairs = held.mapInArrow(releasing(lambda b: _pair(b, min_words)), "ord long, key long, owner long, place array<long>, hash array<long>")
     earlier = held.select(F.col("ord").alias("owner"), F.transform("lines", lambda x: F.struct(
         x["place"].alias("place"), x["hash"].alias("hash"))).alias("earlier"))
     both = pairs.join(earlier, "owner").select("ord", "key", "place", "hash", "earlier")
-    aligned = both.mapInArrow(_align, "ord long, key long, place array<long>")
+    aligned = both.mapInArrow(releasing(_align), "ord long, key long, place array<long>")
     merged = aligned.groupBy("ord", "key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("place")))).alias("place"))
 
     def kept(batches):
@@ -246,7 +246,7 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 out.append(np.concatenate([place[i:j] >> 32 for i, j in runs]) if runs else place[:0])
             yield _batch({"ord": (batch.column(0), pa.int64()), "key": (batch.column(1), pa.int64()), "places": (out, _INTS)})
 
-    return merged.mapInArrow(kept, "ord long, key long, places array<long>").where(F.size("places") > 0)
+    return merged.mapInArrow(releasing(kept), "ord long, key long, places array<long>").where(F.size("places") > 0)
 
 
 def without(text: str, places) -> tuple[str, list[tuple[int, int]], int]:

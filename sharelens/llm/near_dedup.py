@@ -35,7 +35,7 @@ from sharelens.session import cut_lineage
 
 from . import textarrays as T
 from .components import components
-from .frames import packed, text_of, text_udf
+from .frames import packed, releasing, text_of, text_udf
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -163,7 +163,7 @@ def links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float) -
                 ok = pa.array(sims >= similarity)
                 yield pa.RecordBatch.from_arrays([pc.filter(part.column(k), ok) for k in (0, 1)], ["u", "v"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "u binary, v binary")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(releasing(compare), "u binary, v binary")
 
 
 def _keyed(docs: DataFrame, text_col: str) -> DataFrame:

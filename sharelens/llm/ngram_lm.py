@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from sharelens.session import scratch_path
 
 from . import textarrays as T
-from .frames import packed, text_of, text_udf
+from .frames import packed, releasing, text_of, text_udf
 
 U64 = np.uint64
 END, START = T.mix(np.array([0xE0D, 0xB05], U64))
@@ -202,8 +202,8 @@ def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTE
         return {"shard": s, "types": len(keys), "total": int(counts.sum()), "hot": hot.astype(np.int64).tolist()}
 
     kinds = [("shard", pa.int32()), ("types", pa.int64()), ("total", pa.int64()), ("hot", pa.list_(pa.int64()))]
-    found = (texts.mapInArrow(lambda b: _flushes(b, words), BLOB).repartition(n, "shard")
-             .mapInArrow(lambda b: _merged(b, merge_words, kinds), "shard int, types long, total long, hot array<long>")).collect()
+    found = (texts.mapInArrow(releasing(lambda b: _flushes(b, words)), BLOB).repartition(n, "shard")
+             .mapInArrow(releasing(lambda b: _merged(b, merge_words, kinds)), "shard int, types long, total long, hot array<long>")).collect()
     model = {"folder": folder, "shards": n, "types": sum(r["types"] for r in found), "total": sum(r["total"] for r in found)}
     hot = np.unique(np.array([x for r in found for x in r["hot"]] + [int(START.astype(np.int64))], np.int64).astype(U64))
 
@@ -241,8 +241,8 @@ def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTE
                 "stats": stats[:, mine].T.ravel().tolist()}
 
     kinds2 = [("shard", pa.int32()), ("few", pa.list_(pa.int64())), ("hot", pa.list_(pa.int64())), ("stats", pa.list_(pa.int64()))]
-    found = (texts.mapInArrow(lambda b: _flushes(b, pairs), BLOB).repartition(n, "shard")
-             .mapInArrow(lambda b: _merged(b, merge_pairs, kinds2),
+    found = (texts.mapInArrow(releasing(lambda b: _flushes(b, pairs)), BLOB).repartition(n, "shard")
+             .mapInArrow(releasing(lambda b: _merged(b, merge_pairs, kinds2)),
                          "shard int, few array<long>, hot array<long>, stats array<long>")).collect()
     model["pair_few"] = [sum(r["few"][k] for r in found) for k in range(4)]
     totals: dict[int, np.ndarray] = {}
@@ -268,8 +268,8 @@ def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTE
         return {"shard": s, "few": [*_few(counts), int((counts >= 3).sum()), int(counts.sum())]}
 
     kinds3 = [("shard", pa.int32()), ("few", pa.list_(pa.int64()))]
-    found = (spark.range(0, n, 1, n).mapInArrow(continuations, BLOB).repartition(n, "shard")
-             .mapInArrow(lambda b: _merged(b, merge_continuations, kinds3), "shard int, few array<long>")).collect()
+    found = (spark.range(0, n, 1, n).mapInArrow(releasing(continuations), BLOB).repartition(n, "shard")
+             .mapInArrow(releasing(lambda b: _merged(b, merge_continuations, kinds3)), "shard int, few array<long>")).collect()
     model["word_few"] = [sum(r["few"][k] for r in found) for k in range(6)]
     return model
 

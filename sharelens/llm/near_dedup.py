@@ -10,11 +10,15 @@ registers give the buckets.
 
 Texts with the same words are one node before anything is compared, so copies
 make no pairs.  In a bucket of at most ``SMALL`` nodes every pair is a
-candidate.  In a larger one each node is compared with the bucket's leader and
-with its ``NEAR`` next nodes in the order of the whole signature; every band has
-its own order of leaders, so two similar texts meet through many different
-ones.  Candidates are verified on the exact Jaccard similarity of the shingle
-sets, and the links' connected components are the classes.
+candidate.  In a larger one each node is first compared with the bucket's leader
+and with its ``NEAR`` next nodes in an order of keys; candidates are verified on
+the exact Jaccard similarity of the shingle sets.  Where the components of these
+links leave a large bucket with nodes of several components, all its pairs
+across components are found by an exact prefix join (rarest shingles first,
+with length and position bounds) and verified too.  So the classes, the
+connected components, are those of all pairs in the buckets; pairs within one
+class of a large bucket are not all compared, and ``n_links`` counts the
+verified ones only.
 
 Defined results: null, empty and blank texts have no shingle and form one class;
 repeated rows are in one class; a null id sorts after all others; an empty table
@@ -31,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sharelens.session import cut_lineage
+from sharelens.session import cut_lineage, cut_lineage_counted
 
 from . import textarrays as T
 from .components import components
@@ -120,37 +124,93 @@ def jaccard(left, right) -> np.ndarray:
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct (a, b) with a < b from the buckets of ``nodes(key, bands)``."""
+    """Distinct (a, b, a_leads, b_leads) with a < b from the buckets of ``nodes(key, bands)``.
+
+    The flags tell whether a (or b) leads a large bucket that holds the other.
+    """
     rows = nodes.where("n > 0").select("key", F.col("bands")[0].alias("near"), F.posexplode("bands").alias("band", "bucket"))
     bucket = ["band", "bucket"]
     rank = F.xxhash64("key", "band")
     lead = rows.groupBy(*bucket).agg(F.min(F.struct(rank.alias("r"), "key")).alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1")
     rows = rows.join(lead.select(*bucket, F.col("lead.key").alias("lead"), "m"), bucket)
-    star = rows.where("key <> lead").select(F.col("lead").alias("x"), F.col("key").alias("y"))
+    star = rows.where("key <> lead").select(F.col("lead").alias("x"), F.col("key").alias("y"), (F.col("m") > SMALL).alias("leads"))
     small = rows.where(F.col("m") <= SMALL).groupBy(*bucket).agg(F.sort_array(F.collect_list("key")).alias("keys"))
     pairs = small.where(F.size("keys") > 2).select(F.col("keys"), F.posexplode("keys").alias("i", "x")).select(
-        "x", F.explode(F.slice("keys", F.col("i") + 2, F.lit(SMALL))).alias("y"))
-    # neighbours in a large bucket, in the order of the nodes' other band hashes; a bucket is ordered in 64 parts
+        "x", F.explode(F.slice("keys", F.col("i") + 2, F.lit(SMALL))).alias("y"), F.lit(False).alias("leads"))
+    # neighbours in a large bucket, by band 0 and key; a bucket is ordered in 64 parts
     order = Window.partitionBy(*bucket, "part").orderBy("near", "key")
     large = rows.where(F.col("m") > SMALL).withColumn("part", F.pmod(F.xxhash64("near"), F.lit(64)))
     near = large.select(F.col("key").alias("x"), F.array(*[F.lead("key", i).over(order) for i in range(1, NEAR + 1)]).alias("next"))
-    near = near.select("x", F.explode("next").alias("y"))
-    every = star.unionByName(pairs).unionByName(near.where("y is not null"))
-    return every.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).where("a <> b").distinct()
+    near = near.select("x", F.explode("next").alias("y"), F.lit(False).alias("leads"))
+    every = star.unionByName(pairs).unionByName(near.where("y is not null")).where("x <> y")
+    return every.groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).agg(
+        F.max(F.col("leads") & (F.col("x") < F.col("y"))).alias("a_leads"),
+        F.max(F.col("leads") & (F.col("x") > F.col("y"))).alias("b_leads"))
+
+
+def unsettled(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, root) of the nodes that share a large bucket's leader with a node of another component."""
+    star = pairs.where("a_leads").select(F.col("a").alias("lead"), F.col("b").alias("key")).unionByName(
+        pairs.where("b_leads").select(F.col("b").alias("lead"), F.col("a").alias("key")))
+    star = star.join(roots.select(F.col("node").alias("key"), F.col("root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    star = star.unionByName(star.select("lead").distinct().join(
+        roots.select(F.col("node").alias("lead"), F.col("root")), "lead", "left").select(
+        "lead", F.col("lead").alias("key"), F.coalesce("root", "lead").alias("root")))
+    mixed = star.groupBy("lead").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("lead")
+    return star.join(mixed, "lead", "left_semi").select("key", "root").distinct()
+
+
+def crossing(texts: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (a, b), a < b, of ``texts(key, root, text)`` with different roots: every pair that can reach ``similarity``.
+
+    A global order of the shingles, rarest first: two sets of this similarity
+    share one among the first n - ceil(similarity * n) + 1 of each.  In the group
+    of a shingle only nodes outside its commonest root are compared with the others.
+    """
+
+    def explode(batches):
+        for batch in batches:
+            keys, roots = batch.column(0), batch.column(1)
+            texts = batch.column(2)
+            for i, j in T.groups_of_bytes(pc.binary_length(texts).to_pylist()):
+                h, _, owner = shingles(texts.slice(i, j - i).to_pylist())
+                n = np.bincount(owner, minlength=j - i)
+                at = pa.array(owner + i)
+                yield pa.RecordBatch.from_arrays([keys.take(at), roots.take(at), pa.array(n[owner]), pa.array(h.astype(np.int64))],
+                                                 ["key", "root", "n", "token"])
+
+    tokens = texts.select("key", "root", "text").mapInArrow(releasing(explode), "key binary, root binary, n long, token long")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    first = (F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).cast("int")
+    held = tokens.join(often, "token").groupBy("key", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+    held = held.select("key", "root", "n", F.posexplode(F.slice("t", F.lit(1), first)).alias("pos", "t")).where("t.df > 1").select(
+        "key", "root", "n", "pos", F.col("t.token").alias("token"))
+    held = cut_lineage(held)
+    major = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("token").agg(
+        F.max_by("root", F.struct("m", "root")).alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", "major")
+    held = held.join(major, "token")
+    x = held.where("root <> major").select("token", *[F.col(c).alias(f"{c}_x") for c in ("key", "root", "n", "pos")])
+    both = x.join(held.drop("major"), "token").where("root <> root_x")
+    least = F.ceil((F.col("n") + F.col("n_x")) * (similarity / (1 + similarity)) - 1e-9)
+    both = both.where((F.col("n") >= F.col("n_x") * similarity - 1e-9) & (F.col("n_x") >= F.col("n") * similarity - 1e-9)
+                      & (F.least(F.col("n") - F.col("pos"), F.col("n_x") - F.col("pos_x")) >= least))
+    return both.select(F.least("key", "key_x").alias("a"), F.greatest("key", "key_x").alias("b")).distinct()
 
 
 def _first(id_col: str, key: str):
     return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(key).alias("key"))
 
 
-def links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float) -> DataFrame:
-    """Verified pairs (u, v) of nodes."""
-    pairs = cut_lineage(candidates(nodes))
-    needed = pairs.select(F.col("a").alias("need")).unionByName(pairs.select(F.col("b").alias("need"))).distinct()
+def _texts(docs: DataFrame, nodes: DataFrame, needed: DataFrame, text_col: str) -> DataFrame:
+    """(key, text) of the nodes in ``needed(need)``."""
     needed = needed.join(nodes.select("key", "id"), F.col("need") == F.col("key")).select("need", "id")
     keyed = _keyed(docs, text_col)
     texts = keyed.join(needed, (F.col("key") == F.col("need")) & F.col("own_id").eqNullSafe(F.col("id")))
-    texts = cut_lineage(texts.groupBy("key").agg(F.min("text").alias("text")))
+    return cut_lineage(texts.groupBy("key").agg(F.min("text").alias("text")))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) of ``pairs(a, b)`` that reach the similarity."""
     with_b = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
 
@@ -166,6 +226,22 @@ def links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float) -
     return both.select("a", "b", "text_a", "text_b").mapInArrow(releasing(compare), "u binary, v binary")
 
 
+def links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Verified pairs (u, v) of nodes, and (node, root) of their components."""
+    pairs = cut_lineage(candidates(nodes))
+    needed = pairs.select(F.col("a").alias("need")).unionByName(pairs.select(F.col("b").alias("need"))).distinct()
+    texts = _texts(docs, nodes, needed, text_col)
+    found = cut_lineage(_verified(pairs.select("a", "b"), texts, similarity))
+    roots = components(found)
+    rest, n = cut_lineage_counted(unsettled(pairs, roots))
+    if n:
+        more = crossing(texts.join(rest, "key"), similarity).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+        more = cut_lineage(_verified(more, texts, similarity))
+        found = found.unionByName(more)
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))
+    return found, roots
+
+
 def _keyed(docs: DataFrame, text_col: str) -> DataFrame:
     text = text_of(docs, text_col)
     got = text_udf(lambda texts: {"key": _digests(texts)}, "key binary")(text)
@@ -184,8 +260,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sim
     described = cut_lineage(described.select("own_id", "d.*"))
     nodes = described.groupBy("key").agg(F.min(_first("own_id", "key")).alias("f"), F.max("n").alias("n"), F.first("bands").alias("bands"))
     nodes = nodes.select("key", F.col("f.id").alias("id"), "n", "bands")
-    found = cut_lineage(links(rows, nodes, text_col, similarity))
-    roots = components(found)
+    found, roots = links(rows, nodes, text_col, similarity)
     degree = found.select(F.col("u").alias("x")).unionByName(found.select(F.col("v").alias("x"))).groupBy("x").agg(F.count(F.lit(1)).alias("n_links"))
     firsts = nodes.select("key", "id").join(roots, F.col("key") == F.col("node"), "left").select(
         "key", "id", F.coalesce("root", "key").alias("root"))

@@ -148,6 +148,34 @@ def test_near_dedup_large_group(spark):
     assert nodes.agg({"n_links": "sum"}).first()[0] < 300 * 60   # far fewer links than pairs
 
 
+def _family(rng, n, edits, start):
+    """Texts of one base with so many words changed: few pairs reach the similarity."""
+    base = _prose(rng, 20).split()
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for k in rng.sample(range(len(words)), rng.choice(edits)):
+            words[k] = "w" + str(rng.randrange(10**6))
+        rows.append((start + i, " ".join(words)))
+    return rows
+
+
+def _pages(rng, n, start):
+    """Pages of one template, each with its own third, and every tenth a near copy of the one before."""
+    template, rows = _prose(rng, 14), []
+    for i in range(n):
+        own = rows[-1][1].rsplit("\n", 1)[1].rsplit(" ", 1)[0] + " end" if i % 10 == 9 else _prose(rng, 5)
+        rows.append((start + i, template + "\n" + own))
+    return rows
+
+
+def test_near_dedup_large_buckets_against_all_pairs(spark):
+    rng = random.Random(12)
+    rows = _family(rng, 500, (3, 4, 5), 0) + _family(rng, 300, (2, 3, 4), 1000) + _pages(rng, 300, 2000)
+    members, nodes = near_dedup.classes(_table(spark, rows))
+    assert {r["own_id"]: r["first"]["id"] for r in members.join(nodes, "key").collect()} == _classes(rows)
+
+
 def test_near_dedup_edge_rows(messy, nothing):
     kept = near_dedup.keep_first(messy)
     assert kept.columns == messy.columns

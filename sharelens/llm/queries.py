@@ -89,8 +89,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_quality_rules")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ratio = quality_rules.log_ratio(docs, quality_rules.trusted_labels(read(spark, sf_dir, "labels")))
-    return quality_rules.judge(docs, ratio).select("row.doc_id", "q.*")
+    trusted = quality_rules.trusted_labels(read(spark, sf_dir, "labels"))
+    ratio = quality_rules.log_ratio(docs, trusted)
+    return quality_rules.judge(docs, ratio, threshold=quality_rules.calibrate(docs, trusted)).select("row.doc_id", "q.*")
 
 
 def _op8_sql() -> str:

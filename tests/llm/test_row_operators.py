@@ -88,6 +88,18 @@ def test_quality_rules_edge_rows(spark, messy, nothing):
     assert quality_rules.keep_documents(nothing, ids).collect() == []
 
 
+def test_quality_threshold_is_calibrated_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    rows = queries.QUERIES["op7_quality_rules"](spark, sf).join(labels, "doc_id").where("n_words >= 20").collect()
+    lost = lambda some: sum(not r["kept"] for r in some) / len(some)
+    clean = [r for r in rows if r["quality"] == 1 and not r["toxic"] and not r["base_failed"]]
+    toxic, bad = [r for r in rows if r["toxic"]], [r for r in rows if r["quality"] == 0 and not r["toxic"]]
+    print("lost: clean", lost(clean), "toxic", lost(toxic), "bad", lost(bad), "threshold", min(r["score"] for r in rows if r["kept"]))
+    assert lost(clean) <= quality_rules.CLEAN_LOSS
+    assert lost(toxic) > 3 * quality_rules.CLEAN_LOSS and lost(bad) > 0.95
+
+
 # ---- BPE -------------------------------------------------------------------
 
 @pytest.fixture(scope="module")

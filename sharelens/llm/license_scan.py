@@ -59,10 +59,16 @@ def known_digests(known=KNOWN) -> list[tuple[str, str]]:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=KNOWN) -> DataFrame:
     """(id, whole_license, licenses, n_notices), a row for each row of ``docs``.
 
+    ``known``: pairs (licence, text), or a table with columns license and text.
+
     ``whole_license``: the licence that the entire text is, else null;
     ``licenses``: the sorted licences of its lines and of the whole;
     ``n_notices``: how many of its lines are known texts.
     """
+    if isinstance(known, DataFrame):
+        known = [(r[0], r[1]) for r in known.select("license", "text").where("license is not null and text is not null").distinct().limit(MAX_KNOWN + 1).collect()]
+        if len(known) > MAX_KNOWN:
+            raise ValueError(f"over {MAX_KNOWN} known texts")
     digests = known_digests(known)
     if len(digests) > MAX_KNOWN:
         raise ValueError(f"{len(digests)} known texts, at most {MAX_KNOWN} are broadcast")

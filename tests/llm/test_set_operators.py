@@ -7,6 +7,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -224,6 +225,20 @@ def test_license_scan(spark, messy, nothing):
         assert r["c"] == license_scan.canonical(r["text"] or "")
 
 
+def test_license_scan_knows_the_common_licenses(spark):
+    whole = {p.name.removesuffix(".txt").removesuffix(".regents"): p.read_text() for p in (Path(license_scan.__file__).parent / "license_texts").glob("*.txt")}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC-BY-SA-4.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"} <= set(whole)
+    notices = {"CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.", "LGPL-2.1": "Licensed under the GNU Lesser General Public License, version 2.1.",
+               "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+               "MPL-2.0": "SPDX-License-Identifier: MPL-2.0", "Unlicense": "Released under the Unlicense", "BSD-2-Clause": "Licensed under the BSD 2-Clause License"}
+    rows = [(n, "Copyright 2021 Somebody\n" + t.upper().replace("\n", "\r\n")) for n, t in whole.items()] + [(n, PROSE + "\n" + t) for n, t in notices.items()]
+    for r in license_scan.scan(_table(spark, rows, "doc_id string, text string")).collect():
+        assert (r["whole_license"], r["n_notices"]) in ((r["id"], 0), (None, 1)) and r["licenses"] == [r["id"]]
+    own = _table(spark, [("Own-1", "All of it is ours.")], "license string, text string")
+    got = license_scan.scan(_table(spark, [(1, "all of it, is OURS")]), known=own).collect()
+    assert [r["whole_license"] for r in got] == ["Own-1"]
+
+
 # ---- URLs ----------------------------------------------------------------------
 
 URLS = [(1, "HTTP://Www.Example.NET/en/a?x=://b"), (2, "https://example.net/de/1#top"), (3, "http://a.example.com/de/x"), (4, "http://example.com"),

@@ -17,6 +17,7 @@ from . import (
     ngram_lm,
     quality_classifier,
     quality_rules,
+    rank_bpe,
     url_filter,
 )
 from .frames import crc_mod, read
@@ -164,3 +165,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
         decontaminate.is_contaminated().alias("contaminated"))
+
+
+@query("op11_rank_bpe")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = rank_bpe.decode(rank_bpe.encode(docs))
+    numbers = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -18,6 +18,7 @@ from . import (
     quality_classifier,
     quality_rules,
     rank_bpe,
+    ranked_search,
     url_filter,
 )
 from .frames import crc_mod, read
@@ -174,3 +175,30 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbers = F.concat_ws(",", F.col("ids").cast("array<string>"))
     return coded.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"[x FOR x IN regexp_split_to_array({_LOW}, '{ranked_search.BETWEEN}') IF x <> '']"
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+k AS (SELECT row_number() OVER () AS i, item_id, list_distinct({_TERMS}) AS t FROM benchmark),
+size AS (SELECT count(*) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0),
+asked AS (SELECT i, item_id, unnest(t) AS term FROM k),
+held AS (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+         FROM (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY r, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+           FROM held, size GROUP BY term),
+scored AS (SELECT i, any_value(item_id) AS item_id, r, any_value(doc_id) AS doc_id,
+                  CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+           FROM asked JOIN held USING (term) JOIN weight USING (term), size GROUP BY i, r)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""
+
+
+@query("op13_ranked_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ranked_search.search(docs, read(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(F.col("item").alias("item_id"), "rank", F.col("id").alias("doc_id"), "score")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    conversation_repair,
     decontaminate,
     language_id,
     license_scan,
@@ -177,6 +178,73 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(numbers.cast("binary"), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
+# rows after damage are numbered, and the cheapest edits from row i on are found for each of the four states, last row first;
+# an answer is (cost, edits, repaired lines), of which the least is taken
+OP12_SQL = r"""
+WITH RECURSIVE
+place AS (SELECT *, row_number() OVER () AS rid, encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')) AS k
+          FROM conversations),
+bits AS (SELECT CAST(b AS BIGINT) AS b, list_reduce(list_prepend(CAST(b AS BIGINT), CAST(range(8) AS BIGINT[])),
+                lambda a, x: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v FROM range(256) t(b)),
+crc AS (SELECT list(v ORDER BY b) AS t FROM bits),
+hit AS (SELECT place.*, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(('0x' || hex(k)[2 * i + 1:2 * i + 2]) AS BIGINT) FOR i IN range(octet_length(k))]),
+               lambda a, x: xor(a // 256, crc.t[(xor(a % 256, x)) + 1])), 4294967295) % 20 AS c FROM place, crc),
+hurt AS (SELECT rid, conv_id, turn, CASE WHEN c = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+                CASE WHEN c = 1 THEN '' WHEN c = 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+                unnest(range(CASE WHEN c = 0 THEN 0 WHEN c = 3 THEN 2 ELSE 1 END)) AS copy FROM hit),
+placed AS (SELECT *, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), rid, copy) AS i FROM hurt),
+rows AS (SELECT g, conv_id, turn, i, role, text, role[1:1] AS ini, lag(role[1:1]) OVER (PARTITION BY g ORDER BY i) AS prev,
+                CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                     WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'd'
+                     WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault FROM placed),
+facts AS (SELECT g, any_value(conv_id) AS conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(CASE WHEN fault = 'b' THEN 1 END) AS blank, count(CASE WHEN fault = 'd' THEN 1 END) AS duplicate,
+                 count(CASE WHEN fault = 't' THEN 1 END) AS truncated,
+                 count(CASE WHEN i > 1 AND prev || ini NOT IN ('su', 'ua', 'au') THEN 1 END) AS illegal FROM rows GROUP BY g),
+best AS (
+  SELECT g, n AS i, {'c': 0, 'e': '', 't': CAST([] AS VARCHAR[])} AS z, {'c': 10, 'e': 'II', 't': ['user:', 'assistant:']} AS s,
+         {'c': 5, 'e': 'I', 't': ['assistant:']} AS u, {'c': 0, 'e': '', 't': CAST([] AS VARCHAR[])} AS a FROM facts
+  UNION ALL
+  SELECT g, i - 1, z0,
+         least(s0, {'c': u0.c + 5, 'e': 'I' || u0.e, 't': list_prepend('user:', u0.t)},
+               {'c': a0.c + 10, 'e': 'II' || a0.e, 't': list_prepend('user:', list_prepend('assistant:', a0.t))}),
+         least(u0, {'c': a0.c + 5, 'e': 'I' || a0.e, 't': list_prepend('assistant:', a0.t)}),
+         least(a0, {'c': u0.c + 5, 'e': 'I' || u0.e, 't': list_prepend('user:', u0.t)})
+  FROM (SELECT g, i,
+      least(least(zd, {'c': u1.c + 5, 'e': 'I' || u1.e, 't': list_prepend('user:', u1.t)})) AS z0, sd AS s0, u1 AS u0, ad AS a0
+    FROM (SELECT b.g, b.i,
+        least({'c': b.z.c + 2, 'e': 'D' || b.z.e, 't': b.z.t},
+              {'c': b.s.c + more + CASE WHEN stay AND ini = 's' THEN 0 ELSE 1000000 END, 'e': 'K' || b.s.e, 't': list_prepend(l, b.s.t)},
+              {'c': b.u.c + more + CASE WHEN stay AND ini = 'u' THEN 0 ELSE 1000000 END, 'e': 'K' || b.u.e, 't': list_prepend(l, b.u.t)},
+              {'c': b.u.c + more + CASE WHEN stay THEN 1 ELSE 1000000 END, 'e': 'R' || b.u.e, 't': list_prepend('user:' || text, b.u.t)}) AS zd,
+        least({'c': b.s.c + 2, 'e': 'D' || b.s.e, 't': b.s.t},
+              {'c': b.u.c + more + CASE WHEN stay AND ini = 'u' THEN 0 ELSE 1000000 END, 'e': 'K' || b.u.e, 't': list_prepend(l, b.u.t)},
+              {'c': b.u.c + more + CASE WHEN stay THEN 1 ELSE 1000000 END, 'e': 'R' || b.u.e, 't': list_prepend('user:' || text, b.u.t)}) AS sd,
+        least({'c': b.u.c + 2, 'e': 'D' || b.u.e, 't': b.u.t},
+              {'c': b.a.c + more + CASE WHEN stay AND ini = 'a' THEN 0 ELSE 1000000 END, 'e': 'K' || b.a.e, 't': list_prepend(l, b.a.t)},
+              {'c': b.a.c + more + CASE WHEN stay THEN 1 ELSE 1000000 END, 'e': 'R' || b.a.e, 't': list_prepend('assistant:' || text, b.a.t)}) AS u1,
+        least({'c': b.a.c + 2, 'e': 'D' || b.a.e, 't': b.a.t},
+              {'c': b.u.c + more + CASE WHEN stay AND ini = 'u' THEN 0 ELSE 1000000 END, 'e': 'K' || b.u.e, 't': list_prepend(l, b.u.t)},
+              {'c': b.u.c + more + CASE WHEN stay THEN 1 ELSE 1000000 END, 'e': 'R' || b.u.e, 't': list_prepend('user:' || text, b.u.t)}) AS ad
+      FROM best b JOIN (SELECT *, fault NOT IN ('b', 'd') AS stay, CASE WHEN fault = 't' THEN 5 ELSE 0 END AS more, role || ':' || text AS l FROM rows) r
+        ON r.g = b.g AND r.i = b.i))),
+done AS (SELECT facts.*, z FROM facts JOIN best ON best.g = facts.g AND best.i = 0)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(z.c, 0) AS BIGINT) AS cost, coalesce(z.e, '') AS audit,
+       sha256(coalesce(array_to_string(z.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hurt = conversation_repair.damaged(read(spark, sf_dir, "conversations"))
+    done = conversation_repair.repair(hurt, copies=F.col("copies"))
+    return conversation_repair.digests(done).withColumnRenamed("conv", "conv_id")
+
+
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = f"[x FOR x IN regexp_split_to_array({_LOW}, '{ranked_search.BETWEEN}') IF x <> '']"
 OP13_SQL = f"""

@@ -3,10 +3,15 @@ incremental high-water mark, load ledger, append, ensure-exists.
 
 Storage is plain parquet plus the session catalog; nothing here is a storage
 engine.  Atomic replace writes a complete new version folder first and only
-then repoints the catalog table at it (``ALTER TABLE ... SET LOCATION``), so
-a failed write leaves the previous version readable.  Driver-side values
-are single-row aggregates only (a max date, a batch's date range, the latest
-ledger row), read as literals so that the following scan prunes partitions.
+then moves one pointer: the location of an unpartitioned catalog table
+(``ALTER TABLE ... SET LOCATION``), or, for a partitioned one, the view over its
+current version (``ALTER VIEW``), a catalog table whose partitions are registered
+before any reader sees it.  A range upsert makes such a version of the folders
+it wrote and, by location, of the others, which it does not touch.  So a reader
+sees one version or the next, never a mixture, and a job that dies at any
+point leaves the old one.  Driver-side values are single-row aggregates (a max
+date, a batch's date range, the latest ledger row), read as literals so that
+the following scan prunes partitions, and the catalog's list of partitions.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,48 +106,152 @@ def _new_version(base: str) -> str:
 
 def replace_table(df: DataFrame, name: str, base_path: str,
                   partition_by: Sequence[str] = ()) -> str:
-    """Full replace of catalog table ``name`` (S7), atomic on failure.
+    """Full replace of ``name`` (S7), atomic for readers and on failure.
 
     The new content goes to a fresh version folder under ``base_path``; only
-    a complete write repoints the table.  Returns the new location."""
+    a complete write moves the pointer.  Without ``partition_by``, ``name`` is a
+    catalog table; with it, ``name`` is a view over the current version (a plain
+    table of that name is dropped when the first version is complete).  Returns
+    the new location."""
     spark = df.sparkSession
     loc = _new_version(base_path)
-    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("errorifexists")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(loc)
-    if partition_by and spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {name}")   # its partitions are listed with the old location; the files stay
+        (df.hint("rebalance", *partition_by).write.mode("errorifexists").partitionBy(*partition_by).parquet(loc))
+        _point(spark, name, _register_version(spark, name, df, loc, partition_by), _current_version(spark, name))
+        return loc
+    df.write.mode("errorifexists").parquet(loc)
+    if _current_version(spark, name):
+        raise ValueError(f"{name} is partitioned; replace it with partition_by")
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{loc}'")
         spark.catalog.refreshTable(name)
     else:
         spark.catalog.createTable(name, path=loc, source="parquet")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
     return loc
 
 
+def _detail(spark: SparkSession, name: str, what: str) -> str | None:
+    """A line of DESCRIBE TABLE EXTENDED; None without it or without the table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where(F.col("col_name") == F.lit(what)).collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _current_version(spark: SparkSession, name: str) -> str | None:
+    """The version table that the view ``name`` shows; None for a plain table or none at all."""
+    text = _detail(spark, name, "View Text")
+    return text.rpartition(" ")[2] if text else None
+
+
+def _register_version(spark: SparkSession, name: str, df: DataFrame, loc: str, partition_by: Sequence[str]) -> str:
+    """A catalog table over the folders below ``loc``, with the column types of ``df``; nothing shows it yet."""
+    version = f"{name}__{uuid.uuid4().hex[:12]}"
+    columns = [c for c in df.columns if c not in partition_by] + list(partition_by)
+    types = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+    by = ", ".join(f"`{c}`" for c in partition_by)
+    spark.sql(f"CREATE TABLE {version} ({types}) USING parquet PARTITIONED BY ({by}) LOCATION '{loc}'")
+    spark.sql(f"MSCK REPAIR TABLE {version}")
+    return version
+
+
+def _point(spark: SparkSession, name: str, version: str, seen: str | None) -> None:
+    """Let ``name`` show ``version``: one catalog update.  ``seen`` is the version that the new one was made of; if another
+    writer has moved the pointer since, this one fails and the table stays as that one left it."""
+    now = _current_version(spark, name)
+    if now != seen:
+        raise RuntimeError(f"{name} was changed by another writer: {now} instead of {seen}")
+    if now:
+        spark.sql(f"ALTER VIEW {name} AS SELECT * FROM {version}")
+        return
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {version}")
+
+
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partitions_of(spark: SparkSession, version: str) -> list[tuple[dict[str, str | None], str]]:
+    """(values, location) of each partition that the catalog has of a version table; a value is text, None for NULL."""
+    table = spark._jsparkSession.sessionState().sqlParser().parseTableIdentifier(version)
+    found = spark._jsparkSession.sessionState().catalog().listPartitions(table, spark._jvm.scala.Option.empty()).iterator()
+    columns, out = None, []
+    while found.hasNext():
+        x = found.next()
+        spec = x.spec()
+        if columns is None:
+            names = spec.keysIterator()
+            columns = []
+            while names.hasNext():
+                columns.append(names.next())
+        values = {c: spec.apply(c) for c in columns}
+        out.append(({c: None if v in (None, NULL_FOLDER) else v for c, v in values.items()}, spark._jvm.org.apache.hadoop.fs.Path(x.location()).toString()))
+    return out
+
+
+def _add_partitions(spark: SparkSession, version: str, parts: list[tuple[dict[str, str | None], str]]) -> None:
+    def literal(v: str | None) -> str:
+        return "null" if v is None else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    for i in range(0, len(parts), 500):
+        specs = [f"PARTITION ({', '.join(f'`{c}` = {literal(v)}' for c, v in values.items())}) LOCATION {literal(loc)}"
+                 for values, loc in parts[i:i + 500]]
+        spark.sql(f"ALTER TABLE {version} ADD {' '.join(specs)}")
+
+
 def table_location(spark: SparkSession, name: str) -> str:
-    """The folder that catalog table ``name`` reads."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
+    """The folder that catalog table ``name`` (or the version that view ``name`` shows) has as its own."""
+    return _detail(spark, _current_version(spark, name) or name, "Location")
 
 
 def drop_old_versions(spark: SparkSession, name: str, base_path: str) -> list[str]:
-    """Delete the version folders under ``base_path`` that ``name`` no longer
-    reads; returns their names.  Call it once no running query reads them."""
-    current = table_location(spark, name).rstrip("/").rpartition("/")[2]
-    old = [x for x in _children(spark, base_path) if x.startswith("v=") and x != current]
-    for x in old:
-        _delete(spark, f"{base_path.rstrip('/')}/{x}")
+    """Delete what lies under ``base_path`` and ``name`` no longer reads: version
+    folders, partition folders of them, and catalog tables of older versions.
+    Returns the names of the folders.  Call it once no running query reads them."""
+    version = _current_version(spark, name)
+    base = base_path.rstrip("/")
+    if version is None:
+        current = table_location(spark, name).rstrip("/").rpartition("/")[2]
+        old = [x for x in _children(spark, base) if x.startswith("v=") and x != current]
+        for x in old:
+            _delete(spark, f"{base}/{x}")
+        return old
+    for row in spark.sql(f"SHOW TABLES LIKE '{name.rpartition('.')[2]}__*'").collect():
+        if row["tableName"] != version.rpartition(".")[2].strip("`") and not row["isTemporary"]:
+            spark.sql(f"DROP TABLE {row['tableName']}")      # external: its files stay
+    fs, root = _folder(spark, base)
+    top = fs.makeQualified(root).toString()
+    used = set()      # the folders on the way to a partition that is read, relative to the base
+    for _, loc in partitions_of(spark, version):
+        parts = fs.makeQualified(_folder(spark, loc)[1]).toString().removeprefix(top).strip("/").split("/")
+        used.update("/".join(parts[:n]) for n in range(1, len(parts) + 1))
+    old: list[str] = []
+
+    def clear(at: str) -> None:
+        for x in _children(spark, f"{base}/{at}"):
+            inner = f"{at}/{x}"
+            if "=" in x and inner not in used:
+                _delete(spark, f"{base}/{inner}")
+                old.append(inner)
+            elif "=" in x:
+                clear(inner)
+
+    for x in _children(spark, base):
+        if x.startswith("v="):
+            if x in used:
+                clear(x)
+            elif f"{top}/{x}" != fs.makeQualified(_folder(spark, table_location(spark, name))[1]).toString():
+                _delete(spark, f"{base}/{x}")
+                old.append(x)
     return old
 
 
-def ensure_table(spark: SparkSession, name: str, schema: StructType, base_path: str) -> DataFrame:
+def ensure_table(spark: SparkSession, name: str, schema: StructType, base_path: str,
+                 partition_by: Sequence[str] = ()) -> DataFrame:
     """Create an empty table with ``schema`` unless it exists."""
     if not spark.catalog.tableExists(name):
-        replace_table(spark.createDataFrame([], schema), name, base_path)
+        replace_table(spark.createDataFrame([], schema), name, base_path, partition_by)
     return spark.table(name)
 
 
@@ -151,7 +261,7 @@ def append_rows(df: DataFrame, name: str) -> None:
     want = df.sparkSession.table(name).columns
     if sorted(want) != sorted(df.columns):
         raise ValueError(f"{name} has columns {want}, the rows have {df.columns}")
-    df.select(*want).write.mode("append").insertInto(name)
+    df.select(*want).write.mode("append").insertInto(_current_version(df.sparkSession, name) or name)
 
 
 def materialize(df, name: str, kind: str = "view", base_path: str | None = None,
@@ -188,50 +298,63 @@ def range_replace(target: DataFrame, batch: DataFrame, date_col: str,
                   scope_keys: Sequence[str] = ()) -> DataFrame:
     """Target rows with ``min(date) <= date <= max(date)`` of the batch removed,
     batch appended (S8).  With ``scope_keys`` only target rows whose keys occur
-    in the batch are removed, so a key missing from the batch keeps its rows.
+    in the batch are removed, so a key missing from the batch keeps its rows; a
+    NULL key is a key like others.  Rows without a date are in no range: those
+    of the target stay, those of the batch are appended.
 
     The batch range is read as two literals (one-row aggregate), so the
     delete predicate prunes the target scan."""
     lo, hi = batch.agg(F.min(date_col), F.max(date_col)).first()
+    rows = batch.select(*target.columns)
     if lo is None:
-        return target
-    in_range = F.col(date_col).between(F.lit(lo), F.lit(hi))
+        return target.unionByName(rows)
+    in_range = F.coalesce(F.col(date_col).between(F.lit(lo), F.lit(hi)), F.lit(False))
     if scope_keys:
-        keys = batch.select(*scope_keys).distinct()
-        hit = target.join(keys.withColumn("_in_batch", F.lit(True)), list(scope_keys), "left")
-        keep = hit.where(~in_range | F.col("_in_batch").isNull()).drop("_in_batch")
+        keys = batch.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(scope_keys)]).distinct()
+        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(scope_keys)])
+        keep = target.where(in_range).join(keys, same, "left_anti").unionByName(target.where(~in_range))
     else:
         keep = target.where(~in_range)
-    return keep.unionByName(batch.select(*target.columns))
+    return keep.unionByName(rows)
 
 
 def upsert_range(batch: DataFrame, name: str, date_col: str, scope_keys: Sequence[str] = (),
                  partition_col: str | None = None) -> None:
-    """Range-replace into catalog table ``name``, partitioned by ``date_col`` or by
-    ``partition_col``, a coarser column that grows with the date (a month).
-
-    Only the partitions of the batch's range are read and written; the others
-    are not touched.  The new rows of these partitions are complete in a
-    checkpoint before any folder is replaced, so a failed batch leaves the
-    table as it was, and a repeated one gives the same table."""
+    """Range-replace into ``name``, made by ``replace_table`` and partitioned by ``date_col``
+    or by ``partition_col``, a coarser column that grows with the date (a month).
+
+    The partitions between the batch's least and greatest value, compared in the
+    column's type, are read, merged with the batch and written to a folder of a
+    new version (and the NULL partition, where the batch has rows for it); the
+    new version takes all other partitions as they are, by location.  Moving
+    the pointer to it is the last step and a single one: a job that dies before
+    leaves the table as it was, and a repeated batch gives the same table."""
     spark = batch.sparkSession
     folder = partition_col or date_col
+    seen = _current_version(spark, name)
+    if seen is None:
+        raise ValueError(f"{name} is not a partitioned table made by replace_table")
     target = spark.table(name)
-    loc = table_location(spark, name)
     batch = cut_lineage(batch.select(*target.columns))
-    lo, hi = batch.agg(F.min(folder), F.max(folder)).first()
-    if lo is None:
+    lo, hi, n, n_null = batch.agg(F.min(folder), F.max(folder), F.count(F.lit(1)), F.count(F.when(F.col(folder).isNull(), 1))).first()
+    if not n:
         return
-    inside = target.where(F.col(folder).between(F.lit(lo), F.lit(hi)))
-    new = cut_lineage(range_replace(inside, batch, date_col, scope_keys))
-    write_partitions(new, loc, folder)
-    kept = {str(r[0]) for r in new.select(folder).distinct().collect()}       # one row for each folder of the range
-    for value in _partition_values(spark, loc, folder):
-        if str(lo) <= value <= str(hi) and value not in kept:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({folder} = '{value}')")
-            _delete(spark, f"{loc}/{folder}={value}")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
-    spark.catalog.refreshTable(name)
+    touched = F.coalesce(F.col(folder).between(F.lit(lo), F.lit(hi)), F.lit(False)) if lo is not None else F.lit(False)
+    if n_null:
+        touched = touched | F.col(folder).isNull()
+    loc = table_location(spark, name).rstrip("/").rpartition("/")[0]
+    loc = _new_version(loc)
+    new = range_replace(target.where(touched), batch, date_col, scope_keys)
+    new.hint("rebalance", folder).write.mode("errorifexists").partitionBy(folder).parquet(loc)
+    version = _register_version(spark, name, target, loc, [folder])
+    old = partitions_of(spark, seen)
+    kind = target.schema[folder].dataType
+    if old:
+        values = spark.createDataFrame([(i, v[folder]) for i, (v, _) in enumerate(old)], "i int, text string")
+        typed = values.select("i", F.col("text").cast(kind).alias(folder))
+        stay = {r["i"] for r in typed.where(~touched).collect()}
+        _add_partitions(spark, version, [x for i, x in enumerate(old) if i in stay])
+    _point(spark, name, version, seen)
 
 
 # ------------------------------------------------------------------ S9

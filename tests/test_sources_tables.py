@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -387,3 +388,136 @@ def test_stream_merges_late_file(spark):
     run_to_end(stream_daily_fact(spark, src, schema, build, out, checkpoint=ckpt))
     got = {r.chart_date.day: (r.total, r.n) for r in spark.read.parquet(out).collect()}
     assert got == {1: (1, 1), 2: (11, 2), 3: (1, 1)}
+
+
+def _partitioned(spark, values, kind, col="p"):
+    """A table of one row for each partition value, v its place."""
+    name, base = f"u_{uuid.uuid4().hex[:8]}", scratch_path(spark, "upsert")
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"v int, {col} {kind}")
+    replace_table(df, name, base, partition_by=[col])
+    return name, base
+
+
+@pytest.mark.parametrize("kind,values", [
+    ("int", list(range(1, 13)) + [None]),
+    ("int", [-12, -3, 0, 5, 100, 20, None]),
+    ("bigint", [2, 10, 9, 100, 30]),
+    ("date", [dt.date(2023, 12, 31), dt.date(2024, 1, 2), dt.date(2024, 1, 10), None]),
+    ("string", ["2", "10", "a b", "it's", "x/y=z", "back\\slash", "é", "9", None]),
+    ("decimal(6,2)", [Decimal(f"{x}.50") for x in (1, 2, 10, 9)]),
+    ("boolean", [True, False, None]),
+])
+def test_upsert_compares_partitions_in_their_type(spark, kind, values):
+    known = sorted((v for v in values if v is not None))
+    for batch_values in ([known[0], known[1]], [known[-1]], [known[0], None], [None]):
+        name, _ = _partitioned(spark, values, kind)
+        before = {r["p"]: r["f"] for r in spark.table(name).select("p", F.input_file_name().alias("f")).collect()}
+        upsert_range(spark.createDataFrame([(100 + i, v) for i, v in enumerate(batch_values)], f"v int, p {kind}"), name, "p")
+        some = [v for v in batch_values if v is not None]
+        gone = {v for v in known if some and min(some) <= v <= max(some)}
+        want = [(i, v) for i, v in enumerate(values) if v not in gone] + [(100 + i, v) for i, v in enumerate(batch_values)]
+        assert dict(spark.table(name).dtypes)["p"] == kind
+        got = [(r["v"], r["p"]) for r in spark.table(name).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+        after = {r["p"]: r["f"] for r in spark.table(name).select("p", F.input_file_name().alias("f")).collect()}
+        assert all(after[v] == before[v] for v in before if v in after and v not in gone and v not in batch_values and v is not None)
+
+
+def test_upsert_leaves_partitions_outside_the_batch(spark):
+    name, _ = _partitioned(spark, range(1, 13), "int")
+    upsert_range(spark.createDataFrame([(50, 1), (51, 2)], "v int, p int"), name, "p")
+    assert sorted((r.p, r.v) for r in spark.table(name).collect()) == [(1, 50), (2, 51)] + [(p, p - 1) for p in range(3, 13)]
+
+
+def test_upsert_that_dies_leaves_the_old_table(spark, monkeypatch):
+    from sharelens.sources import tables
+
+    batch = spark.createDataFrame([(50, 1), (51, 2)], "v int, p int")
+    for step in ("_register_version", "partitions_of", "_add_partitions", "_point", "_new_version"):
+        name, base = _partitioned(spark, range(1, 13), "int")
+        before = sorted(map(tuple, spark.table(name).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(tables, step, lambda *a: (_ for _ in ()).throw(OSError("killed")))
+            with pytest.raises(OSError, match="killed"):
+                upsert_range(batch, name, "p")
+        assert sorted(map(tuple, spark.table(name).collect())) == before
+        upsert_range(batch, name, "p")                  # and the repeated batch succeeds
+        upsert_range(batch, name, "p")
+        assert sorted((r.p, r.v) for r in spark.table(name).collect())[:3] == [(1, 50), (2, 51), (3, 2)]
+    bad = batch.withColumn("v", F.when(F.col("p") == 2, F.raise_error(F.lit("boom"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="boom"):
+        upsert_range(bad, name, "p")
+    assert spark.table(name).count() == 12
+
+
+def test_two_writers_do_not_lose_each_others_rows(spark, monkeypatch):
+    from sharelens.sources import tables
+
+    name, _ = _partitioned(spark, range(1, 5), "int")
+    add = tables._add_partitions
+
+    def slow(*args):
+        monkeypatch.setattr(tables, "_add_partitions", add)
+        upsert_range(spark.createDataFrame([(70, 4)], "v int, p int"), name, "p")      # the other writer
+        add(*args)
+
+    monkeypatch.setattr(tables, "_add_partitions", slow)
+    with pytest.raises(RuntimeError, match="another writer"):
+        upsert_range(spark.createDataFrame([(60, 1)], "v int, p int"), name, "p")
+    assert sorted((r.p, r.v) for r in spark.table(name).collect()) == [(1, 0), (2, 1), (3, 2), (4, 70)]
+
+
+def test_readers_of_a_partitioned_replace_see_whole_versions(spark):
+    """A reader loop beside eight replaces and upserts: no error, and all rows of a read are of one version."""
+    import threading
+
+    name, base = f"r_{uuid.uuid4().hex[:8]}", scratch_path(spark, "readers")
+    version = lambda n: spark.range(40).select(F.lit(n).alias("n"), (F.col("id") % 4).cast("int").alias("p"))
+    replace_table(version(0), name, base, partition_by=["p"])
+    seen, errors, done = [], [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append({tuple(r) for r in spark.table(name).groupBy("n").count().collect()})
+            except Exception as exc:  # noqa: BLE001
+                errors.append(exc)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(1, 9):
+        if n % 2:
+            replace_table(version(n), name, base, partition_by=["p"])
+        else:
+            upsert_range(version(n), name, "p")
+    done.set()
+    reader.join()
+    assert not errors
+    assert seen and all(len(x) == 1 and next(iter(x))[1] == 40 for x in seen)
+    assert len(set(map(frozenset, seen))) > 1
+
+
+def test_old_versions_of_partitions_are_dropped(spark):
+    name, base = _partitioned(spark, range(1, 7), "int")
+    upsert_range(spark.createDataFrame([(60, 1)], "v int, p int"), name, "p")
+    upsert_range(spark.createDataFrame([(61, 1), (62, 3)], "v int, p int"), name, "p")
+    rows = sorted(map(tuple, spark.table(name).collect()))
+    gone = drop_old_versions(spark, name, base)
+    assert len(gone) == 4                                     # p=1..3 of the first version, the second version whole
+    assert sorted(map(tuple, spark.table(name).collect())) == rows
+    assert drop_old_versions(spark, name, base) == []
+    assert [r["tableName"] for r in spark.sql(f"SHOW TABLES LIKE '{name}__*'").collect() if not r["isTemporary"]] != []
+    append_rows(spark.createDataFrame([(9, 9)], "v int, p int"), name)
+    assert (9, 9) in {tuple(r) for r in spark.table(name).collect()}
+    with pytest.raises(ValueError, match="is partitioned"):
+        replace_table(spark.range(3), name, base)
+
+
+def test_range_replace_keeps_rows_without_a_date(spark):
+    target = spark.createDataFrame([(None, "A", 1.0), (dt.date(2024, 1, 2), None, 2.0), (dt.date(2024, 1, 2), "B", 3.0)],
+                                   "date date, ticker string, close double")
+    batch = spark.createDataFrame([(dt.date(2024, 1, 2), None, 9.0), (None, "C", 8.0)], "date date, ticker string, close double")
+    scoped = sorted(r.close for r in range_replace(target, batch, "date", ["ticker"]).collect())
+    assert scoped == [1.0, 3.0, 8.0, 9.0]
+    assert sorted(r.close for r in range_replace(target, batch, "date").collect()) == [1.0, 8.0, 9.0]
+    assert sorted(r.close for r in range_replace(target, batch.where("date is null"), "date").collect()) == [1.0, 2.0, 3.0, 8.0]

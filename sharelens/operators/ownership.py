@@ -5,19 +5,26 @@ Two resolutions, as in the reference, kept apart:
 ``resolve_owners`` (graph job semantics, G2-G6): for every label, the owners
 reachable upward; among those with no owner ("roots") the nearest wins, ties
 by smallest id; depth is the shortest path.  A label that reaches no root
-(only cycles above it) takes its furthest reachable node (smallest id on
-ties) with depth 0; a label with no edge, or only a self-loop, owns itself.
-
-It is computed set-wise, never per label:
-
-1. roots are the nodes with no outgoing edge (a self-loop counts as one);
-2. one multi-source BFS *down* from all roots at once over reversed edges;
-3. each node keeps only ``min((depth, root))`` -- the BFS state is one row
-   per node, never labels x nodes nor (root, node) pairs;
-4. only labels that reached no root are left; of those, a label that nothing
-   owned by it leads back to and that has one owner takes that owner's answer,
-   so such labels are peeled off round by round, and only what remains (the
-   cycles and what branches into them) gets a forward BFS of its own.
+(only cycles above it) takes, with depth 0, the smallest id other than its own
+in the terminal components it reaches: the cycles that no edge leads out of (a
+self-loop is one).  A label with no edge, or only a self-loop, owns itself.
+
+It is computed set-wise, never per label, with a row for each label or edge:
+
+1. a label with one owner has the answer of that owner, one level further, so
+   chains of such labels are jumped over by pointer doubling: rounds are the
+   logarithm of a chain's length, not its length;
+2. labels with several owners are joined by the edges that the jumps leave, with
+   the jumped lengths; the nearest root comes down these edges round by round,
+   ``min((depth, root))`` for each label;
+3. only labels that reached no root are left: rings of single owners are found
+   by the same doubling, which gathers their two smallest ids; components of
+   labels with several owners by colouring each with the smallest label it
+   reaches, walking forward from each colour's own label, and asking whether
+   an edge leaves what the walk found.  Their two smallest ids come down the edges.
+
+The rounds of 2 and 3 grow with the number of labels with several owners in a
+row, the others with its logarithm.
 
 ``walk_paths`` (SQL-model semantics, G7/W2): depth-limited walk from every
 label with an ``a > b > c`` path, and the deepest row per label.  The reference
@@ -26,8 +33,8 @@ in the same node at the same depth, and holds the smallest of their paths, so
 the rows are linear in the depth however many owners a label has.  A path is
 an array of names, whose order survives appending.
 
-Every BFS level is cut from its lineage with a reliable checkpoint, so a
-lost executor recomputes one level, not the whole walk.  Joins carry no hint:
+Every round is cut from its lineage with a reliable checkpoint, so a lost
+executor recomputes one round, not the whole walk.  Joins carry no hint:
 AQE broadcasts a side by its bytes or splits a hub owner's partition.
 """
 
@@ -35,7 +42,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -57,8 +64,10 @@ RELATION_SCHEMA = ArrayType(StructType([
     StructField("label", StructType([StructField("id", StringType()), StructField("name", StringType())])),
 ]))
 
-# visited frames are merged into one when there are so many
-MERGE_AFTER = 5
+# pointers are followed so many times between two checkpoints
+HOPS = 3
+# the walk takes so many levels between two checkpoints
+LEVELS = 5
 
 
 def flatten_relations(labels: DataFrame, id_col: str = "label_id", name_col: str = "label_name",
@@ -101,104 +110,150 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _bfs_levels(seeds: DataFrame, step: DataFrame, keys: list[str], expand) -> DataFrame:
-    """Level-synchronous BFS driver shared by both walks.
-
-    ``expand(frontier, step)`` returns the candidate rows of the next level;
-    rows whose ``keys`` were already visited are dropped.  Each level is one
-    reliable checkpoint (its row count observed in the same job).  The visited
-    keys are a few frames, merged into one every few levels.  The visited set
-    ends the loop; there is no depth bound.
-    """
-    frontier = cut_lineage(seeds.withColumn("depth", F.lit(0)))
-    levels = [frontier]
-    visited = [frontier.select(*keys)]
-    depth = 0
-    while True:
-        depth += 1
-        nxt = expand(frontier, step).join(_union(visited), keys, "left_anti").withColumn("depth", F.lit(depth))
-        frontier, n = cut_lineage_counted(nxt)
-        if n == 0:
-            return _union(levels)
-        levels.append(frontier)
-        visited.append(frontier.select(*keys))
-        if len(visited) >= MERGE_AFTER:
-            visited = [cut_lineage(_union(visited))]
-
-
-def _bfs(seeds: DataFrame, step: DataFrame) -> DataFrame:
-    """Per-source BFS.  ``seeds``: (src, node); ``step``: (frm, to).
-    Returns (src, node, depth) with the shortest depth of every reachable pair."""
-    def expand(frontier: DataFrame, e: DataFrame) -> DataFrame:
-        return (frontier.select("src", F.col("node").alias("frm")).join(e, "frm")
-                .select("src", F.col("to").alias("node")).distinct())
+def _two(ids: Column) -> Column:
+    """The two smallest different ids of an array."""
+    return F.slice(F.array_sort(F.array_distinct(ids)), 1, 2)
 
-    return _bfs_levels(seeds.select("src", "node"), step, ["src", "node"], expand)
 
+def _jump(step: DataFrame) -> DataFrame:
+    """``(v, end, dist, low, open)`` for ``step(v, succ)``, one successor for each v.
 
-def _nearest_source(seeds: DataFrame, step: DataFrame) -> DataFrame:
-    """Multi-source BFS keeping one row per node: ``(node, src, depth)`` with the
-    shortest depth to any seed and, among seeds at that depth, the smallest.
-
-    Correct because a node first reached at level d takes the minimum over its
-    parents of level d-1, and each parent already holds the minimum of its
-    own seeds at d-1: the minimum of minima is the minimum.  State is O(nodes),
-    not O(pairs).
+    ``end`` is the first label on the chain from v that has no row in ``step``,
+    ``dist`` steps away, and ``low`` the two smallest ids from v up to it.  A
+    chain that runs into a ring never ends: its rows stay ``open`` with an end on
+    the ring, and the ``low`` of a row on the ring is that of the whole ring.
     """
-    def expand(frontier: DataFrame, e: DataFrame) -> DataFrame:
-        return (frontier.select(F.col("node").alias("frm"), "src").join(e, "frm")
-                .groupBy(F.col("to").alias("node")).agg(F.min("src").alias("src")))
+    state, n = cut_lineage_counted(step.select("v", F.col("succ").alias("end"), F.lit(1).cast("long").alias("dist"),
+                                               F.array("v").alias("low")))
+    done, active, reach = [], state, 1
+    while True:
+        base = _union([*done, active]).select(F.col("v").alias("end"), F.col("end").alias("_end"), F.col("dist").alias("_dist"),
+                                              F.col("low").alias("_low"))
+        moved = active
+        for _ in range(HOPS):
+            moved = moved.join(base, "end", "left").select(
+                "v", F.coalesce("_end", "end").alias("end"), (F.col("dist") + F.coalesce("_dist", F.lit(0))).alias("dist"),
+                F.when(F.col("_end").isNull(), F.col("low")).otherwise(_two(F.concat("low", "_low"))).alias("low"),
+                F.col("_end").isNotNull().alias("open"))
+        reach *= HOPS + 1
+        obs = Observation()
+        moved = cut_lineage(moved.observe(obs, F.count(F.when(F.col("open"), 1)).alias("n")))
+        if not obs.get["n"] or reach >= 2 * n:     # every row is on a ring, or leads into one
+            return _union([*[x.withColumn("open", F.lit(False)) for x in done], moved])
+        done.append(moved.where("not open").drop("open"))
+        active = moved.where("open").drop("open")
+
+
+def _settle(start: DataFrame, edges: DataFrame, via) -> DataFrame:
+    """The least value of each label: ``start(node, value)`` and, round by round, what
+    ``via(value, edge columns)`` makes of the values of the labels that ``edges(frm, to, ...)``
+    lead to, until none gets smaller."""
+    best = start
+    changed = start
+    while True:
+        offered = edges.join(changed.select(F.col("node").alias("to"), "value"), "to")
+        offered = offered.groupBy(F.col("frm").alias("node")).agg(F.min(via(F.col("value"))).alias("new"))
+        better = offered.join(best, "node", "left").where(F.col("value").isNull() | (F.col("new") < F.col("value")))
+        changed, n = cut_lineage_counted(better.select("node", F.col("new").alias("value")))
+        if n == 0:
+            return best
+        best = cut_lineage(best.join(changed, "node", "left_anti").unionByName(changed))
 
-    return _bfs_levels(seeds.select("node", "src"), step, ["node"], expand)
 
+def _terminal_lows(nodes: DataFrame, inner: DataFrame, leaving: DataFrame) -> DataFrame:
+    """``(node, value)``: the two smallest ids of the terminal component of each label in one.
 
-def _peel(edges: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Layers ``(label_id, succ)`` of labels without an incoming and with one
-    outgoing edge, peeled off until none is left, and the edges that remain.
-    A peeled label is on no cycle; the successor of a layer's label is in a
-    later layer or among what remains."""
-    layers: list[DataFrame] = []
+    ``nodes(node)`` have several owners each, ``inner(frm, to, low)`` are the edges among them with the ids
+    they jumped over, ``leaving(frm)`` the labels with an edge to something else."""
+    colour = _settle(nodes.select("node", F.col("node").alias("value")), inner.select("frm", "to"), lambda v: v)
+    of = lambda end: colour.select(F.col("node").alias(end), F.col("value").alias(f"c_{end}"))
+    within = cut_lineage(inner.join(of("frm"), "frm").join(of("to"), "to"))
+    same = within.where("c_frm = c_to").select("frm", "to")
+    found = cut_lineage(colour.where("node = value").select("node"))
+    frontier = found
     while True:
-        single = edges.groupBy(F.col("o").alias("label_id")).agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("succ")).where("n = 1")
-        owner = edges.select(F.col("p").alias("label_id")).distinct()
-        layer, n = cut_lineage_counted(single.join(owner, "label_id", "left_anti").select("label_id", "succ"))
+        ahead = frontier.select(F.col("node").alias("frm")).join(same, "frm").select(F.col("to").alias("node")).distinct()
+        frontier, n = cut_lineage_counted(ahead.join(found, "node", "left_anti"))
         if n == 0:
-            return layers, edges
-        layers.append(layer)
-        edges = cut_lineage(edges.join(layer.select(F.col("label_id").alias("o")), "o", "left_anti"))
+            break
+        found = cut_lineage(found.unionByName(frontier))
+    member = found.join(colour, "node").select("node", F.col("value").alias("c"))
+    # an edge of a member that does not end in a member of the same colour leaves the component
+    ends = within.join(member.select(F.col("node").alias("frm"), "c"), "frm").join(
+        member.select(F.col("node").alias("to"), F.col("c").alias("c_end")), "to", "left")
+    gone = ends.where("c_end is null or c_end <> c").select("c").unionByName(
+        leaving.select(F.col("frm").alias("node")).join(member, "node").select("c")).distinct()
+    kept = cut_lineage(member.join(gone, "c", "left_anti"))
+    ids = kept.select("c", F.array("node").alias("ids")).unionByName(
+        ends.where("c_end = c").select("c", F.col("low").alias("ids")))
+    # two smallest ids: the least, and the least of the others
+    each = ids.select("c", F.explode("ids").alias("id"))
+    least = cut_lineage(each.groupBy("c").agg(F.min("id").alias("a")))
+    other = each.join(least, "c").where("id > a").groupBy("c").agg(F.min("id").alias("b"))
+    lows = least.join(other, "c", "left").select("c", F.when(F.col("b").isNull(), F.array("a")).otherwise(F.array("a", "b")).alias("value"))
+    return kept.join(lows, "c").select("node", "value")
+
+
+def _without_root(step: DataFrame, fork: DataFrame, loops: DataFrame) -> DataFrame:
+    """``(label_id, ultimate_id)`` of labels that reach no root: ``step(v, succ)`` have one owner,
+    ``fork(frm, succ)`` several, ``loops(node)`` only themselves."""
+    jumped = cut_lineage(_jump(step))
+    on_ring = jumped.where("open").select(F.col("end").alias("at")).distinct()
+    ring = on_ring.join(jumped.select(F.col("v").alias("at"), F.col("low").alias("ring")), "at")
+    # what a chain ends in: a ring's two smallest ids, or a label
+    chain = cut_lineage(jumped.join(ring, jumped["end"] == ring["at"], "left").select(
+        "v", "low", F.when(F.col("ring").isNull(), F.col("end")).alias("end"), "ring"))
+    loop_ends = loops.select(F.col("node").alias("end"), F.array("node").alias("loop"))
+    edges = fork.join(chain.select(F.col("v").alias("succ"), "low", "end", "ring", F.lit(True).alias("jumped")), "succ", "left").select(
+        "frm", F.when(F.col("jumped"), F.col("end")).otherwise(F.col("succ")).alias("end"), "ring",
+        F.coalesce("low", F.array().cast("array<string>")).alias("low"))
+    edges = cut_lineage(edges.join(loop_ends, "end", "left").select(
+        "frm", "low", F.when(F.coalesce("ring", "loop").isNull(), F.col("end")).alias("to"), F.coalesce("ring", "loop").alias("final")))
+    nodes = fork.select(F.col("frm").alias("node")).distinct()
+    inner, leaving = edges.where("to is not null").select("frm", "to", "low"), edges.where("final is not null")
+    terminal = _terminal_lows(nodes, inner, leaving.select("frm").distinct())
+    out = leaving.groupBy(F.col("frm").alias("node")).agg(F.min("final").alias("value"))
+    start = cut_lineage(terminal.unionByName(out))      # a label with an edge that leaves is in no terminal component
+    settled = _settle(start, inner.select("frm", "to"), lambda v: v)
+    final = chain.join(settled.select(F.col("node").alias("end"), F.col("value").alias("settled")), "end", "left").join(loop_ends, "end", "left")
+    answers = settled.select("node", "value").unionByName(
+        final.select(F.col("v").alias("node"), F.coalesce("ring", "settled", "loop").alias("value")))
+    own = F.col("value")[0] == F.col("node")
+    return answers.select(F.col("node").alias("label_id"), F.when(own, F.get("value", F.lit(1))).otherwise(F.col("value")[0]).alias("ultimate_id"))
 
 
 def resolve_owners(edges: DataFrame) -> DataFrame:
     """``(label_id, ultimate_id, depth)`` for every node with an outgoing edge
     other than a self-loop (G2-G5).  Labels absent from the result own
     themselves at depth 0."""
-    # the edge set feeds every level of both walks: materialise it once
+    # the edge set feeds every round: materialise it once
     e = cut_lineage(edges.select("o", "p"))
     walk = e.where(F.col("o") != F.col("p"))
-    owned = e.select(F.col("o").alias("node")).distinct()
-    nodes = e.select(F.col("o").alias("node")).union(e.select(F.col("p").alias("node"))).distinct()
-    roots = nodes.join(owned, "node", "left_anti")
-    # 2-3. down from every root at once over reversed edges, one row per node
-    down = _nearest_source(roots.select("node", F.col("node").alias("src")),
-                           walk.select(F.col("p").alias("frm"), F.col("o").alias("to")))
-    best = (down.where(F.col("depth") > 0)
-            .select(F.col("node").alias("label_id"), F.col("src").alias("ultimate_id"), "depth"))
-    # 4. labels with a real owner but no root above: furthest node, depth 0.
-    # A peeled label reaches its successor and what that reaches, so its
-    # furthest node is the successor's (same candidates, same tie-break), or
-    # the successor itself where that has only a self-loop.
-    stuck = cut_lineage(walk.join(best.select(F.col("label_id").alias("o")), "o", "left_anti"))
-    layers, core = _peel(stuck)
-    sources = core.select(F.col("o").alias("src")).distinct()
-    up = _bfs(sources.select("src", F.col("src").alias("node")), core.select(F.col("o").alias("frm"), F.col("p").alias("to")))
-    far = cut_lineage(up.where(F.col("depth") > 0)
-                      .groupBy(F.col("src").alias("label_id"))
-                      .agg(F.min(F.struct((-F.col("depth")).alias("nd"), F.col("node").alias("n"))).alias("f"))
-                      .select("label_id", F.col("f.n").alias("ultimate_id")))
-    for layer in reversed(layers):
-        answer = far.select(F.col("label_id").alias("succ"), "ultimate_id")
-        own = layer.join(answer, "succ", "left").select("label_id", F.coalesce("ultimate_id", "succ").alias("ultimate_id"))
-        far = far.unionByName(cut_lineage(own))
+    owners = cut_lineage(walk.groupBy("o").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("succ")))
+    step = owners.where("n = 1").select(F.col("o").alias("v"), "succ")
+    fork = walk.join(owners.where("n > 1").select("o"), "o", "left_semi").select(F.col("o").alias("frm"), F.col("p").alias("succ"))
+    sinks = walk.select(F.col("p").alias("node")).distinct().join(owners.select(F.col("o").alias("node")), "node", "left_anti")
+    selfish = e.where(F.col("o") == F.col("p")).select(F.col("o").alias("node")).distinct()
+    roots = cut_lineage(sinks.join(selfish, "node", "left_anti"))
+    jumped = cut_lineage(_jump(step).select("v", "end", "dist"))
+    # 2. the nearest root of the labels with several owners
+    found = roots.select("node", F.struct(F.lit(0).cast("long").alias("depth"), F.col("node").alias("root")).alias("value"))
+    forked, n_forked = cut_lineage_counted(fork.join(jumped.select(F.col("v").alias("succ"), "end", "dist"), "succ", "left").select(
+        "frm", F.coalesce("end", "succ").alias("to"), (F.coalesce("dist", F.lit(0)) + 1).alias("steps")).groupBy("frm", "to").agg(F.min("steps").alias("steps")))
+    if n_forked:
+        found = _settle(found, forked, lambda v: F.struct((v["depth"] + F.col("steps")).alias("depth"), v["root"].alias("root")))
+    ends = found.select(F.col("node").alias("end"), "value")
+    best = cut_lineage(jumped.join(ends, "end").select(
+        F.col("v").alias("label_id"), F.col("value.root").alias("ultimate_id"), (F.col("dist") + F.col("value.depth")).cast("int").alias("depth"))
+        .unionByName(found.where("value.depth > 0").select(
+            F.col("node").alias("label_id"), F.col("value.root").alias("ultimate_id"), F.col("value.depth").cast("int").alias("depth"))))
+    # 3. those that reach none
+    rooted = best.select("label_id")
+    lost, n_lost = cut_lineage_counted(owners.join(rooted, owners["o"] == rooted["label_id"], "left_anti"))
+    if not n_lost:
+        return best
+    lost_fork = fork.join(lost.where("n > 1").select(F.col("o").alias("frm")), "frm", "left_semi")
+    far = _without_root(lost.where("n = 1").select(F.col("o").alias("v"), "succ"), cut_lineage(lost_fork), cut_lineage(sinks.join(selfish, "node", "left_semi")))
     return best.unionByName(far.withColumn("depth", F.lit(0)))
 
 
@@ -224,6 +279,11 @@ def label_dimension(labels: DataFrame, edges: DataFrame, rules: RuleTable = OWNE
                     F.coalesce("depth", F.lit(0)).alias("hierarchy_depth"))
 
 
+def _named_edges(edges: DataFrame) -> DataFrame:
+    return cut_lineage(edges.select(F.col("owned_label_id").alias("current_id"), F.col("owner_label_id").alias("next_id"),
+                                    F.col("owner_label_name").alias("next_name")).distinct())
+
+
 def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int,
                id_col: str = "label_id", name_col: str = "label_name") -> DataFrame:
     """Upward walk from every label, depth 0..max_depth (G7 body): a row for each
@@ -233,8 +293,7 @@ def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int,
     ``edges`` carry ``owned_label_id, owner_label_id, owner_label_name``.
     ``stopped_at_bound`` marks a row of the last depth whose node has owners.
     """
-    e = cut_lineage(edges.select(F.col("owned_label_id").alias("current_id"), F.col("owner_label_id").alias("next_id"),
-                                 F.col("owner_label_name").alias("next_name")).distinct())
+    e = _named_edges(edges)
     level = labels.select(F.col(id_col).alias("label_id"), F.col(name_col).alias("label_name"),
                           F.col(id_col).alias("current_id"), F.col(name_col).alias("current_name"),
                           F.lit(0).alias("depth"), F.when(F.col(name_col).isNotNull(), F.array(name_col)).alias("path"))
@@ -255,8 +314,38 @@ def walk_paths(labels: DataFrame, edges: DataFrame, max_depth: int,
 
 def ownership_paths(labels: DataFrame, edges: DataFrame, max_depth: int, rules: RuleTable = PATH_OWNER_RULES,
                     id_col: str = "label_id", name_col: str = "label_name") -> DataFrame:
-    """G7 result: deepest path per label within ``max_depth``, with its owner group."""
-    return deepest_path(walk_paths(labels, edges, max_depth, id_col, name_col), rules)
+    """G7 result: deepest path per label within ``max_depth``, with its owner group.
+
+    The rows of ``deepest_path(walk_paths(...))`` without keeping the levels: a
+    row moves on to its owners, and stays where it has none; ``LEVELS`` moves
+    make one plan and one checkpoint."""
+    e = _named_edges(edges)
+    best = lambda: F.min(F.struct("path", "current_name", "label_name")).alias("w")
+    rows = labels.select(F.col(id_col).alias("label_id"), F.col(id_col).alias("current_id"), F.lit(0).alias("depth"),
+                         F.struct(F.when(F.col(name_col).isNotNull(), F.array(name_col)).alias("path"),
+                                  F.col(name_col).alias("current_name"), F.col(name_col).alias("label_name")).alias("w"))
+    way = e.withColumn("there", F.lit(True))
+    for d in range(1, max_depth + 1):
+        path = F.when(F.col("next_name").isNotNull(), F.concat(F.col("w.path"), F.array("next_name")))
+        here = F.col("there").isNull()
+        rows = rows.join(way, "current_id", "left").select(
+            "label_id", F.when(here, F.col("current_id")).otherwise(F.col("next_id")).alias("current_id"),
+            F.when(here, F.col("depth")).otherwise(F.lit(d)).alias("depth"),
+            F.when(here, F.col("w.path")).otherwise(path).alias("path"),
+            F.when(here, F.col("w.current_name")).otherwise(F.col("next_name")).alias("current_name"),
+            F.col("w.label_name").alias("label_name")).groupBy("label_id", "current_id", "depth").agg(best())
+        if d % LEVELS == 0 and d < max_depth:
+            obs = Observation()
+            rows = cut_lineage(rows.observe(obs, F.count(F.when(F.col("depth") == d, 1)).alias("n")))
+            if not obs.get["n"]:
+                break
+    top = rows.groupBy("label_id").agg(F.min(F.struct((-F.col("depth")).alias("rise"), "current_id", "w")).alias("t"))
+    owned = e.select(F.col("current_id").alias("t_id"), F.lit(True).alias("owned")).distinct()
+    x = top.join(owned, F.col("t.current_id") == F.col("t_id"), "left")
+    depth, name = -F.col("t.rise"), F.col("t.w.current_name")
+    return x.select("label_id", F.col("t.w.label_name").alias("label_name"), name.alias("ultimate_parent_name"),
+                    F.array_join("t.w.path", PATH_SEPARATOR).alias("ownership_path"), path_owner_group(name, rules).alias("market_share_group"),
+                    depth.alias("depth"), ((depth == max_depth) & F.coalesce("owned", F.lit(False))).alias("stopped_at_bound"))
 
 
 def deepest_path(walk: DataFrame, rules: RuleTable = PATH_OWNER_RULES) -> DataFrame:

@@ -193,14 +193,17 @@ dist AS (SELECT label, node, MIN(depth) AS depth FROM reach GROUP BY label, node
 by_root AS (SELECT d.label, d.node, d.depth,
                    row_number() OVER (PARTITION BY d.label ORDER BY d.depth, d.node) AS rn
             FROM dist d JOIN roots ON d.node = roots.id),
-far AS (SELECT label, node, row_number() OVER (PARTITION BY label ORDER BY depth DESC, node) AS rn FROM dist),
+-- a terminal label is reached by all that it reaches
+terminal AS (SELECT id FROM nodes WHERE id NOT IN (
+  SELECT a.label FROM dist a LEFT JOIN dist b ON b.label = a.node AND b.node = a.label WHERE b.label IS NULL)),
+far AS (SELECT label, MIN(node) AS node FROM dist JOIN terminal ON node = id GROUP BY label),
 res AS (
   SELECT l.label_id, l.label_name,
          COALESCE(b.node, f.node, l.label_id) AS ultimate_id,
          CASE WHEN b.node IS NOT NULL THEN b.depth ELSE 0 END AS hierarchy_depth
   FROM labels l
   LEFT JOIN (SELECT * FROM by_root WHERE rn = 1) b ON b.label = l.label_id
-  LEFT JOIN (SELECT * FROM far WHERE rn = 1) f ON f.label = l.label_id),
+  LEFT JOIN far f ON f.label = l.label_id),
 named AS (
   SELECT res.*, CASE WHEN u.label_id IS NOT NULL THEN u.label_name ELSE 'Unknown' END AS ultimate_parent_name
   FROM res LEFT JOIN (SELECT label_id, MIN(label_name) AS label_name FROM labels GROUP BY label_id) u

@@ -50,11 +50,21 @@ def reference_resolve(edges, labels):
             d, n = min(roots)
             result[lab] = (n, d)
         else:
-            d, n = min((-d, n) for n, d in reach.items())
-            result[lab] = (n, 0)
+            result[lab] = (min(n for n in reach if all(n in _above(out_adj, m) for m in _above(out_adj, n))), 0)
     return result
 
 
+def _above(out_adj, start):
+    """All that start reaches, itself included."""
+    seen, todo = {start}, [start]
+    while todo:
+        for v in out_adj.get(todo.pop(), ()):
+            if v not in seen:
+                seen.add(v)
+                todo.append(v)
+    return seen
+
+
 def _dim(spark, edges, labels, names=None):
     e = spark.createDataFrame([(o, p, None, None) for o, p in edges], EDGE_SCHEMA)
     lab = spark.createDataFrame([(x, (names or {}).get(x, f"name {x}")) for x in labels],
@@ -167,6 +177,63 @@ def test_peeled_chain_above_an_exitless_cycle(spark):
     assert {r.label_id: (r.ultimate_id, r.depth) for r in got.collect()} == ref
 
 
+def _edges(spark, edges):
+    return edge_set(spark.createDataFrame([(o, p, None, None) for o, p in edges], EDGE_SCHEMA))
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_components_without_exit(spark, seed):
+    """Graphs without a root: rings, components of labels with several owners, chains between and into them."""
+    rnd = random.Random(seed)
+    edges = []
+    for c in range(rnd.randint(1, 4)):
+        ids = [f"{rnd.choice('abc')}{c}{i}" for i in range(rnd.randint(1, 9))]
+        ids = list(dict.fromkeys(ids))
+        edges += [(x, ids[(i + 1) % len(ids)]) for i, x in enumerate(ids)]           # a ring, or a self-loop
+        edges += [(rnd.choice(ids), rnd.choice(ids)) for _ in range(rnd.randint(0, 4))]   # and chords
+    nodes = sorted({x for e in edges for x in e})
+    for i in range(12):
+        edges += [(f"t{i}", rnd.choice([*nodes, *[f"t{j}" for j in range(i)]])) for _ in range(rnd.choice([1, 1, 2]))]
+    for _ in range(seed % 3):
+        edges.append((rnd.choice(nodes), rnd.choice(nodes)))                             # one component leads to another
+    labels = sorted({x for e in edges for x in e})
+    got = {r.label_id: (r.ultimate_id, r.depth) for r in resolve_owners(_edges(spark, edges)).collect()}
+    ref = reference_resolve(edges, labels)
+    assert {x: got.get(x, (x, 0)) for x in labels} == ref
+
+
+def _long_graph(spark, n, last):
+    """n labels in a row, each owned by the next; ``last`` is the owner of the last one, None for a root."""
+    name = lambda c: F.format_string("L%07d", c)
+    rows = spark.range(n - 1).select(name(F.col("id")).alias("o"), name(F.col("id") + 1).alias("p"))
+    return rows if last is None else rows.unionByName(spark.range(1).select(name(F.lit(n - 1)).alias("o"), F.lit(last).alias("p")))
+
+
+def _jobs(spark, group, fn):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return fn(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_chain_of_50_000_labels(spark):
+    n = 50_000
+    got, jobs = _jobs(spark, "chain", lambda: resolve_owners(_long_graph(spark, n, None)))
+    right = (F.col("ultimate_id") == F.lit(f"L{n - 1:07d}")) & (F.col("depth") == n - 1 - F.substring("label_id", 2, 7).cast("int"))
+    assert got.count() == n - 1 == got.where(right).count()
+    assert jobs < 100
+
+
+def test_ring_of_100_000_labels(spark):
+    n = 100_000
+    got, jobs = _jobs(spark, "ring", lambda: resolve_owners(_long_graph(spark, n, "L0000000")))
+    first = F.col("label_id") == F.lit("L0000000")
+    right = F.when(first, F.col("ultimate_id") == F.lit("L0000001")).otherwise(F.col("ultimate_id") == F.lit("L0000000"))
+    assert got.count() == n == got.where(right & (F.col("depth") == 0)).count()
+    assert jobs < 250
+
+
 def test_flatten_and_orient(spark):
     rel = ('[{"type":"label ownership","direction":"forward","target-type":"label","label":{"id":"k","name":"Kid"}},'
            '{"type":"imprint","direction":"backward","target-type":"label","label":{"id":"p","name":"Parent"}},'

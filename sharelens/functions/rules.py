@@ -2,8 +2,9 @@
 
 A rule table is a sequence of ``(group, patterns)``; the first group with a
 pattern contained in the (lower-cased) text wins.  Each group becomes one
-``OR`` of ``contains`` tests, so the whole classifier is a single codegen'd
-expression -- no Python UDF, no join.
+test: an ``OR`` of ``contains`` up to ``FEW`` patterns, one ``rlike`` of their
+prefix tree beyond, which reads the text once however many patterns there are.
+So the whole classifier is a single expression -- no Python UDF, no join.
 """
 
 from __future__ import annotations
@@ -62,6 +63,45 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# so many patterns of a group are tested one by one
+FEW = 24
+# what a regular expression would not take as itself
+_SPECIAL = set("\\^$.|?*+()[]{}-&~# \t\n\r\f\v")
+
+
+def prefix_tree(patterns: Sequence[str]) -> str:
+    """A regular expression that finds any of ``patterns``, with common beginnings taken once.
+
+    A pattern that begins with another one adds nothing to finding either."""
+    tree: dict = {}
+    for p in sorted(set(patterns), key=lambda p: (len(p), p)):
+        node = tree
+        for c in p:
+            if None in node:
+                break
+            node = node.setdefault(c, {})
+        else:
+            node.clear()
+            node[None] = {}
+
+    def spell(node: dict) -> str:
+        if None in node:
+            return ""
+        parts = [(f"\\{c}" if c in _SPECIAL else c) + spell(below) for c, below in node.items()]
+        return parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})"
+
+    return spell(tree)
+
+
+def _contains_any(text: Column, patterns: Sequence[str]) -> Column:
+    if len(patterns) > FEW:
+        return text.rlike(prefix_tree(patterns))
+    test = text.contains(patterns[0])
+    for p in patterns[1:]:
+        test = test | text.contains(p)
+    return test
+
+
 def classify(
     c: str | Column,
     rules: RuleTable,
@@ -80,12 +120,9 @@ def classify(
     if empty is not None:
         expr = F.when(text.isNull() | (text == F.lit("")), F.lit(empty))
     for group, patterns in rules:
-        cond = None
-        for p in patterns:
-            test = text.contains(p.lower() if lower else p)
-            cond = test if cond is None else (cond | test)
-        if cond is None:
+        if not patterns:
             continue
+        cond = _contains_any(text, [p.lower() if lower else p for p in patterns])
         expr = F.when(cond, F.lit(group)) if expr is None else expr.when(cond, F.lit(group))
     if expr is None:
         return F.lit(default)

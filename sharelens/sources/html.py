@@ -1,13 +1,18 @@
 """First HTML table of each page as rows (S3), over a column of raw pages.
 
 Native functions only: the first ``<table>`` block, its ``<tr>`` rows, their
-``<th>/<td>`` cells; tags stripped, entities decoded.  The first row supplies
+``<th>/<td>`` cells; tags stripped, entities decoded.  Tags are counted for their
+depth, so a table inside a cell does not end the outer one: its text belongs
+to the cell, its rows are none of the outer table's.  A cell with ``colspan`` or
+``rowspan`` fills every place it covers: rows are folded from the top with the
+cells that reach down from above, which stand where they began, or after the
+row's last cell; what still reaches down after the last row makes more rows.
+Closing tags of rows and cells may be missing.  The first row supplies
 the column names, snake-cased (S5); it stays on the page's own row, so a page
 is read and parsed once, nothing is shuffled, and pages that share a key keep
 their own headers.  Output is long -- ``(page key, row_idx, col_idx,
 column_name, value)`` -- because pages may carry different headers; pivot per
-page family when the header is known.  Nested tables are out of scope.  Pages
-without a table give no rows, or an error with ``require_table=True`` (the
+page family when the header is known.  Pages without a table give no rows, or an error with ``require_table=True`` (the
 scraper's "no tables found").
 """
 
@@ -48,16 +53,104 @@ def cell_text(c: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"[\s ]+", " "))
 
 
+# --- fixed values: the largest spans that HTML allows ------------------------
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
+# ---------------------------------------------------------------------------
+_SPANNED = "array<struct<col: int, text: string, left: int>>"
+
+
+def first_table(html: Column) -> Column:
+    """What stands inside the first ``<table>``, without the tags of tables within it; NULL without a table.  A table that is
+    not closed goes to the end of the page."""
+    tag = r"(?i)(?=<table\b|</table\b)"
+    opens, closes = (lambda x: x.rlike(r"(?i)\A<table\b")), (lambda x: x.rlike(r"(?i)\A</table\b"))
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("over"), F.array().cast("array<string>").alias("kept"))
+
+    def take(acc: Column, piece: Column) -> Column:
+        depth = F.greatest(acc["depth"] + F.when(opens(piece), 1).when(closes(piece), -1).otherwise(0), F.lit(0))
+        over = acc["over"] | ((acc["depth"] > 0) & (depth == 0))
+        body = F.regexp_replace(piece, r"(?i)\A</?table\b[^>]*>?", "")
+        text = F.when(depth > 1, F.regexp_replace(body, r"(?s)<[^>]*>", "")).otherwise(body)
+        kept = F.when(over | (depth == 0), acc["kept"]).otherwise(F.concat(acc["kept"], F.array(text)))
+        return F.struct(F.when(over, 0).otherwise(depth).alias("depth"), over.alias("over"), kept.alias("kept"))
+
+    kept = F.aggregate(F.split(html, tag), start, take, lambda acc: acc["kept"])
+    return F.when(html.rlike(r"(?i)<table\b"), F.array_join(kept, ""))
+
+
+def _span(opening: Column, name: str, most: int) -> Column:
+    number = F.regexp_extract(opening, rf"(?i)\s{name}\s*=\s*[\"']?\s*([0-9]{{1,9}})", 1)
+    return F.when(number == "", 1).otherwise(F.least(F.when(number != "", number.cast("int")), F.lit(most)))
+
+
+def _cells(row: Column) -> Column:
+    """The row's cells: text, colspan, rowspan."""
+    pieces = F.split(row, r"(?i)(?=<t[hd]\b)")
+    inner = r"(?is)\A<t[hd]\b[^>]*>(.*?)(?:</t[hd]\b|</tr\b|</?t(?:body|head|foot)\b|\z)"
+    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.struct(
+        cell_text(F.regexp_extract(x, inner, 1)).alias("text"),
+        _span(F.regexp_extract(x, r"\A<[^>]*>", 0), "colspan", MAX_COLSPAN).alias("across"),
+        _span(F.regexp_extract(x, r"\A<[^>]*>", 0), "rowspan", MAX_ROWSPAN).alias("down")))
+
+
+def _place_row(above: Column, cells: Column) -> Column:
+    """``texts`` of a row and what reaches ``down`` from it, given what reaches down from above.
+
+    One step places one text: another copy of the cell at hand, else a cell
+    from above whose place has come (or any of them, once the row's own are used
+    up), else the row's next cell."""
+    steps = F.aggregate(cells, F.size(above), lambda n, c: n + c["across"])
+    start = F.struct(F.array().cast("array<string>").alias("texts"), F.array().cast(_SPANNED).alias("down"),
+                     F.lit(0).alias("own"), F.lit(0).alias("upper"), F.lit(0).alias("copies"))
+    wide = F.filter(cells, lambda c: c["across"] > 0)
+
+    def step(acc: Column, _: Column) -> Column:
+        at, own, upper, copies = F.size(acc["texts"]), acc["own"], acc["upper"], acc["copies"]
+        from_above = (copies == 0) & (upper < F.size(above)) & (
+            (F.get(above, upper)["col"] <= at) | (own >= F.size(wide)))
+        cell = F.get(wide, F.when(copies > 0, own - 1).otherwise(own))
+        reach = F.when(from_above, F.struct(F.get(above, upper)["col"].alias("col"), F.get(above, upper)["text"].alias("text"),
+                                            (F.get(above, upper)["left"] - 1).alias("left")))
+        reach = reach.otherwise(F.struct(at.alias("col"), cell["text"].alias("text"), (cell["down"] - 1).alias("left")))
+        return F.struct(
+            F.concat(acc["texts"], F.array(reach["text"])).alias("texts"),
+            F.when(reach["left"] > 0, F.concat(acc["down"], F.array(reach))).otherwise(acc["down"]).alias("down"),
+            F.when(from_above | (copies > 0), own).otherwise(own + 1).alias("own"),
+            F.when(from_above, upper + 1).otherwise(upper).alias("upper"),
+            F.when(from_above, 0).when(copies > 0, copies - 1).otherwise(cell["across"] - 1).alias("copies"))
+
+    numbers = F.when(steps > 0, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(numbers, start, step)
+
+
+def span_grid(rows: Column) -> Column:
+    """Rows of cells (text, across, down) as rows of texts, each span filled in."""
+    start = F.struct(F.array().cast("array<array<string>>").alias("grid"), F.array().cast(_SPANNED).alias("down"))
+
+    def take(acc: Column, cells: Column) -> Column:
+        placed = F.array(_place_row(acc["down"], cells))     # an element, so that it is evaluated once
+        return F.transform(placed, lambda r: F.struct(F.concat(acc["grid"], F.array(r["texts"])).alias("grid"), r["down"].alias("down")))[0]
+
+    def rest(acc: Column) -> Column:
+        most = F.coalesce(F.array_max(F.transform(acc["down"], lambda d: d["left"])), F.lit(0))
+        numbers = F.when(most > 0, F.sequence(F.lit(1), most)).otherwise(F.array().cast("array<int>"))
+        return F.concat(acc["grid"], F.transform(numbers, lambda k: F.transform(
+            F.filter(acc["down"], lambda d: d["left"] >= k), lambda d: d["text"])))
+
+    plain = ~F.exists(rows, lambda r: F.exists(r, lambda c: (c["across"] != 1) | (c["down"] != 1)))
+    return F.when(plain, F.transform(rows, lambda r: F.transform(r, lambda c: c["text"]))).otherwise(F.aggregate(rows, start, take, rest))
+
+
 def html_table_rows(pages: DataFrame, html_col: str, keys: Sequence[str],
                     require_table: bool = False) -> DataFrame:
-    table = F.regexp_extract(F.col(html_col), r"(?is)<table\b.*?</table>", 0)
+    """``(keys..., row_idx, col_idx, column_name, value)`` of the first table of each page."""
+    table = first_table(F.col(html_col))
     if require_table:
-        table = F.when(table == "", F.raise_error(F.lit("No tables found on the page"))).otherwise(table)
-    cells = lambda tr: F.transform(
-        F.regexp_extract_all(tr, F.lit(r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"), F.lit(1)), cell_text)
-    rows = F.transform(F.regexp_extract_all(table, F.lit(r"(?is)<tr\b.*?</tr>"), F.lit(0)), cells)
-    x = pages.select(*keys, rows.alias("_rows"))
-    body = x.select(*keys, F.col("_rows")[0].alias("_h"), F.posexplode_outer("_rows").alias("row_idx", "_c")).where("row_idx > 0")
+        table = F.when(table.isNull(), F.raise_error(F.lit("No tables found on the page"))).otherwise(table)
+    pieces = F.split(F.concat(F.lit(" "), table), r"(?i)(?=<tr\b)")     # the first piece is what precedes the rows
+    rows = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _cells)
+    x = pages.select(*keys, rows.alias("_cells")).select(*keys, span_grid(F.col("_cells")).alias("_rows"))
+    body = x.select(*keys, F.get("_rows", F.lit(0)).alias("_h"), F.posexplode_outer("_rows").alias("row_idx", "_c")).where("row_idx > 0")
     header = F.transform("_h", lambda h: F.regexp_replace(F.lower(h), " ", "_"))
     out = body.select(*keys, "row_idx", F.posexplode(F.arrays_zip(header.alias("h"), F.col("_c").alias("c"))).alias("col_idx", "_z"))
     return out.select(*keys, "row_idx", "col_idx", F.col("_z.h").alias("column_name"), F.col("_z.c").alias("value"))

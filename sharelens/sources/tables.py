@@ -19,8 +19,10 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
+from contextlib import contextmanager
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -416,6 +418,37 @@ def ledger_decisions(ledger: DataFrame, incoming: DataFrame) -> DataFrame:
     return x.select("dataset", eq.alias("skip"))
 
 
+@contextmanager
+def claim(spark: SparkSession, base_path: str, what: str):
+    """Hold the claim on ``what``: yields True for the one that could create its file under ``base_path``, False
+    for all others until it is given back.  The file system's exclusive create decides (atomic on HDFS and local
+    disks; not on object stores).  The claim of a loader that died stays until ``drop_claim``."""
+    fs, path = _folder(spark, _claim_path(base_path, what))
+    try:
+        fs.create(path, False).close()
+        mine = True
+    except Py4JJavaError as exc:
+        if "AlreadyExists" not in exc.java_exception.getClass().getName():
+            raise
+        mine = False
+    try:
+        yield mine
+    finally:
+        if mine:
+            fs.delete(path, False)
+
+
+def _claim_path(base_path: str, what: str) -> str:
+    name = "".join(c if c.isalnum() else f"_{ord(c):x}_" for c in what)
+    return f"{base_path.rstrip('/')}/_claims/{name}"
+
+
+def drop_claim(spark: SparkSession, base_path: str, what: str) -> bool:
+    """Give back the claim of a loader that died; returns whether there was one."""
+    fs, path = _folder(spark, _claim_path(base_path, what))
+    return fs.delete(path, False)
+
+
 def incremental_append(build, path: str, date_col: str = "chart_date",
                        reprocess_from: _dt.date | None = None, new_columns: bool = False) -> DataFrame:
     """Incremental materialisation with a high-water mark.

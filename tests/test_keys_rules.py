@@ -108,3 +108,45 @@ def test_keys_equal_duckdb_on_tricky_strings(spark):
     theirs = con.execute(f"SELECT i, {sa}, {st}, {normalize_text_sql('t')}, {normalize_label_sql('t')} "
                          f"FROM x ORDER BY i").fetchall()
     assert ours == [tuple(r) for r in theirs]
+
+
+def test_large_rule_tables(spark):
+    """2,000 patterns in three groups: one test a group, the first group wins, equal to a plain search."""
+    import random
+
+    from sharelens.functions.rules import FEW, classify, prefix_tree
+
+    rng = random.Random(6)
+    letters = "abcde .*+?()[]{}|^$\\-&#~é日🙂\n\t"
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(2, 7))) for _ in range(2000)]
+    rules = (("one", words[:700]), ("two", words[700:1990]), ("three", [f"z{i}" for i in range(10)]), ("none", ()))
+    assert min(len(p) for _, p in rules[:2]) > FEW > len(rules[2][1])
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(400)] + [None, "", "z7", *rng.sample(words, 50)]
+
+    def plain(t):
+        return next((g for g, p in rules if t is not None and any(x in t for x in p)), "other")
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [(r.t, r.g) for r in df.select("t", classify("t", rules, default="other").alias("g")).collect()]
+    assert got == [(t, plain(t)) for t in texts]
+    assert len({g for _, g in got}) == 4
+    assert prefix_tree(["emi", "ume", "umg", "universal", "um"]) == "(?:u(?:m|niversal)|emi)"
+
+
+def test_fixed_lists_by_value():
+    """The twins of P8-P10 are made from the library's lists; here the lists themselves, written out."""
+    from sharelens.functions import keys, rules
+
+    assert [(g, len(p)) for g, p in rules.OWNER_RULES] == [
+        ("Universal Music Group", 12), ("Sony Music Entertainment", 12), ("Warner Music Group", 14)]
+    assert [(g, list(p)) for g, p in rules.PATH_OWNER_RULES] == [
+        ("Universal Music Group", ["universal music"]), ("Sony Music Entertainment", ["sony music"]), ("Warner Music Group", ["warner music"])]
+    assert [p for _, p in rules.LABEL_STRING_RULES] == [
+        ("universal", "interscope", "def jam", "republic", "capitol", "geffen", "island", "polydor", "verve", "emi", "motown", "virgin",
+         "harvest", "umg", "umc", "ume", "mca", "decca", "mercury", "am records", "a&m"),
+        ("sony", "columbia", "epic", "rca", "arista", "legacy", "century media", "provident", "jive", "zomba", "bmg", "the orchard",
+         "kemosabe"),
+        ("warner", "atlantic", "elektra", "parlophone", "reprise", "rhino", "sire", "wea", "nonesuch", "roadrunner", "fueled by ramen",
+         "300 entertainment", "big beat", "east west", "asylum", "loma vista")]
+    assert "umg" in rules.OWNER_RULES[0][1] and "ソニー" in rules.OWNER_RULES[1][1] and "at&t" in rules.OWNER_RULES[2][1]
+    assert len(keys.LABEL_SUFFIXES) == 17

@@ -521,3 +521,100 @@ def test_range_replace_keeps_rows_without_a_date(spark):
     assert scoped == [1.0, 3.0, 8.0, 9.0]
     assert sorted(r.close for r in range_replace(target, batch, "date").collect()) == [1.0, 8.0, 9.0]
     assert sorted(r.close for r in range_replace(target, batch.where("date is null"), "date").collect()) == [1.0, 2.0, 3.0, 8.0]
+
+
+def _grid(spark, table):
+    """Rows of one page's table as lists of (column name, value)."""
+    got = html_table_rows(spark.createDataFrame([(1, f"<p>x</p>{table}")], "k int, html string"), "html", ["k"]).collect()
+    return [[(r.column_name, r.value) for r in sorted(got, key=lambda r: r.col_idx) if r.row_idx == i] for i in sorted({r.row_idx for r in got})]
+
+
+def test_html_spans_fill_the_grid(spark):
+    head = "<table><tr><th>a</th><th>b</th><th>c</th></tr>"
+    named = lambda *rows: [list(zip("abc", r, strict=False)) for r in rows]
+    cases = [
+        ("<tr><td rowspan=2>x</td><td>1</td><td>p</td></tr><tr><td>2</td><td>q</td></tr>", named("x1p", "x2q")),
+        ("<tr><td>1</td><td rowspan='3'>x</td><td>p</td></tr><tr><td>2</td><td>q</td></tr><tr><td>3</td><td>r</td></tr>",
+         named("1xp", "2xq", "3xr")),
+        ("<tr><td>1</td><td>2</td><td rowspan=\"2\">x</td></tr><tr><td>3</td><td>4</td></tr>", named("12x", "34x")),
+        ("<tr><td colspan=2>w</td><td>1</td></tr><tr><td>2</td><td colspan=2>v</td></tr>", named("ww1", "2vv")),
+        ("<tr><td colspan=2 rowspan=2>w</td><td>1</td></tr><tr><td>2</td></tr>", named("ww1", "ww2")),
+        ("<tr><td rowspan=3>x</td><td>1</td><td>2</td></tr>", [*named("x12"), [("a", "x"), ("b", None), ("c", None)], [("a", "x"), ("b", None), ("c", None)]]),
+        ("<tr><td rowspan=0>x</td><td colspan=0>gone</td><td>1</td><td>2</td></tr>", named("x12")),
+        ("<tr><td>1<td>2<td>3<tr><td>4<td>5<td>6", named("123", "456")),
+    ]
+    for body, want in cases:
+        for end in ("</table>", ""):
+            assert _grid(spark, head + body + end) == want, body
+
+
+def test_html_nested_tables_stay_in_their_cell(spark):
+    page = ("<table><tr><th>a</th><th>b</th></tr><tr><td>1 <table><tr><td>in</td><td>ner</td></tr><tr><td><table><tr><td>deep</td></tr>"
+            "</table></td></tr></table> end</td><td>2</td></tr><tr><td>3</td><td>4</td></tr></table>"
+            "<table><tr><td>second</td></tr></table>")
+    assert _grid(spark, page) == [[("a", "1 innerdeep end"), ("b", "2")], [("a", "3"), ("b", "4")]]
+
+
+def test_invalid_line_is_numbered_over_several_splits(spark):
+    from sharelens.sources.ndjson import InvalidLine, invalid_lines, strict_load
+
+    d = _local(spark, "bad")
+    lines = [f'{{"id": "x{i}", "name": "{"n" * (i % 50)}"}}' for i in range(4000)]
+    lines[17] = ""                                    # blank lines count, as in an editor
+    for i in (2500, 2501, 3999):
+        lines[i] = f'{{"id": "broken {i}"'
+    _write_bytes(f"{d}/one", "\n".join(lines).encode())
+    _write_bytes(f"{d}/two", ("\r\n".join(lines[:2600]) + "\n").encode())
+    _write_bytes(f"{d}/fine", b'{"id": "a"}\n[1]\n')
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert spark.read.text(d).rdd.getNumPartitions() > 5
+        got = sorted((r.file.rpartition("/")[2], r.line, r.text) for r in invalid_lines(spark, d).collect())
+        assert got == [("one", 2501, lines[2500]), ("one", 2502, lines[2501]), ("one", 4000, lines[3999]),
+                       ("two", 2501, lines[2500]), ("two", 2502, lines[2501])]
+        with pytest.raises(InvalidLine, match="one, line 2501: .*broken 2500") as found:
+            strict_load(spark, d, lambda df: df.count() and df.collect())
+        assert (found.value.line, found.value.text) == (2501, lines[2500])
+        assert strict_load(spark, f"{d}/fine", lambda df: df.count()) == 1
+        with pytest.raises(ZeroDivisionError):
+            strict_load(spark, d, lambda df: 1 / 0)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_of_two_loaders_at_once_one_loads(spark):
+    import threading
+
+    from sharelens.sources import tables
+    from sharelens.sources.ndjson import load_dump_once
+
+    d, base = _local(spark, "race"), scratch_path(spark, "race-tables")
+    _write_bytes(f"{d}/dump/label", b'{"id": "a"}\n{"id": "b"}\n')
+    _write_bytes(f"{d}/REPLICATION_SEQUENCE", b"7")
+    name, ledger = f"l_{uuid.uuid4().hex[:8]}", f"g_{uuid.uuid4().hex[:8]}"
+    args = (spark, f"{d}/dump", d, name, f"{base}/t", ledger, f"{base}/g", "labels")
+    results, gate = [], threading.Barrier(4)
+
+    def load():
+        gate.wait()
+        results.append(load_dump_once(*args))
+
+    threads = [threading.Thread(target=load) for _ in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert results.count(True) == 1 and len(results) == 4
+    assert spark.table(name).count() == 2 and spark.table(ledger).count() == 1
+    assert load_dump_once(*args) is False
+    _write_bytes(f"{d}/REPLICATION_SEQUENCE", b"8")
+    with tables.claim(spark, f"{base}/g", "labels") as mine:      # another loader holds the dataset
+        assert mine and load_dump_once(*args) is False
+    assert load_dump_once(*args) is True
+    _write_bytes(f"{d}/REPLICATION_SEQUENCE", b"9")
+    _write_bytes(f"{d}/dump/label", b'{"id": "a"}\n{"id"\n')
+    with pytest.raises(Exception, match="line 2"):
+        load_dump_once(*args)
+    assert spark.table(name).count() == 2                          # a failed load leaves table and claim as they were
+    assert tables.drop_claim(spark, f"{base}/g", "labels") is False

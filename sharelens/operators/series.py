@@ -12,7 +12,11 @@ Input contract: at most one row per (series, date) -- a daily series, as the
 share fact and the price table are.  A window partitioned by series then
 holds one row per day of that series, bounded by the calendar, never by the
 raw volume behind it; aggregate first (``daily_share``) when starting from
-raw rows.
+raw rows.  A series longer than a task should hold (ticks, seconds) is cut into
+slices of ``slice_positions`` calendar positions: a window then holds one slice
+of one series and, before it, the few positions it looks back on; what may lie
+further back, the last value there was, comes from an aggregate of one row for
+each slice.  The rows are the same with and without slices.
 
 Calendar modes:
 * ``"observed"``: union of the dates present (the reference's pivot index),
@@ -60,6 +64,29 @@ def _frame(series_col: str | Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(CAL)
 
 
+def _sliced(x: DataFrame, positions: int, lookback: int) -> DataFrame:
+    """Rows of a numbered frame with their ``_slice``; those that the next slice looks back on stand there too, not ``_own``."""
+    if positions < lookback:
+        raise ValueError(f"slices of {positions} positions are shorter than the {lookback} looked back on")
+    at = F.floor(F.col(CAL) / positions)
+    seen_again = F.col(CAL) >= (at + 1) * positions - lookback
+    here, ahead = F.struct(at.alias("s"), F.lit(True).alias("own")), F.struct((at + 1).alias("s"), F.lit(False).alias("own"))
+    places = F.when(seen_again, F.array(here, ahead)).otherwise(F.array(here))
+    return x.withColumn("_p", F.explode(places)).withColumns({"_slice": F.col("_p.s"), "_own": F.col("_p.own")}).drop("_p")
+
+
+def _carried(x: DataFrame, keys: list[str], value_col: str, positions: int, lookback: int) -> DataFrame:
+    """``(keys, _slice, _carried)``: the last value before all that a slice sees, itself and what it looks back on."""
+    at = F.floor(F.col(CAL) / positions)
+    there = F.col(value_col).isNotNull()
+    early = there & (F.col(CAL) < (at + 1) * positions - lookback)
+    last = x.groupBy(*keys, at.alias("_slice")).agg(F.max_by(value_col, F.when(there, F.col(CAL))).alias("_any"),
+                                                    F.max_by(value_col, F.when(early, F.col(CAL))).alias("_early"))
+    w = Window.partitionBy(*keys).orderBy("_slice")
+    before = F.last("_any", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, -2))
+    return last.select(*keys, "_slice", F.coalesce(F.last("_early").over(w.rangeBetween(-1, -1)), before).alias("_carried"))
+
+
 def rolling_features(
     df: DataFrame,
     series_col: str,
@@ -69,6 +96,7 @@ def rolling_features(
     mode: str = "observed",
     pad: bool = True,
     prefix: str = "",
+    slice_positions: int | None = None,
 ) -> DataFrame:
     """Rolling mean (W4), rate of change over ``window`` positions (W5) and
     rolling z-score with its sign (W6), per series.
@@ -77,10 +105,22 @@ def rolling_features(
     calendar positions (pandas ``rolling(window)``); std is the sample std.
     ``pad=True`` carries the last value forward before the rate of change, as
     pandas 2.x ``pct_change`` does; ``pad=False`` needs both exact positions.
-    Division by zero gives NULL.
+    Division by zero gives NULL.  ``slice_positions``: see the module.
     """
     x = with_calendar(df, date_col, mode)
-    w = _frame(series_col)
+    keys = [series_col] if isinstance(series_col, str) else list(series_col)
+    if slice_positions:
+        numbered = x = cut_lineage(x)
+        x = _sliced(x, slice_positions, window)
+        if pad:
+            carried = _carried(numbered, keys, value_col, slice_positions, window).select(
+                *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_at"), "_carried")
+            same = (F.col("_slice") == F.col("_at"))
+            for i, k in enumerate(keys):
+                same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+            x = x.join(carried, same, "left")
+        keys = [*keys, "_slice"]
+    w = _frame(keys)
     last_n = w.rangeBetween(-(window - 1), 0)
     v = F.col(value_col)
     full = F.count(v).over(last_n) == F.lit(window)
@@ -89,27 +129,40 @@ def rolling_features(
     if pad:
         now = F.last(v, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
         then = F.last(v, ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, -window))
+        if slice_positions:
+            now, then = F.coalesce(now, "_carried"), F.coalesce(then, "_carried")
     else:
         now = v
         then = F.first(v).over(w.rangeBetween(-window, -window))
     z = F.try_divide(v - mean, std)
-    return x.select(
+    own = ["_own"] if slice_positions else []
+    out = x.select(
         *df.columns,
+        *own,
         mean.alias(f"{prefix}ma{window}"),
         (F.try_divide(now, then) - F.lit(1.0)).alias(f"{prefix}roc{window}"),
         z.alias(f"{prefix}zscore"),
         F.signum(z).alias(f"{prefix}zscore_sign"),
     )
+    return out.where("_own").drop("_own") if slice_positions else out
+
+
+def _with_previous(df: DataFrame, series_col: str, date_col: str, value_col: str, mode: str, slice_positions: int | None) -> DataFrame:
+    """``df`` with ``_prev``, the series' value one calendar position earlier."""
+    x = with_calendar(df, date_col, mode)
+    if not slice_positions:
+        return x.withColumn("_prev", F.first(value_col).over(_frame(series_col).rangeBetween(-1, -1)))
+    w = _frame([series_col, "_slice"]).rangeBetween(-1, -1)
+    return _sliced(x, slice_positions, 1).withColumn("_prev", F.first(value_col).over(w)).where("_own")
 
 
 def log_returns(df: DataFrame, series_col: str, date_col: str, price_col: str,
-                mode: str = "observed", out: str = "log_return") -> DataFrame:
+                mode: str = "observed", out: str = "log_return", slice_positions: int | None = None) -> DataFrame:
     """``ln(p / p_prev)`` where ``p_prev`` is the price one position earlier on
     the union calendar of all series (W7): a day missing for one series gives
     NULL on the next day, as in the wide frame."""
-    x = with_calendar(df, date_col, mode)
-    prev = F.first(price_col).over(_frame(series_col).rangeBetween(-1, -1))
-    ratio = F.try_divide(F.col(price_col), prev)
+    x = _with_previous(df, series_col, date_col, price_col, mode, slice_positions)
+    ratio = F.try_divide(F.col(price_col), F.col("_prev"))
     return x.select(*df.columns, F.when(ratio > 0, F.ln(ratio)).alias(out))
 
 
@@ -184,13 +237,12 @@ def align_calendars(left: DataFrame, right: DataFrame, series_col: str, date_col
 
 
 def calendar_difference(df: DataFrame, series_col: str, date_col: str, value_col: str,
-                        out: str | None = None) -> DataFrame:
+                        out: str | None = None, slice_positions: int | None = None) -> DataFrame:
     """``x - x_prev`` where ``x_prev`` is the series' value at the previous
     position of the frame's own union calendar (W8 on a wide frame): a
     missing or NULL previous cell gives NULL, as ``diff`` does on NaN."""
-    x = with_calendar(df, date_col)
-    prev = F.first(value_col).over(_frame(series_col).rangeBetween(-1, -1))
-    return x.select(*df.columns, (F.col(value_col) - prev).alias(out or f"{value_col}_change"))
+    x = _with_previous(df, series_col, date_col, value_col, "observed", slice_positions)
+    return x.select(*df.columns, (F.col(value_col) - F.col("_prev")).alias(out or f"{value_col}_change"))
 
 
 def paired(df: DataFrame, x: str, y: str) -> tuple[Column, Column]:

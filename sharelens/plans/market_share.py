@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import split_title
 from ..functions.rules import LABEL_STRING_RULES, RuleTable, label_string_group, resolve_group
-from ..operators.linkage import hierarchy_groups, title_tracks, track_labels
+from ..operators.linkage import ARTIST_KEY, TRACK_KEY, hierarchy_groups, title_tracks, track_labels
 from ..operators.share import share_of_total
 from ..operators.staging import stage_metadata
 from ..session import cut_lineage
+from ..sources.tables import high_water_mark, write_partitions
 
 FACT_COLUMNS = ["chart_date", "parent_group", "total_streams", "track_count", "row_count", "market_share_pct"]
 
@@ -59,3 +60,35 @@ def share_fact(charts: DataFrame, metadata: DataFrame, labels: DataFrame,
         F.sum(F.col("_streams") * F.col("_m")).alias("total_streams"), F.count_distinct("track_id").alias("track_count"),
         F.sum(F.col("_rows") * F.col("_m")).alias("row_count"))
     return fact.withColumn("market_share_pct", share_of_total("total_streams", ["chart_date"])).select(*FACT_COLUMNS)
+
+
+def touched_dates(charts: DataFrame, metadata: DataFrame, appended: DataFrame,
+                  title_col: str = "artist_and_title", date_col: str = "chart_date") -> DataFrame:
+    """The dates whose fact rows can change because ``appended`` was added to the metadata.
+
+    keys -> titles -> dates: a title is touched if a new row has its normalised
+    keys, which can change its track, or its track's id, which can change the
+    label.  ``metadata`` holds the new rows already.  Chart rows are reduced to
+    distinct (title, date) before anything is joined."""
+    days = cut_lineage(charts.select(title_col, date_col).distinct())
+    artist, track = split_title(title_col)
+    named = days.select(title_col).distinct().select(title_col, artist.alias("artist_name"), track.alias("track_name"))
+    linked = cut_lineage(title_tracks(named, stage_metadata(metadata)))
+    new = cut_lineage(stage_metadata(appended).select(TRACK_KEY, ARTIST_KEY, "track_id").distinct())
+    by_key = linked.join(new.select(TRACK_KEY, ARTIST_KEY).distinct(), [TRACK_KEY, ARTIST_KEY], "left_semi")
+    by_track = linked.join(new.select("track_id").distinct(), "track_id", "left_semi")
+    titles = by_key.select(F.col(title_col).alias("_title")).unionByName(by_track.select(F.col(title_col).alias("_title"))).distinct()
+    return days.join(titles, days[title_col].eqNullSafe(titles["_title"]), "left_semi").select(date_col).distinct()
+
+
+def refresh_enriched(charts: DataFrame, metadata: DataFrame, appended: DataFrame, labels: DataFrame, path: str,
+                     rules: RuleTable = LABEL_STRING_RULES, strict: bool = True) -> DataFrame:
+    """Rebuild the dates of the fact at ``path`` that late metadata touches; returns these dates.
+
+    Only their partitions are computed and written; dates after the fact's
+    high-water mark are left to the next incremental run."""
+    mark = high_water_mark(charts.sparkSession, path)
+    past = charts.where(F.col("chart_date") <= F.lit(mark))
+    days = cut_lineage(touched_dates(past, metadata, appended))
+    write_partitions(share_fact(past.join(days, "chart_date", "left_semi"), metadata, labels, rules, strict), path, "chart_date")
+    return days

@@ -25,7 +25,7 @@ from ..operators.series import (
 )
 from ..operators.share import daily_share
 from ..operators.staging import in_groups, map_keys
-from ..operators.stats import corr_matrix, lead_lag, pearson_by_group, pearson_significance
+from ..operators.stats import corr_matrix, corr_matrix_long, lead_lag, pearson_by_group, pearson_significance
 from .registry import register, table
 from .sqlgen import share_sql
 
@@ -236,6 +236,31 @@ def q_date_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(j.where(F.col("market_share_pct").isNotNull() & F.col("log_return").isNotNull()))
 
 
+@register("date_join_ffill", "J6 (forward fill)", sql=f"""
+WITH s AS (SELECT segment, order_day, market_share_pct FROM ({SEGMENT_SHARE_SQL}) a),
+r AS (SELECT segment, order_day, log_return FROM ({PRICE_RETURNS_SQL}) b),
+u AS (SELECT segment, order_day, market_share_pct FROM s
+      UNION ALL SELECT segment, order_day, NULL FROM r WHERE (segment, order_day) NOT IN (SELECT segment, order_day FROM s)),
+f AS (SELECT segment, order_day, LAST_VALUE(market_share_pct IGNORE NULLS) OVER (PARTITION BY segment ORDER BY order_day
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS market_share_pct FROM u)
+SELECT segment, order_day, ROUND(market_share_pct, 6) AS market_share_pct, ROUND(log_return, 6) AS log_return
+FROM r JOIN f USING (segment, order_day)""")
+def q_date_join_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returns joined with the last share known on their day."""
+    return _r(date_join(segment_share(spark, sf_dir).select("segment", "order_day", "market_share_pct"), price_returns(spark, sf_dir),
+                        ["segment", "order_day"], ffill=True, date_col="order_day", fill_cols=["market_share_pct"]))
+
+
+@register("rolling_sliced", "W4,W5,W6 (slices)", sql=f"""
+SELECT segment, order_day, total_volume, ROUND(market_share_pct, 6) AS market_share_pct,
+       ROUND(ma7, 6) AS ma7, ROUND(roc7, 6) AS roc7, ROUND(zscore, 6) AS zscore,
+       CAST(sign(zscore) AS DOUBLE) AS zscore_sign
+FROM ({ROLLING_SQL}) g""")
+def q_rolling_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rolling signals with each series cut into slices of 100 positions."""
+    return _r(rolling_features(segment_share(spark, sf_dir), "segment", "order_day", "market_share_pct", window=7, slice_positions=100))
+
+
 @register("share_diff", "W8", sql=f"""
 SELECT segment, order_day, ROUND(market_share_pct, 6) AS market_share_pct, ROUND(log_return, 6) AS log_return,
        ROUND(ms_change, 6) AS ms_change
@@ -265,6 +290,19 @@ def q_corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(corr_matrix(wide, EVENT_TYPES))
 
 
+@register("corr_matrix_long", "A9 (many series)", sql=f"""
+WITH m AS (SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, AVG(l_quantity) AS v FROM lineitem GROUP BY 1, 2),
+s AS (SELECT DISTINCT l_suppkey FROM m),
+p AS (SELECT a.l_suppkey AS x, b.l_suppkey AS y, {_corr_sql('a.v', 'b.v')} AS r FROM m a JOIN m b ON a.month = b.month GROUP BY 1, 2)
+SELECT a.l_suppkey AS series_a, b.l_suppkey AS series_b, ROUND(r, 6) AS corr
+FROM s a CROSS JOIN s b LEFT JOIN p ON x = a.l_suppkey AND y = b.l_suppkey""")
+def q_corr_matrix_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers' monthly mean quantities, every supplier against every other, without a pivot."""
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_shipdate", "l_quantity")
+    monthly = li.groupBy("l_suppkey", F.trunc("l_shipdate", "month").alias("month")).agg(F.avg("l_quantity").alias("v"))
+    return _r(corr_matrix_long(monthly, "l_suppkey", "month", "v"))
+
+
 _PAIR = ("CASE WHEN ms_change IS NOT NULL AND log_return IS NOT NULL THEN {} END")
 
 

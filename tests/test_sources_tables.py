@@ -618,3 +618,35 @@ def test_of_two_loaders_at_once_one_loads(spark):
         load_dump_once(*args)
     assert spark.table(name).count() == 2                          # a failed load leaves table and claim as they were
     assert tables.drop_claim(spark, f"{base}/g", "labels") is False
+
+
+def test_late_metadata_rebuilds_only_the_dates_it_touches(spark):
+    from sharelens.plans.market_share import refresh_enriched, share_fact, touched_dates
+
+    path = scratch_path(spark, "late")
+    day = lambda d: dt.date(2024, 1, d)
+    charts = spark.createDataFrame([("A - one", 10, day(1)), ("A - two", 20, day(2)), ("B - three", 30, day(3)), ("A - one", 5, day(3)),
+                                    ("C - four", 7, day(4)), ("a -  TWO!", 2, day(5)), ("D - five", 1, day(6))],
+                                   "artist_and_title string, streams long, chart_date date")
+    schema = "track_name string, artist_name string, label string, track_id string, updated_at timestamp"
+    stamp = dt.datetime(2024, 2, 1)
+    meta = spark.createDataFrame([("one", "A", None, "t1", stamp), ("three", "B", "Kona", "t3", stamp), ("four", "C", "Kona", "t4", stamp)], schema)
+    dim = spark.createDataFrame([("kona", "G", "P", "l1"), ("lima", "H", "Q", "l2")],
+                                "normalized_label string, market_share_group string, ultimate_parent_name string, label_id string")
+    fact = lambda m, c=charts: share_fact(c, m, dim, ())
+    incremental_append(lambda since: fact(meta, charts.where(F.col("chart_date") > since).where("chart_date < date'2024-01-06'")), path)
+    files = lambda: {r.d: r.f for r in spark.read.parquet(path).select(F.col("chart_date").alias("d"), F.input_file_name().alias("f")).collect()}
+    before = files()
+    # a title found, a label that changes by its track id, and a title that charts only after the high-water mark
+    late = spark.createDataFrame([("two", "A", "Lima", "t2", stamp), ("other name", "C", "Lima", "t4", dt.datetime(2024, 3, 1)),
+                                  ("five", "D", "Lima", "t5", stamp), ("absent", "Z", "Lima", "t9", stamp), ("no id", "B", "Lima", None, stamp)], schema)
+    both = meta.unionByName(late)
+    assert {r[0].day for r in touched_dates(charts, both, late).collect()} == {2, 4, 5, 6}
+    days = refresh_enriched(charts, both, late, dim, path, ())
+    assert {r[0].day for r in days.collect()} == {2, 4, 5}
+    after = files()
+    assert {d.day for d in before if before[d] != after[d]} == {2, 4, 5}
+    want = sorted(map(tuple, fact(both, charts.where("chart_date < date'2024-01-06'")).collect()))
+    got = sorted(map(tuple, spark.read.parquet(path).select(*fact(both).columns).collect()))
+    assert got == want
+    assert want != sorted(map(tuple, fact(meta, charts.where("chart_date < date'2024-01-06'")).collect()))

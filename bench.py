@@ -5,7 +5,9 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 Each query runs to completion into the ``noop`` sink (full execution, no
 collect); the time includes planning.  A warm-up pass runs every headline
 query once on sf0.001 first, so one-time JVM and code-generation costs are
-not charged to whichever query happens to come first.
+not charged to whichever query happens to come first.  ``machine_sec`` is the
+time of a fixed computation that reads nothing and uses no code of the
+library: between two runs it tells how much of a difference is the machine's.
 """
 
 from __future__ import annotations
@@ -38,6 +40,16 @@ HEADLINE = [
 ]
 
 
+def machine_seconds(spark) -> float:
+    """Best of three runs over 200 million numbers."""
+    best = float("inf")
+    for _ in range(3):
+        t0 = time.perf_counter()
+        spark.range(200_000_000).selectExpr("sum(xxhash64(id) % 1000)", "sum(sqrt(id))").collect()
+        best = min(best, time.perf_counter() - t0)
+    return best
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -45,6 +57,7 @@ def main() -> None:
     spark = get_spark("sharelens-bench", cpus=cpus, shuffle_partitions=int(cpus) * 2)
     for name in names:
         QUERIES[name].build(spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
+    machine = machine_seconds(spark)
     times: dict[str, float] = {}
     for name in names:
         t0 = time.perf_counter()
@@ -52,7 +65,7 @@ def main() -> None:
         times[name] = round(time.perf_counter() - t0, 3)
     sf = os.path.basename(sf_dir).removeprefix("sf")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus}))
+                      "queries": times, "sf": sf, "cpus": cpus, "machine_sec": round(machine, 3)}))
     spark.stop()
 
 

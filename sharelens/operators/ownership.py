@@ -122,9 +122,33 @@ def _jump(step: DataFrame) -> DataFrame:
     ``dist`` steps away, and ``low`` the two smallest ids from v up to it.  A
     chain that runs into a ring never ends: its rows stay ``open`` with an end on
     the ring, and the ``low`` of a row on the ring is that of the whole ring.
+
+    Hierarchies are wide and shallow, so labels that own nothing are set aside
+    first, layer by layer, for as long as a layer is at least half of what is
+    left; pointers are doubled among the rest, and the layers follow by a join each.
     """
-    state, n = cut_lineage_counted(step.select("v", F.col("succ").alias("end"), F.lit(1).cast("long").alias("dist"),
-                                               F.array("v").alias("low")))
+    core, n = cut_lineage_counted(step.select("v", "succ"))
+    layers = []
+    while n:
+        owning, m = cut_lineage_counted(core.join(core.select(F.col("succ").alias("v")).distinct(), "v", "left_semi"))
+        if m > n / 2:
+            break
+        layers.append(core.join(owning.select("v"), "v", "left_anti"))
+        core, n = owning, m
+    state = core.select("v", F.col("succ").alias("end"), F.lit(1).cast("long").alias("dist"), F.array("v").alias("low"))
+    found = _double(state, n) if n else state.withColumn("open", F.lit(False))
+    for layer in reversed(layers):
+        next_up = found.select(F.col("v").alias("succ"), "end", "dist", "low", "open")
+        rows = layer.join(next_up, "succ", "left").select(
+            "v", F.coalesce("end", "succ").alias("end"), (F.coalesce("dist", F.lit(0).cast("long")) + 1).alias("dist"),
+            F.when(F.col("low").isNull(), F.array("v")).otherwise(_two(F.concat(F.array("v"), "low"))).alias("low"),
+            F.coalesce("open", F.lit(False)).alias("open"))
+        found = found.unionByName(cut_lineage(rows))
+    return found
+
+
+def _double(state: DataFrame, n: int) -> DataFrame:
+    """Pointer doubling of ``_jump`` over its n rows."""
     done, active, reach = [], state, 1
     while True:
         base = _union([*done, active]).select(F.col("v").alias("end"), F.col("end").alias("_end"), F.col("dist").alias("_dist"),
@@ -194,30 +218,33 @@ def _terminal_lows(nodes: DataFrame, inner: DataFrame, leaving: DataFrame) -> Da
     return kept.join(lows, "c").select("node", "value")
 
 
-def _without_root(step: DataFrame, fork: DataFrame, loops: DataFrame) -> DataFrame:
-    """``(label_id, ultimate_id)`` of labels that reach no root: ``step(v, succ)`` have one owner,
-    ``fork(frm, succ)`` several, ``loops(node)`` only themselves."""
-    jumped = cut_lineage(_jump(step))
+def _without_root(jumped: DataFrame, fork: DataFrame | None, loops: DataFrame) -> DataFrame:
+    """``(label_id, ultimate_id)`` of labels that reach no root: ``jumped`` (``_jump``'s rows) have one owner,
+    ``fork(frm, succ)`` several (None without any), ``loops(node)`` only themselves."""
     on_ring = jumped.where("open").select(F.col("end").alias("at")).distinct()
     ring = on_ring.join(jumped.select(F.col("v").alias("at"), F.col("low").alias("ring")), "at")
     # what a chain ends in: a ring's two smallest ids, or a label
     chain = cut_lineage(jumped.join(ring, jumped["end"] == ring["at"], "left").select(
         "v", "low", F.when(F.col("ring").isNull(), F.col("end")).alias("end"), "ring"))
     loop_ends = loops.select(F.col("node").alias("end"), F.array("node").alias("loop"))
-    edges = fork.join(chain.select(F.col("v").alias("succ"), "low", "end", "ring", F.lit(True).alias("jumped")), "succ", "left").select(
-        "frm", F.when(F.col("jumped"), F.col("end")).otherwise(F.col("succ")).alias("end"), "ring",
-        F.coalesce("low", F.array().cast("array<string>")).alias("low"))
-    edges = cut_lineage(edges.join(loop_ends, "end", "left").select(
-        "frm", "low", F.when(F.coalesce("ring", "loop").isNull(), F.col("end")).alias("to"), F.coalesce("ring", "loop").alias("final")))
-    nodes = fork.select(F.col("frm").alias("node")).distinct()
-    inner, leaving = edges.where("to is not null").select("frm", "to", "low"), edges.where("final is not null")
-    terminal = _terminal_lows(nodes, inner, leaving.select("frm").distinct())
-    out = leaving.groupBy(F.col("frm").alias("node")).agg(F.min("final").alias("value"))
-    start = cut_lineage(terminal.unionByName(out))      # a label with an edge that leaves is in no terminal component
-    settled = _settle(start, inner.select("frm", "to"), lambda v: v)
-    final = chain.join(settled.select(F.col("node").alias("end"), F.col("value").alias("settled")), "end", "left").join(loop_ends, "end", "left")
-    answers = settled.select("node", "value").unionByName(
-        final.select(F.col("v").alias("node"), F.coalesce("ring", "settled", "loop").alias("value")))
+    final = chain.join(loop_ends, "end", "left")
+    if fork is None:
+        answers = final.select(F.col("v").alias("node"), F.coalesce("ring", "loop").alias("value"))
+    else:
+        edges = fork.join(chain.select(F.col("v").alias("succ"), "low", "end", "ring", F.lit(True).alias("jumped")), "succ", "left").select(
+            "frm", F.when(F.col("jumped"), F.col("end")).otherwise(F.col("succ")).alias("end"), "ring",
+            F.coalesce("low", F.array().cast("array<string>")).alias("low"))
+        edges = cut_lineage(edges.join(loop_ends, "end", "left").select(
+            "frm", "low", F.when(F.coalesce("ring", "loop").isNull(), F.col("end")).alias("to"), F.coalesce("ring", "loop").alias("final")))
+        nodes = fork.select(F.col("frm").alias("node")).distinct()
+        inner, leaving = edges.where("to is not null").select("frm", "to", "low"), edges.where("final is not null")
+        terminal = _terminal_lows(nodes, inner, leaving.select("frm").distinct())
+        out = leaving.groupBy(F.col("frm").alias("node")).agg(F.min("final").alias("value"))
+        start = cut_lineage(terminal.unionByName(out))      # a label with an edge that leaves is in no terminal component
+        settled = _settle(start, inner.select("frm", "to"), lambda v: v)
+        final = final.join(settled.select(F.col("node").alias("end"), F.col("value").alias("settled")), "end", "left")
+        answers = settled.select("node", "value").unionByName(
+            final.select(F.col("v").alias("node"), F.coalesce("ring", "settled", "loop").alias("value")))
     own = F.col("value")[0] == F.col("node")
     return answers.select(F.col("node").alias("label_id"), F.when(own, F.get("value", F.lit(1))).otherwise(F.col("value")[0]).alias("ultimate_id"))
 
@@ -235,7 +262,7 @@ def resolve_owners(edges: DataFrame) -> DataFrame:
     sinks = walk.select(F.col("p").alias("node")).distinct().join(owners.select(F.col("o").alias("node")), "node", "left_anti")
     selfish = e.where(F.col("o") == F.col("p")).select(F.col("o").alias("node")).distinct()
     roots = cut_lineage(sinks.join(selfish, "node", "left_anti"))
-    jumped = cut_lineage(_jump(step).select("v", "end", "dist"))
+    jumped = _jump(step)
     # 2. the nearest root of the labels with several owners
     found = roots.select("node", F.struct(F.lit(0).cast("long").alias("depth"), F.col("node").alias("root")).alias("value"))
     forked, n_forked = cut_lineage_counted(fork.join(jumped.select(F.col("v").alias("succ"), "end", "dist"), "succ", "left").select(
@@ -249,11 +276,14 @@ def resolve_owners(edges: DataFrame) -> DataFrame:
             F.col("node").alias("label_id"), F.col("value.root").alias("ultimate_id"), F.col("value.depth").cast("int").alias("depth"))))
     # 3. those that reach none
     rooted = best.select("label_id")
-    lost, n_lost = cut_lineage_counted(owners.join(rooted, owners["o"] == rooted["label_id"], "left_anti"))
+    lost, n_lost = cut_lineage_counted(owners.join(rooted, owners["o"] == rooted["label_id"], "left_anti").select(F.col("o").alias("v")))
     if not n_lost:
         return best
-    lost_fork = fork.join(lost.where("n > 1").select(F.col("o").alias("frm")), "frm", "left_semi")
-    far = _without_root(lost.where("n = 1").select(F.col("o").alias("v"), "succ"), cut_lineage(lost_fork), cut_lineage(sinks.join(selfish, "node", "left_semi")))
+    lost_fork = None
+    if n_forked:
+        lost_fork, n_lost_fork = cut_lineage_counted(fork.join(lost.select(F.col("v").alias("frm")), "frm", "left_semi"))
+        lost_fork = lost_fork if n_lost_fork else None
+    far = _without_root(cut_lineage(jumped.join(lost, "v", "left_semi")), lost_fork, cut_lineage(sinks.join(selfish, "node", "left_semi")))
     return best.unionByName(far.withColumn("depth", F.lit(0)))
 
 

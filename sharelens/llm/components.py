@@ -11,7 +11,7 @@ from sharelens.session import cut_lineage, cut_lineage_counted
 def _star(edges: DataFrame) -> DataFrame:
     """(u, v, m): every directed edge with the smallest of u and its neighbours."""
     low = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(low, "u")
+    return edges.join(cut_lineage(low), "u")     # cut from the aggregate: a hub's edges can be split in the join
 
 
 def _large(edges: DataFrame) -> DataFrame:

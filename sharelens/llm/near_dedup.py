@@ -6,7 +6,9 @@ arrivals, at a rate of its weight, to the registers of the signature; a register
 keeps the shingle of its earliest arrival, and a shingle stops once its next
 arrival comes later than the latest register.  Two registers agree with the
 probability Jaccard similarity of the texts.  ``BANDS`` bands of ``ROWS``
-registers give the buckets.
+registers give the buckets.  The weights make candidates only: a link is
+verified on the Jaccard similarity of the shingle sets, which is the same
+measure where no shingle repeats.
 
 Texts with the same words are one node before anything is compared, so copies
 make no pairs.  In a bucket of at most ``SMALL`` nodes every pair is a
@@ -45,6 +47,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 SMALL, NEAR = 16, 4
+PART = 4096
 
 
 def shingles(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,14 +135,16 @@ def candidates(nodes: DataFrame) -> DataFrame:
     bucket = ["band", "bucket"]
     rank = F.xxhash64("key", "band")
     lead = rows.groupBy(*bucket).agg(F.min(F.struct(rank.alias("r"), "key")).alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1")
-    rows = rows.join(lead.select(*bucket, F.col("lead.key").alias("lead"), "m"), bucket)
+    # cut from the aggregate, so that a bucket that holds much of all rows can be split in the join
+    lead = cut_lineage(lead.select(*bucket, F.col("lead.key").alias("lead"), "m"))
+    rows = rows.join(lead, bucket)
     star = rows.where("key <> lead").select(F.col("lead").alias("x"), F.col("key").alias("y"), (F.col("m") > SMALL).alias("leads"))
     small = rows.where(F.col("m") <= SMALL).groupBy(*bucket).agg(F.sort_array(F.collect_list("key")).alias("keys"))
     pairs = small.where(F.size("keys") > 2).select(F.col("keys"), F.posexplode("keys").alias("i", "x")).select(
         "x", F.explode(F.slice("keys", F.col("i") + 2, F.lit(SMALL))).alias("y"), F.lit(False).alias("leads"))
-    # neighbours in a large bucket, by band 0 and key; a bucket is ordered in 64 parts
+    # neighbours in a large bucket, by band 0 and key; a bucket is dealt into parts of about PART nodes
     order = Window.partitionBy(*bucket, "part").orderBy("near", "key")
-    large = rows.where(F.col("m") > SMALL).withColumn("part", F.pmod(F.xxhash64("near"), F.lit(64)))
+    large = rows.where(F.col("m") > SMALL).withColumn("part", F.pmod(F.xxhash64("key"), F.ceil(F.col("m") / PART)))
     near = large.select(F.col("key").alias("x"), F.array(*[F.lead("key", i).over(order) for i in range(1, NEAR + 1)]).alias("next"))
     near = near.select("x", F.explode("next").alias("y"), F.lit(False).alias("leads"))
     every = star.unionByName(pairs).unionByName(near.where("y is not null")).where("x <> y")
@@ -160,13 +165,9 @@ def unsettled(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return star.join(mixed, "lead", "left_semi").select("key", "root").distinct()
 
 
-def crossing(texts: DataFrame, similarity: float) -> DataFrame:
-    """Distinct (a, b), a < b, of ``texts(key, root, text)`` with different roots: every pair that can reach ``similarity``.
-
-    A global order of the shingles, rarest first: two sets of this similarity
-    share one among the first n - ceil(similarity * n) + 1 of each.  In the group
-    of a shingle only nodes outside its commonest root are compared with the others.
-    """
+def _prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+    """(key, root, n, pos, token): the tokens of each node's prefix, rarest first, numbered from 0; ``indexed`` marks those
+    that a longer partner's prefix must share one of."""
 
     def explode(batches):
         for batch in batches:
@@ -180,21 +181,49 @@ def crossing(texts: DataFrame, similarity: float) -> DataFrame:
                                                  ["key", "root", "n", "token"])
 
     tokens = texts.select("key", "root", "text").mapInArrow(releasing(explode), "key binary, root binary, n long, token long")
-    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    first = (F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1).cast("int")
-    held = tokens.join(often, "token").groupBy("key", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
-    held = held.select("key", "root", "n", F.posexplode(F.slice("t", F.lit(1), first)).alias("pos", "t")).where("t.df > 1").select(
-        "key", "root", "n", "pos", F.col("t.token").alias("token"))
-    held = cut_lineage(held)
+    often = cut_lineage(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    # a token that only one node has joins nothing, but it has its place in the order: counted, not carried
+    ranked = tokens.join(often, "token").groupBy("key", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+    alone = F.col("n") - F.size("t")
+    first = F.greatest(F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1 - alone, F.lit(0)).cast("int")
+    held = ranked.select("key", "root", "n", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), first)).alias("at", "t"))
+    pos = F.col("alone") + F.col("at")
+    both = 2 * similarity / (1 + similarity)
+    return held.select("key", "root", "n", pos.alias("pos"), F.col("t.token").alias("token"),
+                       (pos <= F.col("n") - F.ceil(F.col("n") * both - 1e-9)).alias("indexed"))
+
+
+def crossing(texts: DataFrame, similarity: float) -> DataFrame:
+    """Distinct (a, b), a < b, of ``texts(key, root, text)`` with different roots: every pair that can reach ``similarity``.
+
+    In a global order of the shingles, rarest first, let two sets of n <= m
+    shingles have their first common one at places p and q.  All they share
+    stands from there on, so similarity t needs min(n - p, m - q) >= t / (1 + t) *
+    (n + m): the shorter set's place lies in a prefix shorter than the longer's.
+    The bound is met before any pair is made: for each shingle the lengths with
+    their least places are joined first, and only nodes whose own place fits a
+    pair of lengths are put together, in a group of that shingle and those two
+    lengths.  Pairs within a shingle's commonest root are not listed.
+    """
+    held = cut_lineage(_prefixes(texts, similarity))
     major = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("token").agg(
         F.max_by("root", F.struct("m", "root")).alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", "major")
-    held = held.join(major, "token")
-    x = held.where("root <> major").select("token", *[F.col(c).alias(f"{c}_x") for c in ("key", "root", "n", "pos")])
-    both = x.join(held.drop("major"), "token").where("root <> root_x")
-    least = F.ceil((F.col("n") + F.col("n_x")) * (similarity / (1 + similarity)) - 1e-9)
-    both = both.where((F.col("n") >= F.col("n_x") * similarity - 1e-9) & (F.col("n_x") >= F.col("n") * similarity - 1e-9)
-                      & (F.least(F.col("n") - F.col("pos"), F.col("n_x") - F.col("pos_x")) >= least))
-    return both.select(F.least("key", "key_x").alias("a"), F.greatest("key", "key_x").alias("b")).distinct()
+    held = cut_lineage(held.join(cut_lineage(major), "token").withColumn("minor", F.col("root") != F.col("major")).drop("major"))
+    share = similarity / (1 + similarity)
+    need = F.ceil((F.col("n") + F.col("m")) * share - 1e-9)
+    lengths = held.groupBy("token", "n").agg(F.min(F.when(F.col("indexed"), F.col("pos"))).alias("p"), F.min("pos").alias("q"))
+    shorter = lengths.where("p is not null").select("token", "n", "p")
+    longer = lengths.select("token", F.col("n").alias("m"), "q")
+    fit = shorter.join(longer, "token").where((F.col("n") <= F.col("m")) & (F.col("n") >= F.col("m") * similarity - 1e-9)
+                                              & (F.col("n") - F.col("p") >= need) & (F.col("m") - F.col("q") >= need))
+    fit = cut_lineage(fit.select("token", "n", "m", need.alias("need")))
+    x = held.where("indexed").join(fit, ["token", "n"]).where("n - pos >= need").select(
+        "token", "n", "m", F.col("key").alias("x"), F.col("root").alias("x_root"), F.col("minor").alias("x_minor"))
+    y = held.withColumnRenamed("n", "m").join(fit, ["token", "m"]).where("m - pos >= need").select(
+        "token", "n", "m", F.col("key").alias("y"), F.col("root").alias("y_root"), F.col("minor").alias("y_minor"))
+    group = ["token", "n", "m"]
+    pairs = x.where("x_minor").join(y, group).unionByName(x.where("not x_minor").join(y.where("y_minor"), group))
+    return pairs.where("x_root <> y_root").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _first(id_col: str, key: str):

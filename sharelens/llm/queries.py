@@ -51,7 +51,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     members, nodes = near_dedup.classes(docs)
     return members.join(nodes, "key").select(
-        F.col("own_id").alias("doc_id"), F.col("first.id").alias("class_id"), "n_links",
+        F.col("own_id").alias("doc_id"), F.col("first.id").alias("class_id"), F.col("n_links").alias("n_verified_links"),
         (F.col("own_id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))).alias("kept"))
 
 

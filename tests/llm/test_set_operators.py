@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -196,6 +197,50 @@ def test_signatures_estimate_probability_jaccard():
     assert (sig[0] == sig[1]).mean() == pytest.approx(true, abs=0.05)
 
 
+def test_signatures_estimate_weighted_probability_jaccard():
+    """Unequal weights: the share of equal registers against the sum of 1 / sum(max(x_j / x_i, y_j / y_i)) over common i."""
+    rng = random.Random(19)
+    hashes = np.sort(near_dedup.T.mix(np.arange(1, 61).astype(np.uint64)))
+    x = {h: rng.choice([1, 1, 2, 5, 20]) for h in hashes[:45]}
+    y = {h: rng.choice([1, 3, 9]) if rng.random() < 0.5 or h not in x else x[h] for h in hashes[10:]}
+    keys = np.array([*x, *y], np.uint64)
+    weight = np.array([*x.values(), *y.values()], float)
+    sig = near_dedup.signatures(keys, weight, np.array([0] * len(x) + [1] * len(y)), 2, 8192)
+    true = sum(1 / sum(max(x.get(j, 0) / x[i], y.get(j, 0) / y[i]) for j in {*x, *y}) for i in x if i in y)
+    plain = len(x.keys() & y.keys()) / len(x.keys() | y.keys())
+    assert (sig[0] == sig[1]).mean() == pytest.approx(true, abs=0.02)
+    assert abs(true - plain) > 0.1
+
+
+def _crossing(spark, rows):
+    """Pairs of ``crossing`` with every row its own root."""
+    table = _table(spark, [(str(i).encode(), str(i).encode(), t) for i, t in rows], "key binary, root binary, text string")
+    return {(int(bytes(r["a"])), int(bytes(r["b"]))) for r in near_dedup.crossing(table, 0.8).collect()}
+
+
+def test_crossing_finds_every_similar_pair(spark):
+    """All pairs of the similarity are among the candidates: edits, templates, parts of one another, short texts."""
+    rng = random.Random(21)
+    rows = _family(rng, 60, (1, 2, 3, 4), 0) + _pages(rng, 40, 100)
+    long = _prose(rng, 30).split()
+    rows += [(200 + i, " ".join(long[:len(long) - 3 * i])) for i in range(25)]
+    rows += [(300 + i, " ".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))) for i in range(60)]
+    sets = {i: _shingles(t) for i, t in rows}
+    near = {(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b]
+            and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-12}
+    got = {(min(p), max(p)) for p in _crossing(spark, rows)}
+    assert near <= got
+    assert len(near) > 100
+
+
+def test_crossing_of_a_template_is_not_quadratic(spark):
+    """Pages of 170 template and 30 own words: no pair reaches the similarity, and none is made."""
+    rng = random.Random(22)
+    template = " ".join(f"t{rng.randrange(10**6)}" for _ in range(170))
+    rows = [(i, template + " " + " ".join(f"o{rng.randrange(10**9)}" for _ in range(30))) for i in range(3000)]
+    assert _crossing(spark, rows) == set()
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(1)
     edges = [(rng.randrange(80), rng.randrange(80)) for _ in range(55)] + [(100 + i, 101 + i) for i in range(30)] + [(200, i) for i in range(201, 260)]

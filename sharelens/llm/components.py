@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from sharelens.session import cut_lineage, cut_lineage_counted
 
 
-def _star(edges: DataFrame) -> DataFrame:
+#: rows of edges for one task: a round of few edges runs in few tasks and writes few files
+TASK_ROWS = 200_000
+
+
+def _star(edges: DataFrame, tasks: int) -> DataFrame:
     """(u, v, m): every directed edge with the smallest of u and its neighbours."""
     low = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(cut_lineage(low), "u")     # cut from the aggregate: a hub's edges can be split in the join
+    low = cut_lineage(low.coalesce(tasks))     # cut from the aggregate: a hub's edges can be split in the join
+    return edges.join(low, "u").coalesce(tasks)
 
 
-def _large(edges: DataFrame) -> DataFrame:
+def _large(edges: DataFrame, tasks: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _star(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _star(both, tasks).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks)
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame, tasks: int) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    near = _star(down)
+    near = _star(down, tasks)
     kept = near.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return kept.unionByName(near.where("u <> m").select("u", F.col("m").alias("v")))
 
@@ -33,13 +38,15 @@ def components(edges: DataFrame) -> DataFrame:
     before they are shuffled, so a hub costs no more than its edges.  Each round
     is a checkpoint, and only its size and a checksum reach the driver.
     """
-    edges = cut_lineage(edges.select("u", "v").where("u <> v").distinct())
+    edges, n = cut_lineage_counted(edges.select("u", "v").where("u <> v").distinct())
     mark = None
     while True:
-        edges, n = cut_lineage_counted(_small(_large(edges).distinct()).where("u <> v").distinct())
+        tasks = 1 + 2 * n // TASK_ROWS
+        edges = edges.coalesce(tasks)
+        edges, n = cut_lineage_counted(_small(_large(edges, tasks), tasks).where("u <> v").distinct().coalesce(tasks))
         check = edges.agg(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()[0]
         if (n, check) == mark:
             break
         mark = (n, check)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
-        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct().coalesce(tasks))

@@ -48,6 +48,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
 SMALL, NEAR = 16, 4
 PART = 4096
+#: pairs, and nodes of the prefix join, for one task: few of them run in few tasks and write few files
+TASK_PAIRS, TASK_NODES = 50_000, 2_000
 
 
 def shingles(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +167,7 @@ def unsettled(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return star.join(mixed, "lead", "left_semi").select("key", "root").distinct()
 
 
-def _prefixes(texts: DataFrame, similarity: float) -> DataFrame:
+def _prefixes(texts: DataFrame, similarity: float, tasks: int) -> DataFrame:
     """(key, root, n, pos, token): the tokens of each node's prefix, rarest first, numbered from 0; ``indexed`` marks those
     that a longer partner's prefix must share one of."""
 
@@ -181,9 +183,9 @@ def _prefixes(texts: DataFrame, similarity: float) -> DataFrame:
                                                  ["key", "root", "n", "token"])
 
     tokens = texts.select("key", "root", "text").mapInArrow(releasing(explode), "key binary, root binary, n long, token long")
-    often = cut_lineage(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"))
+    often = cut_lineage(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").coalesce(tasks))
     # a token that only one node has joins nothing, but it has its place in the order: counted, not carried
-    ranked = tokens.join(often, "token").groupBy("key", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
+    ranked = tokens.join(often, "token").coalesce(tasks).groupBy("key", "root", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("t"))
     alone = F.col("n") - F.size("t")
     first = F.greatest(F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1 - alone, F.lit(0)).cast("int")
     held = ranked.select("key", "root", "n", alone.alias("alone"), F.posexplode(F.slice("t", F.lit(1), first)).alias("at", "t"))
@@ -193,7 +195,7 @@ def _prefixes(texts: DataFrame, similarity: float) -> DataFrame:
                        (pos <= F.col("n") - F.ceil(F.col("n") * both - 1e-9)).alias("indexed"))
 
 
-def crossing(texts: DataFrame, similarity: float) -> DataFrame:
+def crossing(texts: DataFrame, similarity: float, n_nodes: int) -> DataFrame:
     """Distinct (a, b), a < b, of ``texts(key, root, text)`` with different roots: every pair that can reach ``similarity``.
 
     In a global order of the shingles, rarest first, let two sets of n <= m
@@ -205,10 +207,12 @@ def crossing(texts: DataFrame, similarity: float) -> DataFrame:
     pair of lengths are put together, in a group of that shingle and those two
     lengths.  Pairs within a shingle's commonest root are not listed.
     """
-    held = cut_lineage(_prefixes(texts, similarity))
+    tasks = 1 + n_nodes // TASK_NODES
+    held = cut_lineage(_prefixes(texts.coalesce(tasks), similarity, tasks).coalesce(tasks))
     major = held.groupBy("token", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("token").agg(
         F.max_by("root", F.struct("m", "root")).alias("major"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", "major")
-    held = cut_lineage(held.join(cut_lineage(major), "token").withColumn("minor", F.col("root") != F.col("major")).drop("major"))
+    major = cut_lineage(major.coalesce(tasks))
+    held = cut_lineage(held.join(major, "token").withColumn("minor", F.col("root") != F.col("major")).drop("major").coalesce(tasks))
     share = similarity / (1 + similarity)
     need = F.ceil((F.col("n") + F.col("m")) * share - 1e-9)
     lengths = held.groupBy("token", "n").agg(F.min(F.when(F.col("indexed"), F.col("pos"))).alias("p"), F.min("pos").alias("q"))
@@ -216,7 +220,7 @@ def crossing(texts: DataFrame, similarity: float) -> DataFrame:
     longer = lengths.select("token", F.col("n").alias("m"), "q")
     fit = shorter.join(longer, "token").where((F.col("n") <= F.col("m")) & (F.col("n") >= F.col("m") * similarity - 1e-9)
                                               & (F.col("n") - F.col("p") >= need) & (F.col("m") - F.col("q") >= need))
-    fit = cut_lineage(fit.select("token", "n", "m", need.alias("need")))
+    fit = cut_lineage(fit.select("token", "n", "m", need.alias("need")).coalesce(tasks))
     x = held.where("indexed").join(fit, ["token", "n"]).where("n - pos >= need").select(
         "token", "n", "m", F.col("key").alias("x"), F.col("root").alias("x_root"), F.col("minor").alias("x_minor"))
     y = held.withColumnRenamed("n", "m").join(fit, ["token", "m"]).where("m - pos >= need").select(
@@ -257,14 +261,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
 
 def links(docs: DataFrame, nodes: DataFrame, text_col: str, similarity: float) -> tuple[DataFrame, DataFrame]:
     """Verified pairs (u, v) of nodes, and (node, root) of their components."""
-    pairs = cut_lineage(candidates(nodes))
+    pairs, n_pairs = cut_lineage_counted(candidates(nodes))
+    pairs = pairs.coalesce(1 + n_pairs // TASK_PAIRS)
     needed = pairs.select(F.col("a").alias("need")).unionByName(pairs.select(F.col("b").alias("need"))).distinct()
     texts = _texts(docs, nodes, needed, text_col)
-    found = cut_lineage(_verified(pairs.select("a", "b"), texts, similarity))
+    found, n_found = cut_lineage_counted(_verified(pairs.select("a", "b"), texts, similarity))
+    found = found.coalesce(1 + n_found // TASK_PAIRS)
     roots = components(found)
     rest, n = cut_lineage_counted(unsettled(pairs, roots))
     if n:
-        more = crossing(texts.join(rest, "key"), similarity).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+        rest = rest.coalesce(1 + n // TASK_PAIRS)
+        more = crossing(texts.join(rest, "key"), similarity, n).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
         more = cut_lineage(_verified(more, texts, similarity))
         found = found.unionByName(more)
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionByName(more))

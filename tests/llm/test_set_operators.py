@@ -215,7 +215,7 @@ def test_signatures_estimate_weighted_probability_jaccard():
 def _crossing(spark, rows):
     """Pairs of ``crossing`` with every row its own root."""
     table = _table(spark, [(str(i).encode(), str(i).encode(), t) for i, t in rows], "key binary, root binary, text string")
-    return {(int(bytes(r["a"])), int(bytes(r["b"]))) for r in near_dedup.crossing(table, 0.8).collect()}
+    return {(int(bytes(r["a"])), int(bytes(r["b"]))) for r in near_dedup.crossing(table, 0.8, len(rows)).collect()}
 
 
 def test_crossing_finds_every_similar_pair(spark):

@@ -93,8 +93,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = quality_rules.trusted_labels(read(spark, sf_dir, "labels"))
-    ratio = quality_rules.log_ratio(docs, trusted)
-    return quality_rules.judge(docs, ratio, threshold=quality_rules.calibrate(docs, trusted)).select("row.doc_id", "q.*")
+    ratio, threshold = quality_rules.fit(docs, trusted)
+    return quality_rules.judge(docs, ratio, threshold=threshold).select("row.doc_id", "q.*")
 
 
 def _op8_sql() -> str:

@@ -150,7 +150,7 @@ def _by_shard(shard: np.ndarray, n_shards: int):
 
 
 def _merged(batches, merge, fields):
-    """One output row of ``merge(shard, blobs)`` for each shard of a task."""
+    """One output row of ``merge(shard, blobs)`` for each shard of a task; a task gets one shard."""
     held: dict[int, list] = {}
     for b in batches:
         for s, *blobs in zip(*[b.column(i).to_pylist() for i in range(5)], strict=True):
@@ -164,6 +164,11 @@ def _joined(blobs, i: int, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x[i], kind) for x in blobs])
 
 
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts as 32-bit numbers where all of them fit, else as they are."""
+    return counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts
+
+
 def _few(values: np.ndarray) -> list[int]:
     """How many are 1, 2, 3 and 4."""
     return [int((values == k).sum()) for k in (1, 2, 3, 4)]
@@ -202,7 +207,7 @@ def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTE
         return {"shard": s, "types": len(keys), "total": int(counts.sum()), "hot": hot.astype(np.int64).tolist()}
 
     kinds = [("shard", pa.int32()), ("types", pa.int64()), ("total", pa.int64()), ("hot", pa.list_(pa.int64()))]
-    found = (texts.mapInArrow(releasing(lambda b: _flushes(b, words)), BLOB).repartition(n, "shard")
+    found = (texts.mapInArrow(releasing(lambda b: _flushes(b, words)), BLOB).repartitionById(n, "shard")
              .mapInArrow(releasing(lambda b: _merged(b, merge_words, kinds)), "shard int, types long, total long, hot array<long>")).collect()
     model = {"folder": folder, "shards": n, "types": sum(r["types"] for r in found), "total": sum(r["total"] for r in found)}
     hot = np.unique(np.array([x for r in found for x in r["hot"]] + [int(START.astype(np.int64))], np.int64).astype(U64))
@@ -235,13 +240,13 @@ def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTE
         _save(folder, f"{s}.head", heads)
         _save(folder, f"{s}.stats", stats)
         _save(folder, f"{s}.pair", keys)
-        _save(folder, f"{s}.times", counts.astype(np.uint32))
+        _save(folder, f"{s}.times", _narrow(counts))
         mine = np.flatnonzero(np.isin(heads, hot))
         return {"shard": s, "few": _few(counts), "hot": heads[mine].astype(np.int64).tolist(),
                 "stats": stats[:, mine].T.ravel().tolist()}
 
     kinds2 = [("shard", pa.int32()), ("few", pa.list_(pa.int64())), ("hot", pa.list_(pa.int64())), ("stats", pa.list_(pa.int64()))]
-    found = (texts.mapInArrow(releasing(lambda b: _flushes(b, pairs)), BLOB).repartition(n, "shard")
+    found = (texts.mapInArrow(releasing(lambda b: _flushes(b, pairs)), BLOB).repartitionById(n, "shard")
              .mapInArrow(releasing(lambda b: _merged(b, merge_pairs, kinds2)),
                          "shard int, few array<long>, hot array<long>, stats array<long>")).collect()
     model["pair_few"] = [sum(r["few"][k] for r in found) for k in range(4)]
@@ -268,7 +273,7 @@ def train(docs: DataFrame, text_col: str = "text", shard_bytes: int = SHARD_BYTE
         return {"shard": s, "few": [*_few(counts), int((counts >= 3).sum()), int(counts.sum())]}
 
     kinds3 = [("shard", pa.int32()), ("few", pa.list_(pa.int64()))]
-    found = (spark.range(0, n, 1, n).mapInArrow(releasing(continuations), BLOB).repartition(n, "shard")
+    found = (spark.range(0, n, 1, n).mapInArrow(releasing(continuations), BLOB).repartitionById(n, "shard")
              .mapInArrow(releasing(lambda b: _merged(b, merge_continuations, kinds3)), "shard int, few array<long>")).collect()
     model["word_few"] = [sum(r["few"][k] for r in found) for k in range(6)]
     return model

@@ -29,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from sharelens.session import cut_lineage
 
@@ -220,7 +221,9 @@ def _rows_of(column: pa.ListArray):
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = packed(docs)
     text = text_of(rows, text_col)
-    order = F.coalesce(rows["row"].getField(id_col).cast("long"), F.lit(LAST_ID))
+    own = rows["row"].getField(id_col)
+    number = own.cast("long") if isinstance(docs.schema[id_col].dataType, IntegralType) else F.shiftright(F.xxhash64(own), 1)
+    order = F.coalesce(F.when(own.isNotNull(), number), F.lit(LAST_ID))
     return rows.select("row", order.alias("ord"), F.xxhash64(order, text).alias("key"), text.alias("text"))
 
 
@@ -228,7 +231,8 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(ord, key, places): the lines of each document to delete; documents without any have no row."""
     lines = _line_rows(_keyed(docs, id_col, text_col))
     owners = lines.groupBy("hash").agg(F.min("ord").alias("owner"), F.max("ord").alias("last"))
-    owners = owners.where("owner < last").select("hash", "owner")
+    # cut from the aggregate, so that a line that very many documents hold can be split in the join
+    owners = cut_lineage(owners.where("owner < last").select("hash", "owner"))
     held = cut_lineage(lines.join(owners, "hash").groupBy("ord", "key").agg(
         F.collect_list(F.struct("place", "hash", "owner")).alias("lines")))
     pairs = held.mapInArrow(releasing(lambda b: _pair(b, min_words)), "ord long, key long, owner long, place array<long>, hash array<long>")

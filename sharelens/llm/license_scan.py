@@ -4,8 +4,8 @@ A text is put in canonical form: A-Z lower-cased, lines that start with a
 copyright mark left out, equivalent spellings made one, everything but letters
 and digits turned into single spaces.  The SHA-256 of the whole document, and of
 each of its lines as a text of its own (licence notices), is joined with the
-digests of the known licences, a table whose size the caller bounds
-(``MAX_KNOWN`` rows).
+digests of the known licences: the default ones, or a table of any size, which
+the planner broadcasts or joins by shuffles as its size asks for.
 
 Defined results: null, empty and blank texts match nothing; repeated rows come
 back as often as they are there; an empty table of licences gives rows without
@@ -20,12 +20,13 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sharelens.session import scratch_path
+
 from .licenses import EQUIVALENT, KNOWN
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 COPYRIGHT = r"^[ \t]*(copyright|\(c\)|©)"
 BETWEEN = r"[^\p{L}\p{N}]+"
-MAX_KNOWN = 10_000
 
 
 def canonical(text: str) -> str:
@@ -59,20 +60,23 @@ def known_digests(known=KNOWN) -> list[tuple[str, str]]:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=KNOWN) -> DataFrame:
     """(id, whole_license, licenses, n_notices), a row for each row of ``docs``.
 
-    ``known``: pairs (licence, text), or a table with columns license and text.
+    ``known``: pairs (licence, text), or a table of any size with columns license and text.
 
     ``whole_license``: the licence that the entire text is, else null;
     ``licenses``: the sorted licences of its lines and of the whole;
     ``n_notices``: how many of its lines are known texts.
     """
+    spark = docs.sparkSession
     if isinstance(known, DataFrame):
-        known = [(r[0], r[1]) for r in known.select("license", "text").where("license is not null and text is not null").distinct().limit(MAX_KNOWN + 1).collect()]
-        if len(known) > MAX_KNOWN:
-            raise ValueError(f"over {MAX_KNOWN} known texts")
-    digests = known_digests(known)
-    if len(digests) > MAX_KNOWN:
-        raise ValueError(f"{len(digests)} known texts, at most {MAX_KNOWN} are broadcast")
-    table = docs.sparkSession.createDataFrame(digests, "digest string, license string")
+        # written, so that the planner broadcasts it by its size or joins it by shuffles
+        path = scratch_path(spark, "license-digests")
+        lines = F.split(F.translate("text", UPPER, LOWER), "\n")
+        forms = known.where("license is not null and text is not null").select("license", canonical_column(lines).alias("form"))
+        forms.where("form <> ''").groupBy(F.sha2(F.col("form").cast("binary"), 256).alias("digest")).agg(
+            F.min("license").alias("license")).write.parquet(path)
+        table = spark.read.parquet(path)
+    else:
+        table = F.broadcast(spark.createDataFrame(known_digests(known), "digest string, license string"))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("key"),
                        F.split(F.translate(text, UPPER, LOWER), "\n").alias("lines"))
@@ -80,7 +84,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known=
     each = F.transform("lines", lambda x: F.struct(F.lit(False).alias("whole"), F.array(x).alias("lines")))
     units = base.select("id", "key", F.explode(F.concat(whole, each)).alias("u")).select(
         "id", "key", "u.whole", F.sha2(canonical_column(F.col("u.lines")).cast("binary"), 256).alias("digest"))
-    found = units.join(F.broadcast(table), "digest", "left").groupBy("id", "key").agg(
+    found = units.join(table, "digest", "left").groupBy("id", "key").agg(
         F.count(F.when(F.col("whole"), 1)).alias("copies"),
         F.max(F.when(F.col("whole"), F.col("license"))).alias("whole_license"),
         F.array_sort(F.collect_set("license")).alias("licenses"),

@@ -1,8 +1,8 @@
 """Language identification by compression: the language whose dictionary makes a text smallest.
 
 For each language a raw-content zstandard dictionary of at most ``DICT_BYTES``
-is filled with whole training texts: up to ``SAMPLE_DOCS`` rows, those of at
-most ``SAMPLE_CHARS`` characters first, in the order of a hash.  Every text is
+is filled with whole training texts: up to ``SAMPLE_DOCS`` different ones, those
+of at most ``SAMPLE_CHARS`` characters first, in the order of a hash.  Every text is
 lower-cased and compressed whole, in pieces of ``PIECE`` bytes, with each
 dictionary; the smallest total wins (on a tie the first language in natural order).  The score
 is the relative margin to the second; where it is under ``MIN_MARGIN`` the
@@ -21,12 +21,16 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sharelens.session import cut_lineage
+
 from .frames import packed, text_of, text_udf
 
 DICT_BYTES = 1 << 17
 SAMPLE_DOCS = 300
 LEVEL = 9
 SAMPLE_CHARS = 4096
+#: dictionaries are learned for at most so many languages, those with the most sampled texts
+MAX_LANGS = 1000
 PIECE = 2048
 MIN_MARGIN = 0.01
 UNKNOWN = "und"
@@ -37,10 +41,13 @@ def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> d
     """Dictionary of each language; a bounded number of rows for each reaches the driver."""
     rows = train.select(F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text")).where(
         "lang is not null and text is not null and length(text) > 0")
+    # texts are ranked, not rows: copies take one place
+    texts = rows.select("lang", (F.length("text") > SAMPLE_CHARS).alias("long_one"), F.xxhash64("text").alias("h")).distinct()
     rank = Window.partitionBy("lang").orderBy("long_one", "h")
-    chosen = (rows.select("lang", (F.length("text") > SAMPLE_CHARS).alias("long_one"), F.xxhash64("text").alias("h"))
-              .withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= SAMPLE_DOCS)
-              .select("lang", "h").distinct())
+    chosen = texts.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "h")
+    chosen = cut_lineage(chosen)
+    known = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).select("lang")
+    chosen = chosen.join(F.broadcast(known), "lang", "left_semi")
     picked = (rows.withColumn("h", F.xxhash64("text")).join(F.broadcast(chosen), ["lang", "h"])
               .groupBy("lang", "h").agg(F.max(F.left("text", F.lit(DICT_BYTES))).alias("text")))
     parts: dict[str, list[bytes]] = {}

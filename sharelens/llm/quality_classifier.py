@@ -146,7 +146,8 @@ def learn(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
     pattern, count = (np.array([r[i] for r in rows], np.int64) for i in (0, 1))
     posterior = fit_votes(pattern, count)
     share = min(1.0, sample_docs / count.sum())
-    picked = df.select(text.alias("text")).where(F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 30)) < int(share * (1 << 30)))
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    picked = df.select(text.alias("text")).withColumn("h", h).where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)))
 
     def sample(texts):
         bucket, value, owner = features(texts)
@@ -155,7 +156,10 @@ def learn(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOC
                 "v": [value[i:j].astype(np.float32).tobytes() for i, j in zip(edges[:-1], edges[1:], strict=True)],
                 "p": pattern_of(votes(texts))}
 
-    got = picked.select(text_udf(sample, "b binary, v binary, p int")(F.col("text")).alias("s")).select("s.*").orderBy("p", "b").collect()
+    # copies of a text are one row of the sample, however many there are; the limit is the sample's hard bound
+    one = picked.select("h", text_udf(sample, "b binary, v binary, p int")(F.col("text")).alias("s")).groupBy("h").agg(F.first("s").alias("s"))
+    got = one.orderBy("h").limit(2 * sample_docs).select("s.*").collect()
+    got.sort(key=lambda r: (r["p"], bytes(r["b"])))
     if not got:
         return posterior, np.zeros(FEATURES + 1)
     sizes = [len(r["b"]) // 2 for r in got]

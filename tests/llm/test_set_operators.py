@@ -447,3 +447,22 @@ def test_oracles(spark, name):
     rel = con.execute(queries.ORACLES[name])
     order = [d[0] for d in rel.description]
     assert sorted(map(repr, rel.fetchall())) == sorted(repr(tuple(r[c] for c in order)) for r in df.collect())
+
+
+def test_license_table_of_any_size(spark):
+    """More known texts than were ever broadcast, some of them equal in canonical form."""
+    known = spark.range(30_000).selectExpr("concat('L', id) as license", "concat('The terms of licence number ', id, ', and no others.') as text")
+    known = known.unionByName(_table(spark, [("A-first", "the Terms of license number 7 and no others"), (None, "x"), ("N", None), ("E", "!!")], "license string, text string"))
+    rows = [(1, "The terms of LICENCE number 7, and no others"), (2, "intro\nThe terms of licence number 29999, and no others."), (3, None), (4, "")]
+    got = {r["id"]: r for r in license_scan.scan(_table(spark, rows), known=known).collect()}
+    assert (got[1]["whole_license"], got[1]["n_notices"]) == ("A-first", 1)
+    assert (got[2]["whole_license"], got[2]["licenses"], got[2]["n_notices"]) == (None, ["L29999"], 1)
+    assert got[3]["licenses"] == got[4]["licenses"] == []
+
+
+def test_line_dedup_takes_string_ids(spark):
+    passage = " ".join(f"word{i}" for i in range(60)) + "."
+    rows = [("a", "One start. " + passage), ("b", "Another start here. " + passage), (None, "alone"), ("c", None)]
+    got = {r["row"]["doc_id"]: r["text"] for r in line_dedup.dedup_lines(_table(spark, rows, "doc_id string, text string")).collect()}
+    assert sum("word30" in (t or "") for t in got.values()) == 1
+    assert got[None] == "alone" and got["c"] is None

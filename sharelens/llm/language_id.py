@@ -43,8 +43,12 @@ def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> d
         "lang is not null and text is not null and length(text) > 0")
     # texts are ranked, not rows: copies take one place
     texts = rows.select("lang", (F.length("text") > SAMPLE_CHARS).alias("long_one"), F.xxhash64("text").alias("h")).distinct()
-    rank = Window.partitionBy("lang").orderBy("long_one", "h")
-    chosen = texts.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= SAMPLE_DOCS).select("lang", "h")
+    order = ["long_one", "h"]
+    some = Window.partitionBy("lang", "part").orderBy(*order)      # by parts first: no task ranks a whole language
+    texts = texts.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(64))).withColumn("rank", F.row_number().over(some))
+    rank = Window.partitionBy("lang").orderBy(*order)
+    chosen = texts.where(F.col("rank") <= SAMPLE_DOCS).withColumn("rank", F.row_number().over(rank))
+    chosen = chosen.where(F.col("rank") <= SAMPLE_DOCS).select("lang", "h")
     chosen = cut_lineage(chosen)
     known = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS).select("lang")
     chosen = chosen.join(F.broadcast(known), "lang", "left_semi")

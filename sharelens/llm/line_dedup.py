@@ -1,8 +1,12 @@
 """Line dedup: align overlapping documents on shared rare lines, delete the common blocks from the later one.
 
 Lines are cut at newlines and, since passages are often pasted into running
-text, also after a word that ends a sentence and before a capitalised word; a
-line's hash is over its words, so white space does not matter.  The first
+text, also after a word that ends a sentence and before a capitalised word.  A
+line is cut further, by its content: before each word whose pair with the word
+before it has the smallest hash among the ``REACH`` pairs on either side, pairs
+within ``REACH`` words of the line's ends apart, so the same words are cut at the
+same places wherever they stand.
+A line's hash is over its words, so white space does not matter.  The first
 document (by id) that holds a line owns it.  Rare are the lines that a document
 does not have alone, and of interest the runs of them with ``MIN_WORDS`` words
 or more: each run is paired with the owners of its lines, never with all
@@ -38,11 +42,29 @@ from .frames import packed, releasing, text_of, text_udf
 
 #: a block is deleted when it has so many words
 MIN_WORDS = 25
+#: lines are cut by content into pieces of about 2 * REACH + 1 words
+REACH = 4
 LAST_ID = (1 << 63) - 1
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[list(b".!?")] = True
 
 
+def _cuts(h: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """True for the words that begin a piece: the least pair hash within ``REACH``, ``REACH`` words or more from the line's ends."""
+    n = len(h)
+    at = np.flatnonzero(begins)
+    sizes = np.diff(at, append=n)
+    place = np.arange(n) - np.repeat(at, sizes)
+    inner = (place >= REACH) & (np.repeat(sizes, sizes) - place >= REACH)
+    score = np.full(n, T.U64(2**64 - 1))
+    where = np.flatnonzero(inner)
+    score[where] = T.mix(h[where] * T.U64(3) + h[where - 1])
+    for r in range(1, REACH + 1):
+        inner[r:] &= score[r:] < score[:-r]
+        inner[:-r] &= score[:-r] <= score[r:]
+    return inner
+
+
 def split_lines(texts):
     """(hash, first byte, end byte, words, text index) of the lines of each text; bytes count from the text's start."""
     buf, offsets = T.encode(texts)
@@ -60,7 +82,7 @@ def split_lines(texts):
     begins = np.ones(len(start), bool)
     begins[1:] = ((text[1:] != text[:-1]) | (newline[start[1:]] != newline[end[:-1]])
                   | stop[:-1] | (capital[1:] & ~capital[:-1]))
-    at = np.flatnonzero(begins)
+    at = np.flatnonzero(begins | _cuts(h, begins))
     stop = np.concatenate([at[1:], [len(start)]])
     p, q = T._power_table(len(h))
     prefix = np.zeros(len(h) + 1, T.U64)

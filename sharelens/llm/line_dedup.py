@@ -4,9 +4,8 @@ Lines are cut at newlines and, since passages are often pasted into running
 text, also after a word that ends a sentence and before a capitalised word.  A
 line is cut further, by its content: before each word whose pair with the word
 before it has the smallest hash among the ``REACH`` pairs on either side, pairs
-within ``REACH`` words of the line's ends apart, so the same words are cut at the
-same places wherever they stand.
-A line's hash is over its words, so white space does not matter.  The first
+within ``EDGE`` words of the line's ends apart, so the same words are cut at the
+same places wherever they stand.  A line's hash is over its words, so white space does not matter.  The first
 document (by id) that holds a line owns it.  Rare are the lines that a document
 does not have alone, and of interest the runs of them with ``MIN_WORDS`` words
 or more: each run is paired with the owners of its lines, never with all
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from sharelens.session import cut_lineage
+from sharelens.session import scratch_path
 
 from . import textarrays as T
 from .frames import packed, releasing, text_of, text_udf
@@ -44,18 +43,20 @@ from .frames import packed, releasing, text_of, text_udf
 MIN_WORDS = 25
 #: lines are cut by content into pieces of about 2 * REACH + 1 words
 REACH = 4
+#: and no nearer to the line's ends
+EDGE = 8
 LAST_ID = (1 << 63) - 1
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[list(b".!?")] = True
 
 
 def _cuts(h: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """True for the words that begin a piece: the least pair hash within ``REACH``, ``REACH`` words or more from the line's ends."""
+    """True for the words that begin a piece: the least pair hash within ``REACH``, ``EDGE`` words or more from the line's ends."""
     n = len(h)
     at = np.flatnonzero(begins)
     sizes = np.diff(at, append=n)
     place = np.arange(n) - np.repeat(at, sizes)
-    inner = (place >= REACH) & (np.repeat(sizes, sizes) - place >= REACH)
+    inner = (place >= EDGE) & (np.repeat(sizes, sizes) - place >= EDGE)
     score = np.full(n, T.U64(2**64 - 1))
     where = np.flatnonzero(inner)
     score[where] = T.mix(h[where] * T.U64(3) + h[where - 1])
@@ -249,14 +250,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("row", order.alias("ord"), F.xxhash64(order, text).alias("key"), text.alias("text"))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows from a table in the session's shared folder: columns, a third of a checkpoint's size."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """(ord, key, places): the lines of each document to delete; documents without any have no row."""
     lines = _line_rows(_keyed(docs, id_col, text_col))
     owners = lines.groupBy("hash").agg(F.min("ord").alias("owner"), F.max("ord").alias("last"))
-    # cut from the aggregate, so that a line that very many documents hold can be split in the join
-    owners = cut_lineage(owners.where("owner < last").select("hash", "owner"))
-    held = cut_lineage(lines.join(owners, "hash").groupBy("ord", "key").agg(
-        F.collect_list(F.struct("place", "hash", "owner")).alias("lines")))
+    # written apart from the aggregate, so that a line that very many documents hold can be split in the join
+    owners = _written(owners.where("owner < last").select("hash", "owner"), "line-owners")
+    held = _written(lines.join(owners, "hash").groupBy("ord", "key").agg(
+        F.collect_list(F.struct("place", "hash", "owner")).alias("lines")), "line-held")
     pairs = held.mapInArrow(releasing(lambda b: _pair(b, min_words)), "ord long, key long, owner long, place array<long>, hash array<long>")
     earlier = held.select(F.col("ord").alias("owner"), F.transform("lines", lambda x: F.struct(
         x["place"].alias("place"), x["hash"].alias("hash"))).alias("earlier"))

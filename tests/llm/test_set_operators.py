@@ -77,6 +77,39 @@ def test_line_dedup_deletes_planted_passages(spark):
         assert left.decode() == text[i]
 
 
+def test_line_dedup_leaves_no_repeated_window_whole(spark):
+    """Brute force: of 50 words in a row with 25 different ones that an earlier document has too, some are deleted."""
+    rng = random.Random(11)
+    long_one = " ".join(_sentence(rng, 1).rstrip(".").lower() for _ in range(70))       # no sentence end in it
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    top = max(i for i, _ in docs)
+    docs += [(top + k, "".join(rng.choice("qwxyz") for _ in range(9)) + f" before {k} {long_one} after {k} it") for k in (1, 2, 3)]
+    spans = {r["id"]: r["spans"] for r in line_dedup.dedup_lines(_table(spark, docs)).selectExpr("row.doc_id AS id", "spans").collect()}
+    seen, repeated, whole = set(), set(), set()
+    for i, text in sorted(docs):
+        data = (text or "").encode()
+        words = [(m.start(), m.group()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", data)]
+        gone = [any(a <= at < b for a, b in spans[i]) for at, _ in words]
+        windows = [tuple(w for _, w in words[k:k + 50]) for k in range(len(words) - 49)]
+        for k, window in enumerate(windows):
+            if hash(window) in seen and len(set(window)) >= 25:
+                repeated.add(i)
+                if not any(gone[k:k + 50]):
+                    whole.add(i)
+        seen.update(map(hash, windows))
+    assert len(repeated) > 100 and {top + 2, top + 3} <= repeated
+    assert whole == set()
+
+
+def test_lines_are_cut_at_the_same_words_wherever_they_stand():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    alone = set(line_dedup.split_lines([" ".join(words)])[0].tolist())
+    for at in (40, 111, 205):
+        h, _, _, sizes, _ = line_dedup.split_lines(["other things come first here " + " ".join(words[at:at + 80]) + " and last"])
+        assert sum(n for x, n in zip(h.tolist(), sizes.tolist(), strict=True) if x in alone) >= 40
+
+
 def test_line_dedup_edge_rows(messy, nothing):
     got = line_dedup.dedup_documents(messy)
     assert got.columns == messy.columns

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quantiles import exact_quantiles
+from ..session import cut_lineage, cut_lineage_counted
 from . import textarrays as T
 from .frames import packed, releasing, text_of, text_udf
 
@@ -37,8 +39,8 @@ THRESHOLD = -0.3
 CLEAN_LOSS = 0.05
 #: each of so many parts of the trusted documents is scored without itself in the target
 FOLDS = 8
-#: the target is fitted on at most so many labelled documents, those with the smallest hash of the id
-TRUSTED_DOCS = 20_000
+#: up to so many trusted ids are broadcast; the result is the same above
+BROADCAST_IDS = 100_000
 MIN_WORDS = 20
 MAX_REPEATED = 30
 WINDOW = 8
@@ -132,22 +134,27 @@ def _bucket_counts(df: DataFrame) -> DataFrame:
     return parts.groupBy("bucket").agg(*[F.sum(x).alias(x) for x in names[1:]])
 
 
-def _trusted(docs: DataFrame, trusted_ids: DataFrame, text_col: str, id_col: str, max_trusted: int, how: str) -> DataFrame:
-    """(text, fold) of the documents; those of the ``max_trusted`` trusted ids with the smallest hash have a fold."""
+def _trusted(docs: DataFrame, trusted_ids: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """(text, fold) of the documents with a trusted id, all of them.
+
+    Up to ``BROADCAST_IDS`` ids are sent to every task; more are joined by a shuffle, whose result is kept since it is read twice."""
     key = F.col(f"`{trusted_ids.columns[0]}`")
-    ids = (trusted_ids.select(key.alias("trusted_id")).where("trusted_id is not null").distinct()
-           .orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(max_trusted)
-           .withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "trusted_id"), F.lit(FOLDS)).cast("int")))
-    joined = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("own_id")).join(
-        F.broadcast(ids), F.col("own_id") == F.col("trusted_id"), how)
-    return joined.select("text", F.coalesce("fold", F.lit(-1)).alias("fold"))
+    ids, n_ids = cut_lineage_counted(trusted_ids.select(key.alias("trusted_id")).where("trusted_id is not null").distinct().withColumn(
+        "fold", F.pmod(F.xxhash64(F.lit("fold"), "trusted_id"), F.lit(FOLDS)).cast("int")))
+    texts = docs.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{id_col}`").alias("own_id"))
+    few = n_ids <= BROADCAST_IDS
+    joined = texts.join(F.broadcast(ids) if few else ids, F.col("own_id") == F.col("trusted_id")).select("text", "fold")
+    return joined if few else cut_lineage(joined)
 
 
-def _counts(docs: DataFrame, trusted_ids: DataFrame, text_col: str, id_col: str, max_trusted: int) -> tuple[np.ndarray, np.ndarray]:
+def _counts(docs: DataFrame, trusted: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Counts of the buckets in all documents, and in each fold of the trusted ones; a row for each bucket reaches the driver."""
     raw, target = np.zeros(BUCKETS), np.zeros((FOLDS, BUCKETS))
-    for bucket, n_raw, *folds in _bucket_counts(_trusted(docs, trusted_ids, text_col, id_col, max_trusted, "left")).collect():
-        raw[bucket], target[:, bucket] = n_raw, folds
+    every = docs.select(F.col(f"`{text_col}`").alias("text"), F.lit(-1).alias("fold"))
+    for bucket, n_raw in _bucket_counts(every).select("bucket", "n_raw").collect():
+        raw[bucket] = n_raw
+    for bucket, _, *folds in _bucket_counts(trusted).collect():
+        target[:, bucket] = folds
     return raw, target
 
 
@@ -157,15 +164,13 @@ def _log_ratio(raw: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.log((target + 1) / (target.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
 
-def log_ratio(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-              max_trusted: int = TRUSTED_DOCS) -> np.ndarray:
+def log_ratio(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> np.ndarray:
     """log p_target - log p_raw for each bucket.
 
-    ``trusted_ids`` has the trusted ids in its first column; the
-    ``max_trusted`` of them with the smallest hash are used, which bounds the
-    broadcast.  What reaches the driver is one row for each bucket.
+    ``trusted_ids`` has the trusted ids in its first column; every one of them
+    counts.  What reaches the driver is one row for each bucket.
     """
-    raw, target = _counts(docs, trusted_ids, text_col, id_col, max_trusted)
+    raw, target = _counts(docs, _trusted(docs, trusted_ids, text_col, id_col), text_col)
     return _log_ratio(raw, target.sum(axis=0))
 
 
@@ -182,10 +187,10 @@ def judge(texts_df: DataFrame, ratio: np.ndarray, text_col: str = "text", thresh
     return df.select("row", text_udf(fn, BASE + ", score double, kept boolean")(text_of(df, text_col)).alias("q"))
 
 
-def fit(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id",
-        max_trusted: int = TRUSTED_DOCS) -> tuple[np.ndarray, float]:
-    """(log ratio, threshold): one pass over all texts, and one over the trusted ones, each scored without its own fold."""
-    raw, target = _counts(docs, trusted_ids, text_col, id_col, max_trusted)
+def fit(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> tuple[np.ndarray, float]:
+    """(log ratio, threshold): one pass over all texts, and two over the trusted ones, each scored without its own fold."""
+    trusted = _trusted(docs, trusted_ids, text_col, id_col)
+    raw, target = _counts(docs, trusted, text_col)
     whole = target.sum(axis=0)
     shared = docs.sparkSession.sparkContext.broadcast([_log_ratio(raw, whole - own) for own in target])
 
@@ -197,9 +202,8 @@ def fit(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col:
                     got = base_columns([texts[x] for x in np.flatnonzero(folds[i:j] == k) + i], shared.value[k])
                     yield pa.RecordBatch.from_arrays([pa.array(np.asarray(got["score"], float)[~np.asarray(got["base_failed"], bool)])], ["score"])
 
-    trusted = _trusted(docs, trusted_ids, text_col, id_col, max_trusted, "inner")
-    cut = trusted.mapInArrow(releasing(score), "score double").agg(F.percentile("score", F.lit(CLEAN_LOSS))).first()[0]
-    return _log_ratio(raw, whole), THRESHOLD if cut is None else cut
+    cut = exact_quantiles(trusted.mapInArrow(releasing(score), "score double"), [], "score", [CLEAN_LOSS]).first()
+    return _log_ratio(raw, whole), THRESHOLD if cut is None else cut["quantile"]
 
 
 def keep_documents(docs: DataFrame, trusted_ids: DataFrame, text_col: str = "text", id_col: str = "doc_id",

@@ -101,6 +101,21 @@ def test_quality_rules_edge_rows(spark, messy, nothing):
     assert quality_rules.keep_documents(nothing, ids).collect() == []
 
 
+def test_quality_rules_use_every_trusted_document(spark):
+    docs = spark.range(20_400).selectExpr("id as doc_id", "concat('word', id) as text")
+    ids = docs.select("doc_id")
+    assert (quality_rules.log_ratio(docs, ids) == 0).all()            # the target is the corpus
+
+
+def test_quality_fit_is_the_same_when_the_ids_are_joined(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    ids = quality_rules.trusted_labels(spark.read.parquet(f"{SF_SMALL}/labels.parquet"))
+    ratio, threshold = quality_rules.fit(docs.unionByName(docs), ids.union(ids))
+    monkeypatch.setattr(quality_rules, "BROADCAST_IDS", 0)
+    joined = quality_rules.fit(docs.unionByName(docs), ids)
+    assert (joined[0] == ratio).all() and joined[1] == pytest.approx(threshold, abs=1e-12)
+
+
 def test_quality_threshold_is_calibrated_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")

@@ -18,7 +18,7 @@ scraper's "no tables found").
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame
@@ -27,30 +27,46 @@ from pyspark.sql import functions as F
 LAST_CODE_POINT = 0x10FFFF
 
 
+#: an array's length, and more
+ALL = 1 << 30
+_CODES = {**name2codepoint, "apos": 39}
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _character(code: Column) -> Column:
     """The character with this code point."""
-    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(code < 128, F.char(code)).otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def _named(name: Column) -> Column:
+    """The code point of a named entity: by its first letter, then by its name."""
+    letters = sorted({n[0] for n in _CODES})
+    table = F.create_map(*[x for a in letters for x in (F.lit(a), F.create_map(*[F.lit(x) for kv in sorted(_CODES.items()) if kv[0][0] == a for x in kv]))])
+    return F.try_element_at(F.try_element_at(table, F.substring(name, 1, 1)), name)
 
 
 def _entity(part: Column) -> Column:
     """Text after an ``&`` with its entity decoded; without one, the ``&`` is put back."""
-    decimal = F.regexp_extract(part, r"^#([0-9]{1,7});", 1)
-    hexadecimal = F.regexp_extract(part, r"^#[xX]([0-9a-fA-F]{1,6});", 1)
-    name = F.regexp_extract(part, r"^([A-Za-z][A-Za-z0-9]*);", 1)
-    named = F.create_map(*[F.lit(x) for kv in sorted({**name2codepoint, "apos": 39}.items()) for x in kv])
-    code = (F.when(decimal != "", decimal.cast("int"))
-            .when(hexadecimal != "", F.conv(hexadecimal, 16, 10).cast("int"))
-            .when(F.map_contains_key(named, name), F.element_at(named, name)))
-    legal = code.between(1, LAST_CODE_POINT) & ~code.between(0xD800, 0xDFFF)
-    return F.when(legal, F.concat(_character(code), F.regexp_replace(part, r"^[^;]*;", ""))).otherwise(F.concat(F.lit("&"), part))
+    token = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+    code = lambda t: (F.when(t == "", F.lit(None).cast("int"))
+                      .when(F.lower(F.substring(t, 1, 2)) == "#x", F.conv(F.substring(t, 3, 6), 16, 10).cast("int"))
+                      .when(F.substring(t, 1, 1) == "#", F.substring(t, 2, 7).cast("int"))
+                      .otherwise(_named(t)))
+    legal = lambda c: c.between(1, LAST_CODE_POINT) & ~c.between(0xD800, 0xDFFF)
+    return _once(token, lambda t: _once(code(t), lambda c: F.when(
+        legal(c), F.concat(_character(c), part.substr(F.length(t) + 2, F.length(part)))).otherwise(F.concat(F.lit("&"), part))))
 
 
 def cell_text(c: Column) -> Column:
     """Tags stripped, entities decoded once, white space (no-break space too) collapsed and trimmed."""
-    parts = F.split(F.regexp_replace(c, r"(?s)<[^>]*>", ""), "&")
-    rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), _entity)
-    x = F.concat(F.element_at(parts, 1), F.array_join(rest, ""))
-    return F.trim(F.regexp_replace(x, r"[\s ]+", " "))
+    decoded = lambda x: F.when(~F.contains(x, F.lit("&")), x).otherwise(_once(F.split(x, "&"), lambda parts: F.concat(
+        F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, ALL), _entity), ""))))
+    x = _once(F.regexp_replace(c, r"(?s)<[^>]*>", ""), decoded)
+    return F.trim(F.regexp_replace(x, "[\\s\u00a0]{2,}|[\\t\\n\\x0B\\f\\r\u00a0]", " "))
 
 
 # --- fixed values: the largest spans that HTML allows ------------------------
@@ -80,17 +96,20 @@ def first_table(html: Column) -> Column:
 
 def _span(opening: Column, name: str, most: int) -> Column:
     number = F.regexp_extract(opening, rf"(?i)\s{name}\s*=\s*[\"']?\s*([0-9]{{1,9}})", 1)
-    return F.when(number == "", 1).otherwise(F.least(F.when(number != "", number.cast("int")), F.lit(most)))
+    return F.when(opening.rlike(rf"(?i){name}"), F.least(F.coalesce(number.try_cast("int"), F.lit(1)), F.lit(most))).otherwise(1)
 
 
 def _cells(row: Column) -> Column:
     """The row's cells: text, colspan, rowspan."""
-    pieces = F.split(row, r"(?i)(?=<t[hd]\b)")
-    inner = r"(?is)\A<t[hd]\b[^>]*>(.*?)(?:</t[hd]\b|</tr\b|</?t(?:body|head|foot)\b|\z)"
-    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.struct(
-        cell_text(F.regexp_extract(x, inner, 1)).alias("text"),
-        _span(F.regexp_extract(x, r"\A<[^>]*>", 0), "colspan", MAX_COLSPAN).alias("across"),
-        _span(F.regexp_extract(x, r"\A<[^>]*>", 0), "rowspan", MAX_ROWSPAN).alias("down")))
+    closing = r"(?i)</t[hd]\b|</tr\b|</?t(?:body|head|foot)\b"
+
+    def cell(x: Column, opening: Column) -> Column:
+        inner = F.split(x.substr(F.length(opening) + 1, F.length(x)), closing, 2)[0]
+        return F.struct(cell_text(F.when(opening == "", "").otherwise(inner)).alias("text"),
+                        _span(opening, "colspan", MAX_COLSPAN).alias("across"), _span(opening, "rowspan", MAX_ROWSPAN).alias("down"))
+
+    return F.transform(F.slice(F.split(row, r"(?i)(?=<t[hd]\b)"), 2, ALL),
+                       lambda x: _once(F.regexp_extract(x, r"\A<[^>]*>", 0), lambda opening: cell(x, opening)))
 
 
 def _place_row(above: Column, cells: Column) -> Column:
@@ -148,9 +167,9 @@ def html_table_rows(pages: DataFrame, html_col: str, keys: Sequence[str],
     if require_table:
         table = F.when(table.isNull(), F.raise_error(F.lit("No tables found on the page"))).otherwise(table)
     pieces = F.split(F.concat(F.lit(" "), table), r"(?i)(?=<tr\b)")     # the first piece is what precedes the rows
-    rows = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _cells)
+    rows = F.transform(F.slice(pieces, 2, ALL), _cells)
     x = pages.select(*keys, rows.alias("_cells")).select(*keys, span_grid(F.col("_cells")).alias("_rows"))
-    body = x.select(*keys, F.get("_rows", F.lit(0)).alias("_h"), F.posexplode_outer("_rows").alias("row_idx", "_c")).where("row_idx > 0")
-    header = F.transform("_h", lambda h: F.regexp_replace(F.lower(h), " ", "_"))
-    out = body.select(*keys, "row_idx", F.posexplode(F.arrays_zip(header.alias("h"), F.col("_c").alias("c"))).alias("col_idx", "_z"))
+    header = F.transform(F.get("_rows", F.lit(0)), lambda h: F.translate(F.lower(h), " ", "_"))      # once for each page
+    body = x.select(*keys, header.alias("_h"), "_rows").select(*keys, "_h", F.posexplode_outer("_rows").alias("row_idx", "_c")).where("row_idx > 0")
+    out = body.select(*keys, "row_idx", F.posexplode(F.arrays_zip(F.col("_h").alias("h"), F.col("_c").alias("c"))).alias("col_idx", "_z"))
     return out.select(*keys, "row_idx", "col_idx", F.col("_z.h").alias("column_name"), F.col("_z.c").alias("value"))

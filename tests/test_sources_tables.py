@@ -650,3 +650,12 @@ def test_late_metadata_rebuilds_only_the_dates_it_touches(spark):
     got = sorted(map(tuple, spark.read.parquet(path).select(*fact(both).columns).collect()))
     assert got == want
     assert want != sorted(map(tuple, fact(meta, charts.where("chart_date < date'2024-01-06'")).collect()))
+
+
+def test_a_cell_is_read_once(spark):
+    """No expression of the cells stands twice in the plan (they are evaluated as often as they stand there)."""
+    df = spark.createDataFrame([("k", "<table><tr><th>A B</th></tr><tr><td>x&nbsp; \n&#x3c;<i>y</i></td></tr></table>")], "k string, html string")
+    out = html_table_rows(df, "html", ["k"])
+    assert [(r.column_name, r.value) for r in out.collect()] == [("a_b", "x <y")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?s)<[^>]*>") == 2 and plan.count("(?=<t[hd]") == 1       # one for cells, one for inner tables

@@ -26,6 +26,12 @@ TEXT_STEPS = (("[^a-z0-9 ]", ""), (" +", " "))
 
 LABEL_STEPS = (*TEXT_STEPS, (r"\s*(" + "|".join(LABEL_SUFFIXES) + r")\s*$", ""))
 
+# Steps that few names need: a plain test spares the others the regular expression, whose result is the name itself
+_NEEDED = {
+    " +": lambda x: F.contains(x, F.lit("  ")),
+    LABEL_STEPS[-1][0]: lambda x: F.substring(F.rtrim(x), -2, 2).isin(sorted({s[-2:] for s in LABEL_SUFFIXES})),
+}
+
 # Unicode space separators (category Zs), trimmed from chart titles
 _ZS = "\u0020\u00a0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u202f\u205f\u3000"
 
@@ -54,7 +60,8 @@ def split_title(c: str | Column, sep: str = TITLE_SEPARATOR) -> tuple[Column, Co
 def _key(c: str | Column, steps: tuple[tuple[str, str], ...]) -> Column:
     x = F.lower(F.trim(_col(c)))
     for pattern, replacement in steps:
-        x = F.regexp_replace(x, pattern, replacement)
+        changed = F.regexp_replace(x, pattern, replacement)
+        x = F.when(_NEEDED[pattern](x), changed).otherwise(x) if pattern in _NEEDED else changed
     # only U+0020 can be left as whitespace here, so a plain trim is exact
     return F.trim(x)
 

@@ -25,6 +25,11 @@ from ..sources.tables import high_water_mark, write_partitions
 FACT_COLUMNS = ["chart_date", "parent_group", "total_streams", "track_count", "row_count", "market_share_pct"]
 
 
+def staged_once(metadata: DataFrame) -> DataFrame:
+    """The metadata with its keys, computed once; metadata that has them already is taken as it is."""
+    return metadata if TRACK_KEY in metadata.columns else cut_lineage(stage_metadata(metadata))
+
+
 def title_groups(titles: DataFrame, metadata: DataFrame, labels: DataFrame, rules: RuleTable = LABEL_STRING_RULES,
                  strict: bool = True, title_col: str = "artist_and_title") -> DataFrame:
     """Each distinct title with its track, label, hierarchy group and parent
@@ -43,7 +48,8 @@ def share_fact(charts: DataFrame, metadata: DataFrame, labels: DataFrame,
                rules: RuleTable = LABEL_STRING_RULES, strict: bool = True,
                since: Column | None = None) -> DataFrame:
     """``chart_date, parent_group, total_streams, track_count, row_count,
-    market_share_pct``.  ``since`` filters chart dates at the chart scan.
+    market_share_pct``.  ``since`` filters chart dates at the chart scan;
+    ``metadata`` may be staged already, so that several facts share its keys.
 
     ``strict=False`` reproduces the fan-out: a title's sums count once for
     each of its joined rows."""
@@ -51,7 +57,7 @@ def share_fact(charts: DataFrame, metadata: DataFrame, labels: DataFrame,
         charts = charts.where(F.col("chart_date") > since)
     daily = cut_lineage(charts.groupBy("chart_date", "artist_and_title").agg(
         F.sum("streams").alias("_streams"), F.count(F.lit(1)).alias("_rows")))
-    meta = cut_lineage(stage_metadata(metadata))
+    meta = staged_once(metadata)
     groups = title_groups(daily.select("artist_and_title").distinct(), meta, labels, rules, strict)
     groups = groups.groupBy(F.col("artist_and_title").alias("_title"), "track_id", "parent_group").agg(
         F.sum("matches").alias("_m"))
@@ -73,8 +79,8 @@ def touched_dates(charts: DataFrame, metadata: DataFrame, appended: DataFrame,
     days = cut_lineage(charts.select(title_col, date_col).distinct())
     artist, track = split_title(title_col)
     named = days.select(title_col).distinct().select(title_col, artist.alias("artist_name"), track.alias("track_name"))
-    linked = cut_lineage(title_tracks(named, stage_metadata(metadata)))
-    new = cut_lineage(stage_metadata(appended).select(TRACK_KEY, ARTIST_KEY, "track_id").distinct())
+    linked = cut_lineage(title_tracks(named, staged_once(metadata)))
+    new = cut_lineage(staged_once(appended).select(TRACK_KEY, ARTIST_KEY, "track_id").distinct())
     by_key = linked.join(new.select(TRACK_KEY, ARTIST_KEY).distinct(), [TRACK_KEY, ARTIST_KEY], "left_semi")
     by_track = linked.join(new.select("track_id").distinct(), "track_id", "left_semi")
     titles = by_key.select(F.col(title_col).alias("_title")).unionByName(by_track.select(F.col(title_col).alias("_title"))).distinct()
@@ -88,7 +94,7 @@ def refresh_enriched(charts: DataFrame, metadata: DataFrame, appended: DataFrame
     Only their partitions are computed and written; dates after the fact's
     high-water mark are left to the next incremental run."""
     mark = high_water_mark(charts.sparkSession, path)
-    past = charts.where(F.col("chart_date") <= F.lit(mark))
+    past, metadata = charts.where(F.col("chart_date") <= F.lit(mark)), staged_once(metadata)
     days = cut_lineage(touched_dates(past, metadata, appended))
     write_partitions(share_fact(past.join(days, "chart_date", "left_semi"), metadata, labels, rules, strict), path, "chart_date")
     return days

@@ -150,3 +150,18 @@ def test_fixed_lists_by_value():
          "300 entertainment", "big beat", "east west", "asylum", "loma vista")]
     assert "umg" in rules.OWNER_RULES[0][1] and "ソニー" in rules.OWNER_RULES[1][1] and "at&t" in rules.OWNER_RULES[2][1]
     assert len(keys.LABEL_SUFFIXES) == 17
+
+
+def test_rare_steps_of_keys_are_guarded(spark):
+    """Equal to the plain regular expressions, which run only for names that need them."""
+    from pyspark.sql import functions as F
+    from sharelens.functions.keys import LABEL_STEPS, LABEL_SUFFIXES, normalize_label
+    names = [None, "", " ", "co", "Co  ", "disco", "a  b", "x  music group", "Records Inc.", "Inc. !", "plain", "a b  c ltd ! ", "sa sa", "Musicx"]
+    names += [f"{a}{b}{s}{c}" for s in LABEL_SUFFIXES for a in ("", "x", "9 ") for b in ("", " ", " -") for c in ("", " ", "s", " !")]
+    df = spark.createDataFrame([(x,) for x in names], "n string")
+    plain = F.lower(F.trim("n"))
+    for pattern, replacement in LABEL_STEPS:
+        plain = F.regexp_replace(plain, pattern, replacement)
+    assert df.where(~normalize_label("n").eqNullSafe(F.trim(plain))).count() == 0
+    plan = df.select(normalize_label("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "Contains" in plan

@@ -659,3 +659,12 @@ def test_a_cell_is_read_once(spark):
     assert [(r.column_name, r.value) for r in out.collect()] == [("a_b", "x <y")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?s)<[^>]*>") == 2 and plan.count("(?=<t[hd]") == 1       # one for cells, one for inner tables
+
+
+def test_metadata_with_keys_is_not_staged_again(spark):
+    from sharelens.operators.staging import stage_metadata
+    from sharelens.plans.market_share import staged_once
+    raw = spark.createDataFrame([("A", "B", "L Inc", "T1", dt.datetime(2024, 1, 1)), ("A", "B", "L", None, dt.datetime(2024, 1, 1))],
+                                "track_name string, artist_name string, label string, track_id string, updated_at timestamp")
+    staged = staged_once(raw)
+    assert staged_once(staged) is staged and staged.collect() == stage_metadata(raw).collect()

@@ -23,6 +23,7 @@ from contextlib import contextmanager
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -251,9 +252,13 @@ def drop_old_versions(spark: SparkSession, name: str, base_path: str) -> list[st
 
 def ensure_table(spark: SparkSession, name: str, schema: StructType, base_path: str,
                  partition_by: Sequence[str] = ()) -> DataFrame:
-    """Create an empty table with ``schema`` unless it exists."""
+    """Create an empty table with ``schema`` unless it exists (S11), also if another writer creates it meanwhile."""
     if not spark.catalog.tableExists(name):
-        replace_table(spark.createDataFrame([], schema), name, base_path, partition_by)
+        try:
+            replace_table(spark.createDataFrame([], schema), name, base_path, partition_by)
+        except AnalysisException as e:
+            if e.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+                raise
     return spark.table(name)
 
 

@@ -4,8 +4,8 @@ A rolling hash over the last ``ROLL`` bytes cuts every text into chunks where
 its low bits are zero, so equal passages give equal chunks wherever they stand.
 Documents are dealt out by their smallest chunk digest, which brings copies and
 near copies into one task (``rebalance`` splits a task that would get too
-much); each task encodes a chunk once and keeps its ids in a cache of bounded
-size.  The ids at a chunk join are then repaired: the text around the join is
+much); each worker keeps the vocabulary for all its tasks, encodes a chunk once and
+keeps its ids in a cache of bounded size.  The ids at a chunk join are then repaired: the text around the join is
 encoded again, over a window that grows until both its ends are places where
 the pre-tokenizer always cuts (a space between two printable ASCII characters),
 so that the left chunk, the window and the right chunk agree exactly with the
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections import OrderedDict
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -139,6 +140,12 @@ class Codec:
         return self._flat[at].tobytes().decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def codec(path: str) -> Codec:
+    """One codec, and one cache of chunks, for all tasks of a worker: its tables take 0.4 s, more than a small task's texts."""
+    return Codec(path)
+
+
 def chunk_cuts(buf: np.ndarray, offsets: np.ndarray, mean: int = MEAN_CHUNK) -> list[np.ndarray]:
     """For each text the places of its chunk borders, 0 and its length included."""
     ends = [np.zeros(0, np.int64)]
@@ -180,17 +187,17 @@ def encode_decode(docs: DataFrame, text_col: str = "text", vocabulary: str | Non
     unsigned 32-bit integers), ``n_tokens``, and ``decoded``, the text that the ids stand for."""
     path = vocabulary or default_vocabulary()
 
-    def fn(texts, codec):
+    def fn(texts, own):
         buf, offsets = T.encode(texts)
         data = buf.tobytes()
-        ids = [codec.encode(data[a:b], c) for a, b, c in
+        ids = [own.encode(data[a:b], c) for a, b, c in
                zip(offsets[:-1], offsets[1:], chunk_cuts(buf, offsets), strict=True)]
         return {"ids": [x.astype("<u4").tobytes() for x in ids], "n_tokens": [len(x) for x in ids],
-                "decoded": [codec.decode(x) for x in ids]}
+                "decoded": [own.decode(x) for x in ids]}
 
     df = packed(docs)
     dealt = df.withColumn("route", text_udf(_route, "route long")(text_of(df, text_col))["route"]).hint("rebalance", "route")
-    return dealt.select("row", text_udf(fn, "ids binary, n_tokens long, decoded string", lambda: Codec(path))(
+    return dealt.select("row", text_udf(fn, "ids binary, n_tokens long, decoded string", lambda: codec(path))(
         text_of(dealt, text_col)).alias("bpe"))
 
 

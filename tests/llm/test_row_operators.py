@@ -185,6 +185,33 @@ def test_bpe_encodes_a_shared_chunk_once():
     assert work[1] == 0 and work[2] < work[0] / 2
 
 
+def test_bpe_tasks_of_a_worker_share_the_vocabulary(spark, monkeypatch):
+    made, real = [], bpe.text_udf
+    monkeypatch.setattr(bpe, "text_udf", lambda fn, schema, make=None: made.append(make) or real(fn, schema, make))
+    bpe.encode_decode(spark.createDataFrame([(1, PROSE)], "doc_id long, text string"))
+    make = made[-1]
+    assert make() is make()
+
+
+def test_bpe_of_many_small_tasks_equals_the_library(spark, reference):
+    rows = [(i, f"{PROSE} {i} " * (i % 7)) for i in range(300)] + [(300, None), (301, PROSE), (301, PROSE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(40)
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        got = bpe.encode_decode(docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(r["row"]["doc_id"] for r in got) == sorted(i for i, _ in rows)
+    for r in got:
+        ids = reference.encode(r["row"]["text"] or "", add_special_tokens=False).ids
+        assert np.frombuffer(r["bpe"]["ids"], "<u4").tolist() == ids
+        assert r["bpe"]["decoded"] == (r["row"]["text"] or "")
+
+
 # ---- language --------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
